@@ -228,7 +228,10 @@ def _check_required(batch: pa.RecordBatch, schema: T.StructType) -> None:
 # --------------------------------------------------------------------------
 
 def _opt(options, key: str, default=None):
+    """Option lookup ignoring case (Spark hands keys over lower-cased)."""
     v = options.get(key)
+    if v is None:
+        v = options.get(key.lower())
     return default if v is None else v
 
 
@@ -382,8 +385,8 @@ class _WriterBase:
         # object keeps the caller's spelling of table-level keys.
         self.table_meta = {k[len("metadata."):]: v for k, v in options.items()
                            if k.lower().startswith("metadata.")}
-        if options.get("metadata"):
-            self.table_meta.update({str(k): str(v) for k, v in json.loads(options["metadata"]).items()})
+        if _opt(options, "metadata"):
+            self.table_meta.update({str(k): str(v) for k, v in json.loads(_opt(options, "metadata")).items()})
         out_fields = [f for f in schema.fields if f.name != self.batch_col]
         self.in_names = [f.name for f in schema.fields]
         self.out_names = [f.name for f in out_fields]
