@@ -105,7 +105,7 @@ def fixed_size_batches(df: DataFrame, order_by: str, n: int, name: str = "batch"
     if n <= 0:
         raise ValueError("batch size must be positive")
     return (row_numbers(df, order_by, "__rn")
-            .withColumn(name, F.floor(F.col("__rn") / F.lit(n)).cast("bigint"))
+            .withColumn(name, F.expr(f"__rn div {int(n)}").cast("bigint"))
             .drop("__rn"))
 
 

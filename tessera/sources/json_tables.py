@@ -110,10 +110,14 @@ def rows_records(text: Column | str, schema: T.StructType, mode: str = "FAILFAST
     return F.from_json(_col(text), T.ArrayType(schema, True), _opts(mode))
 
 
-def columns_records(text: Column | str, schema: T.StructType, mode: str = "FAILFAST") -> Column:
-    """array<record> from an object-of-arrays document; unequal column
-    lengths (or a missing column) fail the job rather than pad with nulls."""
-    parsed = F.from_json(_col(text), columns_schema(schema), _opts(mode))
+def parse_columns(text: Column | str, schema: T.StructType, mode: str = "FAILFAST") -> Column:
+    """struct<array,...> from an object-of-arrays document."""
+    return F.from_json(_col(text), columns_schema(schema), _opts(mode))
+
+
+def zip_columns(parsed: Column, schema: T.StructType) -> Column:
+    """array<record> from a parsed object of arrays; unequal column lengths
+    (or a missing column) fail the job rather than pad with nulls."""
     sizes = [F.coalesce(F.size(parsed[f.name]), F.lit(-1)) for f in schema.fields]
     ragged = F.lit(False)
     for s in sizes[1:]:
@@ -125,6 +129,14 @@ def columns_records(text: Column | str, schema: T.StructType, mode: str = "FAILF
         F.concat_ws(",", *[s.cast("string") for s in sizes])))).otherwise(zipped)
 
 
+def columns_records(text: Column | str, schema: T.StructType, mode: str = "FAILFAST") -> Column:
+    """array<record> from an object-of-arrays document, as one expression.
+
+    Inside a generator the parse would be repeated per use; ``read_columns``
+    parses once in a projection first."""
+    return zip_columns(parse_columns(text, schema, mode), schema)
+
+
 def read_rows(docs: DataFrame, text: str, schema: T.StructType, mode: str = "FAILFAST",
               keep: list[str] | None = None) -> DataFrame:
     return docs.select(*(keep or []), F.inline(rows_records(text, schema, mode)))
@@ -132,17 +144,24 @@ def read_rows(docs: DataFrame, text: str, schema: T.StructType, mode: str = "FAI
 
 def read_columns(docs: DataFrame, text: str, schema: T.StructType, mode: str = "FAILFAST",
                  keep: list[str] | None = None) -> DataFrame:
-    return docs.select(*(keep or []), F.inline(columns_records(text, schema, mode)))
+    keep = keep or []
+    parsed = docs.select(*keep, parse_columns(text, schema, mode).alias("__cols"))
+    return parsed.select(*keep, F.inline(zip_columns(F.col("__cols"), schema)))
 
 
 def read_auto(docs: DataFrame, text: str, schema: T.StructType, mode: str = "FAILFAST",
               keep: list[str] | None = None) -> DataFrame:
     """Either layout through one entry point: each document is routed by its
-    first character inside one projection (one scan, no union)."""
+    first character and parsed once, by the parser of its layout (one scan,
+    no union)."""
+    keep = keep or []
     lay = layout(text)
-    recs = F.when(lay == ROWS, rows_records(text, schema, mode)).otherwise(
-        columns_records(text, schema, mode))
-    return docs.select(*(keep or []), F.inline(recs))
+    routed = docs.select(*keep, lay.alias("__layout"), _col(text).alias("__text")).select(
+        *keep,
+        F.when(F.col("__layout") == ROWS, rows_records("__text", schema, mode)).alias("__rows"),
+        F.when(F.col("__layout") == COLUMNS, parse_columns("__text", schema, mode)).alias("__cols"))
+    recs = F.coalesce(F.col("__rows"), zip_columns(F.col("__cols"), schema))
+    return routed.select(*keep, F.inline(recs))
 
 
 def write_documents(docs: DataFrame, path: str, text: str = "json", batch: str = "batch",
