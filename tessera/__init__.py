@@ -59,6 +59,8 @@ def _ship(spark: SparkSession) -> None:
 
 def attach(spark: SparkSession) -> SparkSession:
     ensure_session_defaults(spark)
+    # Lets the Arrow source apply simple filters before rows reach the JVM.
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
     _ship(spark)
     from .sources.arrow_ipc import register
     register(spark)

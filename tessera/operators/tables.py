@@ -9,9 +9,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# Below this position a top-k (one bounded heap per task) is cheaper than
-# numbering every row.
-TOPK_LIMIT = 10_000
+# Up to this many leading rows a top-k is used: each task keeps a heap of
+# that size and one task merges ``TOPK_LIMIT x tasks`` rows. Deeper slices
+# number every row instead (``batches.row_numbers``), which stays spread out.
+TOPK_LIMIT = 1_000
 
 
 # -- projection -------------------------------------------------------------
@@ -43,24 +44,21 @@ def replace_column(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def first_rows(df: DataFrame, order_by: str, n: int, offset: int = 0) -> DataFrame:
-    """Rows ``offset .. offset+n-1`` in ``order_by`` order (a top-k)."""
-    ordered = df.orderBy(F.col(order_by).asc_nulls_last())
-    if offset:
-        ordered = ordered.offset(offset)
-    return ordered.limit(n)
+    """Rows ``offset .. offset+n-1`` in ``order_by`` order."""
+    if offset + n <= TOPK_LIMIT:
+        ordered = df.orderBy(F.col(order_by).asc_nulls_last())
+        if offset:
+            ordered = ordered.offset(offset)
+        return ordered.limit(n)
+    from .batches import row_numbers
+    return (row_numbers(df, order_by, "__rn")
+            .where((F.col("__rn") >= offset) & (F.col("__rn") < offset + n))
+            .drop("__rn"))
 
 
 def row_at(df: DataFrame, order_by: str, position: int) -> DataFrame:
-    """The row at 0-based ``position`` in ``order_by`` order.
-
-    Near the front a top-k; further in, every row is numbered by the
-    distributed scheme in ``batches.row_numbers`` and the one row kept, so no
-    task ever holds ``position`` rows.
-    """
-    if position < TOPK_LIMIT:
-        return first_rows(df, order_by, 1, position)
-    from .batches import row_numbers
-    return row_numbers(df, order_by, "__rn").where(F.col("__rn") == position).drop("__rn")
+    """The row at 0-based ``position`` in ``order_by`` order."""
+    return first_rows(df, order_by, 1, position)
 
 
 def update_cell(df: DataFrame, key: str, key_value, column: str, value) -> DataFrame:
@@ -91,18 +89,29 @@ def columns_equal(left: DataFrame, right: DataFrame, key: str, column: str) -> D
     """Element-by-element comparison of ``column`` in two tables matched on
     ``key`` (null-safe): matched, equal, differing and unmatched counts.
 
-    One full outer join, hash-partitioned on the key, then one aggregate.
+    One aggregate over the union of both sides grouped by key (no join, so a
+    hot key is folded by map-side partials instead of pairing rows). A key
+    must appear at most once per side; a repeated key fails the job.
     """
-    l = left.select(F.col(key).alias("__k"), F.col(column).alias("__l"), F.lit(True).alias("__inl"))
-    r = right.select(F.col(key).alias("__k"), F.col(column).alias("__r"), F.lit(True).alias("__inr"))
-    j = l.join(r, "__k", "full_outer")
-    both = F.col("__inl").isNotNull() & F.col("__inr").isNotNull()
-    return j.agg(
+    l = left.select(F.col(key).alias("__k"), F.lit(1).alias("__side"), F.col(column).alias("__v"))
+    r = right.select(F.col(key).alias("__k"), F.lit(2).alias("__side"), F.col(column).alias("__v"))
+    side = F.col("__side")
+    per_key = l.unionByName(r).groupBy("__k").agg(
+        F.count_if(side == 1).alias("__nl"), F.count_if(side == 2).alias("__nr"),
+        F.first(F.when(side == 1, F.struct(F.col("__v").alias("v"))), ignorenulls=True).alias("__l"),
+        F.first(F.when(side == 2, F.struct(F.col("__v").alias("v"))), ignorenulls=True).alias("__r"))
+    checked = per_key.withColumn("__nl", F.when(
+        (F.col("__nl") > 1) | (F.col("__nr") > 1),
+        F.raise_error(F.concat(F.lit(f"key {key} repeats: "), F.col("__k").cast("string")))
+    ).otherwise(F.col("__nl")))
+    both = (F.col("__nl") == 1) & (F.col("__nr") == 1)
+    same = F.col("__l.v").eqNullSafe(F.col("__r.v"))
+    return checked.agg(
         F.count_if(both).alias("matched"),
-        F.count_if(both & F.col("__l").eqNullSafe(F.col("__r"))).alias("equal"),
-        F.count_if(both & ~F.col("__l").eqNullSafe(F.col("__r"))).alias("differing"),
-        F.count_if(F.col("__inr").isNull()).alias("left_only"),
-        F.count_if(F.col("__inl").isNull()).alias("right_only"),
+        F.count_if(both & same).alias("equal"),
+        F.count_if(both & ~same).alias("differing"),
+        F.count_if(F.col("__nr") == 0).alias("left_only"),
+        F.count_if(F.col("__nl") == 0).alias("right_only"),
     )
 
 

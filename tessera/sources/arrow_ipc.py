@@ -45,7 +45,19 @@ from pyspark.sql.datasource import (
     DataSourceArrowWriter,
     DataSourceReader,
     DataSourceStreamArrowWriter,
+    EqualTo,
+    GreaterThan,
+    GreaterThanOrEqual,
+    In,
     InputPartition,
+    IsNotNull,
+    IsNull,
+    LessThan,
+    LessThanOrEqual,
+    Not,
+    StringContains,
+    StringEndsWith,
+    StringStartsWith,
     WriterCommitMessage,
 )
 from pyspark.sql import types as T
@@ -289,15 +301,79 @@ class _Split(InputPartition):
         self.path, self.first, self.last = path, first, last
 
 
+# Column types whose comparisons mean the same in Arrow and in Spark SQL
+# (floating point is left to Spark: NaN orders differently).
+_PUSHABLE = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType,
+             T.StringType, T.DateType, T.TimestampNTZType)
+_COMPARE = {EqualTo: "equal", GreaterThan: "greater", GreaterThanOrEqual: "greater_equal",
+            LessThan: "less", LessThanOrEqual: "less_equal"}
+
+
+def _filter_mask(batch: pa.RecordBatch, f):
+    """SQL three-valued result of a pushed filter over a batch (null = unknown)."""
+    if isinstance(f, Not):
+        return pc.invert(_filter_mask(batch, f.child))
+    col = batch.column(f.attribute[0])
+    if isinstance(f, IsNull):
+        return col.is_null()
+    if isinstance(f, IsNotNull):
+        return col.is_valid()
+    if type(f) in _COMPARE:
+        return getattr(pc, _COMPARE[type(f)])(col, pa.scalar(f.value, type=col.type))
+    if isinstance(f, In):
+        hit = pc.is_in(col, value_set=pa.array(list(f.value), type=col.type))
+        return pc.if_else(col.is_null(), pa.scalar(None, pa.bool_()), hit)
+    if isinstance(f, StringStartsWith):
+        return pc.starts_with(col, f.value)
+    if isinstance(f, StringEndsWith):
+        return pc.ends_with(col, f.value)
+    if isinstance(f, StringContains):
+        return pc.match_substring(col, f.value)
+    raise TypeError(f"unsupported filter {f}")
+
+
+def _pushable(f, schema: T.StructType) -> bool:
+    if isinstance(f, Not):
+        return _pushable(f.child, schema)
+    attr = getattr(f, "attribute", None)
+    if not attr or len(attr) != 1 or attr[0] not in schema.fieldNames():
+        return False
+    dt = schema[attr[0]].dataType
+    if not isinstance(dt, _PUSHABLE):
+        return False
+    if isinstance(f, (IsNull, IsNotNull)):
+        return True
+    if type(f) in _COMPARE:
+        return f.value is not None
+    if isinstance(f, In):
+        return all(v is not None for v in f.value)
+    if isinstance(f, (StringStartsWith, StringEndsWith, StringContains)):
+        return isinstance(dt, T.StringType)
+    return False
+
+
 class ArrowIpcReader(DataSourceReader):
     def __init__(self, options: dict, schema: T.StructType, root: str):
         self.options = options
         self.schema = schema
         self.root = root
+        self.filters: list = []
         self.content = _opt(options, "content", "rows")
         self.split_bytes = int(_opt(options, "splitBytes", 256 * 1024 * 1024))
         self.batches_per_split = int(_opt(options, "batchesPerSplit", 8))
 
+    def pushFilters(self, filters):
+        """Filters on integer, string, boolean, date and wall-clock timestamp
+        columns are applied to each record batch before it leaves Python;
+        the rest are handed back to Spark."""
+        rest = []
+        for f in filters:
+            if self.content == "rows" and _pushable(f, self.schema):
+                self.filters.append(f)
+            else:
+                rest.append(f)
+        return rest
+
     def partitions(self):
         """One split per file; large random-access files are split by batch
         range (only their footers are read here, never data)."""
@@ -345,6 +421,13 @@ class ArrowIpcReader(DataSourceReader):
             b = b.select(names)
             if needs_check:
                 _check_required(b, self.schema)
+            if self.filters:
+                mask = _filter_mask(b, self.filters[0])
+                for f in self.filters[1:]:
+                    mask = pc.and_kleene(mask, _filter_mask(b, f))
+                b = b.filter(pc.fill_null(mask, False))
+                if b.num_rows == 0:
+                    continue
             yield cast_batch(b, target)
 
     def _read_metadata(self, fs, p):

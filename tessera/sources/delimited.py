@@ -136,13 +136,15 @@ def default_chunks(spark: SparkSession) -> int:
 
 
 def chunks(df: DataFrame, n: int | None = None, name: str = "chunk") -> DataFrame:
-    """Split ``df`` into ``n`` typed parts (round robin) and tag each row.
+    """Tag each row with the typed part (chunk) it belongs to.
 
-    Round-robin repartition sorts rows locally first, so a retried task gets
-    the same rows; the part number is the Spark partition that holds it.
+    Without ``n`` the chunks are the scan's own splits: no data moves. With
+    ``n`` the rows are dealt round robin into exactly ``n`` parts (one
+    shuffle; round-robin repartition sorts rows locally first, so a retried
+    task gets the same rows).
     """
-    n = n or default_chunks(df.sparkSession)
-    return df.repartition(n).withColumn(name, F.spark_partition_id())
+    parts = df.repartition(n) if n else df
+    return parts.withColumn(name, F.spark_partition_id())
 
 
 def to_delimited_column(df: DataFrame, columns: list[str] | None = None, *, sep: str = ",",
