@@ -210,5 +210,6 @@ def test_filter_pushdown_matches_spark(spark, tmp_dir):
              "Wage > 100", "Salary <> 5 OR id = 3"]
     for c in conds:
         assert _same(df.where(c), p.where(c)), c
-    plan = df.where("id > 700 AND Wage > 1")._jdf.queryExecution().executedPlan().toString()
+    q = df.where("id > 700 AND Wage > 1")
+    plan = q._sc._jvm.PythonSQLUtils.explainString(q._jdf.queryExecution(), "formatted")
     assert "GreaterThan(id,700)" in plan          # pushed; the double filter stays in Spark
