@@ -97,7 +97,7 @@ def read_delimited(spark: SparkSession, path: str, *, names: list[str] | None =
     if schema is not None:
         df = r.schema(schema).csv(path)
     elif infer:
-        df = widen_inferred(r.option("inferSchema", "true").csv(path))
+        df = widen_inferred(_infer(spark, r, path))
     else:
         df = r.csv(path)
     if names is not None and schema is None:
@@ -107,6 +107,22 @@ def read_delimited(spark: SparkSession, path: str, *, names: list[str] | None =
     return _spread(df, partitions)
 
 
+def _infer(spark: SparkSession, reader, path: str) -> DataFrame:
+    """Inference pass with zone-less timestamps: the text holds wall-clock
+    values, so they are inferred as ``timestamp_ntz`` directly (no round trip
+    through the session zone). Inference runs here, once; the setting is
+    restored right after."""
+    key = "spark.sql.timestampType"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "TIMESTAMP_NTZ")
+    try:
+        df = reader.option("inferSchema", "true").csv(path)
+        df.schema  # resolve now, under the setting
+    finally:
+        spark.conf.set(key, before)
+    return df
+
+
 def text_schema(names: list[str]) -> T.StructType:
     return T.StructType([T.StructField(n, T.StringType(), True) for n in names])
 
