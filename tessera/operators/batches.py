@@ -36,8 +36,9 @@ def _key_as_double(df: DataFrame, key: str) -> Column:
 
 def _with_bucket(df: DataFrame, key: Column, splits: list[float], name: str) -> DataFrame:
     """Add ``name``: the index of the part holding the key, i.e. the number of
-    split points <= key (binary search, JVM-side). Null keys go to the last
-    part, matching ascending order with nulls last."""
+    split points <= key (binary search, JVM-side). NaN and null keys get a
+    part of their own after all others (ascending order, nulls last); the
+    part is never null, so no row can fall out of the offset join."""
     if not splits:
         return df.withColumn(name, F.lit(0))
     from pyspark.ml.feature import Bucketizer
@@ -45,7 +46,8 @@ def _with_bucket(df: DataFrame, key: Column, splits: list[float], name: str) ->
     b = Bucketizer(splits=[-inf, *splits, inf], inputCol="__kd", outputCol="__bd",
                    handleInvalid="keep")
     return (b.transform(df.withColumn("__kd", key))
-            .withColumn(name, F.col("__bd").cast("int")).drop("__kd", "__bd"))
+            .withColumn(name, F.coalesce(F.col("__bd").cast("int"), F.lit(len(splits) + 1)))
+            .drop("__kd", "__bd"))
 
 
 def row_numbers(df: DataFrame, order_by: str, name: str = "rn", buckets: int | None = None,
@@ -81,7 +83,8 @@ def row_numbers(df: DataFrame, order_by: str, name: str = "rn", buckets: int | N
 
 
 def _row_numbers_checkpointed(df: DataFrame, order_by: str, name: str, n: int) -> DataFrame:
-    ranged = df.repartitionByRange(n, F.col(order_by)).sortWithinPartitions(order_by)
+    order = F.col(order_by).asc_nulls_last()
+    ranged = df.repartitionByRange(n, order).sortWithinPartitions(order)
     # Reliable checkpoint (in spark.checkpoint.dir): counts and numbering must
     # see the same rows in the same partitions, even after executor loss.
     stable = ranged.checkpoint(eager=True)

@@ -140,3 +140,21 @@ def test_fold_batches_any_batching(spark):
                                {"mean": F.col("sum") / F.col("rows")}).first()
         assert r["rows"] == ref[1] and r["hi"] == ref[2]
         assert r["sum"] == pytest.approx(ref[0], rel=1e-12)
+
+
+def test_row_numbers_keep_null_keys_last(spark):
+    keys = list(range(0, 2000, 3)) + [None] * 5
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k bigint, i int").repartition(3)
+    out = batches.row_numbers(df, "k").collect()
+    assert len(out) == len(keys)
+    assert sorted(r["rn"] for r in out) == list(range(len(keys)))
+    assert all(r["rn"] >= len(keys) - 5 for r in out if r["k"] is None)
+    assert {r["k"]: r["rn"] for r in out if r["k"] is not None} == {k: i for i, k in enumerate(range(0, 2000, 3))}
+
+
+def test_checkpointed_numbering_nulls_last(spark):
+    keys = [f"k{i:04d}" for i in range(300)] + [None] * 4
+    df = spark.createDataFrame([(k,) for k in keys], "k string").repartition(3)
+    out = batches.row_numbers(df, "k").collect()
+    assert sorted(r["rn"] for r in out) == list(range(len(keys)))
+    assert all(r["rn"] >= 300 for r in out if r["k"] is None)
