@@ -4,7 +4,8 @@ A Spark table has no row order, so every positional operator takes an
 ordering key. Global row numbers are built without a one-partition window:
 
 1. cut the key's range into ``buckets`` near-equal parts (``approxQuantile``
-   over the key column only, a pruned scan);
+   over the key column only, a pruned scan); a hot key value is dealt over
+   several parts by a row hash, so no part outgrows ~1/buckets of the rows;
 2. count rows per part (partial + final aggregate, one tiny result);
 3. turn the counts into start offsets (a window over at most ``buckets``
    rows, broadcast: its size is bounded by the bucket count, not the data);
@@ -34,19 +35,43 @@ def _key_as_double(df: DataFrame, key: str) -> Column:
     return F.col(key).cast("double")
 
 
-def _with_bucket(df: DataFrame, key: Column, splits: list[float], name: str) -> DataFrame:
-    """Add ``name``: the index of the part holding the key, i.e. the number of
-    split points <= key (binary search, JVM-side). NaN and null keys get a
-    part of their own after all others (ascending order, nulls last); the
-    part is never null, so no row can fall out of the offset join."""
-    if not splits:
+def _with_part(df: DataFrame, key: Column, quantiles: list[float], name: str) -> DataFrame:
+    """Add ``name``: the part of each row, in key order.
+
+    A key between split points goes to the part after the last split point
+    <= key (binary search, JVM-side ``Bucketizer``). A split point that the
+    quantiles return m > 1 times marks a hot key (about m/n of all rows):
+    its rows are dealt over m consecutive parts by a hash of the whole row,
+    so no part holds more than about 1/n of the data. NaN and null keys get
+    a part of their own after all others (ascending, nulls last); the part
+    is never null, so no row can fall out of the offset join.
+    """
+    if not quantiles:
         return df.withColumn(name, F.lit(0))
+    from collections import Counter
+
     from pyspark.ml.feature import Bucketizer
+    mult = Counter(quantiles)
+    distinct = sorted(mult)
+    # prefix[j] = number of quantiles below distinct[j]; total at the end.
+    prefix, acc = [], 0
+    for d in distinct:
+        prefix.append(acc)
+        acc += mult[d]
+    prefix.append(acc)
+    counts = [mult[d] for d in distinct]
     inf = float("inf")
-    b = Bucketizer(splits=[-inf, *splits, inf], inputCol="__kd", outputCol="__bd",
+    b = Bucketizer(splits=[-inf, *distinct, inf], inputCol="__kd", outputCol="__bd",
                    handleInvalid="keep")
+    j = F.col("__bd").cast("int")                   # 0 .. len(distinct), or len+1 for NaN
+    base = F.element_at(F.lit(prefix), j + 1)       # part of a key that is no split point
+    at = F.element_at(F.lit(distinct), j)           # split point just below (j >= 1)
+    m = F.element_at(F.lit(counts), j)
+    hot = (j >= 1) & (j <= len(distinct)) & (F.col("__kd") == at) & (m > 1)
+    spread = F.element_at(F.lit(prefix), j) + 1 + F.pmod(F.col("__tie"), m)
+    part = F.when(hot, spread).otherwise(base)
     return (b.transform(df.withColumn("__kd", key))
-            .withColumn(name, F.coalesce(F.col("__bd").cast("int"), F.lit(len(splits) + 1)))
+            .withColumn(name, F.coalesce(part.cast("int"), F.lit(acc + 1)))
             .drop("__kd", "__bd"))
 
 
@@ -54,9 +79,10 @@ def row_numbers(df: DataFrame, order_by: str, name: str = "rn", buckets: int | N
                 relative_error: float | None = None) -> DataFrame:
     """Add ``name``: 0-based position of each row in ``order_by`` order.
 
-    ``order_by`` should be unique; ties are numbered in an arbitrary order.
-    Numeric, date and timestamp keys use quantile parts (no checkpoint);
-    other keys fall back to a range partition cut by a reliable checkpoint.
+    Ties in ``order_by`` are broken by a hash of the whole row, the same on
+    every retry. Numeric, date and timestamp keys use quantile parts (no
+    checkpoint); other keys fall back to a range partition cut by a reliable
+    checkpoint.
     """
     spark = df.sparkSession
     n = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
@@ -66,20 +92,21 @@ def row_numbers(df: DataFrame, order_by: str, name: str = "rn", buckets: int | N
     eps = relative_error or min(0.001, 1.0 / (10.0 * n))
     probs = [i / n for i in range(1, n)]
     qs = df.select(key.alias("__k")).approxQuantile("__k", probs, eps) if n > 1 else []
-    splits = sorted({q for q in qs if q is not None})
-    tagged = _with_bucket(df, key, splits, "__part")
+    quantiles = sorted(q for q in qs if q is not None and q == q)
+    tagged = _with_part(df.withColumn("__tie", F.xxhash64(*[F.col(c) for c in df.columns])),
+                        key, quantiles, "__part")
     counts = tagged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    # At most len(splits)+1 rows: size bounded by the bucket count.
+    # At most n+1 rows: size bounded by the part count, not by the data.
     offsets = counts.select(
         "__part",
         F.coalesce(F.sum("__n").over(Window.orderBy("__part")
                                      .rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("__off"))
-    w = Window.partitionBy("__part").orderBy(F.col(order_by).asc_nulls_last())
+    w = Window.partitionBy("__part").orderBy(F.col(order_by).asc_nulls_last(), F.col("__tie"))
     numbered = tagged.withColumn("__local", F.row_number().over(w) - 1)
     return (numbered.join(F.broadcast(offsets), "__part")
             .withColumn(name, (F.col("__off") + F.col("__local")).cast("bigint"))
-            .drop("__part", "__off", "__local"))
+            .drop("__part", "__off", "__local", "__tie"))
 
 
 def _row_numbers_checkpointed(df: DataFrame, order_by: str, name: str, n: int) -> DataFrame:
