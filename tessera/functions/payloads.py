@@ -18,9 +18,10 @@ PAYLOAD_SCHEMA = "batch bigint, n bigint, payload binary"
 
 
 def encode_payloads(df: DataFrame, batch: str = "batch", flavor: str = "stream",
-                    compression: str | None = None) -> DataFrame:
-    """One (batch, n, payload) row per batch value; rows inside a payload are
-    in the order Spark delivers them (sort beforehand if that matters)."""
+                    compression: str | None = None, order_by: str | None = None) -> DataFrame:
+    """One (batch, n, payload) row per batch value. With ``order_by`` the rows
+    inside a payload are sorted by it, so a retried task writes the same
+    bytes; otherwise they keep the order the shuffle delivers."""
     cols = [c for c in df.columns if c != batch]
     # Field metadata (type names) is carried by the schema built here: Arrow
     # batches handed to Python do not keep it.
@@ -30,6 +31,8 @@ def encode_payloads(df: DataFrame, batch: str = "batch", flavor: str = "stream",
         import pyarrow as pa
         from tessera.sources.arrow_ipc import encode_ipc
         key = table.column(batch)[0].as_py() if table.num_rows else None
+        if order_by:
+            table = table.sort_by(order_by)
         body = table.select(cols).combine_chunks()
         batches = [cast_batch(b, target) for b in body.to_batches()]
         data = encode_ipc(batches, target, flavor, compression)

@@ -149,10 +149,11 @@ def csv_read_text_rows(spark, sf_dir):
        "SELECT count(*) AS rows, count(Wage) AS present, "
        "round(coalesce(sum(Wage), 0), 6) AS sum FROM people")
 def csv_chunk_stats(spark, sf_dir):
-    """Split the scan into N typed chunks, visit each, total the visits."""
+    """Split the scan into N typed chunks (N = parallelism, or 8 with
+    one slot, as the reference), visit each, total the visits."""
     path = _people_csv(spark, sf_dir, "csv-chunks", files=4)
     df = _read_people_csv(spark, path)
-    parts = delimited.chunks(df).groupBy("chunk").agg(
+    parts = delimited.chunks(df, delimited.default_chunks(spark)).groupBy("chunk").agg(
         F.count(F.lit(1)).alias("rows"), F.count("Wage").alias("present"),
         F.coalesce(F.sum("Wage"), F.lit(0.0)).alias("sum"))
     return parts.agg(F.sum("rows").cast("bigint").alias("rows"),
@@ -218,7 +219,7 @@ def arrow_stream_read(spark, sf_dir):
     """Arrow files as a stream, batch by batch, rows appended to a sink."""
     src = _people_arrow(spark, sf_dir, "arrow-stream-src", df=people(spark, sf_dir).repartition(4),
                         maxRowsPerFile=str(2 * BATCH_ROWS), batch=str(BATCH_ROWS))
-    rows = streams.decode_arrow_stream(streams.arrow_file_stream(spark, src), PERSON)
+    rows = streams.arrow_stream(spark, src)
     return streams.drain_to_parquet(rows, scratch_path(spark, "arrow-stream-out"),
                                     scratch_path(spark, "arrow-stream-ckpt"))
 
@@ -234,7 +235,7 @@ def arrow_read_raw_struct(spark, sf_dir):
 @query("arrow_decode_payloads", SELECT_ALL)
 def arrow_decode_payloads(spark, sf_dir):
     """Arrow payloads held as binary values, decoded back to rows."""
-    enc = payloads.encode_payloads(_batched(spark, sf_dir))
+    enc = payloads.encode_payloads(_batched(spark, sf_dir), order_by="id")
     return payloads.decode_payloads(enc, PERSON)
 
 
@@ -343,7 +344,7 @@ def arrow_append(spark, sf_dir):
        f"SELECT batch, count(*) AS n FROM (SELECT {BATCH_OF} AS batch FROM people) GROUP BY batch")
 def arrow_encode_payloads(spark, sf_dir):
     """K4: each batch of rows encoded as one Arrow payload value."""
-    enc = payloads.encode_payloads(_batched(spark, sf_dir))
+    enc = payloads.encode_payloads(_batched(spark, sf_dir), order_by="id")
     return enc.where(payloads.payload_bytes() > 0).select("batch", "n")
 
 
@@ -694,7 +695,7 @@ def stream_mean_arrow(spark, sf_dir):
     """Running sum and count across the batches of a stream of Arrow files."""
     src = _people_arrow(spark, sf_dir, "stream-arrow-src", df=people(spark, sf_dir).repartition(4),
                         batch=str(BATCH_ROWS), maxRowsPerFile=str(2 * BATCH_ROWS))
-    parts = streams.arrow_stream_partials(streams.arrow_file_stream(spark, src), "Wage")
+    parts = batches.arrow_batch_partials(streams.arrow_stream(spark, src), "Wage")
     out = streams.drain_aggregate(streams.running_mean(parts), scratch_path(spark, "stream-arrow-out"),
                                   scratch_path(spark, "stream-arrow-ckpt"))
     return _mean_out(out)

@@ -34,6 +34,7 @@ commit, so a retried or speculative task never leaves a doubled file.
 from __future__ import annotations
 
 import json
+import time
 import uuid
 from collections.abc import Iterator
 
@@ -45,6 +46,7 @@ from pyspark.sql.datasource import (
     DataSourceArrowWriter,
     DataSourceReader,
     DataSourceStreamArrowWriter,
+    DataSourceStreamReader,
     EqualTo,
     GreaterThan,
     GreaterThanOrEqual,
@@ -291,6 +293,9 @@ class ArrowIpcDataSource(DataSource):
     def writer(self, schema: T.StructType, overwrite: bool):
         return ArrowIpcWriter(dict(self.options), schema, overwrite, self._path())
 
+    def streamReader(self, schema: T.StructType):
+        return ArrowIpcStreamReader(dict(self.options), schema, self._path())
+
     def streamWriter(self, schema: T.StructType, overwrite: bool):
         return ArrowIpcStreamWriter(dict(self.options), schema, overwrite, self._path())
 
@@ -391,44 +396,7 @@ class ArrowIpcReader(DataSourceReader):
         return out or [_Split("", None, None)]
 
     def read(self, partition: _Split):
-        if not partition.path:
-            return
-        fs, _ = filesystem(self.root)
-        if self.content == "metadata":
-            yield from self._read_metadata(fs, partition.path)
-            return
-        if self.content == "batches":
-            kind, r = open_reader(fs, partition.path)
-            if kind == "file":
-                sizes = (r.get_batch(i).num_rows for i in range(r.num_record_batches))
-            else:
-                sizes = (b.num_rows for b in r)
-            for i, n in enumerate(sizes):
-                yield (partition.path, i, n)
-            return
-        target = relaxed(to_arrow_schema(self.schema))
-        names = [f.name for f in self.schema.fields]
-        needs_check = any(isinstance(f.dataType, T.StructType) and _required_paths(f.dataType)
-                          for f in self.schema.fields)
-        kind, r = open_reader(fs, partition.path)
-        if kind == "file":
-            lo = partition.first or 0
-            hi = r.num_record_batches if partition.last is None else partition.last
-            batches = (r.get_batch(i) for i in range(lo, hi))
-        else:
-            batches = iter(r)
-        for b in batches:
-            b = b.select(names)
-            if needs_check:
-                _check_required(b, self.schema)
-            if self.filters:
-                mask = _filter_mask(b, self.filters[0])
-                for f in self.filters[1:]:
-                    mask = pc.and_kleene(mask, _filter_mask(b, f))
-                b = b.filter(pc.fill_null(mask, False))
-                if b.num_rows == 0:
-                    continue
-            yield cast_batch(b, target)
+        yield from _read_split(self, partition)
 
     def _read_metadata(self, fs, p):
         kind, r = open_reader(fs, p)
@@ -447,6 +415,89 @@ class ArrowIpcReader(DataSourceReader):
             yield from walk(f, "")
 
 
+def _read_split(reader, partition: _Split):
+    """Rows (or metadata / batch sizes) of one split, one record batch at a
+    time: memory holds a single batch, whatever the file size."""
+    if not partition.path:
+        return
+    fs, _ = filesystem(reader.root)
+    if reader.content == "metadata":
+        yield from reader._read_metadata(fs, partition.path)
+        return
+    if reader.content == "batches":
+        kind, r = open_reader(fs, partition.path)
+        if kind == "file":
+            sizes = (r.get_batch(i).num_rows for i in range(r.num_record_batches))
+        else:
+            sizes = (b.num_rows for b in r)
+        for i, n in enumerate(sizes):
+            yield (partition.path, i, n)
+        return
+    schema = reader.schema
+    target = relaxed(to_arrow_schema(schema))
+    names = [f.name for f in schema.fields]
+    needs_check = any(isinstance(f.dataType, T.StructType) and _required_paths(f.dataType)
+                      for f in schema.fields)
+    kind, r = open_reader(fs, partition.path)
+    if kind == "file":
+        lo = partition.first or 0
+        hi = r.num_record_batches if partition.last is None else partition.last
+        batches = (r.get_batch(i) for i in range(lo, hi))
+    else:
+        batches = iter(r)
+    for b in batches:
+        b = b.select(names)
+        if needs_check:
+            _check_required(b, schema)
+        if reader.filters:
+            mask = _filter_mask(b, reader.filters[0])
+            for f in reader.filters[1:]:
+                mask = pc.and_kleene(mask, _filter_mask(b, f))
+            b = b.filter(pc.fill_null(mask, False))
+            if b.num_rows == 0:
+                continue
+        yield cast_batch(b, target)
+
+
+class ArrowIpcStreamReader(DataSourceStreamReader):
+    """New files of a dataset folder as a stream.
+
+    The offset is the last file name read: producers add files in name order
+    (this library's writers do: names start with the write time or the
+    micro-batch id). Each new file is one split, read batch by batch, so a
+    task holds one record batch at a time whatever the file size.
+    """
+
+    def __init__(self, options: dict, schema: T.StructType, root: str):
+        self.options = options
+        self.schema = schema
+        self.root = root
+        self.content = "rows"
+        self.filters: list = []
+
+    def _names(self) -> list[str]:
+        _, base = filesystem(self.root)
+        return [p[len(base):].lstrip("/") for p, _ in list_data_files(self.root)]
+
+    def initialOffset(self) -> dict:
+        return {"upto": ""}
+
+    def latestOffset(self) -> dict:
+        names = self._names()
+        return {"upto": names[-1] if names else ""}
+
+    def partitions(self, start: dict, end: dict):
+        _, base = filesystem(self.root)
+        lo, hi = start.get("upto", ""), end.get("upto", "")
+        return [_Split(f"{base}/{n}", None, None) for n in self._names() if lo < n <= hi]
+
+    def read(self, partition):
+        yield from _read_split(self, partition)
+
+    def commit(self, end: dict) -> None:
+        pass
+
+
 class _Commit(WriterCommitMessage):
     def __init__(self, files: list[tuple[str, str]], rows: int, batches: int):
         self.files, self.rows, self.batches = files, rows, batches
@@ -476,7 +527,9 @@ class _WriterBase:
         # The schema handed to the writer carries column metadata (type
         # names, colmetadata); incoming batches do not, so it is applied here.
         self.arrow_schema = relaxed(to_arrow_schema(T.StructType(out_fields), self.table_meta))
-        self.job = uuid.uuid4().hex[:16]
+        # Write time first, so file names sort in the order data arrived
+        # (the stream reader's offset relies on it).
+        self.job = f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
         self.ext = FILE_EXT if self.flavor == "file" else STREAM_EXT
 
     # -- executor side ------------------------------------------------------

@@ -8,9 +8,10 @@ count are streaming aggregate state. ``trigger(availableNow=True)`` drains
 what is there and stops, which is how the library's functions run a stream
 to completion.
 
-Arrow IPC files are read with the ``binaryFile`` source and decoded in
-``mapInArrow``; each file is one value, so writers cap file size with
-``maxRowsPerFile``.
+Arrow IPC files are read by the ``arrow_ipc`` stream source, one record
+batch at a time. The alternative ``binaryFile`` route (decode in
+``mapInArrow``) holds a whole file per value, so there writers cap file
+size with ``maxRowsPerFile``.
 """
 
 from __future__ import annotations
@@ -65,6 +66,16 @@ def arrow_file_stream(spark: SparkSession, path: str, max_files: int = 1,
             .load(path).select("path", "content"))
 
 
+def arrow_stream(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """New Arrow IPC files of a dataset folder as a stream of rows, read by
+    the ``arrow_ipc`` source one record batch at a time (no per-file value,
+    so no file-size cap)."""
+    r = spark.readStream.format("arrow_ipc")
+    if schema is not None:
+        r = r.schema(schema)
+    return r.load(path)
+
+
 def decode_arrow_stream(files: DataFrame, schema: T.StructType) -> DataFrame:
     """Rows of every record batch of every file, cast to ``schema``."""
     target = relaxed(to_arrow_schema(schema))

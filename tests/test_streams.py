@@ -77,3 +77,22 @@ def test_stream_writer_commit_replaces_same_batch(spark, tmp_dir):
     w.commit([m2], 7)
     files = glob.glob(f"{tmp_dir}/part-b000000000007-*")
     assert len(files) == 1
+
+
+def test_arrow_source_stream_picks_up_new_files(spark, tmp_dir):
+    p = people(spark, SF)
+    src = f"{tmp_dir}/ds"
+    first = p.where("id < 700")
+    first.repartition(2).write.format("arrow_ipc").mode("append").option("batch", "100").save(src)
+    out, ckpt = f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
+    got = streams.drain_to_parquet(streams.arrow_stream(spark, src), out, ckpt)
+    assert _same(got, first)
+    rest = p.where("id >= 700")
+    rest.repartition(3).write.format("arrow_ipc").mode("append").save(src)
+    got = streams.drain_to_parquet(streams.arrow_stream(spark, src), out, ckpt)
+    assert _same(got, p)                      # each file read exactly once
+    from tessera.operators import batches
+    parts = batches.arrow_batch_partials(streams.arrow_stream(spark, src), "Wage")
+    m = streams.drain_aggregate(streams.running_mean(parts), f"{tmp_dir}/m", f"{tmp_dir}/m-ckpt").first()
+    ref = p.agg(F.sum(F.coalesce("Wage", F.lit(0.0))) / F.count(F.lit(1))).first()[0]
+    assert m["rows"] == 1500 and m["mean"] == pytest.approx(ref, rel=1e-12)
