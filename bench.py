@@ -63,8 +63,10 @@ def main() -> None:
     li.write.format("arrow_ipc").mode("overwrite").option("flavor", "file").save(li_arrow)
     li_schema = li.schema
 
-    # warm the JVM and the Python workers
+    # warm the JVM and the Python workers (data source and Arrow UDF paths)
     means.row_count(spark.read.format("arrow_ipc").load(arrow_path)).collect()
+    batches.combine_partials(batches.arrow_batch_partials(
+        spark.read.format("arrow_ipc").option("columns", "Wage").load(arrow_path), "Wage")).collect()
 
     q = {}
     csv = lambda: delimited.read_delimited(spark, csv_path, schema=PERSON)
@@ -86,9 +88,15 @@ def main() -> None:
         spark.read.text(cols_docs).withColumnRenamed("value", "json"), "json", PERSON)))
     q["json_rows_encode"] = timed(lambda: noop(json_tables.rows_documents(b, "id")))
     q["fixed_size_batches"] = timed(lambda: batches.batch_lengths(b).collect())
+    q["json_auto_decode"] = timed(lambda: noop(json_tables.read_auto(
+        spark.read.text([rows_docs, cols_docs]).withColumnRenamed("value", "json"), "json", PERSON)))
     q["stream_mean_csv"] = timed(lambda: streams.drain_aggregate(
-        streams.rows_running_mean(streams.csv_stream(spark, csv_path, PERSON, max_files=2), "Wage"),
+        streams.rows_running_mean(streams.csv_stream(spark, csv_path, PERSON, max_files=int(cpus)),
+                                  "Wage"),
         scratch_path(spark, "bench-stream-out"), scratch_path(spark, "bench-stream-ckpt")).collect())
+    q["stream_mean_arrow"] = timed(lambda: streams.drain_aggregate(
+        streams.running_mean(batches.arrow_batch_partials(streams.arrow_stream(spark, arrow_path), "Wage")),
+        scratch_path(spark, "bench-astream-out"), scratch_path(spark, "bench-astream-ckpt")).collect())
     q["lineitem_csv_scan"] = timed(lambda: noop(
         delimited.read_delimited(spark, li_csv, schema=li_schema)))
     q["lineitem_arrow_scan"] = timed(lambda: noop(spark.read.format("arrow_ipc").load(li_arrow)))

@@ -36,6 +36,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from contextlib import contextmanager
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -131,14 +132,19 @@ def _is_file_flavor(fs: pafs.FileSystem, p: str) -> bool:
         return f.read(6) == _MAGIC
 
 
+@contextmanager
 def open_reader(fs: pafs.FileSystem, p: str):
-    """A reader for either flavour; returns (kind, reader)."""
+    """A reader for either flavour, as (kind, reader); the file is closed on exit."""
     f = fs.open_input_file(p)
-    if f.read(6) == _MAGIC:
-        f.seek(0)
-        return "file", pa.ipc.open_file(f)
-    f.seek(0)
-    return "stream", pa.ipc.open_stream(f)
+    try:
+        if f.read(6) == _MAGIC:
+            f.seek(0)
+            yield "file", pa.ipc.open_file(f)
+        else:
+            f.seek(0)
+            yield "stream", pa.ipc.open_stream(f)
+    finally:
+        f.close()
 
 
 def decode_ipc(data: bytes) -> pa.ipc.RecordBatchStreamReader | pa.ipc.RecordBatchFileReader:
@@ -274,8 +280,8 @@ class ArrowIpcDataSource(DataSource):
         if not files:
             raise FileNotFoundError(f"no Arrow IPC files under {self._path()}")
         fs, _ = filesystem(self._path())
-        kind, r = open_reader(fs, files[0][0])
-        s = to_spark_schema(r.schema)
+        with open_reader(fs, files[0][0]) as (_, r):
+            s = to_spark_schema(r.schema)
         cols = _opt(self.options, "columns")
         if cols:
             names = [c.strip() for c in cols.split(",") if c.strip()]
@@ -399,8 +405,8 @@ class ArrowIpcReader(DataSourceReader):
         yield from _read_split(self, partition)
 
     def _read_metadata(self, fs, p):
-        kind, r = open_reader(fs, p)
-        s = r.schema
+        with open_reader(fs, p) as (_, r):
+            s = r.schema
         for k, v in (s.metadata or {}).items():
             yield (p, "", k.decode(), v.decode())
 
@@ -425,11 +431,11 @@ def _read_split(reader, partition: _Split):
         yield from reader._read_metadata(fs, partition.path)
         return
     if reader.content == "batches":
-        kind, r = open_reader(fs, partition.path)
-        if kind == "file":
-            sizes = (r.get_batch(i).num_rows for i in range(r.num_record_batches))
-        else:
-            sizes = (b.num_rows for b in r)
+        with open_reader(fs, partition.path) as (kind, r):
+            if kind == "file":
+                sizes = [r.get_batch(i).num_rows for i in range(r.num_record_batches)]
+            else:
+                sizes = [b.num_rows for b in r]
         for i, n in enumerate(sizes):
             yield (partition.path, i, n)
         return
@@ -438,25 +444,27 @@ def _read_split(reader, partition: _Split):
     names = [f.name for f in schema.fields]
     needs_check = any(isinstance(f.dataType, T.StructType) and _required_paths(f.dataType)
                       for f in schema.fields)
-    kind, r = open_reader(fs, partition.path)
-    if kind == "file":
-        lo = partition.first or 0
-        hi = r.num_record_batches if partition.last is None else partition.last
-        batches = (r.get_batch(i) for i in range(lo, hi))
-    else:
-        batches = iter(r)
-    for b in batches:
-        b = b.select(names)
-        if needs_check:
-            _check_required(b, schema)
-        if reader.filters:
-            mask = _filter_mask(b, reader.filters[0])
-            for f in reader.filters[1:]:
-                mask = pc.and_kleene(mask, _filter_mask(b, f))
-            b = b.filter(pc.fill_null(mask, False))
-            if b.num_rows == 0:
-                continue
-        yield cast_batch(b, target)
+    with open_reader(fs, partition.path) as (kind, r):
+        if kind == "file":
+            lo = partition.first or 0
+            hi = r.num_record_batches if partition.last is None else partition.last
+            batches = (r.get_batch(i) for i in range(lo, hi))
+        else:
+            batches = iter(r)
+        for b in batches:
+            b = b.select(names)
+            if needs_check:
+                _check_required(b, schema)
+            # Filters see the values as Spark will (after the cast to its types).
+            b = cast_batch(b, target)
+            if reader.filters:
+                mask = _filter_mask(b, reader.filters[0])
+                for f in reader.filters[1:]:
+                    mask = pc.and_kleene(mask, _filter_mask(b, f))
+                b = b.filter(pc.fill_null(mask, False))
+                if b.num_rows == 0:
+                    continue
+            yield b
 
 
 class ArrowIpcStreamReader(DataSourceStreamReader):
