@@ -65,11 +65,16 @@ def _with_part(df: DataFrame, key: Column, quantiles: list[float], name: str) ->
                    handleInvalid="keep")
     j = F.col("__bd").cast("int")                   # 0 .. len(distinct), or len+1 for NaN
     base = F.element_at(F.lit(prefix), j + 1)       # part of a key that is no split point
-    at = F.element_at(F.lit(distinct), j)           # split point just below (j >= 1)
-    m = F.element_at(F.lit(counts), j)
-    hot = (j >= 1) & (j <= len(distinct)) & (F.col("__kd") == at) & (m > 1)
-    spread = F.element_at(F.lit(prefix), j) + 1 + F.pmod(F.col("__tie"), m)
-    part = F.when(hot, spread).otherwise(base)
+    if max(counts) > 1:
+        at = F.element_at(F.lit(distinct), j)       # split point just below (j >= 1)
+        m = F.element_at(F.lit(counts), j)
+        hot = (j >= 1) & (j <= len(distinct)) & (F.col("__kd") == at) & (m > 1)
+        spread = F.element_at(F.lit(prefix), j) + 1 + F.pmod(F.col("__tie"), m)
+        part = F.when(hot, spread).otherwise(base)
+    else:
+        # No hot key: the part depends on the key alone, so counting parts
+        # scans the key column only.
+        part = base
     return (b.transform(df.withColumn("__kd", key))
             .withColumn(name, F.coalesce(part.cast("int"), F.lit(acc + 1)))
             .drop("__kd", "__bd"))
