@@ -96,16 +96,25 @@ def columns_equal(left: DataFrame, right: DataFrame, key: str, column: str) -> D
     l = left.select(F.col(key).alias("__k"), F.lit(1).alias("__side"), F.col(column).alias("__v"))
     r = right.select(F.col(key).alias("__k"), F.lit(2).alias("__side"), F.col(column).alias("__v"))
     side = F.col("__side")
+    fixed = isinstance(left.schema[column].dataType, (T.NumericType, T.BooleanType, T.DateType,
+                                                      T.TimestampType, T.TimestampNTZType))
+    if fixed:
+        # At most one row per side and key: max() is that row's value (or
+        # null), and fixed-width buffers keep the aggregate hash-based.
+        lv = F.max(F.when(side == 1, F.col("__v")))
+        rv = F.max(F.when(side == 2, F.col("__v")))
+    else:
+        lv = F.first(F.when(side == 1, F.col("__v")), ignorenulls=True)
+        rv = F.first(F.when(side == 2, F.col("__v")), ignorenulls=True)
     per_key = l.unionByName(r).groupBy("__k").agg(
         F.count_if(side == 1).alias("__nl"), F.count_if(side == 2).alias("__nr"),
-        F.first(F.when(side == 1, F.struct(F.col("__v").alias("v"))), ignorenulls=True).alias("__l"),
-        F.first(F.when(side == 2, F.struct(F.col("__v").alias("v"))), ignorenulls=True).alias("__r"))
+        lv.alias("__l"), rv.alias("__r"))
     checked = per_key.withColumn("__nl", F.when(
         (F.col("__nl") > 1) | (F.col("__nr") > 1),
         F.raise_error(F.concat(F.lit(f"key {key} repeats: "), F.col("__k").cast("string")))
     ).otherwise(F.col("__nl")))
     both = (F.col("__nl") == 1) & (F.col("__nr") == 1)
-    same = F.col("__l.v").eqNullSafe(F.col("__r.v"))
+    same = F.col("__l").eqNullSafe(F.col("__r"))
     return checked.agg(
         F.count_if(both).alias("matched"),
         F.count_if(both & same).alias("equal"),
