@@ -83,17 +83,25 @@ def read_delimited(spark: SparkSession, path: str, *, names: list[str] | None =
                    escape: str | None = None, null_value: str | None = None,
                    date_format: str | None = None, timestamp_format: str | None = TIMESTAMP_TEXT,
                    mode: str = "PERMISSIVE", multiline: bool | None = None,
-                   partitions: int | None = None, extra: dict | None = None) -> DataFrame:
+                   partitions: int | None = None, extra: dict | None = None,
+                   corrupt_column: str | None = None) -> DataFrame:
     """Read delimited text.
 
     With ``schema`` the types are taken as given (no inference pass). With
     ``infer=True`` Spark infers types in an extra pass over the input; the
     result is widened to 64-bit integers and wall-clock timestamps, and the
-    caller's ``names`` replace the generated ``_c0 ...``.
+    caller's ``names`` replace the generated ``_c0 ...``. ``mode`` decides
+    what a bad row does: ``PERMISSIVE`` (nulls; with ``corrupt_column`` the
+    raw line is kept there), ``DROPMALFORMED`` or ``FAILFAST``.
     """
     r = _reader(spark, sep=sep, quote=quote, escape=escape, null_value=null_value,
                 date_format=date_format, timestamp_format=timestamp_format,
                 header=header, mode=mode, multiline=multiline, extra=extra)
+    if corrupt_column is not None:
+        if schema is None:
+            raise ValueError("corrupt_column needs an explicit schema")
+        r = r.option("columnNameOfCorruptRecord", corrupt_column)
+        schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType(), True)])
     if schema is not None:
         df = r.schema(schema).csv(path)
     elif infer:

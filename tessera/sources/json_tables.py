@@ -183,10 +183,16 @@ def read_documents_inferred(spark: SparkSession, path: str, names: list[str] | N
 
 
 def read_documents_typed(spark: SparkSession, path: str, schema: T.StructType,
-                         mode: str = "FAILFAST", multiline: bool = True) -> DataFrame:
-    """Read JSON files straight into a record type."""
-    return (spark.read.schema(schema).options(**_opts(mode))
-            .option("multiLine", str(multiline).lower()).json(path))
+                         mode: str = "FAILFAST", multiline: bool = True,
+                         corrupt_column: str | None = None) -> DataFrame:
+    """Read JSON files straight into a record type. ``FAILFAST`` (default)
+    raises on a value of the wrong type; ``PERMISSIVE`` with
+    ``corrupt_column`` keeps the raw text of bad records there."""
+    r = spark.read.options(**_opts(mode)).option("multiLine", str(multiline).lower())
+    if corrupt_column is not None:
+        r = r.option("columnNameOfCorruptRecord", corrupt_column)
+        schema = T.StructType([*schema.fields, T.StructField(corrupt_column, T.StringType(), True)])
+    return r.schema(schema).json(path)
 
 
 def layout_sizes(df: DataFrame, order_by: str, batch: str = "batch") -> DataFrame:

@@ -130,3 +130,10 @@ def test_required_fields(spark, tmp_dir):
         check_required(df, PERSON).collect()
     ok = check_required(df.where(F.col("id") == 2), PERSON).collect()
     assert len(ok) == 1 and ok[0]["id"] == 2
+
+
+def test_corrupt_rows_kept_when_asked(spark, tmp_dir):
+    path = _write(f"{tmp_dir}/bad/bad.csv", "1,a,2.5\n2,b,xx\n3,c\n4,d,1.0,9\n")
+    df = delimited.read_delimited(spark, path, schema=BAD_SCHEMA, corrupt_column="_bad").cache()
+    bad = {r["id"]: r["_bad"] for r in df.collect()}
+    assert bad[1] is None and bad[2] == "2,b,xx" and bad[3] == "3,c"

@@ -113,3 +113,17 @@ def test_layout_sizes(spark):
     b = batches.fixed_size_batches(p, "id", 500)
     s = {r["layout"]: r["bytes"] for r in jt.layout_sizes(b, "id").collect()}
     assert s["rows"] > s["columns"] > 0     # keys repeat per row in the rows layout
+
+
+def test_json_files_corrupt_column(spark, tmp_dir):
+    from pyspark.sql import types as T
+    import os
+    os.makedirs(f"{tmp_dir}/j", exist_ok=True)
+    open(f"{tmp_dir}/j/a.json", "w").write('{"id": 1}\n{"id": "x"}\n')
+    s = T.StructType([T.StructField("id", T.LongType())])
+    with pytest.raises(Exception):
+        jt.read_documents_typed(spark, f"{tmp_dir}/j", s, multiline=False).collect()
+    df = jt.read_documents_typed(spark, f"{tmp_dir}/j", s, mode="PERMISSIVE", multiline=False,
+                                 corrupt_column="_bad").cache()
+    rows = sorted(df.collect(), key=lambda r: str(r["id"]))
+    assert rows[0]["id"] == 1 and rows[1]["id"] is None and rows[1]["_bad"] == '{"id": "x"}'
