@@ -385,8 +385,8 @@ def json_columns_write(spark, sf_dir):
 def json_pretty(spark, sf_dir):
     """K9: indented JSON documents, decoded back."""
     docs = json_tables.rows_documents(_batched(spark, sf_dir), "id", pretty=True)
-    path = json_tables.write_documents(docs, scratch_path(spark, "json-pretty"))
-    return json_tables.read_documents_typed(spark, path, PERSON).select(*PERSON_COLUMNS)
+    path = json_tables.write_documents(docs, scratch_path(spark, "json-pretty"), one_per_file=True)
+    return json_tables.read_documents_typed(spark, path, PERSON, multiline=True).select(*PERSON_COLUMNS)
 
 
 @query("json_layout_size")

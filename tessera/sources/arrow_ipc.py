@@ -127,11 +127,6 @@ def list_data_files(path: str) -> list[tuple[str, int]]:
     return sorted(out)
 
 
-def _is_file_flavor(fs: pafs.FileSystem, p: str) -> bool:
-    with fs.open_input_file(p) as f:
-        return f.read(6) == _MAGIC
-
-
 @contextmanager
 def open_reader(fs: pafs.FileSystem, p: str):
     """A reader for either flavour, as (kind, reader); the file is closed on exit."""
@@ -387,18 +382,33 @@ class ArrowIpcReader(DataSourceReader):
 
     def partitions(self):
         """One split per file; large random-access files are split by batch
-        range (only their footers are read here, never data)."""
+        range. Only their footers are read here, never data, and in
+        parallel: planning many large files on object storage stays fast."""
         fs, _ = filesystem(self.root)
+        files = list_data_files(self.root)
+        large = [p for p, size in files if self.content == "rows" and size > self.split_bytes]
+
+        def batch_count(p: str) -> int | None:
+            with fs.open_input_file(p) as f:
+                if f.read(6) != _MAGIC:
+                    return None                   # stream flavour: read whole
+                f.seek(0)
+                return pa.ipc.open_file(f).num_record_batches
+
+        counts: dict[str, int | None] = {}
+        if large:
+            from concurrent.futures import ThreadPoolExecutor
+            with ThreadPoolExecutor(max_workers=min(32, len(large))) as pool:
+                counts = dict(zip(large, pool.map(batch_count, large)))
         out = []
-        for p, size in list_data_files(self.root):
-            if self.content == "rows" and size > self.split_bytes and _is_file_flavor(fs, p):
-                with fs.open_input_file(p) as f:
-                    n = pa.ipc.open_file(f).num_record_batches
-                step = max(1, self.batches_per_split)
+        step = max(1, self.batches_per_split)
+        for p, _ in files:
+            n = counts.get(p)
+            if n is None:
+                out.append(_Split(p, None, None))
+            else:
                 for lo in range(0, n, step):
                     out.append(_Split(p, lo, min(n, lo + step)))
-            else:
-                out.append(_Split(p, None, None))
         return out or [_Split("", None, None)]
 
     def read(self, partition: _Split):

@@ -165,15 +165,24 @@ def read_auto(docs: DataFrame, text: str, schema: T.StructType, mode: str = "FAI
 
 
 def write_documents(docs: DataFrame, path: str, text: str = "json", batch: str = "batch",
-                    mode: str = "overwrite") -> str:
-    """One file per document (``batch=<n>/part-*.txt``), as multi-line JSON
-    readers expect a single value per file."""
-    docs.select(batch, text).write.mode(mode).partitionBy(batch).text(path)
+                    mode: str = "overwrite", one_per_file: bool = False) -> str:
+    """Write documents as text.
+
+    By default one document per line in ordinary text files: Spark's JSON
+    reader turns a top-level array on a line into its rows, so the files
+    stay splittable and any number of documents fit in a file. Indented
+    (multi-line) documents need ``one_per_file=True``: one file per document
+    (``batch=<n>/part-*.txt``), read back with ``multiline=True``.
+    """
+    if one_per_file:
+        docs.select(batch, text).write.mode(mode).partitionBy(batch).text(path)
+    else:
+        docs.select(text).write.mode(mode).text(path)
     return path
 
 
 def read_documents_inferred(spark: SparkSession, path: str, names: list[str] | None = None,
-                            multiline: bool = True) -> DataFrame:
+                            multiline: bool = False) -> DataFrame:
     """Read JSON files with inferred types: numbers and strings are typed,
     dates stay text. Spark sorts inferred names, so the caller's order is
     restored."""
@@ -183,7 +192,7 @@ def read_documents_inferred(spark: SparkSession, path: str, names: list[str] | N
 
 
 def read_documents_typed(spark: SparkSession, path: str, schema: T.StructType,
-                         mode: str = "FAILFAST", multiline: bool = True,
+                         mode: str = "FAILFAST", multiline: bool = False,
                          corrupt_column: str | None = None) -> DataFrame:
     """Read JSON files straight into a record type. ``FAILFAST`` (default)
     raises on a value of the wrong type; ``PERMISSIVE`` with

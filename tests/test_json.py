@@ -127,3 +127,14 @@ def test_json_files_corrupt_column(spark, tmp_dir):
                                  corrupt_column="_bad").cache()
     rows = sorted(df.collect(), key=lambda r: str(r["id"]))
     assert rows[0]["id"] == 1 and rows[1]["id"] is None and rows[1]["_bad"] == '{"id": "x"}'
+
+
+def test_pretty_documents_one_per_file(spark, tmp_dir):
+    import glob
+    p = people(spark, SF)
+    b = batches.fixed_size_batches(p, "id", 500)
+    path = jt.write_documents(jt.rows_documents(b, "id", pretty=True), f"{tmp_dir}/pretty",
+                              one_per_file=True)
+    assert len(glob.glob(f"{path}/batch=*/*.txt")) == 3
+    back = jt.read_documents_typed(spark, path, PERSON, multiline=True).select(*PERSON_COLUMNS)
+    assert _same(back, p)
