@@ -109,7 +109,7 @@ def _round(c, name):
 SELECT_ALL = "SELECT * FROM people"
 TEXT_PEOPLE = ("SELECT CAST(id AS VARCHAR) AS id, Fname, Lname, CAST(Salary AS VARCHAR) AS Salary, "
                "{wage} AS Wage, CAST(StartDate AS VARCHAR) AS StartDate, "
-               "strftime(TermDate, '%Y-%m-%d %H:%M:%S') AS TermDate FROM people")
+               "strftime(TermDate, '%Y-%m-%d %H:%M:%S.%f') AS TermDate FROM people")
 BATCH_OF = "(row_number() OVER (ORDER BY id) - 1) // {n}".format(n=BATCH_ROWS)
 
 
@@ -274,7 +274,7 @@ def json_read_auto(spark, sf_dir):
 
 @query("json_read_inferred",
        "SELECT id, Fname, Lname, Salary, Wage, CAST(StartDate AS VARCHAR) AS StartDate, "
-       "strftime(TermDate, '%Y-%m-%d %H:%M:%S') AS TermDate FROM people")
+       "strftime(TermDate, '%Y-%m-%d %H:%M:%S.%f') AS TermDate FROM people")
 def json_read_inferred(spark, sf_dir):
     """JSON read with inferred types: dates stay text."""
     return _json_inferred(spark, sf_dir)
@@ -460,7 +460,7 @@ def schema_types(spark, sf_dir):
 
 @query("replace_column",
        "SELECT id, Fname, Lname, Salary, Wage, StartDate, "
-       "strftime(TermDate, '%Y-%m-%d %H:%M:%S') AS TermDate FROM people")
+       "strftime(TermDate, '%Y-%m-%d %H:%M:%S.%f') AS TermDate FROM people")
 def replace_column(spark, sf_dir):
     """P5: a text date column replaced by its parsed value, in place."""
     df = _json_inferred(spark, sf_dir)

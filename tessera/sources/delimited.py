@@ -24,7 +24,8 @@ from ..schemas import ddl, widen_inferred
 
 # Text forms used for zone-less timestamps and dates, both ways.
 TIMESTAMP_TEXT = "yyyy-MM-dd HH:mm:ss[.SSSSSS]"
-TIMESTAMP_TEXT_OUT = "yyyy-MM-dd HH:mm:ss"
+# Six fraction digits: Spark's precision, so text round trips lose nothing.
+TIMESTAMP_TEXT_OUT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 DATE_TEXT = "yyyy-MM-dd"
 
 
@@ -61,8 +62,11 @@ def write_delimited(df: DataFrame, path: str, *, sep: str = ",", header: bool =
     reads it). ``files`` sets the number of output files; by default each
     write task writes one, which keeps the write free of a shuffle."""
     out = df.repartition(files) if files else df
-    w = out.write.mode(mode).options(**_opts(sep, quote, escape, null_value, date_format,
-                                             timestamp_format, header, extra=extra))
+    opts = _opts(sep, quote, escape, null_value, date_format, timestamp_format, header, extra=extra)
+    # Spark's writer trims fields by default; text must come back unchanged.
+    opts.setdefault("ignoreLeadingWhiteSpace", "false")
+    opts.setdefault("ignoreTrailingWhiteSpace", "false")
+    w = out.write.mode(mode).options(**opts)
     if compression:
         w = w.option("compression", compression)
     w.csv(path)

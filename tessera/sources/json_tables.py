@@ -23,7 +23,8 @@ from pyspark.sql import types as T
 from ..schemas import nullable
 
 # Text forms of dates and zone-less timestamps inside JSON.
-TIMESTAMP_TEXT_OUT = "yyyy-MM-dd HH:mm:ss"
+# Six fraction digits: Spark's precision (its default keeps milliseconds only).
+TIMESTAMP_TEXT_OUT = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 TIMESTAMP_TEXT_IN = "yyyy-MM-dd[ HH:mm:ss[.SSSSSS]][['T'HH:mm:ss[.SSSSSS]]]"
 WRITE_OPTIONS = {"ignoreNullFields": "false", "timestampNTZFormat": TIMESTAMP_TEXT_OUT,
                  "dateFormat": "yyyy-MM-dd"}

@@ -93,7 +93,7 @@ def test_written_text_is_real_gzip_delimited(spark, tmp_dir):
     lines = [ln for f in files for ln in gzip.open(f, "rt").read().splitlines()]
     assert len(lines) == 1500
     term = [ln.split(",")[6] for ln in lines if ln.split(",")[6]]
-    assert term and all(re.fullmatch(r"\d{4}-\d\d-\d\d \d\d:\d\d:01", t) for t in term)
+    assert term and all(re.fullmatch(r"\d{4}-\d\d-\d\d \d\d:\d\d:01\.000000", t) for t in term)
     first = [ln for ln in lines if ln.startswith("1,")][0]
     assert first.split(",")[4] == ""                            # missing Wage is an empty field
     back = delimited.read_delimited(spark, out, schema=PERSON)
