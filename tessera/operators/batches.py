@@ -80,19 +80,23 @@ def _with_part(df: DataFrame, key: Column, quantiles: list[float], name: str) ->
             .drop("__kd", "__bd"))
 
 
-def row_numbers(df: DataFrame, order_by: str, name: str = "rn", buckets: int | None = None,
-                relative_error: float | None = None) -> DataFrame:
+def row_numbers(df: DataFrame, order_by: str | list[str], name: str = "rn",
+                buckets: int | None = None, relative_error: float | None = None) -> DataFrame:
     """Add ``name``: 0-based position of each row in ``order_by`` order.
 
     Ties in ``order_by`` are broken by a hash of the whole row, the same on
-    every retry. Numeric, date and timestamp keys use quantile parts (no
-    checkpoint); other keys fall back to a range partition cut by a reliable
-    checkpoint.
+    every retry. A single numeric, date or timestamp key uses quantile parts
+    (no checkpoint); other keys, and several keys, fall back to a range
+    partition cut by a reliable checkpoint.
     """
     spark = df.sparkSession
     n = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    if isinstance(order_by, (list, tuple)):
+        if len(order_by) > 1:
+            return _row_numbers_checkpointed(df, list(order_by), name, n)
+        order_by = order_by[0]
     if not isinstance(df.schema[order_by].dataType, _NUMERIC):
-        return _row_numbers_checkpointed(df, order_by, name, n)
+        return _row_numbers_checkpointed(df, [order_by], name, n)
     key = _key_as_double(df, order_by)
     eps = relative_error or min(0.001, 1.0 / (10.0 * n))
     probs = [i / n for i in range(1, n)]
@@ -114,9 +118,13 @@ def row_numbers(df: DataFrame, order_by: str, name: str = "rn", buckets: int | N
             .drop("__part", "__off", "__local", "__tie"))
 
 
-def _row_numbers_checkpointed(df: DataFrame, order_by: str, name: str, n: int) -> DataFrame:
-    order = F.col(order_by).asc_nulls_last()
-    ranged = df.repartitionByRange(n, order).sortWithinPartitions(order)
+def _row_numbers_checkpointed(df: DataFrame, order_by: list[str], name: str, n: int) -> DataFrame:
+    tie = F.xxhash64(*[F.col(c) for c in df.columns])
+    order = [F.col(c).asc_nulls_last() for c in order_by]
+    # The range covers the whole sort order (keys, then the row hash), so a
+    # hot leading key is still cut into several ranges.
+    ranged = (df.withColumn("__tie", tie).repartitionByRange(n, *order, F.col("__tie"))
+              .sortWithinPartitions(*order, F.col("__tie")).drop("__tie"))
     # Reliable checkpoint (in spark.checkpoint.dir): counts and numbering must
     # see the same rows in the same partitions, even after executor loss.
     stable = ranged.checkpoint(eager=True)

@@ -272,6 +272,26 @@ def json_read_auto(spark, sf_dir):
     return json_tables.read_auto(_mixed_documents(spark, sf_dir), "json", PERSON)
 
 
+# Rows per per-key document: conversations have up to 8 turns, so long ones
+# span several documents.
+CONV_DOC_ROWS = 4
+
+
+@query("json_documents_per_key", "SELECT conv_id, turn, role, text FROM conversations")
+def json_documents_per_key(spark, sf_dir):
+    """K7/K8/S18 per key: JSON documents per conversation (at most 4 turns
+    each, so no key makes an unbounded document), even documents in the rows
+    layout and odd ones in the columns layout, read back through one entry
+    point. The text holds line breaks and non-ASCII letters."""
+    conv = table(spark, sf_dir, "conversations")
+    tagged = json_tables.key_batches(conv, "conv_id", "turn", CONV_DOC_ROWS)
+    keys = ["conv_id", "doc"]
+    r = json_tables.rows_documents(tagged, "turn", batch=keys, columns=conv.columns)
+    c = json_tables.columns_documents(tagged, "turn", batch=keys, columns=conv.columns)
+    docs = r.where(F.col("doc") % 2 == 0).unionByName(c.where(F.col("doc") % 2 == 1))
+    return json_tables.read_auto(docs, "json", conv.schema)
+
+
 @query("json_read_inferred",
        "SELECT id, Fname, Lname, Salary, Wage, CAST(StartDate AS VARCHAR) AS StartDate, "
        "strftime(TermDate, '%Y-%m-%d %H:%M:%S.%f') AS TermDate FROM people")
@@ -395,6 +415,23 @@ def json_layout_size(spark, sf_dir):
     return json_tables.layout_sizes(_batched(spark, sf_dir), "id")
 
 
+@query("arrow_list_column",
+       "SELECT vec_id, label, CAST(len(embedding) AS BIGINT) AS dims, "
+       "round(list_reduce(CAST(embedding AS DOUBLE[]), lambda a, x: a + x), 6) AS total "
+       "FROM embeddings")
+def arrow_list_column(spark, sf_dir):
+    """K1/S10 with a list column: embedding vectors (array<float>) through
+    Arrow IPC and back; each vector's length and sequential sum compared."""
+    emb = table(spark, sf_dir, "embeddings")
+    path = scratch_path(spark, "arrow-list")
+    emb.write.format(ARROW).mode("overwrite").option("batch", "100").save(path)
+    back = spark.read.format(ARROW).load(path)
+    total = F.aggregate(F.transform("embedding", lambda x: x.cast("double")), F.lit(0.0),
+                        lambda acc, x: acc + x)
+    return back.select("vec_id", "label", F.size("embedding").cast("bigint").alias("dims"),
+                       _round(total, "total"))
+
+
 @query("arrow_struct_write", SELECT_ALL)
 def arrow_struct_write(spark, sf_dir):
     """A column of records written to Arrow as a generic struct."""

@@ -37,14 +37,15 @@ def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _records(df: DataFrame, batch: str, order_by: str, columns: list[str]) -> DataFrame:
-    """(batch, records): each batch's rows as structs sorted by ``order_by``.
+def _records(df: DataFrame, batch: str | list[str], order_by: str, columns: list[str]) -> DataFrame:
+    """(batch..., records): each batch's rows as structs sorted by ``order_by``.
 
     ``array_sort`` compares struct fields left to right, so the key goes first
     for sorting; the caller's column order is restored by the writers.
     """
     fields = [order_by] + [c for c in columns if c != order_by]
-    return df.groupBy(batch).agg(
+    keys = [batch] if isinstance(batch, str) else list(batch)
+    return df.groupBy(*keys).agg(
         F.array_sort(F.collect_list(F.struct(*fields))).alias("__recs"))
 
 
@@ -53,8 +54,9 @@ def _field(name: str):
     return lambda r: r[name]
 
 
-def _columns_of(df: DataFrame, batch: str, columns: list[str] | None) -> list[str]:
-    return columns or [c for c in df.columns if c != batch]
+def _columns_of(df: DataFrame, batch: str | list[str], columns: list[str] | None) -> list[str]:
+    keys = [batch] if isinstance(batch, str) else list(batch)
+    return columns or [c for c in df.columns if c not in keys]
 
 
 def rows_documents(df: DataFrame, order_by: str, batch: str = "batch",
@@ -65,7 +67,8 @@ def rows_documents(df: DataFrame, order_by: str, batch: str = "batch",
     recs = _records(df, batch, order_by, cols)
     ordered = F.transform("__recs", lambda r: F.struct(*[r[c].alias(c) for c in cols]))
     opts = {**WRITE_OPTIONS, **({"pretty": "true"} if pretty else {})}
-    return recs.select(batch, F.to_json(ordered, opts).alias(name))
+    keys = [batch] if isinstance(batch, str) else list(batch)
+    return recs.select(*keys, F.to_json(ordered, opts).alias(name))
 
 
 def columns_documents(df: DataFrame, order_by: str, batch: str = "batch",
@@ -77,7 +80,31 @@ def columns_documents(df: DataFrame, order_by: str, batch: str = "batch",
     recs = _records(df, batch, order_by, cols)
     obj = F.struct(*[F.transform("__recs", _field(c)).alias(c) for c in cols])
     opts = {**WRITE_OPTIONS, **({"pretty": "true"} if pretty else {})}
-    return recs.select(batch, F.to_json(obj, opts).alias(name))
+    keys = [batch] if isinstance(batch, str) else list(batch)
+    return recs.select(*keys, F.to_json(obj, opts).alias(name))
+
+
+def key_batches(df: DataFrame, key: str, order_by: str, max_rows: int,
+                name: str = "doc") -> DataFrame:
+    """Tag rows for documents per key: a document holds the rows of one key
+    within one run of ``max_rows`` consecutive rows in (key, order) order.
+
+    A key with many rows spans several documents, so no document (and no
+    task building one) outgrows ``max_rows``, however skewed the keys.
+    """
+    from ..operators.batches import row_numbers
+    return (row_numbers(df, [key, order_by], "__rn")
+            .withColumn(name, F.expr(f"__rn div {int(max_rows)}").cast("bigint"))
+            .drop("__rn"))
+
+
+def key_documents(df: DataFrame, key: str, order_by: str, max_rows: int,
+                  layout: str = ROWS, pretty: bool = False, name: str = "json") -> DataFrame:
+    """Documents per key, at most ``max_rows`` rows each: (key, doc, json).
+    The key stays in every record, so decoded rows are complete."""
+    tagged = key_batches(df, key, order_by, max_rows)
+    make = rows_documents if layout == ROWS else columns_documents
+    return make(tagged, order_by, batch=[key, "doc"], columns=df.columns, pretty=pretty, name=name)
 
 
 def pretty(text: Column | str, schema: T.DataType) -> Column:

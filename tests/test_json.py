@@ -138,3 +138,19 @@ def test_pretty_documents_one_per_file(spark, tmp_dir):
     assert len(glob.glob(f"{path}/batch=*/*.txt")) == 3
     back = jt.read_documents_typed(spark, path, PERSON, multiline=True).select(*PERSON_COLUMNS)
     assert _same(back, p)
+
+
+def test_key_documents_bounded_under_a_hot_key(spark):
+    from pyspark.sql import types as T
+    rows = [(0 if i % 3 == 0 else i, i, f"t\\n{i} é") for i in range(900)]
+    df = spark.createDataFrame(rows, "k bigint, o bigint, txt string").repartition(4)
+    docs = jt.key_documents(df, "k", "o", 50)
+    sizes = [len(json.loads(d["json"])) for d in docs.collect()]
+    assert max(sizes) <= 50 and sum(sizes) == 900
+    hot = docs.where("k = 0").count()
+    assert hot >= 300 // 50
+    s = T.StructType([T.StructField("k", T.LongType()), T.StructField("o", T.LongType()),
+                      T.StructField("txt", T.StringType())])
+    assert _same(jt.read_rows(docs, "json", s), df)
+    cdocs = jt.key_documents(df, "k", "o", 50, layout=jt.COLUMNS)
+    assert _same(jt.read_columns(cdocs, "json", s), df)
