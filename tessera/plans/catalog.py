@@ -307,6 +307,17 @@ def json_read_typed(spark, sf_dir):
     return json_tables.read_rows(docs, "json", PERSON, mode="FAILFAST")
 
 
+@query("json_decode_column",
+       "SELECT event_id, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events")
+def json_decode_column(spark, sf_dir):
+    """X5/S20 on a real column: the events' JSON ``props`` objects decoded to
+    a typed record (FAILFAST: a value of the wrong type fails the job)."""
+    ev = table(spark, sf_dir, "events")
+    props = T.StructType([T.StructField("k", T.LongType(), True)])
+    rec = F.from_json("props", props, {"mode": "FAILFAST"})
+    return ev.select("event_id", rec.getField("k").alias("k"))
+
+
 _REQ_ROWS = " UNION ALL ".join(
     f"SELECT '{f.name}' AS field, {str(not f.nullable).lower()} AS required, "
     f"count(*) FILTER (WHERE {f.name} IS NULL) AS missing, "
@@ -754,6 +765,19 @@ def stream_mean_csv(spark, sf_dir):
     return _mean_out(out)
 
 
+@query("stream_rows_csv", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
+def stream_rows_csv(spark, sf_dir):
+    """T2/T3 on the events table: delimited files (quoted JSON text,
+    microsecond timestamps) streamed one file per micro-batch into a Parquet
+    sink; every row arrives exactly once."""
+    ev = table(spark, sf_dir, "events")
+    src = scratch_path(spark, "stream-events-src")
+    delimited.write_delimited(ev, src, files=5, quote='"', escape='"')
+    rows = streams.csv_stream(spark, src, ev.schema, max_files=1, quote='"', escape='"')
+    return streams.drain_to_parquet(rows, scratch_path(spark, "stream-events-out"),
+                                    scratch_path(spark, "stream-events-ckpt"))
+
+
 @query("stream_append_arrow", SELECT_ALL)
 def stream_append_arrow(spark, sf_dir):
     """T4: a stream written as Arrow batches, new batches appended."""

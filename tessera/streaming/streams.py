@@ -47,14 +47,20 @@ def run_until_drained(writer, path: str | None = None, timeout_s: int = 900):
 
 
 def csv_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int = 1,
-               sep: str = ",", timestamp_format: str = TIMESTAMP_TEXT) -> DataFrame:
+               sep: str = ",", timestamp_format: str = TIMESTAMP_TEXT, quote: str | None = None,
+               escape: str | None = None, mode: str = "FAILFAST") -> DataFrame:
     """Delimited files as a stream, ``max_files`` files per micro-batch."""
-    return (spark.readStream.schema(schema)
-            .option("maxFilesPerTrigger", max_files)
-            .option("sep", sep)
-            .option("timestampNTZFormat", timestamp_format)
-            .option("timestampFormat", timestamp_format)
-            .csv(path))
+    r = (spark.readStream.schema(schema)
+         .option("maxFilesPerTrigger", max_files)
+         .option("sep", sep)
+         .option("mode", mode)
+         .option("timestampNTZFormat", timestamp_format)
+         .option("timestampFormat", timestamp_format))
+    if quote is not None:
+        r = r.option("quote", quote)
+    if escape is not None:
+        r = r.option("escape", escape)
+    return r.csv(path)
 
 
 def arrow_file_stream(spark: SparkSession, path: str, max_files: int = 1,
