@@ -95,7 +95,7 @@ def main() -> None:
                                   "Wage"),
         scratch_path(spark, "bench-stream-out"), scratch_path(spark, "bench-stream-ckpt")).collect())
     q["stream_mean_arrow"] = timed(lambda: streams.drain_aggregate(
-        streams.running_mean(batches.arrow_batch_partials(streams.arrow_stream(spark, arrow_path), "Wage")),
+        streams.rows_running_mean(streams.arrow_stream(spark, arrow_path), "Wage"),
         scratch_path(spark, "bench-astream-out"), scratch_path(spark, "bench-astream-ckpt")).collect())
     q["lineitem_csv_scan"] = timed(lambda: noop(
         delimited.read_delimited(spark, li_csv, schema=li_schema)))

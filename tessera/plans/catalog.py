@@ -748,8 +748,10 @@ def stream_mean_arrow(spark, sf_dir):
     """Running sum and count across the batches of a stream of Arrow files."""
     src = _people_arrow(spark, sf_dir, "stream-arrow-src", df=people(spark, sf_dir).repartition(4),
                         batch=str(BATCH_ROWS), maxRowsPerFile=str(2 * BATCH_ROWS))
-    parts = batches.arrow_batch_partials(streams.arrow_stream(spark, src), "Wage")
-    out = streams.drain_aggregate(streams.running_mean(parts), scratch_path(spark, "stream-arrow-out"),
+    # Spark's own aggregate: partial sums per task, running totals as state.
+    rows = streams.arrow_stream(spark, src)
+    out = streams.drain_aggregate(streams.rows_running_mean(rows, "Wage"),
+                                  scratch_path(spark, "stream-arrow-out"),
                                   scratch_path(spark, "stream-arrow-ckpt"))
     return _mean_out(out)
 

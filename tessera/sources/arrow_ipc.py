@@ -717,11 +717,52 @@ def read(spark, path: str, **options):
     return spark.read.format(FORMAT).option("types", types_option()).options(**options).load(path)
 
 
+def _planner_source(package_root: str) -> type:
+    """The class registered with Spark: a shim defined here, so cloudpickle
+    ships it by value. Spark plans Python sources (and runs streaming
+    sources) in Python processes on the driver that do not always see the
+    files shipped with ``addPyFile``; the shim puts the driver's copy of the
+    package on ``sys.path`` and hands every call to ``ArrowIpcDataSource``.
+    Readers and writers it returns run on executors, which get the package
+    shipped by ``tessera.attach``."""
+
+    class ArrowIpcSource(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return "arrow_ipc"
+
+        def _impl(self):
+            import sys
+            if package_root not in sys.path:
+                sys.path.append(package_root)
+            from tessera.sources.arrow_ipc import ArrowIpcDataSource
+            return ArrowIpcDataSource(self.options)
+
+        def schema(self):
+            return self._impl().schema()
+
+        def reader(self, schema):
+            return self._impl().reader(schema)
+
+        def writer(self, schema, overwrite):
+            return self._impl().writer(schema, overwrite)
+
+        def streamReader(self, schema):
+            return self._impl().streamReader(schema)
+
+        def streamWriter(self, schema, overwrite):
+            return self._impl().streamWriter(schema, overwrite)
+
+    return ArrowIpcSource
+
+
 def register(spark) -> None:
     """Register the source with a session (idempotent)."""
     if getattr(spark, "_tessera_arrow_registered", False):
         return
-    spark.dataSource.register(ArrowIpcDataSource)
+    import os
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    spark.dataSource.register(_planner_source(root))
     try:
         spark._tessera_arrow_registered = True
     except AttributeError:
