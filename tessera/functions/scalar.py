@@ -33,13 +33,17 @@ def parse_datetime(text: Column | str, fmt: str | None = None) -> Column:
     return F.to_timestamp_ntz(_c(text), F.lit(fmt)) if fmt else _c(text).cast("timestamp_ntz")
 
 
-def elementwise(fn: Callable, return_type: T.DataType | str, vectorized: bool = True):
+def elementwise(fn: Callable, return_type: T.DataType | str, vectorized: bool = True,
+                engine: str = "pandas"):
     """A column function from Python code.
 
-    ``vectorized=True``: ``fn`` takes and returns a pandas Series (one call
-    per Arrow batch). ``False``: ``fn`` takes one value; it is still called
-    inside Arrow batches, with nulls passed through untouched.
+    ``engine="arrow"``: ``fn`` takes and returns a ``pyarrow.Array`` (one call
+    per Arrow batch, no pandas conversion). ``"pandas"``: ``fn`` takes and
+    returns a pandas Series. ``vectorized=False``: ``fn`` takes one value; it
+    is still called inside Arrow batches, with nulls passed through.
     """
+    if engine == "arrow":
+        return F.arrow_udf(fn, return_type, F.ArrowUDFType.SCALAR)
     if vectorized:
         return F.pandas_udf(fn, return_type)
 

@@ -806,14 +806,16 @@ def typed_registry(spark, sf_dir):
     return df.select("persons.*")
 
 
-def _annual(s):
-    return s * 2080.0
+def _annual(wage):
+    import pyarrow.compute as pc
+    return pc.multiply(wage, 2080.0)
 
 
 @query("apply_function", "SELECT id, round(Wage * 2080, 6) AS annual FROM people")
 def apply_function(spark, sf_dir):
-    """A Python function applied to each element of a column (vectorised)."""
-    f = scalar.elementwise(_annual, "double")
+    """A Python function applied to each element of a column, one call
+    per Arrow batch (``arrow_udf``)."""
+    f = scalar.elementwise(_annual, "double", engine="arrow")
     p = _people(spark, sf_dir)
     return p.select("id", _round(f(F.col("Wage")), "annual"))
 

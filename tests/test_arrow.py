@@ -213,3 +213,31 @@ def test_filter_pushdown_matches_spark(spark, tmp_dir):
     q = df.where("id > 700 AND Wage > 1")
     plan = q._sc._jvm.PythonSQLUtils.explainString(q._jdf.queryExecution(), "formatted")
     assert "GreaterThan(id,700)" in plan          # pushed; the double filter stays in Spark
+
+
+def test_nested_and_other_types_roundtrip(spark, tmp_dir):
+    import decimal
+    schema = T.StructType([
+        T.StructField("id", T.IntegerType()),
+        T.StructField("m", T.MapType(T.StringType(), T.DoubleType())),
+        T.StructField("a", T.ArrayType(T.StructType([T.StructField("x", T.LongType()),
+                                                     T.StructField("y", T.StringType())]))),
+        T.StructField("dec", T.DecimalType(12, 3)),
+        T.StructField("bin", T.BinaryType()),
+        T.StructField("ts", T.TimestampType()),
+        T.StructField("f", T.FloatType()),
+        T.StructField("s", T.ShortType()),
+    ])
+    rows = [(1, {"a": 1.5, "b": None}, [(1, "p"), (None, None)], decimal.Decimal("123.456"),
+             b"\x00\x01", dt.datetime(2020, 1, 1, 12, 0, 0, 123456), 1.25, 7),
+            (2, None, None, None, None, None, None, None),
+            (3, {}, [], decimal.Decimal("-0.001"), b"", dt.datetime(1999, 12, 31, 23, 59, 59), -0.5, -3)]
+    df = spark.createDataFrame(rows, schema)
+    for flavor in ("stream", "file"):
+        path = f"{tmp_dir}/{flavor}"
+        df.write.format("arrow_ipc").mode("overwrite").option("flavor", flavor).save(path)
+        back = spark.read.format("arrow_ipc").load(path)
+        assert [f.dataType for f in back.schema.fields] == [f.dataType for f in schema.fields]
+        got = sorted(back.collect(), key=lambda r: r["id"])
+        want = sorted(df.collect(), key=lambda r: r["id"])
+        assert got == want

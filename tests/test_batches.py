@@ -114,9 +114,14 @@ def test_user_functions(spark):
     p = people(spark, SF)
     f = scalar.elementwise(lambda s: s * 2, "double")
     g = scalar.elementwise(lambda v: v * 2, "double", vectorized=False)
-    out = p.select("Wage", f("Wage").alias("a"), g("Wage").alias("b")).collect()
-    assert all((r["Wage"] is None and r["a"] is None and r["b"] is None) or
-               (r["a"] == r["Wage"] * 2 == r["b"]) for r in out)
+
+    def h(a):
+        import pyarrow.compute as pc
+        return pc.multiply(a, 2.0)
+    h = scalar.elementwise(h, "double", engine="arrow")
+    out = p.select("Wage", f("Wage").alias("a"), g("Wage").alias("b"), h("Wage").alias("c")).collect()
+    assert all((r["Wage"] is None and r["a"] is None and r["b"] is None and r["c"] is None) or
+               (r["a"] == r["Wage"] * 2 == r["b"] == r["c"]) for r in out)
     rows = scalar.map_rows(p.select("id", "Wage"), lambda r: {"id": r["id"], "w": (r["Wage"] or 0) + 1},
                            __import__("pyspark.sql.types", fromlist=["x"]).StructType.fromDDL("id bigint, w double"))
     assert rows.agg(F.sum("w")).first()[0] == pytest.approx(
