@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .. import attach
+from .. import api, attach
 from ..fixtures import people, people_sql, table
 from ..functions import folds, payloads, scalar
 from ..operators import batches, means, tables
@@ -795,15 +795,18 @@ def stream_append_arrow(spark, sf_dir):
 
 @query("typed_registry", SELECT_ALL)
 def typed_registry(spark, sf_dir):
-    """A record type registered by name, then used by a typed Arrow read
-    and a typed JSON read of the same rows."""
+    """A record type registered by name, then used by name twice: the
+    Arrow read restores it from the column's type name, and the rows it gives
+    go through JSON documents decoded with the type looked up by name."""
     employee = register_type("Employee", T.StructType(
         [T.StructField(f.name, f.dataType, f.nullable) for f in PERSON.fields]))
     path = _people_arrow(spark, sf_dir, "arrow-registry", df=_persons(people(spark, sf_dir), "Employee"))
     df = arrow_ipc.read(spark, path)
     if df.schema["persons"].dataType != employee:
         raise AssertionError("registered type not applied")
-    return df.select("persons.*")
+    flat = df.select("persons.*")
+    docs = json_tables.rows_documents(batches.fixed_size_batches(flat, "id", BATCH_ROWS), "id")
+    return api.json_read(docs, "json", "Employee")
 
 
 def _annual(wage):
