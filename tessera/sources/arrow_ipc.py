@@ -540,7 +540,6 @@ class _WriterBase:
         if _opt(options, "metadata"):
             self.table_meta.update({str(k): str(v) for k, v in json.loads(_opt(options, "metadata")).items()})
         out_fields = [f for f in schema.fields if f.name != self.batch_col]
-        self.in_names = [f.name for f in schema.fields]
         self.out_names = [f.name for f in out_fields]
         # The schema handed to the writer carries column metadata (type
         # names, colmetadata); incoming batches do not, so it is applied here.

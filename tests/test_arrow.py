@@ -151,8 +151,11 @@ def test_metadata_table_and_columns(spark, tmp_dir):
     rows = {(r["scope"], r["key"]): r["value"] for r in
             spark.read.format("arrow_ipc").option("content", "metadata").load(tmp_dir).collect()}
     assert rows == {("", "Source"): "orders", ("Wage", "unit"): "per hour"}
-    # Column metadata also comes back on the schema of a normal read.
+    # Column metadata also comes back on the schema of a normal read, and
+    # survives Parquet.
     assert spark.read.format("arrow_ipc").load(tmp_dir).schema["Wage"].metadata == {"unit": "per hour"}
+    p.write.mode("overwrite").parquet(f"{tmp_dir}-pq")
+    assert spark.read.parquet(f"{tmp_dir}-pq").schema["Wage"].metadata == {"unit": "per hour"}
 
 
 def test_column_projection_option(spark, tmp_dir):
