@@ -154,10 +154,6 @@ def coalesce_zero(column: str, zero=0.0) -> Column:
     return F.coalesce(F.col(column), F.lit(zero))
 
 
-def conditional(cond: Column, then: Column, otherwise: Column) -> Column:
-    return F.when(cond, then).otherwise(otherwise)
-
-
 def parse_if_present(column: str, to: T.DataType | str) -> Column:
     """``missing`` stays missing, anything else is parsed (ANSI: bad text fails)."""
     return F.when(F.col(column).isNull(), F.lit(None).cast(to)).otherwise(F.col(column).cast(to))

@@ -84,11 +84,6 @@ def widen_inferred(df: DataFrame) -> DataFrame:
     return df.withColumns(out) if out else df
 
 
-def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
-    """Select ``schema``'s fields in its order, cast to its types."""
-    return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
-
-
 def required_violation(schema: T.StructType, prefix: str = "") -> Column:
     """Boolean column: a required field of ``schema`` is missing."""
     cond = F.lit(False)

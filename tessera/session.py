@@ -70,23 +70,5 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/tessera-scratch/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme so local helpers (tests) can open the path."""
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
-
-
-def is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    return int(spark.sparkContext.defaultParallelism)
-
-
 __all__ = ["build_session", "ensure_session_defaults", "checkpoint_root",
-           "scratch_path", "local_path", "is_local", "default_parallelism",
-           "SESSION_DEFAULTS"]
+           "scratch_path", "SESSION_DEFAULTS"]

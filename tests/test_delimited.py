@@ -137,3 +137,20 @@ def test_corrupt_rows_kept_when_asked(spark, tmp_dir):
     df = delimited.read_delimited(spark, path, schema=BAD_SCHEMA, corrupt_column="_bad").cache()
     bad = {r["id"]: r["_bad"] for r in df.collect()}
     assert bad[1] is None and bad[2] == "2,b,xx" and bad[3] == "3,c"
+
+
+def test_split_required_and_try_dates(spark, tmp_dir):
+    from tessera.functions import scalar
+    from tessera.schemas import split_required
+    path = _write(f"{tmp_dir}/req2/req.csv", "1,Ann,Lee,1,,,\n2,Bob,Ray,,2.0,2020-01-01,\n")
+    good, bad = split_required(delimited.read_delimited(spark, path, schema=PERSON), PERSON)
+    assert [r["id"] for r in good.collect()] == [2] and [r["id"] for r in bad.collect()] == [1]
+    d = spark.createDataFrame([("2020-02-30",), ("2021-03-04",), (None,)], "t string")
+    got = [r[0] for r in d.select(scalar.try_parse_date("t")).collect()]
+    assert got == [None, datetime_date(2021, 3, 4), None]
+    with pytest.raises(Exception):
+        d.select(scalar.parse_date("t")).collect()
+
+
+def datetime_date(y, m, d):
+    return dt.date(y, m, d)
