@@ -457,7 +457,10 @@ def arrow_named_struct(spark, sf_dir):
     return tables.struct_to_columns(spark.read.format(ARROW).load(path), "persons")
 
 
-@query("metadata_roundtrip")
+@query("metadata_roundtrip",
+       "SELECT * FROM (VALUES ('', 'source', 'orders'), ('', 'Title', 'people'), "
+       "('Wage', 'unit', 'currency per hour'), ('TermDate', 'note', 'missing while employed')) "
+       "AS t(scope, key, value)")
 def metadata_roundtrip(spark, sf_dir):
     """Table- and column-level metadata written and read back as rows."""
     p = people(spark, sf_dir).withMetadata("Wage", {"unit": "currency per hour"}) \
