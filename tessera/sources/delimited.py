@@ -88,7 +88,7 @@ def read_delimited(spark: SparkSession, path: str, *, names: list[str] | None =
                    date_format: str | None = None, timestamp_format: str | None = TIMESTAMP_TEXT,
                    mode: str = "PERMISSIVE", multiline: bool | None = None,
                    partitions: int | None = None, extra: dict | None = None,
-                   corrupt_column: str | None = None) -> DataFrame:
+                   corrupt_column: str | None = None, sample: float | None = None) -> DataFrame:
     """Read delimited text.
 
     With ``schema`` the types are taken as given (no inference pass). With
@@ -97,6 +97,11 @@ def read_delimited(spark: SparkSession, path: str, *, names: list[str] | None =
     caller's ``names`` replace the generated ``_c0 ...``. ``mode`` decides
     what a bad row does: ``PERMISSIVE`` (nulls; with ``corrupt_column`` the
     raw line is kept there), ``DROPMALFORMED`` or ``FAILFAST``.
+
+    Inference reads all of the input once more before the real read. At
+    very large scale ``sample`` (a fraction) infers from a sample instead;
+    a value the sample missed can then fail the read (``FAILFAST``) or turn
+    into a null (``PERMISSIVE``), so the full pass stays the default.
     """
     r = _reader(spark, sep=sep, quote=quote, escape=escape, null_value=null_value,
                 date_format=date_format, timestamp_format=timestamp_format,
@@ -109,6 +114,8 @@ def read_delimited(spark: SparkSession, path: str, *, names: list[str] | None =
     if schema is not None:
         df = r.schema(schema).csv(path)
     elif infer:
+        if sample is not None:
+            r = r.option("samplingRatio", str(sample))
         df = widen_inferred(_infer(spark, r, path))
     else:
         df = r.csv(path)

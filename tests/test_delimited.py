@@ -154,3 +154,11 @@ def test_split_required_and_try_dates(spark, tmp_dir):
 
 def datetime_date(y, m, d):
     return dt.date(y, m, d)
+
+
+def test_inference_from_a_sample(spark, tmp_dir):
+    from tessera.fixtures import people
+    p = people(spark, "/root/testdata/sf0.001")
+    path = delimited.write_delimited(p, f"{tmp_dir}/s", files=2)
+    df = delimited.read_delimited(spark, path, names=PERSON_COLUMNS, infer=True, sample=0.5)
+    assert dict(df.dtypes)["Wage"] == "double" and df.count() == 1500
