@@ -159,6 +159,12 @@ def partition_profile(df: DataFrame) -> DataFrame:
             .groupBy("partition").agg(F.count(F.lit(1)).alias("rows")))
 
 
+def num_partitions(df: DataFrame) -> int:
+    """How many partitions the source splits into, empty ones included
+    (planning metadata; no data is read)."""
+    return df.rdd.getNumPartitions()
+
+
 def concat_batches(*dfs: DataFrame) -> DataFrame:
     """Several batches of one schema as one table (UNION ALL by name)."""
     out = dfs[0]

@@ -181,3 +181,10 @@ def test_hot_key_is_spread_over_parts(spark):
     parts = (_with_part(df.withColumn("__tie", F.xxhash64("k", "i")), _key_as_double(df, "k"), qs, "p")
              .where("k = 500").groupBy("p").count().collect())
     assert len(parts) >= 3 and max(r["count"] for r in parts) < n_rows / 3
+
+
+def test_partition_profile_and_count(spark):
+    p = people(spark, SF).repartition(5)
+    prof = batches.partition_profile(p).collect()
+    assert batches.num_partitions(p) == 5
+    assert sum(r["rows"] for r in prof) == 1500 and len(prof) <= 5
