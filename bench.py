@@ -48,9 +48,9 @@ def main() -> None:
 
     # ---- untimed setup: the files each access path reads -------------------
     p = people(spark, sf_dir)
-    csv_path = delimited.write_delimited(p, scratch_path(spark, "bench-csv"), files=int(cpus))
+    csv_path = delimited.write_delimited(p, scratch_path(spark, "bench-csv"), min_files=int(cpus))
     arrow_path = scratch_path(spark, "bench-arrow")
-    p.repartition(int(cpus)).write.format("arrow_ipc").mode("overwrite") \
+    delimited.at_least(p, int(cpus)).write.format("arrow_ipc").mode("overwrite") \
         .option("batch", str(BATCH // 10)).save(arrow_path)
     b = batches.fixed_size_batches(p, "id", BATCH // 10)
     rows_docs = scratch_path(spark, "bench-json-rows")
@@ -58,7 +58,7 @@ def main() -> None:
     cols_docs = scratch_path(spark, "bench-json-cols")
     json_tables.columns_documents(b, "id").select("json").write.mode("overwrite").text(cols_docs)
     li = table(spark, sf_dir, "lineitem")
-    li_csv = delimited.write_delimited(li, scratch_path(spark, "bench-li-csv"), files=int(cpus))
+    li_csv = delimited.write_delimited(li, scratch_path(spark, "bench-li-csv"), min_files=int(cpus))
     li_arrow = scratch_path(spark, "bench-li-arrow")
     li.write.format("arrow_ipc").mode("overwrite").option("flavor", "file").save(li_arrow)
     li_schema = li.schema

@@ -151,7 +151,7 @@ def csv_read_text_rows(spark, sf_dir):
 def csv_chunk_stats(spark, sf_dir):
     """Split the scan into N typed chunks (N = parallelism, or 8 with
     one slot, as the reference), visit each, total the visits."""
-    path = _people_csv(spark, sf_dir, "csv-chunks", files=4)
+    path = _people_csv(spark, sf_dir, "csv-chunks", min_files=4)
     df = _read_people_csv(spark, path)
     parts = delimited.chunks(df, delimited.default_chunks(spark)).groupBy("chunk").agg(
         F.count(F.lit(1)).alias("rows"), F.count("Wage").alias("present"),
@@ -164,7 +164,7 @@ def csv_chunk_stats(spark, sf_dir):
 @query("csv_read_gzip", SELECT_ALL)
 def csv_read_gzip(spark, sf_dir):
     """Gzip input (one split per file), rows spread after the scan."""
-    path = _people_csv(spark, sf_dir, "csv-gzip", compression="gzip", files=4)
+    path = _people_csv(spark, sf_dir, "csv-gzip", compression="gzip", min_files=4)
     return delimited.read_delimited(spark, path, schema=PERSON,
                                     partitions=int(spark.sparkContext.defaultParallelism))
 
@@ -217,7 +217,7 @@ def arrow_read_batches(spark, sf_dir):
 @query("arrow_stream_read", SELECT_ALL)
 def arrow_stream_read(spark, sf_dir):
     """Arrow files as a stream, batch by batch, rows appended to a sink."""
-    src = _people_arrow(spark, sf_dir, "arrow-stream-src", df=people(spark, sf_dir).repartition(4),
+    src = _people_arrow(spark, sf_dir, "arrow-stream-src", df=delimited.at_least(people(spark, sf_dir), 4),
                         maxRowsPerFile=str(2 * BATCH_ROWS), batch=str(BATCH_ROWS))
     rows = streams.arrow_stream(spark, src)
     return streams.drain_to_parquet(rows, scratch_path(spark, "arrow-stream-out"),
@@ -663,7 +663,7 @@ def _mean_out(df: DataFrame) -> DataFrame:
 @query("mean_by_chunks", MEAN_ALL)
 def mean_by_chunks(spark, sf_dir):
     """Per-chunk sums and counts, combined, then divided."""
-    df = _read_people_csv(spark, _people_csv(spark, sf_dir, "csv-mean-chunks", files=4))
+    df = _read_people_csv(spark, _people_csv(spark, sf_dir, "csv-mean-chunks", min_files=4))
     return _mean_out(batches.combine_partials(batches.chunk_partials(df, "Wage")))
 
 
@@ -706,7 +706,7 @@ def fixed_size_batches(spark, sf_dir):
 @query("partition_profile")
 def partition_profile(spark, sf_dir):
     """B2: a source's own partitions (rows-only check)."""
-    path = _people_csv(spark, sf_dir, "csv-parts", files=4)
+    path = _people_csv(spark, sf_dir, "csv-parts", min_files=4)
     return batches.partition_profile(_read_people_csv(spark, path))
 
 
@@ -749,7 +749,7 @@ def parse_datetimes(spark, sf_dir):
 @query("stream_mean_arrow", MEAN_ALL)
 def stream_mean_arrow(spark, sf_dir):
     """Running sum and count across the batches of a stream of Arrow files."""
-    src = _people_arrow(spark, sf_dir, "stream-arrow-src", df=people(spark, sf_dir).repartition(4),
+    src = _people_arrow(spark, sf_dir, "stream-arrow-src", df=delimited.at_least(people(spark, sf_dir), 4),
                         batch=str(BATCH_ROWS), maxRowsPerFile=str(2 * BATCH_ROWS))
     # Spark's own aggregate: partial sums per task, running totals as state.
     rows = streams.arrow_stream(spark, src)
@@ -761,8 +761,10 @@ def stream_mean_arrow(spark, sf_dir):
 
 @query("stream_mean_csv", MEAN_ALL)
 def stream_mean_csv(spark, sf_dir):
-    """Running sum and count across delimited files, one file per batch."""
-    src = _people_csv(spark, sf_dir, "stream-csv-src", files=6)
+    """Running sum and count across delimited files, one file per
+    micro-batch as the reference visits one chunk at a time (the library's
+    default is one file per core and trigger)."""
+    src = _people_csv(spark, sf_dir, "stream-csv-src", min_files=6)
     rows = streams.csv_stream(spark, src, PERSON, max_files=1)
     out = streams.drain_aggregate(streams.rows_running_mean(rows, "Wage"),
                                   scratch_path(spark, "stream-csv-out"),
@@ -773,12 +775,12 @@ def stream_mean_csv(spark, sf_dir):
 @query("stream_rows_csv", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_rows_csv(spark, sf_dir):
     """T2/T3 on the events table: delimited files (quoted JSON text,
-    microsecond timestamps) streamed one file per micro-batch into a Parquet
-    sink; every row arrives exactly once."""
+    microsecond timestamps) streamed into a Parquet sink, at most one file
+    per core and micro-batch; every row arrives exactly once."""
     ev = table(spark, sf_dir, "events")
     src = scratch_path(spark, "stream-events-src")
-    delimited.write_delimited(ev, src, files=5, quote='"', escape='"')
-    rows = streams.csv_stream(spark, src, ev.schema, max_files=1, quote='"', escape='"')
+    delimited.write_delimited(ev, src, min_files=5, quote='"', escape='"')
+    rows = streams.csv_stream(spark, src, ev.schema, quote='"', escape='"')
     return streams.drain_to_parquet(rows, scratch_path(spark, "stream-events-out"),
                                     scratch_path(spark, "stream-events-ckpt"))
 
@@ -786,8 +788,8 @@ def stream_rows_csv(spark, sf_dir):
 @query("stream_append_arrow", SELECT_ALL)
 def stream_append_arrow(spark, sf_dir):
     """T4: a stream written as Arrow batches, new batches appended."""
-    src = _people_csv(spark, sf_dir, "stream-append-src", files=3)
-    rows = streams.csv_stream(spark, src, PERSON, max_files=1)
+    src = _people_csv(spark, sf_dir, "stream-append-src", min_files=3)
+    rows = streams.csv_stream(spark, src, PERSON)
     return streams.drain_to_arrow(rows, scratch_path(spark, "stream-append-out"),
                                   scratch_path(spark, "stream-append-ckpt"), batch=str(BATCH_ROWS))
 

@@ -10,8 +10,9 @@ Access paths of the reference and their Spark form:
 * text held in a column         -> ``parse_delimited_column`` (``from_csv``)
 
 Gzip input is not splittable: one file is read by one task. ``read_*`` take
-``partitions`` to spread rows after the scan; writers produce several files
-so the next reader has several splits.
+``partitions`` to spread rows after a scan that has fewer splits than that;
+writers produce one file per task (``min_files`` spreads a small table), so
+the next reader has several splits.
 """
 
 from __future__ import annotations
@@ -56,12 +57,14 @@ def write_delimited(df: DataFrame, path: str, *, sep: str = ",", header: bool =
                     quote: str | None = None, escape: str | None = None,
                     date_format: str | None = None,
                     timestamp_format: str | None = TIMESTAMP_TEXT_OUT,
-                    files: int | None = None, mode: str = "overwrite",
-                    extra: dict | None = None) -> str:
+                    files: int | None = None, min_files: int | None = None,
+                    mode: str = "overwrite", extra: dict | None = None) -> str:
     """Write ``df`` as delimited text (headerless by default, as the reference
-    reads it). ``files`` sets the number of output files; by default each
-    write task writes one, which keeps the write free of a shuffle."""
-    out = df.repartition(files) if files else df
+    reads it). By default each write task writes one file, which keeps the
+    write free of a shuffle. ``files`` forces that many files; ``min_files``
+    only spreads a table with fewer partitions than that (it never gathers a
+    large table into few files)."""
+    out = df.repartition(files) if files else at_least(df, min_files)
     opts = _opts(sep, quote, escape, null_value, date_format, timestamp_format, header, extra=extra)
     # Spark's writer trims fields by default; text must come back unchanged.
     opts.setdefault("ignoreLeadingWhiteSpace", "false")
@@ -73,12 +76,20 @@ def write_delimited(df: DataFrame, path: str, *, sep: str = ",", header: bool =
     return path
 
 
+def at_least(df: DataFrame, n: int | None) -> DataFrame:
+    """``df`` spread over ``n`` partitions if it has fewer, else unchanged."""
+    if n and df.rdd.getNumPartitions() < n:
+        return df.repartition(n)
+    return df
+
+
 def _reader(spark: SparkSession, **kw):
     return spark.read.options(**_opts(**kw))
 
 
 def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
-    return df.repartition(partitions) if partitions else df
+    # Only a scan with fewer splits than asked (a few gzip files) is spread.
+    return at_least(df, partitions)
 
 
 def read_delimited(spark: SparkSession, path: str, *, names: list[str] | None = None,

@@ -46,10 +46,13 @@ def run_until_drained(writer, path: str | None = None, timeout_s: int = 900):
     return q
 
 
-def csv_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int = 1,
+def csv_stream(spark: SparkSession, path: str, schema: T.StructType, max_files: int | None = None,
                sep: str = ",", timestamp_format: str = TIMESTAMP_TEXT, quote: str | None = None,
                escape: str | None = None, mode: str = "FAILFAST") -> DataFrame:
-    """Delimited files as a stream, ``max_files`` files per micro-batch."""
+    """Delimited files as a stream, ``max_files`` files per micro-batch: by
+    default one per core, so a trigger keeps every slot busy with one file
+    and memory stays bounded per task; 1 visits the files one at a time."""
+    max_files = max_files or int(spark.sparkContext.defaultParallelism)
     r = (spark.readStream.schema(schema)
          .option("maxFilesPerTrigger", max_files)
          .option("sep", sep)
@@ -63,9 +66,10 @@ def csv_stream(spark: SparkSession, path: str, schema: T.StructType, max_files:
     return r.csv(path)
 
 
-def arrow_file_stream(spark: SparkSession, path: str, max_files: int = 1,
+def arrow_file_stream(spark: SparkSession, path: str, max_files: int | None = None,
                       glob: str = "*.arrow*") -> DataFrame:
     """Arrow IPC files as a stream of (path, content) rows."""
+    max_files = max_files or int(spark.sparkContext.defaultParallelism)
     return (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
             .option("pathGlobFilter", glob)
             .option("maxFilesPerTrigger", max_files)
