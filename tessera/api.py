@@ -87,8 +87,8 @@ def arrow_write(df: DataFrame, path: str, *, batch_rows: int | None = None,
         w_opts["batch"] = str(batch_rows)
         if order_by:
             numbered = batches.fixed_size_batches(df, order_by, batch_rows, "__batch")
-            parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-            out = numbered.repartition(parts, "__batch").sortWithinPartitions("__batch", order_by)
+            # No fixed count: AQE coalesces the shuffle into tasks of a useful size.
+            out = numbered.repartition("__batch").sortWithinPartitions("__batch", order_by)
             w_opts["batchColumn"] = "__batch"
     out.write.format(FORMAT).mode("append" if append else "overwrite").options(**w_opts).save(path)
     return path

@@ -352,8 +352,8 @@ def arrow_write_batched(spark, sf_dir):
     """K2: Arrow written with exactly N rows per record batch (the last one
     short): batches numbered globally, one batch never split across tasks."""
     b = _batched(spark, sf_dir)
-    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    laid = b.repartition(parts, "batch").sortWithinPartitions("batch", "id")
+    # No fixed count: AQE coalesces the shuffle into tasks of a useful size.
+    laid = b.repartition("batch").sortWithinPartitions("batch", "id")
     path = scratch_path(spark, "arrow-batched")
     laid.write.format(ARROW).mode("overwrite").option("batch", str(BATCH_ROWS)) \
         .option("batchColumn", "batch").save(path)
