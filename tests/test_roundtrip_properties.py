@@ -98,3 +98,19 @@ def test_payload_roundtrip(spark, rows, n):
     df = _df(spark, rows)
     enc = payloads.encode_payloads(batches.fixed_size_batches(df, "k", n), order_by="k")
     assert _same(payloads.decode_payloads(enc, SCHEMA), df)
+
+
+@SETTINGS
+@given(keys=st.lists(st.none() | st.integers(-5, 5) | st.integers(-10**12, 10**12), min_size=1,
+                     max_size=300),
+       parts=st.integers(1, 12))
+def test_row_numbers_property(spark, keys, parts):
+    """Positions are 0..n-1, in key order (nulls last), whatever the
+    duplicates (hot keys), nulls and number of parts."""
+    df = spark.createDataFrame([(k, i) for i, k in enumerate(keys)], "k bigint, i bigint").repartition(3)
+    out = batches.row_numbers(df, "k", buckets=parts).collect()
+    assert sorted(r["rn"] for r in out) == list(range(len(keys)))
+    ordered = [r["k"] for r in sorted(out, key=lambda r: r["rn"])]
+    present = [k for k in ordered if k is not None]
+    assert present == sorted(present)
+    assert all(k is None for k in ordered[len(present):])
