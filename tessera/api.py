@@ -1,22 +1,22 @@
-"""The reference's verbs, on Spark.
-
-| Reference                                  | Here                                        |
-| ------------------------------------------ | ------------------------------------------- |
-| ``CSV.File(path; header=names)``           | ``csv_file(spark, path, header=names)``     |
-| ``CSV.read(path, DataFrame; header)``      | ``csv_file`` (a Spark read is a DataFrame)  |
-| ``CSV.Chunks(path; header, ntasks)``       | ``csv_chunks`` -> rows tagged ``chunk``     |
-| ``CSV.Rows(path; header, types)``          | ``csv_rows``                                |
-| ``Arrow.write(path, df)``                  | ``arrow_write(df, path, ...)``              |
-| ``Arrow.write(path, Iterators.partition)`` | ``arrow_write(df, path, batch_rows=N, order_by=key)`` |
-| ``Arrow.append(path, df)``                 | ``arrow_append(df, path)``                  |
-| ``Arrow.Table(path; convert)``             | ``arrow_table(spark, path, convert=...)``   |
-| ``Arrow.Stream(path)``                     | ``arrow_stream(spark, path)``               |
-| ``metadata`` / ``colmetadata``             | ``arrow_metadata(spark, path)``             |
-| ``arraytable(df)`` / ``objecttable(df)``   | ``arraytable`` / ``objecttable`` per batch  |
-| ``jsontable(json)``                        | ``jsontable(docs, column, schema)``         |
-| ``JSON3.read(json, Vector{T})``            | ``json_read(docs, column, T)``              |
-| ``mean(skipmissing(x))``                   | ``mean_skipmissing(df, column)``            |
-| ``Iterators.partition(df, n)``             | ``partition(df, order_by, n)``              |
+"""One entry point per access path, by what it does.
+
+| Access path                                       | Here                                   |
+| ------------------------------------------------- | -------------------------------------- |
+| whole delimited file, names given, types inferred | ``csv_file(spark, path, header=names)`` |
+| the same, types given                             | ``csv_file(..., types=schema)``        |
+| delimited file in N typed chunks                  | ``csv_chunks`` -> rows tagged ``chunk`` |
+| delimited rows, only some columns typed           | ``csv_rows``                           |
+| write Arrow IPC (file or stream flavour)          | ``arrow_write(df, path, ...)``         |
+| ... with N rows per record batch                  | ``arrow_write(df, path, batch_rows=N, order_by=key)`` |
+| append batches to a dataset                       | ``arrow_append(df, path)``             |
+| Arrow as a table, named record types restored     | ``arrow_table(spark, path, convert=...)`` |
+| Arrow batch by batch, as a stream                 | ``arrow_stream(spark, path)``          |
+| table- and column-level metadata                  | ``arrow_metadata(spark, path)``        |
+| JSON array of objects / object of arrays          | ``rows_json`` / ``columns_json`` per batch |
+| JSON of either layout to rows                     | ``read_json_any(docs, column, schema)`` |
+| JSON straight into a record type                  | ``json_read(docs, column, T)``         |
+| mean over present values / over all rows         | ``mean_present`` / ``mean_all_rows``   |
+| consecutive batches of n rows                     | ``partition(df, order_by, n)``         |
 
 Every function returns a lazy ``DataFrame`` (writers return the path), so
 the plan stays with Catalyst.
@@ -132,17 +132,17 @@ def partition(df: DataFrame, order_by: str, n: int, name: str = "batch") -> Data
     return batches.fixed_size_batches(df, order_by, n, name)
 
 
-def arraytable(df: DataFrame, order_by: str, batch_rows: int, pretty: bool = False) -> DataFrame:
+def rows_json(df: DataFrame, order_by: str, batch_rows: int, pretty: bool = False) -> DataFrame:
     """One array-of-objects document per batch of ``batch_rows`` rows."""
     return json_tables.rows_documents(partition(df, order_by, batch_rows), order_by, pretty=pretty)
 
 
-def objecttable(df: DataFrame, order_by: str, batch_rows: int, pretty: bool = False) -> DataFrame:
+def columns_json(df: DataFrame, order_by: str, batch_rows: int, pretty: bool = False) -> DataFrame:
     """One object-of-arrays document per batch of ``batch_rows`` rows."""
     return json_tables.columns_documents(partition(df, order_by, batch_rows), order_by, pretty=pretty)
 
 
-def jsontable(docs: DataFrame, column: str, schema: T.StructType | str) -> DataFrame:
+def read_json_any(docs: DataFrame, column: str, schema: T.StructType | str) -> DataFrame:
     """Documents of either layout to rows (layout detected per document)."""
     return json_tables.read_auto(docs, column, _record(schema), mode="FAILFAST")
 
@@ -163,7 +163,7 @@ def _record(schema: T.StructType | str) -> T.StructType:
 
 # -- aggregates ----------------------------------------------------------------
 
-def mean_skipmissing(df: DataFrame, column: str) -> DataFrame:
+def mean_present(df: DataFrame, column: str) -> DataFrame:
     return means.mean_skip_missing(df, column)
 
 
