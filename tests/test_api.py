@@ -37,3 +37,14 @@ def test_access_paths_end_to_end(spark, tmp_dir):
     assert _same(api.json_read(arr, "json", "Person"), p)
     with pytest.raises(KeyError):
         api.json_read(arr, "json", "Nobody")
+
+
+def test_metadata_and_stream_entry_points(spark, tmp_dir):
+    from tessera.streaming import streams
+    p = people(spark, SF)
+    a = api.arrow_write(p, f"{tmp_dir}/a", metadata={"Source": "orders"})
+    meta = {(r["scope"], r["key"]): r["value"] for r in api.arrow_metadata(spark, a).collect()}
+    assert meta[("", "Source")] == "orders"
+    rows = api.arrow_stream(spark, a)
+    back = streams.drain_to_parquet(rows, f"{tmp_dir}/out", f"{tmp_dir}/ckpt")
+    assert _same(back, p)

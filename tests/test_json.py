@@ -154,3 +154,11 @@ def test_key_documents_bounded_under_a_hot_key(spark):
     assert _same(jt.read_rows(docs, "json", s), df)
     cdocs = jt.key_documents(df, "k", "o", 50, layout=jt.COLUMNS)
     assert _same(jt.read_columns(cdocs, "json", s), df)
+
+
+def test_pretty_column_helper(spark):
+    from pyspark.sql import types as T
+    d = _docs(spark, ROWS_DOC).select(jt.pretty("json", T.ArrayType(PERSON)).alias("json"))
+    text = d.first()["json"]
+    assert "\n" in text and json.loads(text)[1]["TermDate"].startswith("2021-03-04 05:06:07")
+    assert _same(jt.read_rows(d, "json", PERSON), jt.read_rows(_docs(spark, ROWS_DOC), "json", PERSON))
