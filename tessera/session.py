@@ -30,6 +30,8 @@ def build_session(master: str = "local[8]", app: str = "tessera",
                   shuffle_partitions: int = 8, extra: dict | None = None) -> SparkSession:
     builder = (SparkSession.builder.master(master).appName(app)
                .config("spark.ui.enabled", "false")
+               # Checkpoints cut by the numbering are removed once unreferenced.
+               .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
                .config("spark.ui.showConsoleProgress", "false")
                .config("spark.sql.shuffle.partitions", str(shuffle_partitions)))
     for k, v in {**SESSION_DEFAULTS, **(extra or {})}.items():
