@@ -16,6 +16,8 @@ Read options
                  "batches": one row per record batch (file, batch, rows)
   ``batchesPerSplit``  file-flavour files larger than ``splitBytes`` are read
                  by several tasks, this many record batches each
+  ``pushFilters`` "true" (default) applies simple filters in the reader;
+                 "false" for sessions with Python filter pushdown turned off
 
 Write options
   ``flavor``       "stream" (default) or "file" (random access footer)
@@ -289,6 +291,11 @@ class ArrowIpcDataSource(DataSource):
         return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in s.fields])
 
     def reader(self, schema: T.StructType) -> DataSourceReader:
+        # Spark refuses a reader that implements pushFilters while
+        # spark.sql.python.filterPushdown.enabled is false (``attach`` turns
+        # it on); ``pushFilters=false`` gives a reader without it.
+        if not _truthy(_opt(self.options, "pushFilters", "true")):
+            return ArrowIpcPlainReader(dict(self.options), schema, self._path())
         return ArrowIpcReader(dict(self.options), schema, self._path())
 
     def writer(self, schema: T.StructType, overwrite: bool):
@@ -431,6 +438,11 @@ class ArrowIpcReader(DataSourceReader):
             yield from walk(f, "")
 
 
+class ArrowIpcPlainReader(ArrowIpcReader):
+    """The same reader without filter pushdown: Spark evaluates every filter."""
+    pushFilters = DataSourceReader.pushFilters
+
+
 def _read_split(reader, partition: _Split):
     """Rows (or metadata / batch sizes) of one split, one record batch at a
     time: memory holds a single batch, whatever the file size."""

@@ -244,3 +244,15 @@ def test_nested_and_other_types_roundtrip(spark, tmp_dir):
         got = sorted(back.collect(), key=lambda r: r["id"])
         want = sorted(df.collect(), key=lambda r: r["id"])
         assert got == want
+
+
+def test_reader_without_pushdown_when_disabled(spark, tmp_dir):
+    p = people(spark, SF)
+    p.write.format("arrow_ipc").mode("overwrite").save(tmp_dir)
+    key = "spark.sql.python.filterPushdown.enabled"
+    spark.conf.set(key, "false")
+    try:
+        df = spark.read.format("arrow_ipc").option("pushFilters", "false").load(tmp_dir).where("id > 700")
+        assert _same(df, p.where("id > 700"))
+    finally:
+        spark.conf.set(key, "true")
