@@ -41,8 +41,8 @@ from .common import materialize
 CAPACITY = 2048
 #: Pieces of one length that are ranked together.
 RANK_ROWS = 100_000
-#: Words whose ids a Python worker keeps.
-CACHE_WORDS = 400_000
+#: Words whose ids a Python worker keeps: about 200 bytes each.
+CACHE_WORDS = 1_000_000
 
 
 # ---- tokens -----------------------------------------------------------------
@@ -51,49 +51,50 @@ class _WordIds(dict):
     """bytes of a word -> bytes of its ids (unsigned, little-endian 32 bit).
 
     The tokenizer drops white space and never joins across it, so a text's ids
-    are those of its words. Runs of plain letters go straight to its BPE model;
-    every other word goes through the whole tokenizer."""
+    are those of its words. Words of Latin-1 letters, ASCII digits and marks are
+    cut here and go straight to its BPE model; every other word, and words with
+    an apostrophe or ``<`` (contractions, special tokens), go through the whole
+    tokenizer."""
 
-    _plain = re.compile(r"([a-zà-öø-ÿ]+)([.,;:!?]?)", re.ASCII)
+    _plain = re.compile(r"[a-zß-öø-ÿ0-9!-&(-;=-@\[-`{-~]+", re.ASCII)
+    _piece = re.compile(r"[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9]+", re.ASCII)
 
     def __init__(self, path: str):
         super().__init__()
         from tokenizers import Tokenizer
 
         self.whole = Tokenizer.from_file(path)
-        self.model = self.whole.model
+        self.bpe = self.whole.model.tokenize
         # Byte-level alphabet: printable Latin-1 bytes stand for themselves, the rest follow from 256.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         rest = iter(range(256, 512))
         self.letters = [chr(b) if b in shown else chr(next(rest)) for b in range(256)]
-        probe = ["abc", "où", "chchüß.", "élan,", "thst;", "ñandú"]
-        self.direct = all(self._fast(w.lower()) == self._slow(w) for w in probe)
+        self.raw = [i.to_bytes(4, "little") for i in range(self.whole.get_vocab_size())]
+        probe = ["abc", "où", "chchüß.", "élan,", "thst;", "ñandú", "x9,10a**", "antreè$$$", "a.b,c?!(x)"]
+        self.direct = all(self._fast(w) == self._slow(w) for w in probe)
 
     def _slow(self, word: str) -> bytes:
         return np.array(self.whole.encode(word, add_special_tokens=False).ids, dtype="<u4").tobytes()
 
     def _fast(self, low: str) -> bytes | None:
-        m = self._plain.fullmatch(low)
-        if not m:
+        if not self._plain.fullmatch(low):
             return None
-        ids = []
-        for piece in m.groups():
-            if piece:
-                if not piece.isascii():
-                    piece = "".join(self.letters[b] for b in piece.encode())
-                ids += [t.id for t in self.model.tokenize(piece)]
-        return np.array(ids, dtype="<u4").tobytes()
+        raw, bpe = self.raw, self.bpe
+        if low.isascii():
+            return b"".join([raw[t.id] for p in self._piece.findall(low) for t in bpe(p)])
+        letters = self.letters
+        return b"".join([raw[t.id] for p in self._piece.findall(low) for t in bpe("".join([letters[b] for b in p.encode()]))])
 
     def __missing__(self, word: bytes) -> bytes:
         if len(self) >= CACHE_WORDS:
             self.clear()
         text = word.decode("utf-8", "surrogatepass")
-        ids = self._fast(text.lower()) if self.direct and len(text) < 100 and len(text.lower()) == len(text) else None
-        if ids is None:
-            ids = self._slow(text)
-        if len(word) < 100:
-            self[word] = ids
-        return ids
+        if len(text) < 100:
+            low = text.lower()
+            ids = self._fast(low) if self.direct and len(low) == len(text) else None
+            self[word] = ids = self._slow(text) if ids is None else ids
+            return ids
+        return self._slow(text)
 
 
 _WORDS: dict[str, _WordIds] = {}
