@@ -33,12 +33,12 @@ an empty result; other columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +46,9 @@ from .common import groups, materialize, shuffle_parts
 
 LEAST = 35
 GRAM = 8
-SHARD = 2048
+SHARD = 512
+#: A segment's place is its first window shifted by so many bits, plus its number of windows.
+WINDOW_BITS = 16
 #: Odd multiplier of the rolling hash (arithmetic modulo 2^64) and its inverse.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -202,46 +204,51 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                    gram: int = GRAM, shard: int = SHARD) -> DataFrame:
     """(id, n_words, n_removed, kept_sha256, spans) of every row; ``spans`` are
     the maximal removed runs (first word, end exclusive)."""
+    if not gram <= least < 1 << WINDOW_BITS:
+        raise ValueError("gram <= least < 2 ** WINDOW_BITS is needed")
     spark = docs.sparkSession
     kind = docs.schema[id_col].dataType.simpleString()
     parts = shuffle_parts(spark)
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        deflate = zstandard.ZstdCompressor(level=3).compress
         for batch in batches:
             for at in range(0, batch.num_rows, 512):
                 b = batch.slice(at, 512)
-                out: list[list] = [[] for _ in range(6)]
+                out: list[list] = [[] for _ in range(5)]
                 for text in b.column(1):
                     words = (text.as_py() or "").encode("utf-8", "surrogatepass").split()
                     line = b" ".join(words)
                     m, first, n = segments(words, least, gram)
-                    for c, x in zip(out, (len(words), hashlib.sha256(line).hexdigest(), zlib.compress(line, 1),
-                                          m.view(np.int64), first.astype(np.int32), n.astype(np.int16)), strict=True):
+                    for c, x in zip(out, (len(words), hashlib.sha256(line).hexdigest(), deflate(line),
+                                          m.view(np.int64), first * (1 << WINDOW_BITS) + n), strict=True):
                         c.append(x)
-                kinds = [pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int16())]
+                kinds = [pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())]
                 yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(x, k) for x, k in zip(out, kinds, strict=True))],
-                                                 names=["id", "n_words", "sha", "line", "m", "first", "n"])
+                                                 names=["id", "n_words", "sha", "line", "m", "at"])
 
-    # One row per document: its words (deflated), their digest and its segments. The row number is written, so it holds.
-    base = materialize(source.mapInArrow(cut, f"id {kind}, n_words long, sha string, line binary, m array<long>, first array<int>, n array<smallint>")
+    # One row per document: its words (compressed), their digest and its segments. The row number is written, so it holds.
+    base = materialize(source.mapInArrow(cut, f"id {kind}, n_words long, sha string, line binary, m array<long>, at array<long>")
                        .withColumn("row", F.monotonically_increasing_id()), "substring-docs")
-    place = base.select("row", F.explode(F.arrays_zip("m", "first", "n")).alias("s")).select("row", "s.*")
+    place = base.select("row", F.explode(F.arrays_zip("m", "at")).alias("s")).select("row", "s.*")
     common = materialize(base.select(F.explode("m").alias("m")).groupBy("m").agg(F.count(F.lit(1)).alias("c")).where("c > 1")
                          .select(F.col("m").alias("m_")), "substring-minimizers")
     hits = (place.join(common, F.col("m") == F.col("m_")).groupBy("row")
-            .agg(F.collect_list(F.struct("first", "n", "m")).alias("hits")).withColumnRenamed("row", "row_"))  # at most a document's
+            .agg(F.collect_list(F.struct("at", "m")).alias("hits")).withColumnRenamed("row", "row_"))  # at most a document's
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inflate = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 b = batch.slice(at, 128)
                 out: list[list] = [[] for _ in range(4)]
                 for row, line, found in zip(b.column(0), b.column(1), b.column(2), strict=True):
-                    words = zlib.decompress(line.as_py()).split(b" ")
+                    words = inflate(line.as_py()).split(b" ")
                     for h in found.as_py():
-                        seg = b" ".join(words[h["first"]:h["first"] + h["n"] + least - 1])
-                        for c, x in zip(out, (row.as_py(), h["first"], h["m"], seg), strict=True):
+                        first, n = divmod(h["at"], 1 << WINDOW_BITS)
+                        seg = b" ".join(words[first:first + n + least - 1])
+                        for c, x in zip(out, (row.as_py(), first, h["m"], seg), strict=True):
                             c.append(x)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64()),
@@ -286,12 +293,13 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     cover = materialize(cover, "substring-cover")
 
     def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        inflate = zstandard.ZstdDecompressor().decompress
         for batch in batches:
             for at in range(0, batch.num_rows, 128):
                 b = batch.slice(at, 128)
                 out: list[list] = [[] for _ in range(4)]
                 for row, line, found in zip(b.column(0), b.column(1), b.column(2), strict=True):
-                    words = zlib.decompress(line.as_py()).split(b" ")
+                    words = inflate(line.as_py()).split(b" ")
                     gone = _covered(len(words), [(m["first"], m["mask"]) for m in found.as_py()], least)
                     edge = np.flatnonzero(np.diff(np.concatenate([[0], gone.view(np.int8), [0]])))
                     kept = b" ".join(w for w, x in zip(words, gone.tolist(), strict=True) if not x)
