@@ -46,7 +46,7 @@ from .common import groups, materialize, shuffle_parts
 
 LEAST = 35
 GRAM = 8
-SHARD = 512
+SHARD = 2048
 #: A segment's place is its first window shifted by so many bits, plus its number of windows.
 WINDOW_BITS = 16
 #: Odd multiplier of the rolling hash (arithmetic modulo 2^64) and its inverse.
