@@ -24,7 +24,7 @@ from tessera.llm import language_id, mixing, packing, secrets, simhash
 from tessera.llm.common import materialize, table
 from tessera.llm.queries import tokenizer_path
 
-MIN_SHARE = 0.5
+MIN_SHARE = 1 / 3
 #: The SimHash operator's own shingle length and distance.
 SHINGLE_WORDS, MAX_BITS = 4, 4
 
