@@ -1,145 +1,124 @@
 """Batches, partitions and partial aggregates.
 
-A Spark table has no row order, so every positional operator takes an
-ordering key. Global row numbers are built without a one-partition window:
-
-1. cut the key's range into ``buckets`` near-equal parts (``approxQuantile``
-   over the key column only, a pruned scan); a hot key value is dealt over
-   several parts by a row hash, so no part outgrows ~1/buckets of the rows;
-2. count rows per part (partial + final aggregate, one tiny result);
-3. turn the counts into start offsets (a window over at most ``buckets``
-   rows, broadcast: its size is bounded by the bucket count, not the data);
-4. number rows inside each part with ``row_number`` partitioned by part and
-   add the part's offset.
-
-The part of a row is a fixed function of its key (literal split points), so
-steps 2 and 4 agree even when tasks are retried.
+A Spark table has no row order, so every positional operator takes one or
+more ordering keys. The total order is (keys ascending, nulls last; then a hash
+of the whole row). Global row numbers are built without a one-partition
+window:
+
+1. split points are rows of a bounded random sample, kept as exact tuples of
+   the order in the keys' own types and written once, so every later job and
+   every retry sees the same ones;
+2. a row's part is the number of split points not above it (compared as
+   tuples); parts are counted by a partial aggregate;
+3. the counts become start offsets (a window over at most one row per part,
+   broadcast: bounded by the part count, not the data);
+4. ``row_number`` runs inside each part and the part's offset is added.
+
+Nulls, NaN and a hot key need no case of their own: the row hash cuts a key
+that many rows share. Only rows equal in every column stay together.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-_NUMERIC = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
-            T.DoubleType, T.DecimalType, T.DateType, T.TimestampType, T.TimestampNTZType)
-
-
-def _key_as_double(df: DataFrame, key: str) -> Column:
-    dt = df.schema[key].dataType
-    if isinstance(dt, T.DateType):
-        return F.unix_date(F.col(key)).cast("double")
-    if isinstance(dt, (T.TimestampType, T.TimestampNTZType)):
-        return F.unix_micros(F.col(key).cast("timestamp")).cast("double")
-    return F.col(key).cast("double")
-
-
-def _with_part(df: DataFrame, key: Column, quantiles: list[float], name: str) -> DataFrame:
-    """Add ``name``: the part of each row, in key order.
-
-    A key between split points goes to the part after the last split point
-    <= key (binary search, JVM-side ``Bucketizer``). A split point that the
-    quantiles return m > 1 times marks a hot key (about m/n of all rows):
-    its rows are dealt over m consecutive parts by a hash of the whole row,
-    so no part holds more than about 1/n of the data. NaN and null keys get
-    a part of their own after all others (ascending, nulls last); the part
-    is never null, so no row can fall out of the offset join.
-    """
-    if not quantiles:
-        return df.withColumn(name, F.lit(0))
-    from collections import Counter
-
-    from pyspark.ml.feature import Bucketizer
-    mult = Counter(quantiles)
-    distinct = sorted(mult)
-    # prefix[j] = number of quantiles below distinct[j]; total at the end.
-    prefix, acc = [], 0
-    for d in distinct:
-        prefix.append(acc)
-        acc += mult[d]
-    prefix.append(acc)
-    counts = [mult[d] for d in distinct]
-    inf = float("inf")
-    b = Bucketizer(splits=[-inf, *distinct, inf], inputCol="__kd", outputCol="__bd",
-                   handleInvalid="keep")
-    j = F.col("__bd").cast("int")                   # 0 .. len(distinct), or len+1 for NaN
-    base = F.element_at(F.lit(prefix), j + 1)       # part of a key that is no split point
-    if max(counts) > 1:
-        at = F.element_at(F.lit(distinct), j)       # split point just below (j >= 1)
-        m = F.element_at(F.lit(counts), j)
-        hot = (j >= 1) & (j <= len(distinct)) & (F.col("__kd") == at) & (m > 1)
-        spread = F.element_at(F.lit(prefix), j) + 1 + F.pmod(F.col("__tie"), m)
-        part = F.when(hot, spread).otherwise(base)
-    else:
-        # No hot key: the part depends on the key alone, so counting parts
-        # scans the key column only.
-        part = base
-    return (b.transform(df.withColumn("__kd", key))
-            .withColumn(name, F.coalesce(part.cast("int"), F.lit(acc + 1)))
-            .drop("__kd", "__bd"))
+#: Rows a numbering part is meant to hold; more rows give more parts.
+ROWS_PER_PART = 1_000_000
+#: Sampled rows per part for the split points.
+SAMPLE_PER_PART = 50
+
+
+def row_hash(df: DataFrame) -> Column:
+    """Tie-break of every positional order: the same on every retry."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def _order_tuple(keys: list[str], tie: str | None) -> Column:
+    """A struct that compares as (keys ascending, nulls last; tie)."""
+    parts = []
+    for i, k in enumerate(keys):
+        parts += [F.col(f"`{k}`").isNull().alias(f"n{i}"), F.col(f"`{k}`").alias(f"k{i}")]
+    return F.struct(*parts, *([F.col(tie).alias("tie")] if tie else []))
+
+
+def _split_points(tagged: DataFrame, keys: list[str], total: int, n: int) -> tuple[DataFrame, int, bool]:
+    """(one row with the sorted array ``s`` of split tuples, their number,
+    whether the tie-break is part of them). Cut from about
+    ``SAMPLE_PER_PART * n`` sampled rows and written to the scratch folder."""
+    from ..session import scratch_path
+    spark = tagged.sparkSession
+    want = SAMPLE_PER_PART * n
+    picked = tagged if total <= want else tagged.sample(min(1.0, want / total), seed=17)
+    ordered = Window.orderBy("o")   # over the bounded sample
+    cuts = (picked.select(_order_tuple(keys, "__tie").alias("o"))
+            .withColumn("i", F.row_number().over(ordered))
+            .withColumn("m", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
+            .where(F.floor(F.col("i") * n / F.col("m")) > F.floor((F.col("i") - 1) * n / F.col("m")))
+            .where(F.col("i") < F.col("m")))
+    path = scratch_path(spark, "split-points")
+    cuts.agg(F.array_sort(F.collect_set("o")).alias("s")).write.parquet(path)
+    stored = spark.read.parquet(path)
+    key_only = F.transform("s", lambda o: F.struct(*[o[f].alias(f) for i in range(len(keys))
+                                                     for f in (f"n{i}", f"k{i}")]))
+    size, distinct = stored.select(F.size("s"), F.size(F.array_distinct(key_only))).first()
+    if distinct == size:    # no key is split: parts follow from the keys alone
+        return stored.select(key_only.alias("s")), size, False
+    return stored, size, True
+
+
+def _parts(df: DataFrame, keys: list[str], n: int | None, name: str) -> tuple[DataFrame, int]:
+    """``df`` with ``__tie`` and ``name``, the part of each row in order."""
+    spark = df.sparkSession
+    tagged = df.withColumn("__tie", row_hash(df))
+    total = df.count()
+    if n is None:
+        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // ROWS_PER_PART), 1)
+    n = min(n, max(total, 1))
+    if n == 1:
+        return tagged.withColumn(name, F.lit(0)), 1
+    stored, size, with_tie = _split_points(tagged, keys, total, n)
+    if not size:
+        return tagged.withColumn(name, F.lit(0)), 1
+    here = _order_tuple(keys, "__tie" if with_tie else None)
+    # Two levels of about sqrt(size) comparisons a row; both tables together hold the split points.
+    step = max(1, int(size ** 0.5))
+    coarse = stored.select(F.filter("s", lambda x, i: (i + 1) % step == 0).alias("__coarse"))
+    blocks = F.transform(F.sequence(F.lit(0), F.lit(size // step)), lambda b: F.slice("s", b * step + 1, F.lit(step)))
+    fine = stored.select(F.posexplode(blocks).alias("__at", "__fine"))
+    placed = (tagged.crossJoin(F.broadcast(coarse))    # one row
+              .withColumn("__block", F.size(F.filter("__coarse", lambda c: c <= here))).drop("__coarse")
+              .join(F.broadcast(fine), F.col("__block") == F.col("__at")))
+    part = F.col("__block") * step + F.size(F.filter("__fine", lambda c: c <= here))
+    return placed.withColumn(name, part.cast("int")).drop("__block", "__at", "__fine"), size + 1
 
 
 def row_numbers(df: DataFrame, order_by: str | list[str], name: str = "rn",
-                buckets: int | None = None, relative_error: float | None = None) -> DataFrame:
+                buckets: int | None = None, keep_part: str | None = None) -> DataFrame:
     """Add ``name``: 0-based position of each row in ``order_by`` order.
 
-    Ties in ``order_by`` are broken by a hash of the whole row, the same on
-    every retry. A single numeric, date or timestamp key uses quantile parts
-    (no checkpoint); other keys, and several keys, fall back to a range
-    partition cut by a reliable checkpoint.
+    Keys may be of any orderable type. Ties are broken by a hash of the whole
+    row. ``buckets`` parts are used (from the shuffle partitions and the
+    number of rows by default); the answer does not depend on them.
+    ``keep_part`` names a column that keeps each row's part.
     """
-    spark = df.sparkSession
-    n = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    if isinstance(order_by, (list, tuple)):
-        if len(order_by) > 1:
-            return _row_numbers_checkpointed(df, list(order_by), name, n)
-        order_by = order_by[0]
-    if not isinstance(df.schema[order_by].dataType, _NUMERIC):
-        return _row_numbers_checkpointed(df, [order_by], name, n)
-    key = _key_as_double(df, order_by)
-    eps = relative_error or min(0.001, 1.0 / (10.0 * n))
-    probs = [i / n for i in range(1, n)]
-    qs = df.select(key.alias("__k")).approxQuantile("__k", probs, eps) if n > 1 else []
-    quantiles = sorted(q for q in qs if q is not None and q == q)
-    tagged = _with_part(df.withColumn("__tie", F.xxhash64(*[F.col(c) for c in df.columns])),
-                        key, quantiles, "__part")
+    keys = [order_by] if isinstance(order_by, str) else list(order_by)
+    tagged, _ = _parts(df, keys, buckets, "__part")
     counts = tagged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    # At most n+1 rows: size bounded by the part count, not by the data.
+    # At most one row per part: bounded by the part count, not by the data.
     offsets = counts.select(
         "__part",
         F.coalesce(F.sum("__n").over(Window.orderBy("__part")
                                      .rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("__off"))
-    w = Window.partitionBy("__part").orderBy(F.col(order_by).asc_nulls_last(), F.col("__tie"))
+    order = [F.col(f"`{k}`").asc_nulls_last() for k in keys]
+    w = Window.partitionBy("__part").orderBy(*order, F.col("__tie"))
     numbered = tagged.withColumn("__local", F.row_number().over(w) - 1)
-    return (numbered.join(F.broadcast(offsets), "__part")
-            .withColumn(name, (F.col("__off") + F.col("__local")).cast("bigint"))
-            .drop("__part", "__off", "__local", "__tie"))
-
-
-def _row_numbers_checkpointed(df: DataFrame, order_by: list[str], name: str, n: int) -> DataFrame:
-    tie = F.xxhash64(*[F.col(c) for c in df.columns])
-    order = [F.col(c).asc_nulls_last() for c in order_by]
-    # The range covers the whole sort order (keys, then the row hash), so a
-    # hot leading key is still cut into several ranges.
-    ranged = (df.withColumn("__tie", tie).repartitionByRange(n, *order, F.col("__tie"))
-              .sortWithinPartitions(*order, F.col("__tie")).drop("__tie"))
-    # Reliable checkpoint (in spark.checkpoint.dir): counts and numbering must
-    # see the same rows in the same partitions, even after executor loss.
-    stable = ranged.checkpoint(eager=True)
-    pid = F.spark_partition_id()
-    local = F.monotonically_increasing_id() - F.shiftleft(pid.cast("bigint"), 33)
-    with_local = stable.select("*", pid.alias("__part"), local.alias("__local"))
-    counts = stable.groupBy(pid.alias("__part")).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        "__part",
-        F.coalesce(F.sum("__n").over(Window.orderBy("__part")
-                                     .rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("__off"))
-    return (with_local.join(F.broadcast(offsets), "__part")
-            .withColumn(name, (F.col("__off") + F.col("__local")).cast("bigint"))
-            .drop("__part", "__off", "__local"))
+    out = (numbered.join(F.broadcast(offsets), "__part")
+           .withColumn(name, (F.col("__off") + F.col("__local")).cast("bigint")))
+    if keep_part:
+        out = out.withColumn(keep_part, F.col("__part"))
+    return out.drop("__part", "__off", "__local", "__tie")
 
 
 def fixed_size_batches(df: DataFrame, order_by: str, n: int, name: str = "batch") -> DataFrame:

@@ -44,16 +44,18 @@ def replace_column(df: DataFrame, name: str, value: Column) -> DataFrame:
 
 
 def first_rows(df: DataFrame, order_by: str, n: int, offset: int = 0) -> DataFrame:
-    """Rows ``offset .. offset+n-1`` in ``order_by`` order."""
+    """Rows ``offset .. offset+n-1`` in ``order_by`` order (nulls last, ties by
+    a hash of the row), in that order. Both plans use the same total order, so
+    pages never share or miss a row."""
+    from .batches import row_hash, row_numbers
     if offset + n <= TOPK_LIMIT:
-        ordered = df.orderBy(F.col(order_by).asc_nulls_last())
+        ordered = df.withColumn("__tie", row_hash(df)).orderBy(F.col(order_by).asc_nulls_last(), "__tie")
         if offset:
             ordered = ordered.offset(offset)
-        return ordered.limit(n)
-    from .batches import row_numbers
+        return ordered.limit(n).drop("__tie")
     return (row_numbers(df, order_by, "__rn")
             .where((F.col("__rn") >= offset) & (F.col("__rn") < offset + n))
-            .drop("__rn"))
+            .orderBy("__rn").drop("__rn"))
 
 
 def row_at(df: DataFrame, order_by: str, position: int) -> DataFrame:

@@ -892,6 +892,62 @@ def custom_batch_fold(spark, sf_dir):
     return _mean_out(out)
 
 
+# -- numbering and paging off the easy path ----------------------------------
+
+# Ordering keys that a numbering through doubles would get wrong:
+# (Spark expression, DuckDB expression) over ``people``.
+NUMBERING_KEYS = {
+    "bigint": ("id + 1152921504606846976", "id + 1152921504606846976"),
+    "decimal": ("CAST(id AS DECIMAL(38,0)) + CAST('10000000000000000000000000' AS DECIMAL(38,0))",
+                "id::HUGEINT + 10000000000000000000000000::HUGEINT"),
+    "nan": ("CASE WHEN id % 9 = 0 THEN double('NaN') ELSE id / 7D END",
+            "CASE WHEN id % 9 = 0 THEN 'NaN'::DOUBLE ELSE id / 7.0::DOUBLE END"),
+    "half_null": ("CASE WHEN id % 2 = 0 THEN id END", "CASE WHEN id % 2 = 0 THEN id END"),
+    "string": ("concat('k', id % 300)", "'k' || (id % 300)"),
+    "wall_clock": ("timestamp_ntz'2024-03-10 00:00:00' + id * interval '20' second",
+                   "TIMESTAMP '2024-03-10 00:00:00' + id * INTERVAL '20' SECOND"),
+}
+
+
+def _number_by(kind):
+    def run(spark, sf_dir):
+        p = _people(spark, sf_dir).select("id", F.expr(NUMBERING_KEYS[kind][0]).alias("key"))
+        return batches.row_numbers(p, ["key", "id"], "position", buckets=64).select("id", "position")
+    run.__doc__ = f"B1/P7: exact global positions under a {kind} key."
+    return run
+
+
+for _kind, (_, _sql) in NUMBERING_KEYS.items():
+    query(f"number_by_{_kind}", "SELECT id, row_number() OVER (ORDER BY "
+          f"{_sql} NULLS LAST, id) - 1 AS position FROM people")(_number_by(_kind))
+
+
+@query("pages_over_ties", "SELECT id, Lname FROM people")
+def pages_over_ties(spark, sf_dir):
+    """Pages under a key with few values; together they hold every row
+    once, the shallow pages from a top-k and the last from numbering."""
+    p = _people(spark, sf_dir)
+    rows = p.count()
+    pages = [tables.first_rows(p, "Lname", 500, at) for at in (0, 500)]
+    pages.append(tables.first_rows(p, "Lname", rows, 1000))
+    return batches.concat_batches(*pages).select("id", "Lname")
+
+
+@query("partition_totals", "SELECT CAST(5 AS BIGINT) AS partitions, count(*) AS rows FROM people")
+def partition_totals(spark, sf_dir):
+    """B2: a table dealt into five partitions, profiled."""
+    return batches.partition_profile(_people(spark, sf_dir).repartition(5)).agg(
+        F.count(F.lit(1)).alias("partitions"), F.sum("rows").alias("rows"))
+
+
+@query("json_batch_column", "SELECT id, id % 7 AS batch FROM people")
+def json_batch_column(spark, sf_dir):
+    """A real column named ``batch`` survives inference."""
+    path = scratch_path(spark, "json-batch-column")
+    _people(spark, sf_dir).select("id", (F.col("id") % 7).alias("batch")).write.json(path)
+    return json_tables.read_documents_inferred(spark, path)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(QUERIES)
 

@@ -61,6 +61,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         # Local sessions (tests, the bench) only: a cluster names its own.
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
         root = tempfile.mkdtemp(prefix="tessera-ckpt-")
     sc.setCheckpointDir(root)
     return sc.getCheckpointDir() or root

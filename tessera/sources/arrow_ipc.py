@@ -566,7 +566,7 @@ class _WriterBase:
         from pyspark import TaskContext
         ctx = TaskContext.get()
         pid = ctx.partitionId() if ctx else 0
-        attempt = ctx.attemptNumber() if ctx else 0
+        attempt = ctx.taskAttemptId() if ctx else 0   # unique over stage retries, too
         fs, base = filesystem(self.path)
         tmp_dir = f"{base}/_temporary/{self.job}"
         fs.create_dir(tmp_dir, recursive=True)
@@ -657,22 +657,38 @@ class _WriterBase:
 
     # -- driver side --------------------------------------------------------
     def _move_into_place(self, messages, clear_prefix: str | None):
+        from concurrent.futures import ThreadPoolExecutor
         fs, base = filesystem(self.path)
-        if clear_prefix is not None:
-            for p, _ in list_data_files(self.path):
-                if p.rsplit("/", 1)[-1].startswith(clear_prefix):
-                    fs.delete_file(p)
-        for m in messages:
-            if m is None:
-                continue
-            for tmp, final in m.files:
-                fs.move(tmp, f"{base}/{final}")
+        # New names never meet old ones of another job, so the old files go last:
+        # a failure on the way leaves them readable. Files of other kinds stay.
+        files = [f for m in messages if m is not None for f in m.files]
+        new = {f"{base}/{final}" for _, final in files}
+        old = [] if clear_prefix is None else [
+            p for p, _ in list_data_files(self.path)
+            if p not in new and p.endswith((FILE_EXT, STREAM_EXT)) and p.rsplit("/", 1)[-1].startswith(clear_prefix)]
+        if clear_prefix and old:    # a stream's re-run of the same micro-batch
+            for p in old:
+                fs.delete_file(p)
+            old = []
+        if not files and clear_prefix != "" and list_data_files(self.path):
+            self._cleanup()     # nothing to add
+            return
+        if not files and not clear_prefix:      # an empty table keeps its schema
+            new = pa.ipc.new_file if self.flavor == "file" else pa.ipc.new_stream
+            fs.create_dir(base, recursive=True)
+            with fs.open_output_stream(f"{base}/part-{self.job}-empty{self.ext}") as sink:
+                new(sink, self.arrow_schema).close()
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda f: fs.move(f[0], f"{base}/{f[1]}"), files))
+            list(pool.map(fs.delete_file, old))
         self._cleanup()
 
     def _cleanup(self):
         fs, base = filesystem(self.path)
         try:
             fs.delete_dir(f"{base}/_temporary/{self.job}")
+            if not fs.get_file_info(pafs.FileSelector(f"{base}/_temporary")):
+                fs.delete_dir(f"{base}/_temporary")
         except (FileNotFoundError, OSError):
             pass
 

@@ -97,7 +97,7 @@ def read_delimited(spark: SparkSession, path: str, *, names: list[str] | None =
                    sep: str = ",", header: bool = False, quote: str | None = None,
                    escape: str | None = None, null_value: str | None = None,
                    date_format: str | None = None, timestamp_format: str | None = TIMESTAMP_TEXT,
-                   mode: str = "PERMISSIVE", multiline: bool | None = None,
+                   mode: str | None = None, multiline: bool | None = None,
                    partitions: int | None = None, extra: dict | None = None,
                    corrupt_column: str | None = None, sample: float | None = None) -> DataFrame:
     """Read delimited text.
@@ -106,14 +106,16 @@ def read_delimited(spark: SparkSession, path: str, *, names: list[str] | None =
     ``infer=True`` Spark infers types in an extra pass over the input; the
     result is widened to 64-bit integers and wall-clock timestamps, and the
     caller's ``names`` replace the generated ``_c0 ...``. ``mode`` decides
-    what a bad row does: ``PERMISSIVE`` (nulls; with ``corrupt_column`` the
-    raw line is kept there), ``DROPMALFORMED`` or ``FAILFAST``.
+    what a bad row does: ``FAILFAST`` (the default), ``PERMISSIVE`` (nulls; the
+    default with ``corrupt_column``, which keeps the raw line) or
+    ``DROPMALFORMED``.
 
     Inference reads all of the input once more before the real read. At
     very large scale ``sample`` (a fraction) infers from a sample instead;
     a value the sample missed can then fail the read (``FAILFAST``) or turn
     into a null (``PERMISSIVE``), so the full pass stays the default.
     """
+    mode = mode or ("PERMISSIVE" if corrupt_column is not None else "FAILFAST")
     r = _reader(spark, sep=sep, quote=quote, escape=escape, null_value=null_value,
                 date_format=date_format, timestamp_format=timestamp_format,
                 header=header, mode=mode, multiline=multiline, extra=extra)
@@ -202,7 +204,7 @@ def to_delimited_column(df: DataFrame, columns: list[str] | None = None, *, sep:
 
 
 def parse_delimited_column(text: Column | str, schema: T.StructType, *, sep: str = ",",
-                           timestamp_format: str = TIMESTAMP_TEXT, mode: str = "PERMISSIVE",
+                           timestamp_format: str = TIMESTAMP_TEXT, mode: str = "FAILFAST",
                            name: str = "row") -> Column:
     """Parse delimited text held in a column into a struct (``from_csv``)."""
     col = F.col(text) if isinstance(text, str) else text

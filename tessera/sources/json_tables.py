@@ -49,6 +49,10 @@ def _records(df: DataFrame, batch: str | list[str], order_by: str, columns: list
         F.array_sort(F.collect_list(F.struct(*fields))).alias("__recs"))
 
 
+# Folder key of documents that are written one per file.
+FOLDER = "__document"
+
+
 def _field(name: str):
     # A one-argument lambda: ``transform`` reads a second parameter as the index.
     return lambda r: r[name]
@@ -86,16 +90,26 @@ def columns_documents(df: DataFrame, order_by: str, batch: str = "batch",
 
 def key_batches(df: DataFrame, key: str, order_by: str, max_rows: int,
                 name: str = "doc") -> DataFrame:
-    """Tag rows for documents per key: a document holds the rows of one key
-    within one run of ``max_rows`` consecutive rows in (key, order) order.
+    """Tag rows for documents per key: document ``i`` of a key holds its rows
+    ``i * max_rows`` onwards in (key, order) order, so a key of at most
+    ``max_rows`` rows is one document.
 
-    A key with many rows spans several documents, so no document (and no
-    task building one) outgrows ``max_rows``, however skewed the keys.
+    Positions are global, so a hot key is never gathered: a key's first
+    position is a window within a part, and only keys that span parts (fewer
+    than there are parts) are looked up.
     """
+    from pyspark.sql import Window
+
     from ..operators.batches import row_numbers
-    return (row_numbers(df, [key, order_by], "__rn")
-            .withColumn(name, F.expr(f"__rn div {int(max_rows)}").cast("bigint"))
-            .drop("__rn"))
+    numbered = row_numbers(df, [key, order_by], "__rn", keep_part="__in")
+    firsts = numbered.groupBy(F.col(key).alias("__key"), "__in").agg(F.min("__rn").alias("__rn0"))
+    spanning = (firsts.groupBy("__key").agg(F.min("__rn0").alias("__start"), F.count(F.lit(1)).alias("__parts"))
+                .where("__parts > 1").drop("__parts"))
+    local = F.min("__rn").over(Window.partitionBy("__in", key))
+    return (numbered.withColumn("__first", local)
+            .join(F.broadcast(spanning), F.col(key).eqNullSafe(F.col("__key")), "left")
+            .withColumn(name, F.floor((F.col("__rn") - F.coalesce("__start", "__first")) / int(max_rows)).cast("bigint"))
+            .drop("__rn", "__in", "__first", "__start", "__key"))
 
 
 def key_documents(df: DataFrame, key: str, order_by: str, max_rows: int,
@@ -203,7 +217,7 @@ def write_documents(docs: DataFrame, path: str, text: str = "json", batch: str =
     (``batch=<n>/part-*.txt``), read back with ``multiline=True``.
     """
     if one_per_file:
-        docs.select(batch, text).write.mode(mode).partitionBy(batch).text(path)
+        docs.select(F.col(batch).alias(FOLDER), text).write.mode(mode).partitionBy(FOLDER).text(path)
     else:
         docs.select(text).write.mode(mode).text(path)
     return path
@@ -215,7 +229,7 @@ def read_documents_inferred(spark: SparkSession, path: str, names: list[str] | N
     dates stay text. Spark sorts inferred names, so the caller's order is
     restored."""
     df = spark.read.option("multiLine", str(multiline).lower()).json(path)
-    cols = names or [c for c in df.columns if c != "batch"]
+    cols = names or [c for c in df.columns if c != FOLDER]
     return df.select(*cols)
 
 

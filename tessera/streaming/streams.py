@@ -32,11 +32,14 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
-def run_until_drained(writer, path: str | None = None, timeout_s: int = 900):
-    """Start a stream writer with ``availableNow`` and wait for it to finish."""
+def run_until_drained(writer, path: str | None = None, timeout_s: int | None = None):
+    """Start a stream writer with ``availableNow`` and wait for it to finish,
+    without limit unless ``timeout_s`` is given."""
     q = writer.trigger(availableNow=True).start(path) if path else writer.trigger(availableNow=True).start()
     try:
-        if not q.awaitTermination(timeout_s):
+        if timeout_s is None:
+            q.awaitTermination()
+        elif not q.awaitTermination(timeout_s):
             raise TimeoutError(f"stream {q.name or q.id} still running after {timeout_s}s")
         if q.exception() is not None:
             raise RuntimeError(str(q.exception()))

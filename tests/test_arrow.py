@@ -196,10 +196,23 @@ def test_empty_and_one_row_tables(spark, tmp_dir):
     one = p.where(F.col("id") == 3)
     one.write.format("arrow_ipc").mode("overwrite").save(f"{tmp_dir}/o")
     assert _same(spark.read.format("arrow_ipc").load(f"{tmp_dir}/o"), one)
-    # An empty write leaves no data file, so there is no schema to read.
-    with pytest.raises(Exception):
-        spark.read.format("arrow_ipc").load(f"{tmp_dir}/e").schema
-    assert spark.read.format("arrow_ipc").schema(PERSON).load(f"{tmp_dir}/e").count() == 0
+    # An empty write keeps the schema, also when it overwrites rows.
+    back = spark.read.format("arrow_ipc").load(f"{tmp_dir}/e")
+    assert back.schema.names == p.schema.names and back.count() == 0
+    empty.write.format("arrow_ipc").mode("overwrite").save(f"{tmp_dir}/o")
+    assert spark.read.format("arrow_ipc").load(f"{tmp_dir}/o").count() == 0
+
+
+def test_overwrite_leaves_other_files(spark, tmp_dir):
+    import os
+    p = people(spark, SF)
+    p.write.format("arrow_ipc").mode("overwrite").save(f"{tmp_dir}/d")
+    with open(f"{tmp_dir}/d/notes.csv", "w") as f:
+        f.write("keep")
+    os.rename(f"{tmp_dir}/d/notes.csv", f"{tmp_dir}/d/_notes.csv")
+    p.limit(10).write.format("arrow_ipc").mode("overwrite").save(f"{tmp_dir}/d")
+    assert spark.read.format("arrow_ipc").load(f"{tmp_dir}/d").count() == 10
+    assert os.path.exists(f"{tmp_dir}/d/_notes.csv") and not os.path.exists(f"{tmp_dir}/d/_temporary")
 
 
 def test_filter_pushdown_matches_spark(spark, tmp_dir):

@@ -175,12 +175,57 @@ def test_hot_key_is_spread_over_parts(spark):
     assert sorted(r["rn"] for r in out) == list(range(n_rows))
     order = sorted(out, key=lambda r: r["rn"])
     assert all(a["k"] <= b["k"] for a, b in zip(order, order[1:]))
-    # The parts the hot key fell into (via the internal part function).
-    from tessera.operators.batches import _key_as_double, _with_part
-    qs = sorted(df.approxQuantile("k", [i / 12 for i in range(1, 12)], 0.001))
-    parts = (_with_part(df.withColumn("__tie", F.xxhash64("k", "i")), _key_as_double(df, "k"), qs, "p")
-             .where("k = 500").groupBy("p").count().collect())
-    assert len(parts) >= 3 and max(r["count"] for r in parts) < n_rows / 3
+    # The parts the hot key fell into.
+    parts, _ = batches._parts(df, ["k"], 12, "p")
+    counts = parts.where("k = 500").groupBy("p").count().collect()
+    assert len(counts) >= 3 and max(r["count"] for r in counts) < n_rows / 3
+
+
+KEYS = {
+    "bigint": ("bigint", [2**60 + i for i in range(900)]),
+    "decimal": ("decimal(30,0)", [10**25 + i for i in range(900)]),
+    "double": ("double", [float("nan") if i % 9 == 0 else i / 7 for i in range(900)]),
+    "halfnull": ("bigint", [None if i % 2 else i for i in range(900)]),
+    "string": ("string", [f"k{i % 300}é" for i in range(900)]),
+}
+
+
+@pytest.mark.parametrize("parts", [1, 8, 64, 1000])
+@pytest.mark.parametrize("kind", sorted(KEYS))
+def test_numbering_is_exact_for_any_key(spark, kind, parts):
+    ddl, keys = KEYS[kind]
+    from decimal import Decimal
+    rows = [(Decimal(k) if ddl.startswith("decimal") else k, i) for i, k in enumerate(keys)]
+    df = spark.createDataFrame(rows, f"k {ddl}, i int").repartition(5)
+    got = [r["i"] for r in batches.row_numbers(df, "k", buckets=parts).orderBy("rn").collect()]
+    want = [r["i"] for r in df.orderBy(F.col("k").asc_nulls_last(), batches.row_hash(df)).collect()]
+    assert got == want
+
+
+def test_numbering_of_wall_clock_times_under_dst(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = (spark.range(900).withColumn("k", F.expr("timestamp_ntz'2024-03-10 00:00:00' + id * interval '20' second"))
+              .repartition(5))
+        out = batches.row_numbers(df, "k", buckets=64).where("rn != id").count()
+        assert out == 0
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
+def test_no_part_holds_the_null_keys(spark):
+    df = spark.createDataFrame([(None if i % 2 else i, i) for i in range(4000)], "k bigint, i int")
+    parts, _ = batches._parts(df, ["k"], 8, "p")
+    assert max(r["count"] for r in parts.groupBy("p").count().collect()) < 1200
+
+
+def test_pages_over_tied_keys_cover_every_row_once(spark):
+    from tessera.operators import tables
+    df = spark.createDataFrame([(i % 3, i) for i in range(2500)], "k int, i int").repartition(4)
+    pages = [[r["i"] for r in tables.first_rows(df, "k", 500, at).collect()] for at in range(0, 2500, 500)]
+    rows = [i for p in pages for i in p]
+    assert sorted(rows) == list(range(2500))
+    assert rows == [r["i"] for r in df.orderBy("k", batches.row_hash(df)).collect()]
 
 
 def test_partition_profile_and_count(spark):

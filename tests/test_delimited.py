@@ -79,7 +79,7 @@ def test_bad_rows_by_mode(spark, tmp_dir, mode, expected):
 
 def test_bad_rows_failfast(spark, tmp_dir):
     path = _write(f"{tmp_dir}/bad/bad.csv", "1,a,2.5\n2,b,xx\n3,c\n4,d,1.0,9\n")
-    df = delimited.read_delimited(spark, path, schema=BAD_SCHEMA, mode="FAILFAST")
+    df = delimited.read_delimited(spark, path, schema=BAD_SCHEMA)    # the default
     with pytest.raises(Exception):
         df.collect()
 

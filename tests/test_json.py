@@ -135,7 +135,7 @@ def test_pretty_documents_one_per_file(spark, tmp_dir):
     b = batches.fixed_size_batches(p, "id", 500)
     path = jt.write_documents(jt.rows_documents(b, "id", pretty=True), f"{tmp_dir}/pretty",
                               one_per_file=True)
-    assert len(glob.glob(f"{path}/batch=*/*.txt")) == 3
+    assert len(glob.glob(f"{path}/__document=*/*.txt")) == 3
     back = jt.read_documents_typed(spark, path, PERSON, multiline=True).select(*PERSON_COLUMNS)
     assert _same(back, p)
 
@@ -156,6 +156,18 @@ def test_key_documents_bounded_under_a_hot_key(spark):
     assert _same(jt.read_columns(cdocs, "json", s), df)
 
 
+def test_a_small_key_is_one_document(spark):
+    df = spark.createDataFrame([(k, o) for k in range(20) for o in range(3)], "k bigint, o bigint").repartition(4)
+    docs = jt.key_documents(df, "k", "o", 4)
+    assert docs.count() == 20 and docs.where("doc != 0").count() == 0
+
+
+def test_a_column_named_batch_survives(spark, tmp_dir):
+    with open(f"{tmp_dir}/x.json", "w") as f:
+        f.write('[{"id":1,"batch":7}]')
+    assert jt.read_documents_inferred(spark, f"{tmp_dir}/x.json").columns == ["batch", "id"]
+
+
 def test_pretty_column_helper(spark):
     from pyspark.sql import types as T
     d = _docs(spark, ROWS_DOC).select(jt.pretty("json", T.ArrayType(PERSON)).alias("json"))

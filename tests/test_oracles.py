@@ -7,11 +7,12 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry_mod
+from tessera.plans import catalog
 from tests.conftest import SF_SMALL
 from tests.oracle_compare import compare, duck
 
-QUERIES = entry_mod.queries()
-ORACLES = entry_mod.oracle_sql()
+QUERIES = catalog.queries()
+ORACLES = catalog.oracle_sql()
 
 
 @pytest.fixture(scope="module")
@@ -21,6 +22,7 @@ def con():
 
 def test_every_query_is_registered():
     assert len(QUERIES) >= 72
+    assert set(QUERIES) <= set(entry_mod.queries()) and set(ORACLES) <= set(entry_mod.oracle_sql())
     assert set(ORACLES) <= set(QUERIES)
     rows_only = set(QUERIES) - set(ORACLES)
     assert rows_only == {"partition_profile"}
