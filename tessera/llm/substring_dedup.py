@@ -252,11 +252,11 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                             c.append(x)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out[0], pa.int64()), pa.array(out[1], pa.int32()), pa.array(out[2], pa.int64()),
-                     pa.array([hashlib.md5(x).digest() for x in out[3]], pa.binary()), pa.array([x.decode("utf-8", "surrogatepass") for x in out[3]], pa.string())],
+                     pa.array(np.array([xxhash.xxh64_intdigest(x) for x in out[3]], dtype=np.uint64).view(np.int64)), pa.array([x.decode("utf-8", "surrogatepass") for x in out[3]], pa.string())],
                     names=["row", "first", "m", "key", "seg"])
 
     seg = materialize(base.select("row", "line").join(hits, F.col("row") == F.col("row_")).select("row", "line", "hits")
-                      .mapInArrow(extract, "row long, first int, m long, key binary, seg string"), "substring-segments")
+                      .mapInArrow(extract, "row long, first int, m long, key long, seg string"), "substring-segments")
     unique = materialize(seg.groupBy("m", "key", "seg").agg(F.count(F.lit(1)).alias("c")), "substring-reference")
     hot = materialize(unique.groupBy(F.col("m").alias("m_")).agg(F.count(F.lit(1)).alias("u")).where(F.col("u") > shard).select("m_"), "substring-hot")
     some_hot = bool(hot.limit(1).count())
@@ -266,7 +266,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         out: list[list] = [[], [], []]
 
         def batch() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.binary()), pa.array(out[2], pa.binary())],
+            return pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.binary())],
                                               names=["m_", "key_", "mask"])
 
         for g in groups(batches, ["m"]):
@@ -284,7 +284,7 @@ def repeated_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     calm = calm.withColumn("size", F.size(F.split("seg", " ")))
     masks = (calm.select("m", "key", "seg", "c", "size").repartition(parts, "m").sortWithinPartitions("m")
-             .mapInArrow(match, "m_ long, key_ binary, mask binary"))
+             .mapInArrow(match, "m_ long, key_ long, mask binary"))
     if some_hot:
         masks = masks.union(_count_hot(unique.join(hot, F.col("m") == F.col("m_"), "left_semi"), least))
     masks = materialize(masks, "substring-masks")
@@ -348,4 +348,4 @@ def _count_hot(hot: DataFrame, least: int) -> DataFrame:
                 masks.append(_mask(flags))
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(masks, pa.binary())], names=["m_", "key_", "mask"])
 
-    return found.mapInArrow(pack, "m_ long, key_ binary, mask binary")
+    return found.mapInArrow(pack, "m_ long, key_ long, mask binary")
