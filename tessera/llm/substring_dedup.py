@@ -13,8 +13,9 @@ of occurrences, are the reference, sharded by minimizer.
 Matching. A suffix automaton over the words of a shard counts the occurrences
 of every state. The shard's segments are streamed through it: where the match
 is ``least`` words long or more, the state of exactly that length tells
-whether the window occurs twice. Words are compared as text, so no hash
-decides. Every window belongs to one segment, and equal windows to one shard,
+whether the window occurs twice. Words are compared as text. The
+answer goes back to a segment by its minimizer and a 64-bit hash of its text;
+only there would a collision (of both) matter. Every window belongs to one segment, and equal windows to one shard,
 so the counts are those of the whole corpus.
 
 Scale. Shards are co-partitioned with the segments that need them, not sent
