@@ -20,7 +20,7 @@ that many rows share. Only rows equal in every column stay together.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Rows a numbering part is meant to hold; more rows give more parts.
@@ -157,7 +157,7 @@ def batch_lengths(df: DataFrame, batch: str = "batch") -> DataFrame:
     return df.groupBy(batch).agg(F.count(F.lit(1)).alias("rows"))
 
 
-def batch_partials(df: DataFrame, value: str, batch: str = "batch") -> DataFrame:
+def batch_partials(df: DataFrame, value: str, batch: str | list[str] = "batch") -> DataFrame:
     """Per batch: sum of present values (0 for an all-missing batch) and the
     row count, missing rows included."""
     return df.groupBy(batch).agg(
@@ -193,3 +193,13 @@ def arrow_batch_partials(df: DataFrame, value: str) -> DataFrame:
                 {"sum": [float(s) if s is not None else 0.0], "rows": [b.num_rows]},
                 schema=pa.schema([("sum", pa.float64()), ("rows", pa.int64())]))
     return df.select(value).mapInArrow(fold, "sum double, rows bigint")
+
+
+def stored_batch_partials(spark: SparkSession, path: str, value: str) -> DataFrame:
+    """(file, batch, sum, rows) of each record batch as the Arrow files under
+    ``path`` store it; combine with ``combine_partials``. Only ``value`` is
+    decoded, and partial aggregation leaves one row per batch to shuffle."""
+    from ..sources import arrow_ipc
+    rows = arrow_ipc.read(spark, path, columns=value, batchOf="__file,__batch")
+    out = batch_partials(rows, value, ["__file", "__batch"])
+    return out.withColumnsRenamed({"__file": "file", "__batch": "batch"})

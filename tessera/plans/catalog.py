@@ -94,12 +94,19 @@ def _json_inferred(spark, sf_dir) -> DataFrame:
     return json_tables.read_documents_inferred(spark, path, PERSON_COLUMNS)
 
 
+def _arrow_batched(spark, sf_dir, label) -> str:
+    """People as Arrow files whose record batches are the numbered batches."""
+    # No fixed count: AQE coalesces the shuffle into tasks of a useful size.
+    laid = _batched(spark, sf_dir).repartition("batch").sortWithinPartitions("batch", "id")
+    path = scratch_path(spark, label)
+    laid.write.format(ARROW).mode("overwrite").option("batch", str(BATCH_ROWS)) \
+        .option("batchColumn", "batch").save(path)
+    return path
+
+
 def _mixed_documents(spark, sf_dir) -> DataFrame:
     """Even batches in the rows layout, odd batches in the columns layout."""
-    b = _batched(spark, sf_dir)
-    r = json_tables.rows_documents(b, "id").where(F.col("batch") % 2 == 0)
-    c = json_tables.columns_documents(b, "id").where(F.col("batch") % 2 == 1)
-    return r.unionByName(c)
+    return json_tables.mixed_documents(_batched(spark, sf_dir), "id", F.col("batch") % 2 == 0)
 
 
 def _round(c, name):
@@ -149,11 +156,12 @@ def csv_read_text_rows(spark, sf_dir):
        "SELECT count(*) AS rows, count(Wage) AS present, "
        "round(coalesce(sum(Wage), 0), 6) AS sum FROM people")
 def csv_chunk_stats(spark, sf_dir):
-    """Split the scan into N typed chunks (N = parallelism, or 8 with
-    one slot, as the reference), visit each, total the visits."""
-    path = _people_csv(spark, sf_dir, "csv-chunks", min_files=4)
+    """The scan's own splits are the typed chunks (the files are written
+    for as many as the parallelism, or 8 with one slot), visit each, total the
+    visits."""
+    path = _people_csv(spark, sf_dir, "csv-chunks", min_files=delimited.default_chunks(spark))
     df = _read_people_csv(spark, path)
-    parts = delimited.chunks(df, delimited.default_chunks(spark)).groupBy("chunk").agg(
+    parts = delimited.chunks(df).groupBy("chunk").agg(
         F.count(F.lit(1)).alias("rows"), F.count("Wage").alias("present"),
         F.coalesce(F.sum("Wage"), F.lit(0.0)).alias("sum"))
     return parts.agg(F.sum("rows").cast("bigint").alias("rows"),
@@ -224,6 +232,38 @@ def arrow_stream_read(spark, sf_dir):
                                     scratch_path(spark, "arrow-stream-ckpt"))
 
 
+@query("arrow_stream_after_append", SELECT_ALL)
+def arrow_stream_after_append(spark, sf_dir):
+    """A folder filled by a stream sink, streamed, then appended to by a
+    batch write (whose file names sort differently), and streamed on."""
+    p = people(spark, sf_dir)
+    src, out, seen = (scratch_path(spark, f"arrow-appended-{x}") for x in ("src", "out", "ckpt"))
+    lines = delimited.write_delimited(p.where("id % 2 = 0"), scratch_path(spark, "arrow-appended-csv"))
+    streams.drain_to_arrow(streams.csv_stream(spark, lines, PERSON), src, scratch_path(spark, "arrow-appended-sink"))
+    streams.drain_to_parquet(streams.arrow_stream(spark, src), out, seen)
+    p.where("id % 2 = 1").write.format(ARROW).mode("append").save(src)
+    return streams.drain_to_parquet(streams.arrow_stream(spark, src), out, seen)
+
+
+@query("arrow_merged_schema", "SELECT id, Fname, CASE WHEN id % 2 = 1 THEN Wage END AS Wage FROM people")
+def arrow_merged_schema(spark, sf_dir):
+    """K3: an append that brings a column; rows of older files lack it."""
+    p = people(spark, sf_dir)
+    path = _people_arrow(spark, sf_dir, "arrow-merged", df=p.where("id % 2 = 0").select("id", "Fname"))
+    p.where("id % 2 = 1").select("id", "Fname", "Wage").write.format(ARROW).mode("append").save(path)
+    return spark.read.format(ARROW).option("mergeSchema", "true").load(path)
+
+
+@query("csv_text_values", SELECT_ALL)
+def csv_text_values(spark, sf_dir):
+    """Whole delimited texts, many lines in one value, parsed to rows."""
+    b = _batched(spark, sf_dir)
+    lines = b.select("batch", "id", delimited.to_delimited_column(b, PERSON_COLUMNS))
+    texts = lines.groupBy("batch").agg(F.array_sort(F.collect_list(F.struct("id", "line"))).alias("l")).select(
+        "batch", F.array_join(F.transform("l", lambda x: x["line"]), "\n").alias("text"))
+    return delimited.read_text_values(texts, "text", PERSON)
+
+
 @query("arrow_read_raw_struct", SELECT_ALL)
 def arrow_read_raw_struct(spark, sf_dir):
     """Record column read without conversion: a plain struct."""
@@ -285,10 +325,7 @@ def json_documents_per_key(spark, sf_dir):
     point. The text holds line breaks and non-ASCII letters."""
     conv = table(spark, sf_dir, "conversations")
     tagged = json_tables.key_batches(conv, "conv_id", "turn", CONV_DOC_ROWS)
-    keys = ["conv_id", "doc"]
-    r = json_tables.rows_documents(tagged, "turn", batch=keys, columns=conv.columns)
-    c = json_tables.columns_documents(tagged, "turn", batch=keys, columns=conv.columns)
-    docs = r.where(F.col("doc") % 2 == 0).unionByName(c.where(F.col("doc") % 2 == 1))
+    docs = json_tables.mixed_documents(tagged, "turn", F.col("doc") % 2 == 0, batch=["conv_id", "doc"], columns=conv.columns)
     return json_tables.read_auto(docs, "json", conv.schema)
 
 
@@ -351,13 +388,7 @@ def arrow_write_read(spark, sf_dir):
 def arrow_write_batched(spark, sf_dir):
     """K2: Arrow written with exactly N rows per record batch (the last one
     short): batches numbered globally, one batch never split across tasks."""
-    b = _batched(spark, sf_dir)
-    # No fixed count: AQE coalesces the shuffle into tasks of a useful size.
-    laid = b.repartition("batch").sortWithinPartitions("batch", "id")
-    path = scratch_path(spark, "arrow-batched")
-    laid.write.format(ARROW).mode("overwrite").option("batch", str(BATCH_ROWS)) \
-        .option("batchColumn", "batch").save(path)
-    sizes = spark.read.format(ARROW).option("content", "batches").load(path)
+    sizes = spark.read.format(ARROW).option("content", "batches").load(_arrow_batched(spark, sf_dir, "arrow-batched"))
     return sizes.groupBy(F.col("rows").alias("batch_rows")).agg(F.count(F.lit(1)).alias("batches"))
 
 
@@ -522,8 +553,8 @@ def select_columns(spark, sf_dir):
        "SELECT CAST(row_number() OVER () - 1 AS BIGINT) AS position, column_name AS name "
        "FROM (DESCRIBE people)")
 def schema_names(spark, sf_dir):
-    """Column names of a delimited read."""
-    df = delimited.read_delimited(spark, _people_csv(spark, sf_dir, "csv-names"), schema=PERSON)
+    """Column names, as a delimited file's header gives them."""
+    df = delimited.read_delimited(spark, _people_csv(spark, sf_dir, "csv-names", header=True), header=True)
     return tables.schema_names(df).select(F.col("position").cast("bigint"), "name")
 
 
@@ -698,12 +729,14 @@ def mean_by_chunks(spark, sf_dir):
     return _mean_out(batches.combine_partials(batches.chunk_partials(df, "Wage")))
 
 
-@query("mean_by_arrow_batches", MEAN_ALL)
+@query("mean_by_arrow_batches",
+       f"SELECT *, CAST(ceil(rows / {BATCH_ROWS}.0) AS BIGINT) AS parts FROM ({MEAN_ALL})")
 def mean_by_arrow_batches(spark, sf_dir):
-    """The same over Arrow record batches (partials in Python)."""
-    path = _people_arrow(spark, sf_dir, "arrow-mean", batch=str(BATCH_ROWS))
-    df = spark.read.format(ARROW).option("columns", "Wage").load(path)
-    return _mean_out(batches.combine_partials(batches.arrow_batch_partials(df, "Wage")))
+    """The same over the record batches as the files store them, and how
+    many there are."""
+    partials = batches.stored_batch_partials(spark, _arrow_batched(spark, sf_dir, "arrow-mean"), "Wage")
+    out = batches.combine_partials(partials)
+    return out.select("rows", _round(F.col("sum"), "sum"), _round(F.col("mean"), "mean"), "parts")
 
 
 @query("mean_from_text_rows",

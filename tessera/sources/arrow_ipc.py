@@ -5,7 +5,12 @@ task), so appends add files and readers see every batch of every file.
 
 Read options
   ``columns``    comma-separated projection (Python sources are not pruned
-                 by Catalyst, so ask for the columns you need)
+                 by Catalyst, so ask for the columns you need); others are
+                 not decoded
+  ``batchOf``    two names, comma-separated: columns added for the file and the
+                 record batch (from 0 in its file) that a row is stored in
+  ``mergeSchema``  "true" reads the union of all files' columns, null where a
+                 file lacks one; by default files with other columns fail
   ``convert``    "true" (default): a struct field whose metadata names a
                  registered record type is read as that type, after a
                  compatibility and required-field check; "false": plain struct
@@ -26,6 +31,8 @@ Write options
   ``batchColumn``  integer column; a new record batch starts whenever it
                    changes, and the column itself is not written
   ``maxRowsPerFile``  start a new file after this many rows
+  ``maxBytesPerFile`` start a new file after this many bytes (256 MB by
+                   default), so no reader's task grows with the writer's
   ``metadata``     table-level metadata stored in the IPC schema, as a JSON
                    object (``metadata.<key>`` also works, keys lower-cased)
 
@@ -49,7 +56,6 @@ from pyspark.sql.datasource import (
     DataSourceArrowWriter,
     DataSourceReader,
     DataSourceStreamArrowWriter,
-    DataSourceStreamReader,
     EqualTo,
     GreaterThan,
     GreaterThanOrEqual,
@@ -95,10 +101,17 @@ METADATA_SCHEMA = T.StructType([
 # Storage helpers (executor- and driver-side)
 # --------------------------------------------------------------------------
 
+#: Hadoop's names of stores that pyarrow knows by another name.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
+
+
 def _uri(path: str) -> str:
-    if path.startswith("file:") and not path.startswith("file://"):
-        return "file://" + path[len("file:"):]
-    return path
+    """A path as Spark prints it, as pyarrow takes it (nothing is escaped in
+    either)."""
+    if path.startswith("file:"):
+        return "/" + path[len("file:"):].lstrip("/")
+    scheme, sep, rest = path.partition("://")
+    return f"{_SCHEMES.get(scheme, scheme)}://{rest}" if sep else path
 
 
 def filesystem(path: str) -> tuple[pafs.FileSystem, str]:
@@ -130,20 +143,35 @@ def list_data_files(path: str) -> list[tuple[str, int]]:
 
 
 @contextmanager
-def open_reader(fs: pafs.FileSystem, p: str):
-    """A reader for either flavour, as (kind, reader); the file is closed on exit."""
+def open_reader(fs: pafs.FileSystem, p: str, columns: list[str] | None = None):
+    """A reader for either flavour, as (kind, reader, names of all stored
+    columns); the file is closed on exit. With ``columns`` only those are
+    decoded."""
     f = fs.open_input_file(p)
     try:
-        if f.read(6) == _MAGIC:
+        kind, opened = ("file", pa.ipc.open_file) if f.read(6) == _MAGIC else ("stream", pa.ipc.open_stream)
+        f.seek(0)
+        r = opened(f)
+        stored = r.schema.names
+        wanted = sorted({stored.index(c) for c in columns or [] if c in stored})
+        if wanted and len(wanted) < len(stored):
             f.seek(0)
-            yield "file", pa.ipc.open_file(f)
-        else:
-            f.seek(0)
-            yield "stream", pa.ipc.open_stream(f)
+            r = opened(f, options=pa.ipc.IpcReadOptions(included_fields=wanted))
+        yield kind, r, stored
     finally:
         f.close()
 
 
+def batch_sizes(fs: pafs.FileSystem, p: str) -> list[int]:
+    """Rows of each record batch; one narrow column is decoded for them."""
+    with open_reader(fs, p) as (_, r, stored):
+        narrow = [f.name for f in r.schema if pa.types.is_primitive(f.type)] or stored
+    with open_reader(fs, p, narrow[:1]) as (kind, r, _):
+        if kind == "file":
+            return [r.get_batch(i).num_rows for i in range(r.num_record_batches)]
+        return [b.num_rows for b in r]
+
+
 def decode_ipc(data: bytes) -> pa.ipc.RecordBatchStreamReader | pa.ipc.RecordBatchFileReader:
     buf = pa.py_buffer(data)
     if data[:6] == _MAGIC:
@@ -252,6 +280,13 @@ def _opt(options, key: str, default=None):
     return default if v is None else v
 
 
+def _batch_of(options) -> list[str]:
+    names = [n.strip() for n in _opt(options, "batchOf", "").split(",") if n.strip()]
+    if len(names) not in (0, 2):
+        raise ValueError("batchOf takes two column names")
+    return names
+
+
 def _truthy(v) -> bool:
     return str(v).strip().lower() in ("1", "true", "yes")
 
@@ -277,8 +312,17 @@ class ArrowIpcDataSource(DataSource):
         if not files:
             raise FileNotFoundError(f"no Arrow IPC files under {self._path()}")
         fs, _ = filesystem(self._path())
-        with open_reader(fs, files[0][0]) as (_, r):
-            s = to_spark_schema(r.schema)
+
+        def stored(p: str) -> pa.Schema:
+            with open_reader(fs, p) as (_, r, _names):
+                return r.schema
+
+        if _truthy(_opt(self.options, "mergeSchema", "false")):
+            from concurrent.futures import ThreadPoolExecutor
+            with ThreadPoolExecutor(32) as pool:    # headers only
+                s = to_spark_schema(pa.unify_schemas(list(pool.map(stored, [p for p, _ in files]))))
+        else:
+            s = to_spark_schema(stored(files[0][0]))
         cols = _opt(self.options, "columns")
         if cols:
             names = [c.strip() for c in cols.split(",") if c.strip()]
@@ -287,6 +331,11 @@ class ArrowIpcDataSource(DataSource):
             given = json.loads(_opt(self.options, "types", "{}"))
             s = resolve_named_types(s, {k: T.StructType.fromJson(json.loads(v))
                                         for k, v in given.items()})
+        taken = [n for n in _batch_of(self.options) if n in s.names]
+        if taken:
+            raise ValueError(f"batchOf names stored columns: {taken}")
+        s = T.StructType([*s.fields, *(T.StructField(n, t, True) for n, t in zip(
+            _batch_of(self.options), (T.StringType(), T.IntegerType())))])
         # Like every file source, top-level columns are read as nullable.
         return T.StructType([T.StructField(f.name, f.dataType, True, f.metadata) for f in s.fields])
 
@@ -294,16 +343,16 @@ class ArrowIpcDataSource(DataSource):
         # Spark refuses a reader that implements pushFilters while
         # spark.sql.python.filterPushdown.enabled is false (``attach`` turns
         # it on); ``pushFilters=false`` gives a reader without it.
-        if not _truthy(_opt(self.options, "pushFilters", "true")):
-            return ArrowIpcPlainReader(dict(self.options), schema, self._path())
-        return ArrowIpcReader(dict(self.options), schema, self._path())
+        kind = ArrowIpcReader if _truthy(_opt(self.options, "pushFilters", "true")) else ArrowIpcPlainReader
+        reader = kind(dict(self.options), schema, self._path())
+        # A whole-table read must not leave out columns that other files hold.
+        reader.strict = (reader.content == "rows" and not reader.merge and not _opt(self.options, "columns")
+                         and bool(list_data_files(self._path())) and self.schema().names == schema.names)
+        return reader
 
     def writer(self, schema: T.StructType, overwrite: bool):
         return ArrowIpcWriter(dict(self.options), schema, overwrite, self._path())
 
-    def streamReader(self, schema: T.StructType):
-        return ArrowIpcStreamReader(dict(self.options), schema, self._path())
-
     def streamWriter(self, schema: T.StructType, overwrite: bool):
         return ArrowIpcStreamWriter(dict(self.options), schema, overwrite, self._path())
 
@@ -372,6 +421,9 @@ class ArrowIpcReader(DataSourceReader):
         self.root = root
         self.filters: list = []
         self.content = _opt(options, "content", "rows")
+        self.merge = _truthy(_opt(options, "mergeSchema", "false"))
+        self.batch_of = _batch_of(options)
+        self.strict = False
         self.split_bytes = int(_opt(options, "splitBytes", 256 * 1024 * 1024))
         self.batches_per_split = int(_opt(options, "batchesPerSplit", 8))
 
@@ -422,15 +474,16 @@ class ArrowIpcReader(DataSourceReader):
         yield from _read_split(self, partition)
 
     def _read_metadata(self, fs, p):
-        with open_reader(fs, p) as (_, r):
+        with open_reader(fs, p) as (_, r, _names):
             s = r.schema
+        text = lambda raw: raw.decode("utf-8", "replace")
         for k, v in (s.metadata or {}).items():
-            yield (p, "", k.decode(), v.decode())
+            yield (p, "", text(k), text(v))
 
         def walk(field: pa.Field, prefix: str):
             scope = f"{prefix}{field.name}"
             for k, v in (field.metadata or {}).items():
-                yield (p, scope, k.decode(), v.decode())
+                yield (p, scope, text(k), text(v))
             if pa.types.is_struct(field.type):
                 for i in range(field.type.num_fields):
                     yield from walk(field.type.field(i), scope + ".")
@@ -453,35 +506,51 @@ def _read_split(reader, partition: _Split):
         yield from reader._read_metadata(fs, partition.path)
         return
     if reader.content == "batches":
-        with open_reader(fs, partition.path) as (kind, r):
-            if kind == "file":
-                sizes = [r.get_batch(i).num_rows for i in range(r.num_record_batches)]
-            else:
-                sizes = [b.num_rows for b in r]
-        for i, n in enumerate(sizes):
+        for i, n in enumerate(batch_sizes(fs, partition.path)):
             yield (partition.path, i, n)
         return
-    schema = reader.schema
+    yield from read_file(fs, partition.path, reader.schema, first=partition.first or 0, last=partition.last,
+                         filters=reader.filters, batch_of=reader.batch_of, merge=reader.merge, strict=reader.strict)
+
+
+def read_file(fs: pafs.FileSystem, p: str, schema: T.StructType, first: int = 0, last: int | None = None,
+              filters: list | None = None, batch_of: list[str] | None = None, merge: bool = False,
+              strict: bool = False) -> Iterator[pa.RecordBatch]:
+    """The record batches ``first`` to ``last`` of a file in the columns and
+    types of ``schema``, one at a time."""
     target = relaxed(to_arrow_schema(schema))
-    names = [f.name for f in schema.fields]
+    place = batch_of or []
+    names = [f.name for f in schema.fields if f.name not in place]
+    body = pa.schema([target.field(n) for n in names])
     needs_check = any(isinstance(f.dataType, T.StructType) and _required_paths(f.dataType)
                       for f in schema.fields)
-    with open_reader(fs, partition.path) as (kind, r):
+    with open_reader(fs, p, names) as (kind, r, stored):
+        missing = [n for n in names if n not in stored]
+        if missing and not merge:
+            raise ValueError(f"{p} lacks columns {missing}; mergeSchema=true reads them as null")
+        extra = [n for n in stored if n not in names]
+        if extra and strict:
+            raise ValueError(f"{p} holds more columns, {extra}; read with mergeSchema=true or with columns")
         if kind == "file":
-            lo = partition.first or 0
-            hi = r.num_record_batches if partition.last is None else partition.last
-            batches = (r.get_batch(i) for i in range(lo, hi))
+            batches = (r.get_batch(i) for i in range(first, r.num_record_batches if last is None else last))
         else:
             batches = iter(r)
-        for b in batches:
+        for number, b in enumerate(batches, first):
+            n = b.num_rows
+            b = b.select([c for c in names if c not in missing])
+            for c in missing:
+                b = b.append_column(c, pa.nulls(n, body.field(c).type))
             b = b.select(names)
             if needs_check:
                 _check_required(b, schema)
             # Filters see the values as Spark will (after the cast to its types).
-            b = cast_batch(b, target)
-            if reader.filters:
-                mask = _filter_mask(b, reader.filters[0])
-                for f in reader.filters[1:]:
+            b = cast_batch(b, body)
+            if place:
+                added = dict(zip(place, (pa.repeat(p, n), pa.repeat(pa.scalar(number, pa.int32()), n))))
+                b = pa.RecordBatch.from_arrays([added[c] if c in added else b.column(c) for c in target.names], schema=target)
+            if filters:
+                mask = _filter_mask(b, filters[0])
+                for f in filters[1:]:
                     mask = pc.and_kleene(mask, _filter_mask(b, f))
                 b = b.filter(pc.fill_null(mask, False))
                 if b.num_rows == 0:
@@ -489,45 +558,6 @@ def _read_split(reader, partition: _Split):
             yield b
 
 
-class ArrowIpcStreamReader(DataSourceStreamReader):
-    """New files of a dataset folder as a stream.
-
-    The offset is the last file name read: producers add files in name order
-    (this library's writers do: names start with the write time or the
-    micro-batch id). Each new file is one split, read batch by batch, so a
-    task holds one record batch at a time whatever the file size.
-    """
-
-    def __init__(self, options: dict, schema: T.StructType, root: str):
-        self.options = options
-        self.schema = schema
-        self.root = root
-        self.content = "rows"
-        self.filters: list = []
-
-    def _names(self) -> list[str]:
-        _, base = filesystem(self.root)
-        return [p[len(base):].lstrip("/") for p, _ in list_data_files(self.root)]
-
-    def initialOffset(self) -> dict:
-        return {"upto": ""}
-
-    def latestOffset(self) -> dict:
-        names = self._names()
-        return {"upto": names[-1] if names else ""}
-
-    def partitions(self, start: dict, end: dict):
-        _, base = filesystem(self.root)
-        lo, hi = start.get("upto", ""), end.get("upto", "")
-        return [_Split(f"{base}/{n}", None, None) for n in self._names() if lo < n <= hi]
-
-    def read(self, partition):
-        yield from _read_split(self, partition)
-
-    def commit(self, end: dict) -> None:
-        pass
-
-
 class _Commit(WriterCommitMessage):
     def __init__(self, files: list[tuple[str, str]], rows: int, batches: int):
         self.files, self.rows, self.batches = files, rows, batches
@@ -545,6 +575,7 @@ class _WriterBase:
         self.batch_rows = int(_opt(options, "batch", 0)) or None
         self.batch_col = _opt(options, "batchColumn")
         self.max_rows_per_file = int(_opt(options, "maxRowsPerFile", 0)) or None
+        self.max_bytes = int(_opt(options, "maxBytesPerFile", 256 << 20))
         # Option keys reach the source lower-cased; ``metadata`` as a JSON
         # object keeps the caller's spelling of table-level keys.
         self.table_meta = {k[len("metadata."):]: v for k, v in options.items()
@@ -556,8 +587,6 @@ class _WriterBase:
         # The schema handed to the writer carries column metadata (type
         # names, colmetadata); incoming batches do not, so it is applied here.
         self.arrow_schema = relaxed(to_arrow_schema(T.StructType(out_fields), self.table_meta))
-        # Write time first, so file names sort in the order data arrived
-        # (the stream reader's offset relies on it).
         self.job = f"{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:8]}"
         self.ext = FILE_EXT if self.flavor == "file" else STREAM_EXT
 
@@ -595,8 +624,8 @@ class _WriterBase:
             nonlocal total_rows, total_batches
             if batch.num_rows == 0:
                 return
-            if state["w"] is None or (self.max_rows_per_file
-                                      and state["rows_in_file"] >= self.max_rows_per_file):
+            if state["w"] is None or state["sink"].tell() >= self.max_bytes or (
+                    self.max_rows_per_file and state["rows_in_file"] >= self.max_rows_per_file):
                 open_next()
             state["w"].write_batch(batch)
             state["rows_in_file"] += batch.num_rows
@@ -774,9 +803,6 @@ def _planner_source(package_root: str) -> type:
         def writer(self, schema, overwrite):
             return self._impl().writer(schema, overwrite)
 
-        def streamReader(self, schema):
-            return self._impl().streamReader(schema)
-
         def streamWriter(self, schema, overwrite):
             return self._impl().streamWriter(schema, overwrite)
 

@@ -60,8 +60,8 @@ def to_spark_type(t: pa.DataType) -> T.DataType:
 def _meta_in(meta: dict | None) -> dict:
     if not meta:
         return {}
-    return {k.decode() if isinstance(k, bytes) else k:
-            v.decode() if isinstance(v, bytes) else v for k, v in meta.items()}
+    return {k.decode("utf-8", "replace") if isinstance(k, bytes) else k:
+            v.decode("utf-8", "replace") if isinstance(v, bytes) else v for k, v in meta.items()}
 
 
 def to_spark_field(f: pa.Field) -> T.StructField:

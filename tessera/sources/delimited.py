@@ -83,10 +83,6 @@ def at_least(df: DataFrame, n: int | None) -> DataFrame:
     return df
 
 
-def _reader(spark: SparkSession, **kw):
-    return spark.read.options(**_opts(**kw))
-
-
 def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
     # Only a scan with fewer splits than asked (a few gzip files) is spread.
     return at_least(df, partitions)
@@ -116,9 +112,8 @@ def read_delimited(spark: SparkSession, path: str, *, names: list[str] | None =
     into a null (``PERMISSIVE``), so the full pass stays the default.
     """
     mode = mode or ("PERMISSIVE" if corrupt_column is not None else "FAILFAST")
-    r = _reader(spark, sep=sep, quote=quote, escape=escape, null_value=null_value,
-                date_format=date_format, timestamp_format=timestamp_format,
-                header=header, mode=mode, multiline=multiline, extra=extra)
+    opts = _opts(sep, quote, escape, null_value, date_format, timestamp_format, header, mode, multiline, extra)
+    r = spark.read.options(**opts)
     if corrupt_column is not None:
         if schema is None:
             raise ValueError("corrupt_column needs an explicit schema")
@@ -128,8 +123,8 @@ def read_delimited(spark: SparkSession, path: str, *, names: list[str] | None =
         df = r.schema(schema).csv(path)
     elif infer:
         if sample is not None:
-            r = r.option("samplingRatio", str(sample))
-        df = widen_inferred(_infer(spark, r, path))
+            opts["samplingRatio"] = str(sample)
+        df = widen_inferred(r.schema(_inferred(spark, opts, path)).csv(path))
     else:
         df = r.csv(path)
     if names is not None and schema is None:
@@ -139,20 +134,16 @@ def read_delimited(spark: SparkSession, path: str, *, names: list[str] | None =
     return _spread(df, partitions)
 
 
-def _infer(spark: SparkSession, reader, path: str) -> DataFrame:
-    """Inference pass with zone-less timestamps: the text holds wall-clock
-    values, so they are inferred as ``timestamp_ntz`` directly (no round trip
-    through the session zone). Inference runs here, once; the setting is
-    restored right after."""
-    key = "spark.sql.timestampType"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "TIMESTAMP_NTZ")
-    try:
-        df = reader.option("inferSchema", "true").csv(path)
-        df.schema  # resolve now, under the setting
-    finally:
-        spark.conf.set(key, before)
-    return df
+def _inferred(spark: SparkSession, opts: dict, path: str) -> T.StructType:
+    """The inferred schema, with zone-less timestamps: the text holds wall-clock
+    values, so they are ``timestamp_ntz`` directly (no round trip through the
+    session zone). A session of its own carries the setting, so other threads
+    of the caller's never see it."""
+    other = spark.newSession()
+    for key in ("spark.sql.session.timeZone", "spark.sql.caseSensitive", "spark.sql.legacy.timeParserPolicy"):
+        other.conf.set(key, spark.conf.get(key))
+    other.conf.set("spark.sql.timestampType", "TIMESTAMP_NTZ")
+    return other.read.options(**opts).option("inferSchema", "true").csv(path).schema
 
 
 def text_schema(names: list[str]) -> T.StructType:
@@ -203,11 +194,32 @@ def to_delimited_column(df: DataFrame, columns: list[str] | None = None, *, sep:
                                       "timestampFormat": timestamp_format}).alias(name)
 
 
-def parse_delimited_column(text: Column | str, schema: T.StructType, *, sep: str = ",",
+def parse_delimited_column(text: Column | str, schema: T.StructType, *, sep: str = ",", escape: str = "\\",
                            timestamp_format: str = TIMESTAMP_TEXT, mode: str = "FAILFAST",
                            name: str = "row") -> Column:
     """Parse delimited text held in a column into a struct (``from_csv``)."""
     col = F.col(text) if isinstance(text, str) else text
-    return F.from_csv(col, ddl(schema), {"sep": sep, "timestampNTZFormat": timestamp_format,
+    return F.from_csv(col, ddl(schema), {"sep": sep, "escape": escape, "timestampNTZFormat": timestamp_format,
                                          "timestampFormat": timestamp_format,
                                          "mode": mode}).alias(name)
+
+
+def _record_pattern(escape: str) -> str:
+    """A record: anything up to a line end, quoted parts (with their line ends)
+    included. Possessive throughout, so a long text never backtracks."""
+    inner = r'[^"]++|""' if escape == '"' else r'[^"\\]++|\\.|""'
+    return rf"""(?s)(?:[^"\r\n]++|"(?:{inner})*+")++"""
+
+
+def read_text_values(df: DataFrame, text: str, schema: T.StructType, *, keep: list[str] | None = None,
+                     sep: str = ",", escape: str = "\\", timestamp_format: str = TIMESTAMP_TEXT,
+                     mode: str = "FAILFAST") -> DataFrame:
+    """The rows of whole delimited texts held one per value, with the columns
+    ``keep``. Line ends within double quotes belong to the field; ``escape`` (a
+    backslash or a second quote) stands before a quote within them. Blank lines,
+    empty and null texts give no row."""
+    keep = keep or []
+    records = df.select(*keep, F.explode(F.regexp_extract_all(F.col(text), F.lit(_record_pattern(escape)), F.lit(0))).alias("__record"))
+    parsed = records.select(*keep, parse_delimited_column("__record", schema, sep=sep, escape=escape,
+                                                          timestamp_format=timestamp_format, mode=mode, name="__row"))
+    return parsed.select(*keep, "__row.*")

@@ -63,29 +63,40 @@ def _columns_of(df: DataFrame, batch: str | list[str], columns: list[str] | None
     return columns or [c for c in df.columns if c not in keys]
 
 
-def rows_documents(df: DataFrame, order_by: str, batch: str = "batch",
+def _rows_text(cols: list[str], pretty: bool = False) -> Column:
+    ordered = F.transform("__recs", lambda r: F.struct(*[r[c].alias(c) for c in cols]))
+    return F.to_json(ordered, {**WRITE_OPTIONS, **({"pretty": "true"} if pretty else {})})
+
+
+def _columns_text(cols: list[str], pretty: bool = False) -> Column:
+    """Each column array is taken from the same sorted records, so positions
+    line up."""
+    obj = F.struct(*[F.transform("__recs", _field(c)).alias(c) for c in cols])
+    return F.to_json(obj, {**WRITE_OPTIONS, **({"pretty": "true"} if pretty else {})})
+
+
+def rows_documents(df: DataFrame, order_by: str, batch: str | list[str] = "batch",
                    columns: list[str] | None = None, pretty: bool = False,
                    name: str = "json") -> DataFrame:
     """One array-of-objects document per batch: (batch, json)."""
-    cols = _columns_of(df, batch, columns)
-    recs = _records(df, batch, order_by, cols)
-    ordered = F.transform("__recs", lambda r: F.struct(*[r[c].alias(c) for c in cols]))
-    opts = {**WRITE_OPTIONS, **({"pretty": "true"} if pretty else {})}
-    keys = [batch] if isinstance(batch, str) else list(batch)
-    return recs.select(*keys, F.to_json(ordered, opts).alias(name))
+    return mixed_documents(df, order_by, F.lit(True), batch, columns, pretty, name)
 
 
-def columns_documents(df: DataFrame, order_by: str, batch: str = "batch",
+def columns_documents(df: DataFrame, order_by: str, batch: str | list[str] = "batch",
                       columns: list[str] | None = None, pretty: bool = False,
                       name: str = "json") -> DataFrame:
-    """One object-of-arrays document per batch: (batch, json). Each column
-    array is taken from the same sorted records, so positions line up."""
-    cols = _columns_of(df, batch, columns)
-    recs = _records(df, batch, order_by, cols)
-    obj = F.struct(*[F.transform("__recs", _field(c)).alias(c) for c in cols])
-    opts = {**WRITE_OPTIONS, **({"pretty": "true"} if pretty else {})}
+    """One object-of-arrays document per batch: (batch, json)."""
+    return mixed_documents(df, order_by, F.lit(False), batch, columns, pretty, name)
+
+
+def mixed_documents(df: DataFrame, order_by: str, by_rows: Column, batch: str | list[str] = "batch",
+                    columns: list[str] | None = None, pretty: bool = False, name: str = "json") -> DataFrame:
+    """One document per batch, (batch, json): laid out by rows where ``by_rows``
+    (over the batch columns) holds, else by columns. Records are collected once."""
     keys = [batch] if isinstance(batch, str) else list(batch)
-    return recs.select(*keys, F.to_json(obj, opts).alias(name))
+    cols = _columns_of(df, batch, columns)
+    text = F.when(by_rows, _rows_text(cols, pretty)).otherwise(_columns_text(cols, pretty))
+    return _records(df, batch, order_by, cols).select(*keys, text.alias(name))
 
 
 def key_batches(df: DataFrame, key: str, order_by: str, max_rows: int,
@@ -248,8 +259,10 @@ def read_documents_typed(spark: SparkSession, path: str, schema: T.StructType,
 
 def layout_sizes(df: DataFrame, order_by: str, batch: str = "batch") -> DataFrame:
     """Bytes of JSON text per layout for the same rows: (layout, documents, bytes)."""
-    r = rows_documents(df, order_by, batch).select(F.lit(ROWS).alias("layout"), "json")
-    c = columns_documents(df, order_by, batch).select(F.lit(COLUMNS).alias("layout"), "json")
-    return r.unionByName(c).groupBy("layout").agg(
-        F.count(F.lit(1)).alias("documents"),
-        F.sum(F.octet_length("json")).cast("bigint").alias("bytes"))
+    cols = _columns_of(df, batch, None)
+    sizes = _records(df, batch, order_by, cols).select(
+        F.octet_length(_rows_text(cols)).alias("r"), F.octet_length(_columns_text(cols)).alias("c"))
+    total = sizes.agg(F.count(F.lit(1)).alias("n"), F.sum("r").cast("bigint").alias("r"), F.sum("c").cast("bigint").alias("c"))
+    return total.where("n > 0").select(F.inline(F.array(*[
+        F.struct(F.lit(x).alias("layout"), F.col("n").alias("documents"), F.col(v).alias("bytes"))
+        for x, v in ((ROWS, "r"), (COLUMNS, "c"))])))

@@ -8,10 +8,10 @@ count are streaming aggregate state. ``trigger(availableNow=True)`` drains
 what is there and stops, which is how the library's functions run a stream
 to completion.
 
-Arrow IPC files are read by the ``arrow_ipc`` stream source, one record
-batch at a time. The alternative ``binaryFile`` route (decode in
-``mapInArrow``) holds a whole file per value, so there writers cap file
-size with ``maxRowsPerFile``.
+For Arrow IPC files the file source (``binaryFile``, of which only the path
+column is read) lists and tracks the files, whatever their names and
+whenever their writer commits; tasks then open each file and pass on one
+record batch at a time.
 """
 
 from __future__ import annotations
@@ -20,7 +20,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.arrow_types import cast_batch, relaxed, to_arrow_schema
 from ..sources.delimited import TIMESTAMP_TEXT
 
 
@@ -69,67 +68,34 @@ def csv_stream(spark: SparkSession, path: str, schema: T.StructType, max_files:
     return r.csv(path)
 
 
-def arrow_file_stream(spark: SparkSession, path: str, max_files: int | None = None,
-                      glob: str = "*.arrow*") -> DataFrame:
-    """Arrow IPC files as a stream of (path, content) rows."""
-    max_files = max_files or int(spark.sparkContext.defaultParallelism)
-    return (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-            .option("pathGlobFilter", glob)
-            .option("maxFilesPerTrigger", max_files)
-            .load(path).select("path", "content"))
-
-
-def arrow_stream(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """New Arrow IPC files of a dataset folder as a stream of rows, read by
-    the ``arrow_ipc`` source one record batch at a time (no per-file value,
-    so no file-size cap)."""
-    r = spark.readStream.format("arrow_ipc")
-    if schema is not None:
-        r = r.schema(schema)
-    return r.load(path)
-
-
-def decode_arrow_stream(files: DataFrame, schema: T.StructType) -> DataFrame:
-    """Rows of every record batch of every file, cast to ``schema``."""
-    target = relaxed(to_arrow_schema(schema))
-    names = [f.name for f in schema.fields]
-
-    def decode(batches):
-        from tessera.sources.arrow_ipc import iter_ipc_batches
-        for b in batches:
-            for data in b.column(0).to_pylist():
-                for rb in iter_ipc_batches(data):
-                    yield cast_batch(rb.select(names), target)
-
-    return files.select("content").mapInArrow(decode, schema)
-
+def arrow_stream(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                 max_files: int | None = None, max_age: str = "36500d") -> DataFrame:
+    """New Arrow IPC files of a dataset folder as a stream of rows, ``max_files``
+    files per micro-batch (by default one per core). Without ``schema`` the
+    folder's first file gives it; a file with other columns fails the stream.
 
-def arrow_stream_partials(files: DataFrame, value: str) -> DataFrame:
-    """One (sum, rows) row per record batch of each file: only ``value`` is
-    taken out of each batch, the rest is never converted."""
-    def fold(batches):
-        import pyarrow as pa
-        import pyarrow.compute as pc
-        from tessera.sources.arrow_ipc import iter_ipc_batches
-        out_schema = pa.schema([("sum", pa.float64()), ("rows", pa.int64())])
+    Spark's checkpoint remembers every file read, so files may appear in any
+    order. ``max_age`` lets it forget files that are that much older than the
+    newest one; files that appear later than that are then not read."""
+    max_files = max_files or int(spark.sparkContext.defaultParallelism)
+    if schema is None:
+        from ..sources.arrow_ipc import read
+        schema = read(spark, path).schema
+        strict = True
+    else:
+        strict = False
+    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+             .option("maxFilesPerTrigger", max_files).option("maxFileAge", max_age)
+             .option("recursiveFileLookup", "true").load(path).select("path"))
+
+    def rows(batches):
+        from tessera.sources.arrow_ipc import filesystem, read_file
         for b in batches:
-            sums, rows = [], []
-            for data in b.column(0).to_pylist():
-                for rb in iter_ipc_batches(data):
-                    s = pc.sum(rb.column(value)).as_py()
-                    sums.append(float(s) if s is not None else 0.0)
-                    rows.append(rb.num_rows)
-            if rows:
-                yield pa.RecordBatch.from_arrays([pa.array(sums, pa.float64()),
-                                                  pa.array(rows, pa.int64())], schema=out_schema)
-
-    return files.select("content").mapInArrow(fold, "sum double, rows bigint")
-
+            for file in b.column(0).to_pylist():
+                fs, place = filesystem(file)
+                yield from read_file(fs, place, schema, strict=strict)
 
-def running_mean(partials: DataFrame) -> DataFrame:
-    """Running totals over a stream of (sum, rows) partials."""
-    return partials.agg(F.coalesce(F.sum("sum"), F.lit(0.0)).alias("sum"),
-                        F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("rows"))
+    return files.mapInArrow(rows, schema)
 
 
 def rows_running_mean(rows: DataFrame, value: str) -> DataFrame:
@@ -141,19 +107,21 @@ def rows_running_mean(rows: DataFrame, value: str) -> DataFrame:
 def drain_aggregate(agg: DataFrame, out_path: str, checkpoint: str) -> DataFrame:
     """Run a streaming aggregate to completion and return its final result.
 
-    Complete mode: each micro-batch replaces the stored result with the
-    current totals (``foreachBatch`` + overwrite), so a re-run batch writes
-    the same answer again.
+    Complete mode: each micro-batch writes the current totals into a folder of
+    its own, so a re-run batch replaces only what it wrote itself and a reader
+    never meets a half-replaced result. The last folder is the answer.
     """
     def store(batch_df: DataFrame, batch_id: int):
-        batch_df.write.mode("overwrite").parquet(out_path)
+        batch_df.write.mode("overwrite").parquet(f"{out_path}/__trigger={batch_id}")
 
     writer = (agg.writeStream.outputMode("complete")
               .option("checkpointLocation", checkpoint)
               .foreachBatch(store))
     run_until_drained(writer)
     spark = agg.sparkSession
-    return spark.read.parquet(out_path).withColumn(
+    stored = spark.read.parquet(out_path)
+    last = stored.agg(F.max("__trigger")).first()[0]
+    return stored.where(F.col("__trigger") == last).drop("__trigger").withColumn(
         "mean", F.try_divide(F.col("sum"), F.col("rows").cast("double")))
 
 

@@ -269,3 +269,58 @@ def test_reader_without_pushdown_when_disabled(spark, tmp_dir):
         assert _same(df, p.where("id > 700"))
     finally:
         spark.conf.set(key, "true")
+
+
+def test_unread_columns_are_not_decoded(spark, tmp_dir):
+    from tessera.sources.arrow_ipc import filesystem, open_reader
+    p = people(spark, SF)
+    for flavor in ("stream", "file"):
+        path = f"{tmp_dir}/{flavor}"
+        p.coalesce(1).write.format("arrow_ipc").mode("append").option("flavor", flavor).save(path)
+        file = _files(path, "*.arrow*")[0]
+        with open_reader(filesystem(file)[0], file, ["Wage"]) as (kind, r, stored):
+            b = r.get_batch(0) if kind == "file" else r.read_next_batch()
+            assert kind == flavor and b.schema.names == ["Wage"] and stored == PERSON_COLUMNS
+        back = spark.read.format("arrow_ipc").option("columns", "Wage,id").load(path)
+        assert back.columns == ["Wage", "id"] and _same(back, p.select("Wage", "id"))
+
+
+def test_rows_name_their_file_and_batch(spark, tmp_dir):
+    p = people(spark, SF)
+    for flavor in ("stream", "file"):
+        path = f"{tmp_dir}/{flavor}"
+        p.coalesce(1).write.format("arrow_ipc").mode("append").options(flavor=flavor, batch="400").save(path)
+        df = (spark.read.format("arrow_ipc").options(batchOf="file,batch", columns="id", splitBytes="1", batchesPerSplit="1")
+              .load(path))
+        assert df.columns == ["id", "file", "batch"]
+        sizes = {r["batch"]: r["n"] for r in df.groupBy("file", "batch").agg(F.count("*").alias("n")).collect()}
+        assert sizes == {0: 400, 1: 400, 2: 400, 3: 300}
+        assert df.where("batch = 3").count() == 300
+    with pytest.raises(Exception, match="stored columns"):
+        spark.read.format("arrow_ipc").option("batchOf", "id,batch").load(path).schema
+
+
+def test_columns_of_a_later_append_raise_or_merge(spark, tmp_dir):
+    p = people(spark, SF)
+    p.select("id").coalesce(1).write.format("arrow_ipc").mode("append").save(tmp_dir + "/d")
+    p.select("id", "Wage").coalesce(1).write.format("arrow_ipc").mode("append").save(tmp_dir + "/d")
+    with pytest.raises(Exception, match="mergeSchema"):
+        spark.read.format("arrow_ipc").load(tmp_dir + "/d").collect()
+    assert spark.read.format("arrow_ipc").option("columns", "id").load(tmp_dir + "/d").count() == 3000
+    both = spark.read.format("arrow_ipc").option("mergeSchema", "true").load(tmp_dir + "/d")
+    assert both.columns == ["id", "Wage"] and both.count() == 3000
+    assert both.where("Wage IS NOT NULL").count() == p.where("Wage IS NOT NULL").count()
+
+
+def test_files_are_bounded_in_bytes(spark, tmp_dir):
+    p = people(spark, SF)
+    p.coalesce(1).write.format("arrow_ipc").mode("append").options(batch="100", maxBytesPerFile="20000").save(tmp_dir + "/d")
+    assert len(_files(tmp_dir + "/d", "*.arrows")) > 2
+    assert _same(spark.read.format("arrow_ipc").load(tmp_dir + "/d"), p)
+
+
+def test_hadoop_paths_as_pyarrow_takes_them():
+    from tessera.sources.arrow_ipc import _uri
+    assert _uri("s3a://b/k") == _uri("s3n://b/k") == "s3://b/k"
+    assert _uri("file:/a b/c%20d") == _uri("file:///a b/c%20d") == "/a b/c%20d"
+    assert _uri("/x") == "/x" and _uri("hdfs://n:1/p") == "hdfs://n:1/p"

@@ -162,3 +162,23 @@ def test_inference_from_a_sample(spark, tmp_dir):
     path = delimited.write_delimited(p, f"{tmp_dir}/s", files=2)
     df = delimited.read_delimited(spark, path, names=PERSON_COLUMNS, infer=True, sample=0.5)
     assert dict(df.dtypes)["Wage"] == "double" and df.count() == 1500
+
+
+def test_whole_texts_in_values(spark):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("n", T.StringType())])
+    texts = ["1,a\n2,b\n3,c", '4,"x\ny, ""z"""\r\n\n5,', "", None, "\n" * 3, "6," + "w" * 200_000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k int, t string")
+    got = {r["id"]: (r["k"], r["n"]) for r in delimited.read_text_values(df, "t", schema, keep=["k"], escape='"').collect()}
+    assert {i: got[i] for i in (1, 2, 3)} == {1: (0, "a"), 2: (0, "b"), 3: (0, "c")}
+    assert got[4] == (1, 'x\ny, "z"') and got[5] == (1, None)
+    assert got[6] == (5, "w" * 200_000) and len(got) == 6
+
+
+def test_inference_leaves_the_session_alone(spark, tmp_dir):
+    key = "spark.sql.timestampType"
+    before = spark.conf.get(key)
+    delimited.write_delimited(spark.range(3).selectExpr("id", "timestamp_ntz'2020-01-02 03:04:05' AS t"), f"{tmp_dir}/c")
+    df = delimited.read_delimited(spark, f"{tmp_dir}/c", infer=True)
+    assert spark.conf.get(key) == before and df.sparkSession is spark
+    assert dict(df.dtypes)["_c1"] == "timestamp_ntz"
