@@ -167,6 +167,20 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", pick:
     return Model(languages, np.ascontiguousarray(logs.T, dtype=np.float32), uses)
 
 
+def word_scores(w: Letters, model: Model) -> np.ndarray:
+    """Words x languages. Letters are looked up ``SLICE_WORDS`` at a time, so a
+    very long text needs memory for its words only."""
+    out = np.where(model.uses[w.script], np.float32(0), np.float32(-1e6))
+    ends = np.append(w.first[1:], len(w.bucket))
+    at = 0
+    while at < len(ends):
+        to = max(at + 1, int(np.searchsorted(ends, w.first[at] + SLICE_WORDS, side="right")))
+        logs = model.logs[w.bucket[w.first[at]:ends[to - 1]]]
+        out[at:to] += np.add.reduceat(logs, w.first[at:to] - w.first[at], axis=0)
+        at = to
+    return out
+
+
 def viterbi(scores: np.ndarray, sizes: np.ndarray, penalty: float) -> np.ndarray:
     """Best label of every word. ``scores``: words x labels, the texts' words one
     after the other; ``sizes``: words of each text. All texts step together."""
@@ -208,8 +222,7 @@ def label(texts: list[str | None], model: Model, penalty: float = SWITCH_PENALTY
     w = letters([t or "" for t in texts])
     if not len(w.first) or not model.languages:
         return out
-    narrowed = np.where(model.uses[w.script], np.float32(0), np.float32(-1e6))
-    scores = np.add.reduceat(model.logs[w.bucket], w.first, axis=0) + narrowed
+    scores = word_scores(w, model)
     sizes = np.bincount(w.text, minlength=len(texts))
     best = viterbi(scores, sizes, penalty)
     new = np.ones(len(best), dtype=bool)

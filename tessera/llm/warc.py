@@ -125,16 +125,20 @@ def _member(data: bytes, at: int) -> tuple[Record, int]:
 def salvage(data: bytes) -> Salvaged:
     """All valid records of an archive, gzip or plain, and the gaps between."""
     out, at, bad, why = Salvaged(), 0, None, ""
+    member = line = -1
     while at < len(data):
         try:
             record, at_next = (_member if data.startswith(_MEMBER, at) else _parse)(data, at)
         except ValueError as e:
             if bad is None:
                 bad, why = at, str(e)
-            member = data.find(_MEMBER, at + 1)
-            line = _VERSION.search(data, at + 1)
-            found = [x for x in (member, line.start() if line else -1) if x >= 0]
-            at = min(found, default=len(data))
+            # Each place is looked for once, however many candidates fail before it.
+            if member <= at:
+                member = data.find(_MEMBER, at + 1) % (len(data) + 1)
+            if line <= at:
+                found = _VERSION.search(data, at + 1)
+                line = found.start() if found else len(data)
+            at = min(member, line)
             continue
         if bad is not None:
             out.gaps.append((bad, at, why))
