@@ -13,12 +13,14 @@ once). Candidates are reranked by their exact cosine in double precision.
 Scale. The forest is bounded by the sample and broadcast with the tasks. Leaf
 members and the queries that visit the leaf meet by a shuffle on (leaf,
 block); a block has at most about ``BLOCK`` members and queries stream
-past it. Equal vectors are one indexed vector with its ``k + 1`` smallest ids
-(no answer needs more), so a vector repeated in a third of all rows is one
-row of one leaf. Each group keeps the ``k + 1`` best per query.
+past it. Equal vectors are one indexed vector, known by its hashes, with its
+``k + 1`` smallest ids (no answer needs more), so a vector repeated in a third
+of all rows is one row of one leaf. Each group keeps the ``k`` best per query,
+and those whose smallest id is the query's own.
 
 Vectors that are null, zero or hold null or non-finite components, and rows
-with a null id, take no part. Rows with equal id and vector count once. Ties
+with a null id, take no part. Rows with equal id and vector count once; rows
+with equal id and different vectors are each a neighbour of their own. Ties
 go to the smaller id. Fewer than ``k`` candidates give fewer rows, an empty
 table none. Other columns are ignored.
 """
@@ -135,29 +137,31 @@ def search(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
     kind = df.schema[id_col].dataType.simpleString()
     rows = materialize(source.mapInArrow(valid, f"id {kind}, v array<double>, q boolean")
                        .withColumns({"h1": F.xxhash64(F.lit(1), "v"), "h2": F.xxhash64(F.lit(2), "v")}), "ann-rows")
-    # The k + 1 smallest ids of each distinct vector; the limit runs before the shuffle, too.
+    # The k + 1 smallest ids of each distinct vector, repeated rows once; the limit runs before the window's shuffle, too.
     by = Window.partitionBy("h1", "h2").orderBy("id")
-    members = materialize(rows.select("id", "h1", "h2").withColumn("rn", F.rank().over(by)).where(F.col("rn") <= k + 1)
-                          .distinct(), "ann-members")
+    members = materialize(rows.select("id", "h1", "h2").distinct().withColumn("rn", F.row_number().over(by))
+                          .where(F.col("rn") <= k + 1), "ann-members")
     firsts = members.where("rn = 1").select(F.col("h1").alias("h1_"), F.col("h2").alias("h2_"), F.col("id").alias("id_"))
     index = materialize(rows.join(firsts, (F.col("h1") == F.col("h1_")) & (F.col("h2") == F.col("h2_")) & (F.col("id") == F.col("id_")))
-                        .select("id", "v").dropDuplicates(["id"]), "ann-index")
+                        .select("id", "h1", "h2", "v").dropDuplicates(["h1", "h2"]), "ann-index")
     schema = f"query_id {kind}, rank int, `{id_col}` {kind}, score double"
     n = index.count()
     if not n:
         return spark.createDataFrame([], schema)
     share = SAMPLE / n
-    picked = index if share >= 1 else index.where(F.pmod(F.xxhash64(F.lit(seed), "id"), F.lit(1 << 30)) < int(share * (1 << 30)))
+    picked = index if share >= 1 else index.where(F.pmod(F.xxhash64(F.lit(seed), "h1", "h2"), F.lit(1 << 30)) < int(share * (1 << 30)))
     sample = unit(vectors(picked.select("v").limit(2 * SAMPLE).toArrow()["v"])[1])
     forest = grow(sample, trees, max(LEAST, round(leaf_rows * min(1.0, len(sample) / n))), seed)
 
+    carried, row = ["id", "h1", "h2", "v"], f"id {kind}, h1 long, h2 long, v array<double>"
+
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             leaf = forest.leaf(unit(vectors(b.column("v"))[1]))
             for t in range(leaf.shape[1]):
-                yield pa.RecordBatch.from_arrays([pa.array(leaf[:, t]), *b.columns], names=["leaf", "id", "v"])
+                yield pa.RecordBatch.from_arrays([pa.array(leaf[:, t]), *b.columns], names=["leaf", *carried])
 
-    filed = materialize(index.mapInArrow(route, f"leaf long, id {kind}, v array<double>"), "ann-leaves")
+    filed = materialize(index.select(*carried).mapInArrow(route, f"leaf long, {row}"), "ann-leaves")
     sizes = np.zeros(forest.leaves, dtype=np.int64)
     for r in filed.groupBy("leaf").count().collect():  # bounded by the forest
         sizes[r["leaf"]] = r["count"]
@@ -177,18 +181,17 @@ def search(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
                             block.append(s)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(leaf, pa.int64()), pa.array(block, pa.int64()), *part.take(pa.array(owner, pa.int64())).columns],
-                    names=["leaf", "block", "id", "v"])
+                    names=["leaf", "block", *carried])
 
     def block_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             deal = np.maximum(blocks[np.asarray(b.column("leaf"))], 1)
-            yield pa.RecordBatch.from_arrays([b.column("leaf"), pa.array(np.asarray(b.column("h")) % deal), b.column("id"), b.column("v")],
-                                             names=["leaf", "block", "id", "v"])
+            yield pa.RecordBatch.from_arrays([b.column("leaf"), pa.array(np.asarray(b.column("h1")) % deal), *(b.column(c) for c in carried)],
+                                             names=["leaf", "block", *carried])
 
-    entry = f"leaf long, block long, id {kind}, v array<double>"
-    queries = rows.where("q").select("id", "v").mapInArrow(walk, entry).withColumn("query", F.lit(True))
-    members_at = (filed.select("leaf", "id", "v", F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("h"))
-                  .mapInArrow(block_of, entry).withColumn("query", F.lit(False)))
+    entry = f"leaf long, block long, {row}"
+    queries = rows.where("q").select(*carried).mapInArrow(walk, entry).withColumn("query", F.lit(True))
+    members_at = filed.mapInArrow(block_of, entry).withColumn("query", F.lit(False))
     keys = ["leaf", "block", "query"]
     met = queries.union(members_at).repartition(shuffle_parts(spark), "leaf", "block").sortWithinPartitions(*keys)
 
@@ -202,26 +205,30 @@ def search(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
             ids = np.asarray(g["id"])
             norm = np.sqrt(np.einsum("ij,ij->i", m, m))
             if not g["query"][0].as_py():
-                held.append((ids, m, norm))
+                held.append((ids, np.asarray(g["h1"]), np.asarray(g["h2"]), m, norm))
                 continue
             if not held:
                 continue
             if len(held) > 1:
                 held = [tuple(np.concatenate(x) for x in zip(*held))]
-            cand, c, c_norm = held[0]
+            cand, a, b, c, c_norm = held[0]
             near = (m / norm[:, None]) @ (c / c_norm[:, None]).T
-            keep = min(k + 1, len(cand))
+            # A vector whose smallest id is the query's may hold no other: it takes none of the k places.
+            own = ids[:, None] == cand[None, :]
+            near[own] = -np.inf
+            keep = min(k, len(cand))
             least = -np.partition(-near, keep - 1, axis=1)[:, keep - 1]
-            i, j = np.nonzero(near >= least[:, None] - 1e-9)
+            i, j = np.nonzero((near >= least[:, None] - 1e-9) | own)
             exact = np.einsum("ij,ij->i", m[i], c[j]) / (norm[i] * c_norm[j])
-            yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(cand[j]), pa.array(exact)], names=["query_id", "rep", "score"])
-
-    # A row may be met in several trees; its score is the same each time.
-    found = met.mapInArrow(rerank, f"query_id {kind}, rep {kind}, score double").groupBy("query_id", "rep").agg(F.max("score").alias("score"))
-    near = Window.partitionBy("query_id").orderBy(F.desc("score"), "rep")
-    found = found.withColumn("r", F.rank().over(near)).where(F.col("r") <= k + 1)
-    reps = members.where("rn = 1").select(F.col("id").alias("rep_"), F.col("h1").alias("a"), F.col("h2").alias("b"))
-    full = (found.join(reps, F.col("rep") == F.col("rep_")).join(members, (F.col("a") == F.col("h1")) & (F.col("b") == F.col("h2")))
+            yield pa.RecordBatch.from_arrays([pa.array(ids[i]), pa.array(cand[j]), pa.array(a[j]), pa.array(b[j]), pa.array(exact)],
+                                             names=["query_id", "rep", "a", "b", "score"])
+
+    # A vector may be met in several trees; its score is the same each time.
+    found = (met.mapInArrow(rerank, f"query_id {kind}, rep {kind}, a long, b long, score double")
+             .groupBy("query_id", "rep", "a", "b").agg(F.max("score").alias("score")).withColumn("own", F.col("rep") == F.col("query_id")))
+    near = Window.partitionBy("query_id", "own").orderBy(F.desc("score"), "rep")
+    found = found.withColumn("r", F.rank().over(near)).where(F.col("own") | (F.col("r") <= k))
+    full = (found.join(members, (F.col("a") == F.col("h1")) & (F.col("b") == F.col("h2")))
             .where(F.col("id") != F.col("query_id")).select("query_id", "id", "score"))
     last = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return (full.withColumn("rank", F.row_number().over(last)).where(F.col("rank") <= k)

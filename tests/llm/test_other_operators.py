@@ -48,6 +48,26 @@ def test_search_finds_the_nearest(spark):
         assert np.allclose([a[2] for a in answer], [b[1] for b in best], atol=1e-12)
 
 
+def nearest(rows, query, k=5):
+    """Brute force over the distinct (id, vector) rows."""
+    mine = [np.array(v) for i, v in rows if i == query]
+    cos = {(i, tuple(v)): max(float(np.dot(v, m) / np.sqrt(np.dot(v, v)) / np.sqrt(m @ m)) for m in mine) for i, v in rows if i != query}
+    return [(i, round(c, 9)) for (i, _), c in sorted(cos.items(), key=lambda x: (-round(x[1], 9), x[0][0]))][:k]
+
+
+@pytest.mark.parametrize("times", [2, 6])
+def test_search_counts_repeated_rows_once(spark, times):
+    """Every row of a group of equal vectors repeated; one id with two vectors."""
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=3).tolist()) for i in range(60)]
+    rows += [(100 + i, rows[0][1]) for i in range(9)] + [(7, rows[1][1]), (7, rows[50][1]), (50, rows[2][1])]
+    table = spark.createDataFrame(rows * times, "vec_id long, embedding array<double>")
+    found = neighbours.search(table, F.col("vec_id") % 50 == 0, visit=9.0).collect()
+    for q in (0, 50, 100):
+        got = [(r["vec_id"], round(r["score"], 9)) for r in sorted(found, key=lambda r: r["rank"]) if r["query_id"] == q]
+        assert got == nearest(rows, q), q
+
+
 def test_search_with_few_or_no_rows(spark):
     one = spark.createDataFrame([(0, [1.0, 0.0], 1, "x"), (1, [0.0, 1.0], 1, "x")], VECTORS)
     assert [(r["query_id"], r["rank"], r["vec_id"]) for r in neighbours.search(one, F.col("vec_id") % 50 == 0).collect()] == [(0, 1, 1)]
