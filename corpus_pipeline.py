@@ -6,6 +6,8 @@ reads them again, so a lost executor repeats one stage at most.
 
 1. ``language_id``: texts without a letter, and texts of which no language
    holds ``MIN_SHARE`` of the letters, go; a missing ``lang`` is filled in.
+   A table without a labelled text teaches no language: then only texts
+   without a letter go, and ``lang`` stays as it is.
 2. ``simhash_dedup``: of each group of near-duplicates the document with the
    smallest id stays (of repeated rows one).
 3. ``secret_scan``: secrets are cut out of the text; ``n_chars`` follows.
@@ -36,6 +38,8 @@ def _columns(df: DataFrame, like: DataFrame) -> DataFrame:
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     attach(spark)
     model = language_id.train(docs)
+    if not model.languages:
+        return language_id.with_letters(docs)
     found = language_id.identify(docs, model)
     kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SHARE))
     return _columns(kept.withColumn("lang", F.coalesce("lang", "lang_pred")), docs)

@@ -240,6 +240,17 @@ def label(texts: list[str | None], model: Model, penalty: float = SWITCH_PENALTY
     return out
 
 
+def with_letters(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """The rows whose text has a letter."""
+    where = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array([any(map(str.isalpha, t or "")) for t in b.column(where).to_pylist()], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = SWITCH_PENALTY) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``lang_spans`` (array of start,
     end, lang in code points). Columns of those names are replaced; the text is

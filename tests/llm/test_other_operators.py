@@ -247,6 +247,14 @@ def test_pipeline_stages(spark, docs):
     assert Counter((r["doc_id"], r["length"]) for r in five) == want
 
 
+def test_pipeline_without_labels_keeps_clean_documents(spark, docs):
+    rows = [(1, "the first text of all"), (2, "*** 123"), (3, None), (4, ""), (5, "слово и дело"), (None, "a text without id"), (6, None, "en")]
+    table = docs(rows).drop("copy")
+    one = dict(corpus_pipeline.STAGES)["language_id"](spark, table, "")
+    assert one.schema == table.schema
+    assert Counter(tuple(r) for r in one.collect()) == Counter(tuple(r) for r in table.collect() if r["doc_id"] in (1, 5, None))
+
+
 def test_pipeline_on_tables(spark):
     rows = corpus_pipeline.run(spark, "/root/testdata/sf0.001").collect()
     assert rows and set(rows[0].asDict()) == {"doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"}
