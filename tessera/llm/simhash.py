@@ -9,7 +9,11 @@ then verified on all 64 bits.
 
 Scale: fingerprints are unique before the search, so copies cost nothing.
 A bucket of more than ``TILE`` fingerprints is dealt into tiles, and every pair
-of tiles is a task's group: all of it is compared, none of it is gathered.
+of tiles is a task's group. The probes such a bucket sends to the values around
+it are dropped where no fingerprint has that value, and dealt into chunks of
+about ``CHUNK`` elsewhere. So a group holds two tiles, a chunk and the probes of
+smaller buckets (at most a ball of them): all is compared, nothing larger is
+gathered.
 A group emits a spanning forest of its matches, not the pairs. The number of
 segments follows from the number of fingerprints (buckets stay near size 1 to
 16); it never changes the result.
@@ -35,6 +39,8 @@ from pyspark.sql import functions as F
 from .common import components, groups, materialize, shuffle_parts
 
 TILE = 2048
+#: Probes of large buckets that meet a tile together, in tiles.
+CHUNK = 8
 
 
 def fingerprint(text: str | None, words: int = 4, seed: int = 42) -> int:
@@ -77,6 +83,14 @@ def segment_plan(n: int, radius: int) -> list[tuple[int, int, int]]:
             if i <= more or small > 0]
 
 
+def _probes(key: Column, bits: int, radius: int) -> Column | None:
+    """The larger values in the ball around ``key``; None where it has no others."""
+    flips = [sum(1 << i for i in c) for r in range(1, radius + 1) for c in combinations(range(bits), r)]
+    if not flips:
+        return None
+    return F.filter(F.transform(F.array(*[F.lit(x).cast("long") for x in flips]), lambda x: key.bitwiseXOR(x)), lambda k: k > key)
+
+
 def _keys(fp: Column, plan: list[tuple[int, int, int]]) -> Column:
     """array<struct<seg, key, own>>: a fingerprint's own entries and its probes."""
     out = []
@@ -84,11 +98,9 @@ def _keys(fp: Column, plan: list[tuple[int, int, int]]) -> Column:
         full = (1 << bits) - 1
         key = F.shiftrightunsigned(fp, shift).bitwiseAND(F.lit(full if bits < 64 else -1))
         out.append(F.array(F.struct(F.lit(seg).alias("seg"), key.alias("key"), F.lit(True).alias("own"))))
-        flips = [sum(1 << i for i in c) for r in range(1, radius + 1) for c in combinations(range(bits), r)]
-        if flips:
-            probes = F.filter(F.transform(F.array(*[F.lit(x).cast("long") for x in flips]), lambda x: key.bitwiseXOR(x)),
-                              lambda k: k > key)
-            out.append(F.transform(probes, lambda k, s=seg: F.struct(F.lit(s).alias("seg"), k.alias("key"), F.lit(False).alias("own"))))
+        probes = _probes(key, bits, radius)
+        if probes is not None:
+            out.append(F.transform(probes, lambda k: F.struct(F.lit(seg).alias("seg"), k.alias("key"), F.lit(False).alias("own"))))
     return F.concat(*out)
 
 
@@ -120,23 +132,40 @@ def links(fps: DataFrame, radius: int = 4, tile: int = TILE) -> DataFrame:
     plan = segment_plan(fps.count(), radius)
     entry = fps.select("fp", F.explode(_keys(F.col("fp"), plan)).alias("e")).select("fp", "e.*")
     own = fps.select(F.explode(F.filter(_keys(F.col("fp"), plan), lambda e: e["own"])).alias("e")).select("e.seg", "e.key")
-    large = materialize(own.groupBy(F.col("seg").alias("seg_"), F.col("key").alias("key_")).agg(F.count(F.lit(1)).alias("n"))
-                        .where(F.col("n") > tile), "simhash-buckets")
+    held = own.groupBy(F.col("seg").alias("seg_"), F.col("key").alias("key_")).agg(F.count(F.lit(1)).alias("n"))
+    large = materialize(held.where(F.col("n") > tile), "simhash-buckets")
     split = entry
     if large.limit(1).count():
-        split = entry.join(large, (entry.seg == large.seg_) & (entry.key == large.key_), "left")
-        tiles = F.ceil(F.coalesce(F.col("n"), F.lit(1)) / tile).cast("int")
-        mine = F.pmod(F.xxhash64("fp"), tiles).cast("int")
-        split = split.withColumn("__t", mine).withColumn("t", F.explode(F.sequence(F.lit(0), tiles - 1)))
+        around = F.array().cast("array<bigint>")
+        for seg, (_, bits, ball) in enumerate(plan):
+            probes = _probes(F.col("key_"), bits, ball)
+            if probes is not None:
+                around = F.when(F.col("seg_") == seg, probes).otherwise(around)
+        sent = large.select("seg_", F.explode(around).alias("key_"), "n").groupBy("seg_", "key_").agg(F.sum("n").alias("sent"))
+        # Buckets with many fingerprints (n), or probes of buckets with many (sent); n is 0 where only probes come.
+        loads = materialize(held.join(sent, ["seg_", "key_"], "full").na.fill(0, ["n", "sent"])
+                            .where((F.col("n") > tile) | (F.col("sent") > 0)), "simhash-loads")
+        split = (entry.join(loads, (entry.seg == loads.seg_) & (entry.key == loads.key_), "left")
+                 .where(F.coalesce("n", F.lit(1)) > 0))
+        tiles = F.ceil(F.coalesce("n", F.lit(1)) / tile).cast("int")
+        chunks = F.greatest(F.ceil(F.coalesce("sent", F.lit(0)) / (CHUNK * tile)), F.lit(1)).cast("int")
+        mine, chunk = F.pmod(F.xxhash64("fp"), tiles).cast("int"), F.pmod(F.xxhash64(F.lit(1), "fp"), chunks).cast("int")
+        split = split.withColumns({"__t": mine, "__c": F.when(F.col("own"), 0).otherwise(chunk), "__n": chunks})
+        places = F.transform(F.sequence(F.lit(0), tiles - 1), lambda t: F.struct(t.alias("t"), F.col("__c").alias("c")))
+        # A tile's fingerprints meet each further chunk of probes, too.
+        more = F.transform(F.sequence(F.lit(0), F.col("__n") - 1), lambda c: F.struct(F.col("__t").alias("t"), c.alias("c")))
+        more = F.filter(more, lambda x: F.col("own") & (x["c"] > 0))
+        split = split.withColumn("place", F.explode(F.concat(places, more))).withColumns({"t": F.col("place.t"), "c": F.col("place.c")})
         lo = F.when(F.col("own"), F.least("__t", "t")).otherwise(F.col("t"))
         hi = F.when(F.col("own"), F.greatest("__t", "t")).otherwise(F.col("t"))
+        c = F.col("c")
     else:
-        lo = hi = F.lit(0)
-    split = split.select("seg", "key", lo.alias("lo"), hi.alias("hi"), "own", "fp")
+        lo = hi = c = F.lit(0)
+    split = split.select("seg", "key", lo.alias("lo"), hi.alias("hi"), c.alias("chunk"), "own", "fp")
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a, b = [], []
-        for g in groups(batches, ["seg", "key", "lo", "hi"]):
+        for g in groups(batches, keys):
             if g.num_rows == 1:
                 continue
             fp, mine = np.asarray(g["fp"]).view(np.uint64), np.asarray(g["own"])
@@ -150,7 +179,7 @@ def links(fps: DataFrame, radius: int = 4, tile: int = TILE) -> DataFrame:
                 a, b = [], []
         yield pa.RecordBatch.from_arrays([pa.array(np.array(x, dtype=np.uint64).view(np.int64)) for x in (a, b)], names=["a", "b"])
 
-    keys = ["seg", "key", "lo", "hi"]
+    keys = ["seg", "key", "lo", "hi", "chunk"]
     return (split.repartition(shuffle_parts(spark), *keys).sortWithinPartitions(*keys)
             .mapInArrow(verify, "a long, b long"))
 

@@ -254,6 +254,37 @@ def test_simhash_components(docs, tile):
     assert simhash.near_duplicates(docs([])).collect() == [] and simhash.keep_one(docs([])).collect() == []
 
 
+def test_simhash_links_over_every_probe(spark):
+    """Pairs that differ in one bit of every segment: only a probe of the first one finds them."""
+    rng = random.Random(13)
+    pairs = set()
+    for bit in range(16):
+        x = rng.getrandbits(64)
+        pairs.add((x, x ^ 1 << bit ^ sum(1 << at + rng.randrange(16) for at in (16, 32, 48))))
+    table = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for p in pairs for x in p], "fp long")
+    got = {tuple(sorted((r["a"] % (1 << 64), r["b"] % (1 << 64)))) for r in simhash.links(table).collect()}
+    assert got == {tuple(sorted(p)) for p in pairs}
+
+
+def test_simhash_groups_are_bounded(spark, monkeypatch):
+    """2,000 fingerprints agree in the lowest segment and probe its neighbours; value 1 alone has an owner."""
+    rng = random.Random(12)
+    fps = [rng.getrandbits(48) << 16 for _ in range(2000)]
+    fps += [fps[0] ^ 0x0001_0001_0001_0001, *(rng.getrandbits(64) | 0x8000 for _ in range(20))]
+    table = spark.createDataFrame([(x - (1 << 64) if x >> 63 else x,) for x in fps], "fp long")
+    edges = [(r["a"] % (1 << 64), r["b"] % (1 << 64)) for r in simhash.links(table, tile=16).collect()]
+    assert all((a ^ b).bit_count() <= 4 for a, b in edges)
+    near = brute_components(fps, lambda a, b: (a ^ b).bit_count() <= 4)
+    at = {x: i for i, x in enumerate(fps)}
+    joined = {(at[a], at[b]) for a, b in edges} | {(at[b], at[a]) for a, b in edges}
+    assert brute_components(list(range(len(fps))), lambda i, j: (i, j) in joined) == near and near[2000] == near[0]
+    monkeypatch.setattr(type(table), "mapInArrow", lambda self, *_: self)
+    met = simhash.links(table, tile=16)
+    sizes = met.groupBy(*[c for c in met.columns if c not in ("own", "fp")]).agg(F.count(F.lit(1)).alias("n"), F.max("own").alias("own"))
+    assert max(r["n"] for r in sizes.collect()) < 300
+    assert sizes.where("NOT own AND n > 16").count() == 0
+
+
 @pytest.mark.parametrize("n", [2, 1 << 20, 1 << 26, 1 << 34])
 @pytest.mark.parametrize("radius", [1, 3, 4, 6])
 def test_segments_cover_every_difference(n, radius):
