@@ -12,8 +12,11 @@ fillings by their rank among pieces of equal length, in Spark.
   is taken as often as the counts allow, or once.
 * Waste bounds (Martello and Toth's L2) prune a branch; best-fit of what
   remains at each node gives new incumbents. Meeting the bound ends it.
-  ``max_nodes`` and ``max_fillings`` bound the search, never the documents:
-  beyond them the best solution so far stands and ``proved`` is false.
+  ``max_nodes`` nodes go depth first; if that does not settle it, as many more
+  go to the open nodes of the least bound, nearest to the root first. These
+  limits and ``max_fillings`` bound the search, never the documents: beyond
+  them the best solution so far stands and ``proved`` is false. ``pack`` logs
+  the number, its bound and whether it is proved.
 
 Ranks need no one-task window: pieces of a length are dealt into buckets of
 about ``RANK_ROWS``, ranked there, and shifted by the counts of the buckets
@@ -26,10 +29,12 @@ other, repeated rows are packed each. An empty table gives an empty result.
 
 from __future__ import annotations
 
+import logging
 import re
 import zlib
 from collections import defaultdict
 from collections.abc import Iterator
+from heapq import heapify, heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +43,8 @@ from pyspark.sql import functions as F
 
 from .common import materialize
 
+log = logging.getLogger(__name__)
+
 CAPACITY = 2048
 #: Pieces of one length that are ranked together.
 RANK_ROWS = 100_000
@@ -232,16 +239,22 @@ def bin_completion(counts: np.ndarray, capacity: int, max_nodes: int = 300,
     number = lambda plan: sum(m for _, m in plan)
     least = waste_bound(counts, capacity)
     best = best_fit(counts, capacity)
-    complete, nodes = True, 0
-    stack: list[tuple[np.ndarray, list[tuple[Filling, int]]]] = [(counts.copy(), [])]
+    complete, nodes, opened = True, 0, 0
+    # (bound of the parent, depth, minus the order of opening, counts left at the parent, its plan, what is taken here)
+    stack: list[tuple] = [(least, 0, 0, counts, [], ())]
     while stack and number(best) > least:
-        left, plan = stack.pop()
         nodes += 1
-        if nodes > max_nodes:
+        if nodes > 2 * max_nodes:
             complete = False
             break
-        if nodes > 1:
-            if number(plan) + waste_bound(left, capacity) >= number(best):
+        if nodes == max_nodes + 1:
+            heapify(stack)
+        bound, depth, _, left, plan, taken = stack.pop() if nodes <= max_nodes else heappop(stack)
+        if taken:
+            filling, m = taken
+            left, plan = left - m * np.bincount(filling, minlength=capacity + 1), [*plan, taken]
+            bound = number(plan) + waste_bound(left, capacity)
+            if bound >= number(best):
                 continue
             done = plan + best_fit(left, capacity)
             if number(done) < number(best):
@@ -255,7 +268,12 @@ def bin_completion(counts: np.ndarray, capacity: int, max_nodes: int = 300,
             need = np.bincount(filling, minlength=capacity + 1)
             often = int((left[need > 0] // need[need > 0]).min())
             for m in sorted({1, often}):
-                stack.append((left - m * need, [*plan, (filling, m)]))
+                opened += 1
+                node = (bound, depth + 1, -opened, left, plan, (filling, m))
+                if nodes <= max_nodes:
+                    stack.append(node)
+                else:
+                    heappush(stack, node)
     return best, number(best) == least or complete and not stack
 
 
@@ -288,7 +306,9 @@ def pack(parts: DataFrame, capacity: int = CAPACITY, **limits) -> DataFrame:
     counts = np.zeros(capacity + 1, dtype=np.int64)
     for r in hist.collect():  # at most ``capacity`` rows
         counts[r["length"]] = r["n"]
-    plan, _ = bin_completion(counts, capacity, **limits)
+    plan, proved = bin_completion(counts, capacity, **limits)
+    log.log(logging.INFO if proved else logging.WARNING, "packing: %d sequences, bound %d, proved minimal: %s",
+            sum(m for _, m in plan), waste_bound(counts, capacity), proved)
     at = intervals(plan)
 
     buckets = spark.createDataFrame([(int(k), int(-(-counts[k] // RANK_ROWS))) for k in np.flatnonzero(counts)],

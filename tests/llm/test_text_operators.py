@@ -108,6 +108,22 @@ def test_bin_completion_beats_best_fit():
     assert sum(m for _, m in packing.bin_completion(counts, 10)[0]) == 3
 
 
+def test_bin_completion_leaves_a_bad_dive():
+    """One dive uses its 40 nodes up at 16 sequences; an open node near the root leads to 15."""
+    rng = random.Random(350)
+    capacity, n = rng.choice([50, 100, 200]), rng.choice([40, 80, 150])
+    counts = np.bincount([rng.randint(capacity // 6, capacity // 2) for _ in range(n)], minlength=capacity + 1)
+    plan, proved = packing.bin_completion(counts, capacity, max_nodes=40)
+    assert sum(m * np.bincount(f, minlength=capacity + 1) for f, m in plan).tolist() == counts.tolist()
+    assert proved and sum(m for _, m in plan) == packing.waste_bound(counts, capacity) == 15
+
+
+def test_packing_logs_what_is_proved(docs, caplog):
+    with caplog.at_level("INFO", logger="tessera.llm.packing"):
+        packing.pack_documents(docs([(1, "some words")]), queries.tokenizer_path())
+    assert "packing: 1 sequences, bound 1, proved minimal: True" in caplog.text
+
+
 def test_ranks_over_several_buckets(docs, monkeypatch):
     monkeypatch.setattr(packing, "RANK_ROWS", 7)
     texts = [(i % 40, "same words") for i in range(100)]
