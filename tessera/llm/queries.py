@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import attach
 from . import embedding_dedup, language_id, mixing, neighbours, packing, secrets, simhash, substring_dedup, \
-    url_filters, warc
+    url_filters, warc, whitening
 from .common import table
 
 #: Fixed rules: verdict, host, path.
@@ -79,6 +79,11 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.repeated_spans(table(spark, sf_dir, "documents"))
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    attach(spark)
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 OP5_SQL = """
 WITH u AS (SELECT page_id, coalesce(url, '') AS url, instr(coalesce(url, ''), '://') AS pos FROM pages),
 r AS (SELECT page_id, CASE WHEN pos > 0 THEN substr(url, pos + 3) ELSE '' END AS rest FROM u),
@@ -120,7 +125,7 @@ FROM e
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_rp_forest_ann, op2_best_fit_packing, op3_secret_scan, op4_embedding_dedup, op5_url_filter, op6_warc_salvage,
-             op7_poisson_mix, op8_simhash_dedup, op9_language_id, op10_substring_dedup]
+             op7_poisson_mix, op8_simhash_dedup, op9_language_id, op10_substring_dedup, op11_embedding_whitening]
     return {f.__name__: f for f in found}
 
 
