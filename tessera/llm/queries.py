@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import attach
-from . import embedding_dedup, language_id, mixing, neighbours, packing, secrets, simhash, substring_dedup, \
+from . import collocations, embedding_dedup, language_id, mixing, neighbours, packing, secrets, simhash, substring_dedup, \
     url_filters, warc, whitening
 from .common import table
 
@@ -84,6 +84,11 @@ def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
 
+def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    attach(spark)
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
 OP5_SQL = """
 WITH u AS (SELECT page_id, coalesce(url, '') AS url, instr(coalesce(url, ''), '://') AS pos FROM pages),
 r AS (SELECT page_id, CASE WHEN pos > 0 THEN substr(url, pos + 3) ELSE '' END AS rest FROM u),
@@ -123,11 +128,36 @@ FROM e
 """
 
 
+OP12_SQL = r"""
+WITH t AS (SELECT coalesce(lang, 'und') AS lang, string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+             'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]') AS ps FROM documents WHERE text IS NOT NULL),
+p AS (SELECT lang, unnest(ps) AS piece FROM t),
+w AS (SELECT lang, [x FOR x IN string_split_regex(piece, '[\x20\x09]+') IF x <> ''] AS ws FROM p),
+g AS (SELECT lang, k, unnest([array_to_string(ws[i:i + k - 1], ' ') FOR i IN range(1, len(ws) - k + 2)]) AS phrase
+      FROM w, (SELECT unnest(range(1, 6)) AS k)),
+f AS (SELECT lang, k, phrase, count(*) AS f FROM g GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE k = 1 GROUP BY lang),
+c AS (SELECT lang, k, phrase, f AS a FROM f WHERE k > 1 AND f >= 100),
+kept AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM c AS x WHERE x.lang = c.lang AND x.k > c.k AND 100 * x.a >= 100 * c.a
+           AND contains(' ' || x.phrase || ' ', ' ' || c.phrase || ' '))),
+cuts AS (SELECT lang, k, phrase, a, unnest(range(1, k)) AS cut, string_split(phrase, ' ') AS ws FROM kept),
+s AS (SELECT cuts.lang, cuts.phrase, a, cut, lf.f AS l, rf.f AS r, n, (1000::HUGEINT * a * n) // (lf.f::HUGEINT * rf.f) AS score
+      FROM cuts JOIN n ON n.lang = cuts.lang
+      JOIN f AS lf ON lf.lang = cuts.lang AND lf.phrase = array_to_string(ws[1:cut], ' ')
+      JOIN f AS rf ON rf.lang = cuts.lang AND rf.phrase = array_to_string(ws[cut + 1:cuts.k], ' ')),
+b AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1)
+SELECT lang, rank, phrase, a, l, r, n, score::BIGINT AS score
+FROM (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM b)
+WHERE rank <= 2000
+"""
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_rp_forest_ann, op2_best_fit_packing, op3_secret_scan, op4_embedding_dedup, op5_url_filter, op6_warc_salvage,
-             op7_poisson_mix, op8_simhash_dedup, op9_language_id, op10_substring_dedup, op11_embedding_whitening]
+             op7_poisson_mix, op8_simhash_dedup, op9_language_id, op10_substring_dedup, op11_embedding_whitening,
+             op12_phrase_collocations]
     return {f.__name__: f for f in found}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_url_filter": OP5_SQL, "op7_poisson_mix": OP7_SQL}
+    return {"op5_url_filter": OP5_SQL, "op7_poisson_mix": OP7_SQL, "op12_phrase_collocations": OP12_SQL}
