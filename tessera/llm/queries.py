@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import attach
-from . import collocations, embedding_dedup, language_id, mixing, neighbours, packing, secrets, simhash, substring_dedup, \
-    url_filters, warc, whitening
+from . import collocations, embedding_dedup, language_id, mixing, neighbours, packing, secrets, simhash, \
+    substring_dedup, suffix_dedup, url_filters, warc, whitening
 from .common import table
 
 #: Fixed rules: verdict, host, path.
@@ -89,6 +89,11 @@ def op12_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents"))
 
 
+def op13_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    attach(spark)
+    return suffix_dedup.repeated_bytes(table(spark, sf_dir, "documents"))
+
+
 OP5_SQL = """
 WITH u AS (SELECT page_id, coalesce(url, '') AS url, instr(coalesce(url, ''), '://') AS pos FROM pages),
 r AS (SELECT page_id, CASE WHEN pos > 0 THEN substr(url, pos + 3) ELSE '' END AS rest FROM u),
@@ -155,7 +160,7 @@ WHERE rank <= 2000
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = [op1_rp_forest_ann, op2_best_fit_packing, op3_secret_scan, op4_embedding_dedup, op5_url_filter, op6_warc_salvage,
              op7_poisson_mix, op8_simhash_dedup, op9_language_id, op10_substring_dedup, op11_embedding_whitening,
-             op12_phrase_collocations]
+             op12_phrase_collocations, op13_suffix_dedup]
     return {f.__name__: f for f in found}
 
 
