@@ -24,10 +24,12 @@ for the nodes they hold, the flows of one word more for shorter phrases.
 Scale. A phrase that occurs ``least`` times has only words that do. Words are
 counted first, and a Bloom filter of the frequent ones (16 bits a word, ``MOST_BITS``
 bits at most, the only thing broadcast) cuts pieces at words that are surely rare;
-a false positive only costs a row. Every count is a group-by sum, summed in the
-task and before the shuffle, so a hot language, word or phrase stays small. What
-is joined after that are phrases with ``least`` occurrences or more; parts of
-candidates are joined salted, since one word may begin a third of them.
+a false positive only costs a row. Edges and ends are summed within the task, then
+dealt out by ranges of phrases, once for all lengths: a range holds a node's
+out-edges side by side, whatever their number, and a node that several ranges share
+is summed from their parts. So a hot language, word or phrase stays small. What is
+joined after that are phrases with ``least`` occurrences or more; parts of candidates
+are joined salted, since one word may begin a third of them.
 
 Null text counts as empty and adds nothing; a null language is ``und``. Repeated
 rows count each, ids are not read, other columns are ignored. Ties rank by phrase
@@ -42,17 +44,18 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize
+from .common import materialize, shuffle_parts
 
 LONGEST = 5
 LEAST = 100
 TOP = 2000
 #: Distinct phrases a task holds before it passes them on.
-HELD = 200_000
+HELD = 400_000
 #: Bits of the Bloom filter: 32 MB at most.
 MOST_BITS = 1 << 28
 PROBES = 3
@@ -60,15 +63,19 @@ SALTS = 8
 #: Bits of one group of ``bitmap_construct_agg``.
 GROUP_BITS = 1 << 15
 
-#: A-Z to a-z, piece ends to line feed, tab to space.
-_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"\n" * 9 + b" ")
+#: A-Z to a-z, piece ends to full stop, tab to space.
+_PLAIN = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ,;:!?\n\x0b\x0c\r\t", b"abcdefghijklmnopqrstuvwxyz" + b"." * 9 + b" ")
+STOP = b"."
 
 
-def pieces(text: bytes) -> Iterator[list[bytes]]:
-    for line in text.translate(_PLAIN).split(b"\n"):
-        words = [w for w in line.split(b" ") if w]
-        if words:
-            yield words
+def tokens(text: bytes) -> Iterator[list[bytes]]:
+    """The words of a text in order, ``STOP`` between pieces (no word holds one),
+    about a megabyte of whole pieces at a time."""
+    plain, at = text.translate(_PLAIN), 0
+    while at < len(plain):
+        end = plain.find(STOP, at + (1 << 20)) + 1 or len(plain)
+        yield plain[at:end].replace(STOP, b" . ").split()    # only spaces are left to split at
+        at = end
 
 
 def _texts(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -78,6 +85,7 @@ def _texts(df: DataFrame, text_col: str, lang_col: str) -> DataFrame:
 
 def _counted(held: dict[str, Counter], totals: Counter | None = None) -> Iterator[pa.RecordBatch]:
     for lang, counts in held.items():
+        counts.pop(STOP, None)
         keys, values = list(counts), list(counts.values())
         if totals is not None:      # the row without a phrase counts all words
             keys.append(None)
@@ -98,10 +106,11 @@ def word_counts(texts: DataFrame, least: int) -> DataFrame:
         totals: Counter = Counter()
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                counts = held.setdefault(lang, Counter())
-                for words in pieces(text.as_py()):
+                counts, raw = held.setdefault(lang, Counter()), text.as_py()
+                for words in tokens(raw):
+                    before = counts[STOP]
                     counts.update(words)
-                    totals[lang] += len(words)
+                    totals[lang] += len(words) - counts[STOP] + before
                     if len(counts) > HELD:
                         yield from _counted({lang: counts}, totals)
                         counts.clear()
@@ -152,62 +161,119 @@ def may_hold(bitmap: bytes, bits: int, lang: bytes, word: bytes) -> bool:
 
 # ---- graph ------------------------------------------------------------------
 
+def _ends(tails: Counter) -> Counter:
+    """The last words of pieces, and all that start inside them: with the edges
+    one phrase for every place of a word."""
+    out: Counter = Counter()
+    for phrase, c in tails.items():
+        out[phrase] += c
+        at = phrase.find(b" ")
+        while at >= 0:
+            out[phrase[at + 1:]] += c
+            at = phrase.find(b" ", at + 1)
+    return out
+
+
 def edges(spark: SparkSession, texts: DataFrame, words: DataFrame, longest: int) -> DataFrame:
-    """(lang, k, phrase, c): edges (k = longest words) and the last words of
-    pieces cut at rare words (k below)."""
+    """(lang, phrase, c): edges (``longest`` words) and, shorter, what ends at the
+    end of a piece or before a rare word; summed within a task only."""
     bitmap, bits = frequent_filter(words)
     shared = spark.sparkContext.broadcast(bitmap)
 
+    class Known(dict):
+        def __init__(self, lang: str):
+            self.lang = lang.encode("utf-8", "surrogatepass")
+
+        def __missing__(self, word: bytes) -> int:
+            ok = self[word] = int(word != STOP and may_hold(shared.value, bits, self.lang, word))
+            return ok
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have = shared.value
-        held: dict[str, Counter] = {}
-        known: dict[str, dict[bytes, bool]] = {}
+        held: dict[str, tuple[Counter, Counter]] = {}
+        known: dict[str, Known] = {}
+
+        def passed_on(lang: str) -> Iterator[pa.RecordBatch]:
+            full, tails = held.pop(lang)
+            yield from _counted({lang: full})
+            yield from _counted({lang: _ends(tails)})
+
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                counts, seen, tag = held.setdefault(lang, Counter()), known.setdefault(lang, {}), lang.encode("utf-8", "surrogatepass")
-                for piece in pieces(text.as_py()):
-                    run_: list[bytes] = []
-                    for w in [*piece, None]:
-                        if w is not None:
-                            ok = seen.get(w)
-                            if ok is None:
-                                ok = seen[w] = may_hold(have, bits, tag, w)
-                            if ok:
-                                run_.append(w)
-                                continue
-                        if run_:
-                            counts.update([b" ".join(run_[i:i + longest]) for i in range(len(run_) - longest + 1)])
-                            counts[b" ".join(run_[1 - longest:])] += 1
-                            run_ = []
-                    if len(counts) > HELD:
-                        yield from _counted({lang: counts})
-                        counts.clear()
+                seen = known.setdefault(lang, Known(lang))
+                for words in tokens(text.as_py()):
+                    # Runs of words that may be frequent, and the last words of each.
+                    ok = np.frombuffer(bytes(map(seen.__getitem__, words)), dtype=np.uint8)
+                    edge = np.flatnonzero(np.diff(ok, prepend=0, append=0))
+                    start, end = edge[::2], edge[1::2]
+                    full = np.maximum(end - start - longest + 1, 0)
+                    first = np.repeat(start - np.cumsum(full) + full, full) + np.arange(full.sum())
+                    counts, tails = held.setdefault(lang, (Counter(), Counter()))
+                    counts.update([b" ".join(words[i:i + longest]) for i in first.tolist()])
+                    tails.update([b" ".join(words[i:j]) for i, j in zip(np.maximum(start, end - longest + 1).tolist(), end.tolist(), strict=True)])
+                    if len(counts) + len(tails) > HELD:
+                        yield from passed_on(lang)
                 if len(seen) > 5 * HELD:
                     seen.clear()
-            if sum(map(len, held.values())) > HELD:
-                yield from _counted(held)
-                held = {}
-        yield from _counted(held)
+            if sum(len(x) for pair in held.values() for x in pair) > HELD:
+                for lang in list(held):
+                    yield from passed_on(lang)
+        for lang in list(held):
+            yield from passed_on(lang)
 
-    found = _summed(texts.mapInArrow(run, "lang string, phrase binary, c long"))
-    phrase = F.col("phrase").cast("string")
-    return materialize(found.select("lang", F.size(F.split(phrase, " ")).alias("k"), phrase.alias("phrase"), "c"), "colloc-edges")
+    found = texts.mapInArrow(run, "lang string, phrase binary, c long")
+    return materialize(found.withColumn("phrase", F.col("phrase").cast("string")), "colloc-edges")
 
 
 def flows(graph: DataFrame, longest: int, least: int) -> DataFrame:
     """(lang, k, phrase, f) of every phrase of 1 to ``longest`` words with
-    ``f >= least``: edges, then node flow plus corrections, a word less each time."""
-    spark = graph.sparkSession
-    level = graph.where(F.col("k") == longest).select("lang", "phrase", F.col("c").alias("f"))
-    heavy = level.where(F.col("f") >= least).withColumn("k", F.lit(longest))
-    for k in range(longest - 1, 0, -1):
-        out = level.select("lang", F.substring_index("phrase", " ", k).alias("phrase"), "f")
-        ends = graph.where(F.col("k").between(k, longest - 1)).select("lang", F.substring_index("phrase", " ", -k).alias("phrase"), F.col("c").alias("f"))
-        level = out.union(ends).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
-        if k > 1:
-            level = materialize(level, f"colloc-flow-{k}")
-        heavy = heavy.union(level.where(F.col("f") >= least).withColumn("k", F.lit(k)))
-    return materialize(heavy.select("lang", "k", "phrase", "f"), "colloc-heavy")
+    ``f >= least``.
+
+    In order of phrases the out-edges of a node, and what ends there, follow each
+    other, so a pass over sorted rows adds up all nodes of all lengths. Nodes on the
+    first and last row of a block, which its neighbours may hold as well, are passed on
+    with what the block has of them, the others only when they are frequent."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            if b.num_rows:
+                yield _block_flows(b, longest, least)
+
+    ordered = graph.select("phrase", "lang", "c")
+    ordered = ordered.repartitionByRange(max(shuffle_parts(graph.sparkSession), 1), "phrase", "lang").sortWithinPartitions("phrase", "lang")
+    nodes = ordered.mapInArrow(run, "lang string, k int, phrase string, f long")
+    return materialize(nodes.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least), "colloc-heavy")
+
+
+def _block_flows(b: pa.RecordBatch, longest: int, least: int) -> pa.RecordBatch:
+    """(lang, k, phrase, f): sums over the beginnings of the phrases of ``b``, rows
+    (phrase, lang, c) in order. A language's first and last nodes are always there."""
+    tongue = b.column(1).dictionary_encode()
+    lang = np.asarray(tongue.indices)
+    by = np.argsort(lang, kind="stable")
+    phrase, c, lang = b.column(0).take(pa.array(by)), np.asarray(b.column(2))[by], lang[by]
+    words = pc.split_pattern(phrase, " ")
+    offset = np.asarray(words.offsets)
+    size, codes = np.diff(offset), np.asarray(words.values.dictionary_encode().indices)[offset[0]:offset[-1]]
+    # Word k of each row; where it has none a number that no other row has.
+    grid = np.broadcast_to(-1 - np.arange(len(size))[:, None], (len(size), longest)).copy()
+    at = np.repeat(np.arange(len(size)), size)
+    grid[at, np.arange(len(codes)) - (offset[:-1] - offset[0])[at]] = codes
+    other = np.concatenate([[True], lang[1:] != lang[:-1]])
+    same = np.logical_and.accumulate((grid[1:] == grid[:-1]) & ~other[1:, None], axis=1)
+    rows, lengths, sums = [], [], []
+    for k in range(1, longest + 1):
+        start = np.flatnonzero(np.concatenate([[True], ~same[:, k - 1]]))
+        f = np.add.reduceat(c, start)
+        edge = other[start]
+        edge[:-1] |= edge[1:]
+        edge[-1] = True
+        take = (edge | (f >= least)) & (size[start] >= k)
+        rows.append(start[take])
+        lengths.append(np.full(int(take.sum()), k))
+        sums.append(f[take])
+    rows, lengths = np.concatenate(rows), np.concatenate(lengths)
+    text = [" ".join(x.split(" ")[:k]) for x, k in zip(phrase.take(pa.array(rows)).to_pylist(), lengths.tolist(), strict=True)]
+    return pa.RecordBatch.from_arrays([tongue.dictionary.take(pa.array(lang[rows])), pa.array(lengths, pa.int32()), pa.array(text, pa.string()),
+                                       pa.array(np.concatenate(sums), pa.int64())], names=["lang", "k", "phrase", "f"])
 
 
 def _first(c: str, k: int) -> Column:

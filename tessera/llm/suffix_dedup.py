@@ -47,12 +47,12 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import groups, materialize, shuffle_parts
+from .common import materialize, shuffle_parts
 
 LEAST = 50
 GRAM = 16
 PACK = 4 << 20
-SHARD = 48 << 10
+SHARD = 128 << 10
 HOT = 2048
 #: Bytes of text that fill a bucket of the first step (a key in about 20 bytes).
 BUCKET = 64 << 20
@@ -121,29 +121,46 @@ def segments(b: np.ndarray, ends: np.ndarray, least: int, gram: int) -> tuple[np
 
 # ---- suffixes ---------------------------------------------------------------
 
+def _order(key: np.ndarray, most: int) -> np.ndarray:
+    """Rows by ``key`` (below ``most``), equal ones in their order."""
+    n = len(key)
+    if most * n < 1 << 62:      # a sort of values is several times faster than one of rows
+        return np.sort(key * n + np.arange(n)) % n
+    return np.argsort(key, kind="stable")
+
+
 def sorted_suffixes(symbols: np.ndarray, size: int) -> np.ndarray:
     """Starts of the suffixes in order, by doubling; ``symbols`` are below
     ``size`` and every suffix ends in a symbol that occurs once."""
     n = len(symbols)
-    bits = max(int(size).bit_length(), 1)
-    have = 62 // bits
+    have, most = 1, size
+    while most * size * n < 1 << 62 and have < 8:
+        have, most = have + 1, most * size
     padded = np.concatenate([symbols, np.zeros(have, dtype=np.int64)])
     key = np.zeros(n, dtype=np.int64)
     for i in range(have):
-        key = (key << bits) | padded[i:i + n]
+        key = key * size + padded[i:i + n]
     while True:
-        order = np.argsort(key)
+        order = _order(key, most)
         ranked = key[order]
         rank = np.empty(n, dtype=np.int64)
-        rank[order] = np.cumsum(np.append(0, ranked[1:] != ranked[:-1]))
-        if rank[order[-1]] == n - 1:
+        step = np.zeros(n, dtype=np.int64)
+        np.cumsum(ranked[1:] != ranked[:-1], out=step[1:])
+        rank[order] = step
+        if step[-1] == n - 1:
             return order
-        later = np.zeros(n, dtype=np.int64)
-        later[:max(n - have, 0)] = rank[have:]
-        key = rank * n + later
+        key = rank * n
+        key[:max(n - have, 0)] += rank[have:]
+        most = n * n
         have *= 2
 
 
+def _expanded(start: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(all rows of the intervals, the interval of each)."""
+    owner = np.repeat(np.arange(len(start)), size)
+    return start[owner] + np.arange(len(owner)) - (np.cumsum(size) - size)[owner], owner
+
+
 def prefix_runs(texts: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray]:
     """(starts of the sorted suffixes of all texts, each followed by one
     terminator; whether a suffix shares less than ``least`` bytes with the
@@ -151,38 +168,41 @@ def prefix_runs(texts: list[bytes], least: int) -> tuple[np.ndarray, np.ndarray]
     raw = np.frombuffer(b"\0".join(texts) + b"\0", dtype=np.uint8)
     k = len(texts)
     stop = np.cumsum([len(t) + 1 for t in texts]) - 1
-    _, code = np.unique(raw, return_inverse=True)
-    symbols = code.astype(np.int64) + k
+    present = np.zeros(256, dtype=np.int64)
+    present[raw] = 1
+    symbols = (np.cumsum(present) - 1)[raw] + k
     symbols[stop] = np.arange(k)
-    n = len(symbols)
-    order = sorted_suffixes(symbols, int(symbols.max()) + 1)
+    n, size = len(symbols), k + int(present.sum())
+    order = sorted_suffixes(symbols, size)
     front = symbols[order]                       # first symbol of each sorted suffix
     last = symbols[order - 1]                    # the transform: symbol before it (cyclic)
     # Where each suffix goes when its transform symbol is put in front; terminators are not put in front.
     rows = np.flatnonzero(last >= k)
     back = np.full(n, -1, dtype=np.int64)
-    back[rows[np.argsort(last[rows], kind="stable")]] = np.arange(k, n)
+    back[rows[_order(last[rows], size)]] = np.arange(k, n)
     border = np.zeros(n + 1, dtype=bool)
     border[0] = border[n] = True
     # Common prefix 0: one interval a symbol.
-    start = np.flatnonzero(np.append(True, front[1:] != front[:-1]))
+    start = np.flatnonzero(np.concatenate([[True], front[1:] != front[:-1]]))
     end = np.append(start[1:], n)
     border[start] = True
-    owner = np.empty(n, dtype=np.int64)
     for _ in range(1, least):
         if not len(start):
             break
-        size = end - start
-        inner = np.repeat(start - np.append(0, np.cumsum(size)[:-1]), size) + np.arange(size.sum())
+        inner, owner = _expanded(start, end - start)
         to = back[inner]
-        owner[:] = -1
         ok = to >= 0
-        owner[to[ok]] = np.repeat(np.arange(len(start)), size)[ok]
-        edge = np.append(True, (owner[1:] != owner[:-1]) | (front[1:] != front[:-1]))
-        lo = np.flatnonzero(edge)
-        hi = np.append(lo[1:], n)
-        new = (owner[lo] >= 0) & ~border[hi]
-        start, end = lo[new], hi[new]
+        to, owner = to[ok], owner[ok]
+        if not len(to):
+            break
+        by = _order(to, n)
+        to, owner = to[by], owner[by]
+        first = front[to]
+        edge = np.flatnonzero((to[1:] != to[:-1] + 1) | (owner[1:] != owner[:-1]) | (first[1:] != first[:-1])) + 1
+        start = to[np.concatenate([[0], edge])]
+        end = np.append(to[edge - 1], to[-1]) + 1
+        new = ~border[end]
+        start, end = start[new], end[new]
         border[end] = True
     return order, border[:-1]
 
@@ -256,16 +276,24 @@ def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
 
 
 def _per_key(pack: _Pack, least: int) -> np.ndarray:
-    """For each key: 2 * its distinct segments (127 at most), plus 1 if two documents hold it."""
-    order = np.argsort(pack.of, kind="stable")
-    edge = np.flatnonzero(np.append(True, np.diff(pack.of[order]) != 0))
-    several = np.minimum.reduceat(pack.doc[order], edge) != np.maximum.reduceat(pack.doc[order], edge)
-    counts = np.diff(np.append(edge, len(order)))
-    distinct = np.ones(len(edge), dtype=np.int64)
-    for k in np.flatnonzero(counts > 1).tolist():
-        rows = order[edge[k]:edge[k] + counts[k]]
-        distinct[k] = len({pack.body[f:f + n + least - 1] for f, n in zip(pack.first[rows].tolist(), pack.n[rows].tolist(), strict=True)})
-    return (2 * np.minimum(distinct, 127) + several).astype(np.uint8)
+    """For each key: 2 * its distinct segments (127 at most; about, by their ends),
+    plus 1 if two documents hold it."""
+    held = np.bincount(pack.of)
+    rows = np.flatnonzero(held[pack.of] > 1)
+    out = np.full(len(held), 2, dtype=np.int64)
+    if len(rows):
+        rows = rows[np.argsort(pack.of[rows], kind="stable")]
+        of, doc = pack.of[rows], pack.doc[rows]
+        edge = np.flatnonzero(np.concatenate([[True], of[1:] != of[:-1]]))
+        several = np.minimum.reduceat(doc, edge) != np.maximum.reduceat(doc, edge)
+        word = np.ndarray((len(pack.body) - 7,), "<u8", pack.body, strides=(1,))
+        last = pack.first[rows] + pack.n[rows] + least - 9
+        mix = (word[pack.first[rows]] * np.uint64(0x9E3779B97F4A7C15)) ^ (word[last] * np.uint64(0xBF58476D1CE4E5B9)) ^ pack.n[rows].astype(np.uint64)
+        order = np.lexsort((mix, of))
+        fresh = np.concatenate([[True], (mix[order][1:] != mix[order][:-1]) | (of[order][1:] != of[order][:-1])])
+        distinct = np.add.reduceat(fresh.astype(np.int64), edge)
+        out[of[edge]] = 2 * np.minimum(distinct, 127) + several
+    return out.astype(np.uint8)
 
 
 def _flags(packs: DataFrame, least: int, gram: int) -> DataFrame:
@@ -322,34 +350,34 @@ def _candidates(packs: DataFrame, flags: DataFrame, least: int, gram: int) -> Da
         for row in _rows(batches):
             pack = _Pack(row, least, gram)
             flag = np.concatenate([np.frombuffer(inflate(f["flags"].as_py()), dtype=np.uint8) for f in row["flags"].values])[pack.of]
-            number: dict[tuple, int] = {}
-            keys: list = []
-            ids: list[int] = []
-            places: list[tuple] = []
-            for i in np.flatnonzero(flag).tolist():
-                first, n, doc, key = int(pack.first[i]), int(pack.n[i]), int(pack.doc[i]), int(pack.key[i].view(np.int64))
-                parts = [(first, n, key)] if flag[i] == 1 else [(first + k, 1, None) for k in range(n)]
-                for f, m, kind in parts:
-                    what = (kind, pack.body[f:f + m + least - 1])
-                    j = number.setdefault(what, len(number))
-                    own = int(pack.ids[doc])
-                    if j == len(ids):
-                        ids.append(own)
-                    elif own < ids[j]:
-                        ids[j] = own
-                    places.append((doc, f, m, j))
-            if not places:
+            number: dict[bytes, int] = {}
+            calm, hot = np.flatnonzero(flag == 1), np.flatnonzero(flag == 2)
+            # The windows of hot minimizers are taken one by one.
+            alone, of = _expanded(pack.first[hot], pack.n[hot])
+            first = np.concatenate([pack.first[calm], alone])
+            n = np.concatenate([pack.n[calm], np.ones(len(alone), dtype=np.int64)])
+            if not len(first):
                 continue
+            places = np.empty(len(first), dtype=_OCCURRENCE)
+            places["doc"], places["first"], places["n"] = np.concatenate([pack.doc[calm], pack.doc[hot][of]]), first, n
+            body = pack.body
+            places["j"] = [number.setdefault(body[a:b], len(number)) for a, b in zip(first.tolist(), (first + n + least - 1).tolist(), strict=True)]
+            # The bytes fix the minimizer, so one of the places tells a segment's key.
+            ids, key = np.full(len(number), NO_ID), np.empty(len(number), dtype=np.int64)
+            np.minimum.at(ids, places["j"], pack.ids[places["doc"]])
+            key[places["j"]] = np.concatenate([pack.key[calm], pack.key[hot][of]]).view(np.int64)
+            single = np.zeros(len(number), dtype=bool)
+            single[places["j"][len(calm):]] = True
             pid = row["pack"].as_py()
-            blob = deflate(np.array(places, dtype=_OCCURRENCE).tobytes() + b"")
-            low = deflate(np.array(ids, dtype="<i8").tobytes())
-            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip((pid, len(ids), None, low, None, blob), kinds, strict=True)], names=names)
-            keys = list(number)
-            for a in range(0, len(keys), 20_000):
-                part = keys[a:a + 20_000]
+            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(
+                (pid, len(ids), None, deflate(ids.astype("<i8").tobytes()), None, deflate(places.tobytes())), kinds, strict=True)], names=names)
+            segs = list(number)
+            for a in range(0, len(segs), 20_000):
+                part = segs[a:a + 20_000]
+                size, to = len(part), slice(a, a + len(part))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([pid] * len(part), kinds[0]), pa.array(range(a, a + len(part)), kinds[1]), pa.array([k for k, _ in part], kinds[2]),
-                     pa.array([s for _, s in part], kinds[3]), pa.array(ids[a:a + len(part)], kinds[4]), pa.nulls(len(part), kinds[5])], names=names)
+                    [pa.array(np.full(size, pid)), pa.array(np.arange(a, a + size)), pa.array(key[to], mask=single[to]),
+                     pa.array(part, kinds[3]), pa.array(ids[to]), pa.nulls(size, kinds[5])], names=names)
 
     return materialize(joined.mapInArrow(run, "pack long, j long, key long, seg binary, id long, places binary"), "suffix-candidates")
 
@@ -393,25 +421,36 @@ def _calm(rows: DataFrame, least: int, parts: int) -> DataFrame:
                         out.add(pack, [(j, s, i) for s, i in runs])
             texts, lowest, owners, size = [], [], [], 0
 
-        for g in groups(batches, ["key"]):
+        def take(rows: list[tuple[int, int, bytes, int]]) -> None:
+            nonlocal size
             by_seg: dict[bytes, list[tuple[int, int, int]]] = {}
-            for pack, j, seg, own in zip(*(g[c].to_pylist() for c in ("pack", "j", "seg", "id")), strict=True):
+            for pack, j, seg, own in rows:
                 by_seg.setdefault(seg, []).append((pack, j, own))
             if len(by_seg) == 1:
-                held = next(iter(by_seg.values()))
-                first = min(i for *_, i in held)
-                for pack, j, own in held:
+                first = min(r[3] for r in rows)
+                for pack, j, _, own in rows:
                     if first < own:
                         out.add(pack, [(j, 0, first)])
-            else:
-                for seg, held in by_seg.items():
-                    texts.append(seg)
-                    lowest.append(min(i for *_, i in held))
-                    owners.append(held)
-                    size += len(seg)
-                if size >= SHARD:
-                    close()
+                return
+            for seg, held in by_seg.items():
+                texts.append(seg)
+                lowest.append(min(i for *_, i in held))
+                owners.append(held)
+                size += len(seg)
+
+        last, waiting = None, []
+        for b in batches:
+            for key, *row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if key != last:
+                    if len(waiting) > 1:    # one row: what the pack knows already
+                        take(waiting)
+                        if size >= SHARD:
+                            close()
+                    last, waiting = key, []
+                waiting.append(row)
             yield from out.flush(200_000)
+        if len(waiting) > 1:
+            take(waiting)
         if texts:
             close()
         yield from out.flush()
