@@ -51,7 +51,7 @@ from .common import materialize, shuffle_parts
 
 LEAST = 50
 GRAM = 16
-PACK = 4 << 20
+PACK = 12 << 20
 SHARD = 128 << 10
 HOT = 2048
 #: Bytes of text that fill a bucket of the first step (a key in about 20 bytes).
@@ -335,15 +335,16 @@ def _flags(packs: DataFrame, least: int, gram: int) -> DataFrame:
     return materialize(judged.groupBy("pack").agg(F.array_sort(F.collect_list(F.struct("bucket", "flags"))).alias("flags")), "suffix-flags")
 
 
-def _candidates(packs: DataFrame, flags: DataFrame, least: int, gram: int) -> DataFrame:
-    """Per pack one row with its occurrences, and a row (pack, j, key, seg, id)
-    per distinct segment that other documents may hold; key is null where the
-    segment is one window of a hot minimizer."""
+def _candidates(packs: DataFrame, flags: DataFrame, least: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (pack, j, key, seg, id, places): (a row per distinct segment that other
+    documents may hold; the rest, written: a row per pack with its occurrences and,
+    without key, one per window of hot minimizers). The first is shuffled at once, so
+    it is not written, too."""
     size = flags.agg(F.sum(F.expr("aggregate(flags, 0L, (a, f) -> a + length(f.flags))"))).first()[0] or 0
     by_pack = flags.select(F.col("pack").alias("pack_"), "flags")
     joined = packs.join(F.broadcast(by_pack) if size <= BROADCAST else by_pack, F.col("pack") == F.col("pack_")).drop("pack_")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch], calm_rows: bool) -> Iterator[pa.RecordBatch]:
         inflate, deflate = zstandard.ZstdDecompressor().decompress, zstandard.ZstdCompressor(level=3).compress
         names = ["pack", "j", "key", "seg", "id", "places"]
         kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary()]
@@ -369,17 +370,19 @@ def _candidates(packs: DataFrame, flags: DataFrame, least: int, gram: int) -> Da
             single = np.zeros(len(number), dtype=bool)
             single[places["j"][len(calm):]] = True
             pid = row["pack"].as_py()
-            yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(
-                (pid, len(ids), None, deflate(ids.astype("<i8").tobytes()), None, deflate(places.tobytes())), kinds, strict=True)], names=names)
+            if not calm_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(
+                    (pid, len(ids), None, deflate(ids.astype("<i8").tobytes()), None, deflate(places.tobytes())), kinds, strict=True)], names=names)
             segs = list(number)
-            for a in range(0, len(segs), 20_000):
-                part = segs[a:a + 20_000]
-                size, to = len(part), slice(a, a + len(part))
+            mine = np.flatnonzero(single != calm_rows)
+            for a in range(0, len(mine), 20_000):
+                to = mine[a:a + 20_000]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(size, pid)), pa.array(np.arange(a, a + size)), pa.array(key[to], mask=single[to]),
-                     pa.array(part, kinds[3]), pa.array(ids[to]), pa.nulls(size, kinds[5])], names=names)
+                    [pa.array(np.full(len(to), pid)), pa.array(to), pa.array(key[to], mask=single[to]),
+                     pa.array([segs[j] for j in to.tolist()], kinds[3]), pa.array(ids[to]), pa.nulls(len(to), kinds[5])], names=names)
 
-    return materialize(joined.mapInArrow(run, "pack long, j long, key long, seg binary, id long, places binary"), "suffix-candidates")
+    schema = "pack long, j long, key long, seg binary, id long, places binary"
+    return (joined.mapInArrow(lambda b: run(b, True), schema), materialize(joined.mapInArrow(lambda b: run(b, False), schema), "suffix-places"))
 
 
 # ---- answers ----------------------------------------------------------------
@@ -455,13 +458,13 @@ def _calm(rows: DataFrame, least: int, parts: int) -> DataFrame:
             close()
         yield from out.flush()
 
-    shards = rows.where("key is not null").select("key", "pack", "j", "seg", "id").repartition(parts, "key").sortWithinPartitions("key")
+    shards = rows.select("key", "pack", "j", "seg", "id").repartition(parts, "key").sortWithinPartitions("key")
     return shards.mapInArrow(run, "pack long, answers binary")
 
 
 def _hot(rows: DataFrame) -> DataFrame:
     """Windows of hot minimizers, one by one."""
-    single = rows.where("key is null and seg is not null and places is null").select("pack", "j", "seg", "id")
+    single = rows.where("places is null").select("pack", "j", "seg", "id")
     low = single.groupBy(F.col("seg").alias("seg_")).agg(F.min("id").alias("low"))
     lower = single.join(low, (F.col("seg") == F.col("seg_")) & (F.col("low") < F.col("id"))).select("pack", "j", "low")
 
@@ -510,8 +513,8 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     if kind not in ("tinyint", "smallint", "int", "bigint"):
         raise ValueError("ids must be integers")
     packs = _packs(docs, id_col, text_col)
-    found = _candidates(packs, _flags(packs, least, gram), least, gram)
-    answers = _calm(found, least, shuffle_parts(docs.sparkSession)).union(_hot(found))
+    calm, found = _candidates(packs, _flags(packs, least, gram), least, gram)
+    answers = _calm(calm, least, shuffle_parts(docs.sparkSession)).union(_hot(found))
     notes = (found.where("places is not null").select("pack", F.col("places").alias("places"), F.col("seg").alias("low"), F.lit(None).cast("binary").alias("answers"))
              .union(answers.select("pack", F.lit(None).cast("binary"), F.lit(None).cast("binary"), "answers")))
     notes = materialize(notes.groupBy(F.col("pack").alias("pack_"))
