@@ -23,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from . import exact_sums
+
 #: Rows a numbering part is meant to hold; more rows give more parts.
 ROWS_PER_PART = 1_000_000
 #: Sampled rows per part for the split points.
@@ -158,20 +160,42 @@ def batch_lengths(df: DataFrame, batch: str = "batch") -> DataFrame:
 
 
 def batch_partials(df: DataFrame, value: str, batch: str | list[str] = "batch") -> DataFrame:
-    """Per batch: sum of present values (0 for an all-missing batch) and the
-    row count, missing rows included."""
-    return df.groupBy(batch).agg(
-        F.coalesce(F.sum(value), F.lit(0.0)).alias("sum"),
-        F.count(F.lit(1)).alias("rows"))
+    """Per batch: sum of present values (0 for an all-missing batch; exact,
+    rounded once) and the row count, missing rows included."""
+    by = [batch] if isinstance(batch, str) else list(batch)
+    return exact_sums.exact_sums(df, value, by).select(*by, "sum", "rows")
+
+
+def _mean_of_parts(df: DataFrame, value: str, by: list[str]) -> DataFrame:
+    """(parts, sum, rows, mean over all rows) from the unrounded states of the
+    groups ``by``: how rows are dealt into groups does not change the values."""
+    states = exact_sums.parts(df, value, by)
+    count = states.select(*by).distinct().agg(F.count(F.lit(1)).alias("parts"))
+    total = exact_sums.finish(exact_sums.merge(states)).select("sum", "rows", F.col("mean_all_rows").alias("mean"))
+    return count.crossJoin(total)   # one row each
+
+
+def mean_of_chunks(df: DataFrame, value: str, n: int | None = None) -> DataFrame:
+    """(parts, sum, rows, mean) of ``value`` reduced chunk by chunk."""
+    from ..sources.delimited import chunks
+    return _mean_of_parts(chunks(df, n, "chunk"), value, ["chunk"])
+
+
+def mean_of_stored_batches(spark: SparkSession, path: str, value: str) -> DataFrame:
+    """(parts, sum, rows, mean) of ``value`` reduced by the record batches that
+    the Arrow files under ``path`` store (A7)."""
+    from ..sources import arrow_ipc
+    rows = arrow_ipc.read(spark, path, columns=value, batchOf="__file,__batch")
+    return _mean_of_parts(rows, value, ["__file", "__batch"])
 
 
 def combine_partials(partials: DataFrame, s: str = "sum", n: str = "rows") -> DataFrame:
-    """Final step of a two-step mean: total sum / total rows (null if none)."""
-    return partials.agg(
-        F.count(F.lit(1)).alias("parts"),
-        F.coalesce(F.sum(s), F.lit(0.0)).alias("sum"),
-        F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("rows"),
-    ).withColumn("mean", F.try_divide(F.col("sum"), F.col("rows").cast("double")))
+    """Final step of a two-step mean: total sum / total rows (null if none).
+    Sums of parts that were rounded before still depend on how rows were dealt
+    out; ``mean_of_chunks`` and ``mean_of_stored_batches`` merge unrounded ones."""
+    total = exact_sums.exact_sums(partials, s).select(F.col("rows").alias("parts"), "sum")
+    rows = partials.agg(F.coalesce(F.sum(n), F.lit(0)).cast("bigint").alias("rows"))
+    return total.crossJoin(rows).withColumn("mean", F.try_divide(F.col("sum"), F.col("rows").cast("double")))   # one row each
 
 
 def chunk_partials(df: DataFrame, value: str, n: int | None = None) -> DataFrame:

@@ -7,8 +7,12 @@ names:
 * ``mean_missing_as_zero``: missing counts as 0 and every row counts in the
   denominator.
 
-Each is one aggregate with map-side partials: the shuffle carries one row
-per task, whatever the data size. Empty input gives a null mean.
+Sums are exact and rounded once (``exact_sums``), so neither order nor
+partitions change a value. Each is an aggregate with map-side partials: the
+shuffle carries at most 71 rows per task, whatever the data size. Empty input
+gives a null mean. The ``*_expr`` columns are Spark's own floating-point
+aggregates for use inside other aggregates; their last digits follow the order
+of the rows.
 """
 
 from __future__ import annotations
@@ -16,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .exact_sums import exact_sums
+
 
 def mean_skip_missing_expr(value: str) -> Column:
     return F.avg(F.col(value))
@@ -27,16 +33,16 @@ def mean_missing_as_zero_expr(value: str) -> Column:
 
 
 def mean_skip_missing(df: DataFrame, value: str, name: str = "mean") -> DataFrame:
-    return df.agg(mean_skip_missing_expr(value).alias(name))
+    return exact_sums(df, value).select(F.col("mean_present").alias(name))
 
 
 def mean_missing_as_zero(df: DataFrame, value: str, name: str = "mean") -> DataFrame:
-    return df.agg(mean_missing_as_zero_expr(value).alias(name))
+    return exact_sums(df, value).select(F.col("mean_all_rows").alias(name))
 
 
 def sum_skip_missing(df: DataFrame, value: str, name: str = "sum") -> DataFrame:
     """Sum of present values; 0 when there are none."""
-    return df.agg(F.coalesce(F.sum(value).cast("double"), F.lit(0.0)).alias(name))
+    return exact_sums(df, value).select(F.col("sum").alias(name))
 
 
 def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
@@ -47,10 +53,4 @@ def row_count(df: DataFrame, name: str = "rows") -> DataFrame:
 def both_means(df: DataFrame, value: str) -> DataFrame:
     """Both definitions side by side, with their numerators and denominators,
     in one pass."""
-    return df.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(F.col(value)).alias("present"),
-        F.coalesce(F.sum(value).cast("double"), F.lit(0.0)).alias("sum"),
-        mean_skip_missing_expr(value).alias("mean_present"),
-        mean_missing_as_zero_expr(value).alias("mean_all_rows"),
-    )
+    return exact_sums(df, value)

@@ -20,7 +20,7 @@ from pyspark.sql import types as T
 from .. import api, attach
 from ..fixtures import people, people_sql, table
 from ..functions import folds, payloads, scalar
-from ..operators import batches, means, tables
+from ..operators import batches, exact_sums, means, tables
 from ..schemas import PERSON, PERSON_COLUMNS, TYPE_NAME_KEY, register_type, required_field_check
 from ..session import scratch_path
 from ..sources import arrow_ipc, delimited, json_tables
@@ -726,7 +726,7 @@ def _mean_out(df: DataFrame) -> DataFrame:
 def mean_by_chunks(spark, sf_dir):
     """Per-chunk sums and counts, combined, then divided."""
     df = _read_people_csv(spark, _people_csv(spark, sf_dir, "csv-mean-chunks", min_files=4))
-    return _mean_out(batches.combine_partials(batches.chunk_partials(df, "Wage")))
+    return _mean_out(batches.mean_of_chunks(df, "Wage"))
 
 
 @query("mean_by_arrow_batches",
@@ -734,8 +734,7 @@ def mean_by_chunks(spark, sf_dir):
 def mean_by_arrow_batches(spark, sf_dir):
     """The same over the record batches as the files store them, and how
     many there are."""
-    partials = batches.stored_batch_partials(spark, _arrow_batched(spark, sf_dir, "arrow-mean"), "Wage")
-    out = batches.combine_partials(partials)
+    out = batches.mean_of_stored_batches(spark, _arrow_batched(spark, sf_dir, "arrow-mean"), "Wage")
     return out.select("rows", _round(F.col("sum"), "sum"), _round(F.col("mean"), "mean"), "parts")
 
 
@@ -806,6 +805,35 @@ def parse_datetimes(spark, sf_dir):
     return _json_inferred(spark, sf_dir).select("id", scalar.parse_datetime("TermDate").alias("TermDate"))
 
 
+#: Terms that cancel: 1e16 times a quantity, the quantity itself, and -1e16 times it. All are whole doubles.
+_CANCEL_SUM = """SELECT CAST(sum(CASE l_orderkey % 4 WHEN 0 THEN 10000000000000000 WHEN 2 THEN -10000000000000000 WHEN 1 THEN 1
+  ELSE 3 END::HUGEINT * l_quantity::HUGEINT) AS DOUBLE) AS sum, count(*) AS rows FROM lineitem"""
+
+
+def _cancelling(spark, sf_dir) -> DataFrame:
+    at = F.col("l_orderkey") % 4
+    sign = F.when(at == 0, 1e16).when(at == 2, -1e16).when(at == 1, 1.0).otherwise(3.0)
+    return table(spark, sf_dir, "lineitem").select((sign * F.col("l_quantity").cast("double")).alias("v"))
+
+
+@query("sum_exact_chunks", f"SELECT unnest([1, 7, 64]) AS chunks, * FROM ({_CANCEL_SUM})")
+def sum_exact_chunks(spark, sf_dir):
+    """A sum of terms that cancel is the same, bit for bit, however
+    the rows are dealt into chunks."""
+    v = _cancelling(spark, sf_dir)
+    return batches.concat_batches(*[batches.mean_of_chunks(v, "v", n).select(F.lit(n).alias("chunks"), "sum", "rows") for n in (1, 7, 64)])
+
+
+@query("sum_exact_groups", "SELECT l_linestatus, CAST(sum(CASE l_orderkey % 4 WHEN 0 THEN 10000000000000000 WHEN 2 THEN -10000000000000000"
+       " WHEN 1 THEN 1 ELSE 3 END::HUGEINT * l_quantity::HUGEINT) AS DOUBLE) AS sum, count(*) AS rows FROM lineitem GROUP BY l_linestatus")
+def sum_exact_groups(spark, sf_dir):
+    """The same per group."""
+    at = F.col("l_orderkey") % 4
+    sign = F.when(at == 0, 1e16).when(at == 2, -1e16).when(at == 1, 1.0).otherwise(3.0)
+    v = table(spark, sf_dir, "lineitem").select("l_linestatus", (sign * F.col("l_quantity").cast("double")).alias("v"))
+    return exact_sums.exact_sums(v, "v", ["l_linestatus"]).select("l_linestatus", "sum", "rows")
+
+
 # ============================================================================
 # 2.8 Streaming
 # ============================================================================
@@ -816,10 +844,8 @@ def stream_mean_arrow(spark, sf_dir):
     src = _people_arrow(spark, sf_dir, "stream-arrow-src", df=delimited.at_least(people(spark, sf_dir), 4),
                         batch=str(BATCH_ROWS), maxRowsPerFile=str(2 * BATCH_ROWS))
     # Spark's own aggregate: partial sums per task, running totals as state.
-    rows = streams.arrow_stream(spark, src)
-    out = streams.drain_aggregate(streams.rows_running_mean(rows, "Wage"),
-                                  scratch_path(spark, "stream-arrow-out"),
-                                  scratch_path(spark, "stream-arrow-ckpt"))
+    out = streams.drain_sums(streams.arrow_stream(spark, src), "Wage", scratch_path(spark, "stream-arrow-out"),
+                             scratch_path(spark, "stream-arrow-ckpt"))
     return _mean_out(out)
 
 
@@ -830,12 +856,18 @@ def stream_mean_csv(spark, sf_dir):
     default is one file per core and trigger)."""
     src = _people_csv(spark, sf_dir, "stream-csv-src", min_files=6)
     rows = streams.csv_stream(spark, src, PERSON, max_files=1)
-    out = streams.drain_aggregate(streams.rows_running_mean(rows, "Wage"),
-                                  scratch_path(spark, "stream-csv-out"),
-                                  scratch_path(spark, "stream-csv-ckpt"))
+    out = streams.drain_sums(rows, "Wage", scratch_path(spark, "stream-csv-out"), scratch_path(spark, "stream-csv-ckpt"))
     return _mean_out(out)
 
 
+@query("sum_exact_stream", _CANCEL_SUM)
+def sum_exact_stream(spark, sf_dir):
+    """The same sum over a stream of files, a file per trigger."""
+    src = delimited.write_delimited(_cancelling(spark, sf_dir), scratch_path(spark, "exact-src"), compression=None, min_files=5)
+    rows = streams.csv_stream(spark, src, T.StructType([T.StructField("v", T.DoubleType())]), max_files=1)
+    return streams.drain_sums(rows, "v", scratch_path(spark, "exact-out"), scratch_path(spark, "exact-ckpt")).select("sum", "rows")
+
+
 @query("stream_rows_csv", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def stream_rows_csv(spark, sf_dir):
     """T2/T3 on the events table: delimited files (quoted JSON text,

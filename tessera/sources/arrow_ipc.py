@@ -28,6 +28,8 @@ Write options
   ``flavor``       "stream" (default) or "file" (random access footer)
   ``compression``  "none" (default), "zstd" or "lz4"
   ``batch``        rows per record batch; incoming batches are merged and cut
+  ``maxBatchBytes``  most bytes of a record batch (1 GB by default: offsets have
+                   32 bits); a longer one is cut into several
   ``batchColumn``  integer column; a new record batch starts whenever it
                    changes, and the column itself is not written
   ``maxRowsPerFile``  start a new file after this many rows
@@ -563,6 +565,16 @@ class _Commit(WriterCommitMessage):
         self.files, self.rows, self.batches = files, rows, batches
 
 
+def combined(t: pa.Table, most: int) -> Iterator[pa.RecordBatch]:
+    """All rows of ``t`` in record batches of about ``most`` bytes at most."""
+    if t.num_rows > 1 and t.nbytes > most:
+        half = t.num_rows // 2
+        yield from combined(t.slice(0, half), most)
+        yield from combined(t.slice(half), most)
+    else:   # several batches, too, where a column needs several chunks
+        yield from t.combine_chunks().to_batches()
+
+
 class _WriterBase:
     def __init__(self, options: dict, schema: T.StructType, overwrite: bool, path: str):
         self.path = path
@@ -573,6 +585,7 @@ class _WriterBase:
         comp = _opt(options, "compression", "none").lower()
         self.compression = None if comp in ("none", "uncompressed", "") else comp
         self.batch_rows = int(_opt(options, "batch", 0)) or None
+        self.batch_bytes = int(_opt(options, "maxBatchBytes", 1 << 30))
         self.batch_col = _opt(options, "batchColumn")
         self.max_rows_per_file = int(_opt(options, "maxRowsPerFile", 0)) or None
         self.max_bytes = int(_opt(options, "maxBytesPerFile", 256 << 20))
@@ -633,31 +646,33 @@ class _WriterBase:
             total_batches += 1
 
         pending: list[pa.RecordBatch] = []
-        pending_rows = 0
+        pending_rows = pending_bytes = rows_in = 0
         current_key = None
 
         def flush(limit: int | None):
             """Emit pending rows as batches of ``limit`` rows (all if None)."""
-            nonlocal pending, pending_rows
+            nonlocal pending, pending_rows, pending_bytes
             if not pending:
                 return
             t = pa.Table.from_batches(pending, schema=self.arrow_schema)
             if limit is None:
-                if t.num_rows:
-                    emit(t.combine_chunks().to_batches()[0])
-                pending, pending_rows = [], 0
+                for b in combined(t, self.batch_bytes):
+                    emit(b)
+                pending, pending_rows, pending_bytes = [], 0, 0
                 return
             off = 0
             while t.num_rows - off >= limit:
-                emit(t.slice(off, limit).combine_chunks().to_batches()[0])
+                for b in combined(t.slice(off, limit), self.batch_bytes):
+                    emit(b)
                 off += limit
             rest = t.slice(off)
-            pending = rest.combine_chunks().to_batches() if rest.num_rows else []
-            pending_rows = rest.num_rows
+            pending = rest.to_batches() if rest.num_rows else []
+            pending_rows, pending_bytes = rest.num_rows, rest.nbytes
 
         for raw in iterator:
             if raw.num_rows == 0:
                 continue
+            rows_in += raw.num_rows
             if self.batch_col is None:
                 b = cast_batch(raw.select(self.out_names), self.arrow_schema)
                 if self.batch_rows is None:
@@ -665,8 +680,11 @@ class _WriterBase:
                 else:
                     pending.append(b)
                     pending_rows += b.num_rows
+                    pending_bytes += b.nbytes
                     if pending_rows >= self.batch_rows:
                         flush(self.batch_rows)
+                    if pending_bytes >= self.batch_bytes:
+                        flush(None)
                 continue
             # Cut at every change of the batch column, and at ``batch`` rows.
             keys = raw.column(self.batch_col)
@@ -678,10 +696,15 @@ class _WriterBase:
                 current_key = key
                 pending.append(body.slice(lo, hi - lo))
                 pending_rows += hi - lo
+                pending_bytes += pending[-1].nbytes
                 if self.batch_rows and pending_rows >= self.batch_rows:
                     flush(self.batch_rows)
+                if pending_bytes >= self.batch_bytes:
+                    flush(None)
         flush(None)
         close()
+        if total_rows != rows_in:
+            raise RuntimeError(f"{rows_in} rows came in, {total_rows} were written")
         return _Commit(files, total_rows, total_batches)
 
     # -- driver side --------------------------------------------------------

@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..operators import exact_sums
 from ..sources.delimited import TIMESTAMP_TEXT
 
 
@@ -98,6 +99,14 @@ def arrow_stream(spark: SparkSession, path: str, schema: T.StructType | None = N
     return files.mapInArrow(rows, schema)
 
 
+def drain_sums(rows: DataFrame, value: str, out_path: str, checkpoint: str) -> DataFrame:
+    """(sum, rows, mean) of a stream of rows, run to completion. The state is a
+    few integer sums per magnitude (``exact_sums``), so triggers and files do not
+    change the value."""
+    states = drain_state(exact_sums.parts(rows, value), out_path, checkpoint)
+    return exact_sums.finish(exact_sums.merge(states)).select("sum", "rows", F.col("mean_all_rows").alias("mean"))
+
+
 def rows_running_mean(rows: DataFrame, value: str) -> DataFrame:
     """Running sum of present values and row count over a stream of rows."""
     return rows.agg(F.coalesce(F.sum(F.col(value).cast("double")), F.lit(0.0)).alias("sum"),
@@ -105,6 +114,12 @@ def rows_running_mean(rows: DataFrame, value: str) -> DataFrame:
 
 
 def drain_aggregate(agg: DataFrame, out_path: str, checkpoint: str) -> DataFrame:
+    """``drain_state`` of a (sum, rows) aggregate, with its mean."""
+    return drain_state(agg, out_path, checkpoint).withColumn(
+        "mean", F.try_divide(F.col("sum"), F.col("rows").cast("double")))
+
+
+def drain_state(agg: DataFrame, out_path: str, checkpoint: str) -> DataFrame:
     """Run a streaming aggregate to completion and return its final result.
 
     Complete mode: each micro-batch writes the current totals into a folder of
@@ -121,8 +136,7 @@ def drain_aggregate(agg: DataFrame, out_path: str, checkpoint: str) -> DataFrame
     spark = agg.sparkSession
     stored = spark.read.parquet(out_path)
     last = stored.agg(F.max("__trigger")).first()[0]
-    return stored.where(F.col("__trigger") == last).drop("__trigger").withColumn(
-        "mean", F.try_divide(F.col("sum"), F.col("rows").cast("double")))
+    return stored.where(F.col("__trigger") == last).drop("__trigger")
 
 
 def drain_to_parquet(rows: DataFrame, out_path: str, checkpoint: str) -> DataFrame:
