@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
@@ -25,6 +25,19 @@ def materialize(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def masked(df: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` with its columns named by their place, and those names: whatever an
+    operator adds beside them, no column of the user's is in its way."""
+    names = [f"col{i}_" for i in range(len(df.columns))]
+    return df.toDF(*names), dict(zip(df.columns, names, strict=True))
+
+
+def unmasked(names: dict[str, str], leave_out: Iterable[str] = ()) -> list[Column]:
+    """The user's columns again, without those named like ``leave_out`` in any case."""
+    out = {n.lower() for n in leave_out}
+    return [F.col(n).alias(c) for c, n in names.items() if c.lower() not in out]
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -56,6 +69,12 @@ def unit(m: np.ndarray) -> np.ndarray:
     return m / np.sqrt(np.einsum("ij,ij->i", m, m))[:, None]
 
 
+def scaled(m: np.ndarray) -> np.ndarray:
+    """Rows with their largest component between 1/2 and 1, by powers of two:
+    cosines stay the same to the last bit, and squares neither overflow nor vanish."""
+    return np.ldexp(m, -np.frexp(np.abs(m).max(axis=1, initial=0.0))[1][:, None])
+
+
 def groups(batches: Iterator[pa.RecordBatch], keys: list[str], most: int | None = None) -> Iterator[pa.Table]:
     """Consecutive rows with equal ``keys`` (not null) of sorted batches; a
     group may cross batches. Memory: one group and one batch. With ``most`` a

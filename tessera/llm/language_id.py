@@ -30,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import masked, unmasked
+
 BUCKETS = 1 << 17
 #: Expected training rows per language.
 SAMPLE_ROWS = 2_000
@@ -253,13 +255,27 @@ def with_letters(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 def identify(docs: DataFrame, model: Model, text_col: str = "text", penalty: float = SWITCH_PENALTY) -> DataFrame:
     """``docs`` with ``lang_pred``, ``score`` and ``lang_spans`` (array of start,
-    end, lang in code points). Columns of those names are replaced; the text is
-    taken by place, so other names never clash."""
+    end, lang in code points). Columns of those names, in any case, are left out;
+    others come back unchanged, whatever their names."""
     added = ("lang_pred", "score", "lang_spans")
-    names = [c for c in docs.columns if c not in added]
-    rows = docs.select(*[F.col(f"`{c}`") for c in names])
+    rows, masks = masked(docs)
+    found = _identified(rows, model, masks[text_col], penalty)
+    return found.select(*unmasked(masks, added), *added)
+
+
+def filled(docs: DataFrame, model: Model, least: float, text_col: str = "text", lang_col: str = "lang",
+           penalty: float = SWITCH_PENALTY) -> DataFrame:
+    """The rows of which one language holds the share ``least`` of the letters, a
+    missing ``lang_col`` filled in; exactly the columns of ``docs``."""
+    rows, masks = masked(docs)
+    found = _identified(rows, model, masks[text_col], penalty).where((F.col("lang_pred") != "und") & (F.col("score") >= least))
+    return found.withColumn(masks[lang_col], F.coalesce(masks[lang_col], "lang_pred")).select(*unmasked(masks))
+
+
+def _identified(rows: DataFrame, model: Model, text_col: str, penalty: float) -> DataFrame:
+    names, added = rows.columns, ("lang_pred", "score", "lang_spans")
     # One serialised copy per executor: bounded by BUCKETS x languages.
-    sent = docs.sparkSession.sparkContext.broadcast(model)
+    sent = rows.sparkSession.sparkContext.broadcast(model)
     span = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32()), ("lang", pa.string())]))
     where = names.index(text_col)
 

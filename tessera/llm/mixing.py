@@ -15,8 +15,9 @@ Weights: a dict by source (sources left out get ``other``), or else
 ``n_s ** temperature``. A null source is a source of its own (named by a
 null key). Documents are told apart by ``id_col`` alone: repeated rows draw
 the same count, a null id draws as the empty text. An empty table gives an
-empty result. Columns of ``docs`` that share the name of an added one are
-dropped in favour of the added one.
+empty result. ``mix`` leaves out columns of ``docs`` that share the name of an
+added one, in any case; ``mixed_rows`` returns all of them and adds none. Other
+columns come back unchanged, whatever their names.
 """
 
 from __future__ import annotations
@@ -24,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shuffle_parts
+from .common import masked, shuffle_parts, unmasked
 
 SPLIT_RATE = 8.0
 #: P(X > 60) < 1e-30 at a mean of 8.
@@ -52,7 +53,7 @@ def _cdf(rate: Column) -> Column:
 def source_rates(docs: DataFrame, source_col: str, weights: dict[str, float] | None = None,
                  other: float = 0.0, temperature: float = 0.5, epochs: float = 1.0) -> DataFrame:
     """(src, rate, parts, cdf) per source; ``cdf`` is of ``rate / parts``."""
-    n = docs.groupBy(F.col(source_col).alias("src")).agg(F.count(F.lit(1)).alias("n"))
+    n = docs.groupBy(F.col(f"`{source_col}`").alias("src")).agg(F.count(F.lit(1)).alias("n"))
     if weights is None:
         w = F.pow(F.col("n").cast("double"), F.lit(float(temperature)))
     else:
@@ -74,29 +75,39 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source",
         epochs: float = 1.0, seed: str = "mix") -> DataFrame:
     """``docs`` with ``rate``, ``n_copies``, ``copy`` (from 0) and ``mix_key``,
     one row per copy, partitioned and sorted by ``mix_key``."""
-    added = {"rate", "n_copies", "copy", "mix_key"}
-    keep = [c for c in docs.columns if c not in added]
-    docs = docs.select(*keep)
+    added = ("rate", "n_copies", "copy", "mix_key")
+    mixed, names = _copies(docs, id_col, source_col, weights, other, temperature, epochs, seed)
+    return mixed.select(*unmasked(names, added), *added)
+
+
+def mixed_rows(docs: DataFrame, **settings) -> DataFrame:
+    """The rows that ``mix`` gives, with exactly the columns of ``docs``."""
+    mixed, names = _copies(docs, **settings)
+    return mixed.select(*unmasked(names))
+
+
+def _copies(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", weights: dict[str, float] | None = None,
+            other: float = 0.0, temperature: float = 0.5, epochs: float = 1.0, seed: str = "mix") -> tuple[DataFrame, dict[str, str]]:
+    """The copies, with the user's columns masked beside the added ones."""
+    docs, names = masked(docs)
+    id_col, source_col = names[id_col], names[source_col]
     rates = source_rates(docs, source_col, weights, other, temperature, epochs)
     few = rates.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
-    same = F.col(f"`{source_col}`").eqNullSafe(F.col("__src"))
-    r = rates.select(F.col("src").alias("__src"), F.col("rate").alias("__rate"),
-                     F.col("parts").alias("__parts"), F.col("cdf").alias("__cdf"))
+    same = F.col(source_col).eqNullSafe(F.col("src"))
     if few:
-        joined = docs.join(F.broadcast(r), same)
+        joined = docs.join(F.broadcast(rates), same)
     else:  # a source may hold a third of all rows: salt it
-        left = docs.withColumn("__salt", F.pmod(F.hash(F.col(f"`{id_col}`")), F.lit(SALTS)))
-        r = r.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-        joined = left.join(r, same & (left["__salt"] == r["__salt"])).drop("__salt")
-    name = F.coalesce(F.col(f"`{id_col}`").cast("string"), F.lit(""))
+        left = docs.withColumn("salt", F.pmod(F.hash(F.col(id_col)), F.lit(SALTS)))
+        salted = rates.withColumn("salt_", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        joined = left.join(salted, same & (F.col("salt") == F.col("salt_")))
+    name = F.coalesce(F.col(id_col).cast("string"), F.lit(""))
     draws = F.transform(
-        F.sequence(F.lit(1), F.col("__parts")),
-        lambda j: F.size(F.filter(F.col("__cdf"), lambda c: c <= unit_hash(F.lit(seed), j.cast("string"), name))))
+        F.sequence(F.lit(1), F.col("parts")),
+        lambda j: F.size(F.filter(F.col("cdf"), lambda c: c <= unit_hash(F.lit(seed), j.cast("string"), name))))
     counts = F.aggregate(draws, F.lit(0), lambda a, x: a + x)
-    copies = (joined.withColumn("__n", counts).where("__n > 0")
-              .withColumn("__copy", F.explode(F.sequence(F.lit(0), F.col("__n") - 1)))
-              .withColumn("__key", F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), name, F.col("__copy").cast("string")))))
+    copies = (joined.withColumn("n_copies", counts).where("n_copies > 0")
+              .withColumn("copy", F.explode(F.sequence(F.lit(0), F.col("n_copies") - 1)))
+              .withColumn("mix_key", F.md5(F.concat_ws(":", F.lit(seed), F.lit("order"), name, F.col("copy").cast("string")))))
     parts = shuffle_parts(docs.sparkSession)
-    out = copies.repartition(parts, "__key").sortWithinPartitions("__key")
-    return out.select(*[F.col(f"`{c}`") for c in keep], F.col("__rate").alias("rate"), F.col("__n").alias("n_copies"),
-                      F.col("__copy").alias("copy"), F.col("__key").alias("mix_key"))
+    carried = copies.select(*names.values(), "rate", "n_copies", "copy", "mix_key")
+    return carried.repartition(parts, "mix_key").sortWithinPartitions("mix_key"), names

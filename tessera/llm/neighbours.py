@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import groups, materialize, shuffle_parts, unit, vectors
+from .common import groups, materialize, scaled, shuffle_parts, unit, vectors
 
 SAMPLE = 20_000
 LEAST = 16
@@ -201,7 +201,7 @@ def search(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
             at = (g["leaf"][0].as_py(), g["block"][0].as_py())
             if at != here:
                 held, here = [], at
-            m = vectors(g["v"])[1]
+            m = scaled(vectors(g["v"])[1])
             ids = np.asarray(g["id"])
             norm = np.sqrt(np.einsum("ij,ij->i", m, m))
             if not g["query"][0].as_py():

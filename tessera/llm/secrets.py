@@ -32,6 +32,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import masked, unmasked
+
 # Fixed patterns of the base kinds. The two single-class runs carry their
 # least length: a run that is too short can hold no match that is long enough.
 ASSIGN = (r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?"""
@@ -201,8 +203,9 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", scop
     """``docs`` with every reported secret cut from the text: base spans and
     linked opaque values become ``mark`` (spans that overlap become one).
     Linked users and endpoints stay; alone they open nothing. Null text stays
-    null."""
-    columns = docs.columns
+    null, and other columns come back unchanged, whatever their names."""
+    docs, names = masked(docs)
+    text_col = names[text_col]
     df = with_secrets(docs, text_col, scope)
     hidden = F.filter("__s_all", lambda s: s["kind"].isin(*[KINDS.index(k) for k in ("assign", "access", "hex", "opaque")]))
     start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
@@ -213,5 +216,5 @@ def redact(docs: DataFrame, text_col: str = "text", mark: str = "[SECRET]", scop
             s["end"].alias("at"), F.concat(a["out"], F.substr(text, a["at"] + 1, s["start"] - a["at"]), F.lit(mark)).alias("out")))
         .otherwise(F.struct(F.greatest(a["at"], s["end"]).alias("at"), a["out"].alias("out"))),
         lambda a: F.concat(a["out"], F.substr(text, a["at"] + 1)))
-    df = df.withColumn("__s_new", F.when(F.size(hidden) > 0, cut).otherwise(F.col(f"`{text_col}`")))
-    return df.select(*[F.col("__s_new").alias(c) if c == text_col else F.col(f"`{c}`") for c in columns])
+    df = df.withColumn(text_col, F.when(F.size(hidden) > 0, cut).otherwise(F.col(text_col)))
+    return df.select(*unmasked(names))

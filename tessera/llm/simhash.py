@@ -36,7 +36,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import components, groups, materialize, shuffle_parts
+from .common import components, groups, masked, materialize, shuffle_parts, unmasked
 
 TILE = 2048
 #: Probes of large buckets that meet a tile together, in tiles.
@@ -201,7 +201,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 4, radius: int = 4,
              tile: int = TILE) -> DataFrame:
     """The rows of ``docs`` that stay: of each component the one with the
-    smallest id (then fingerprint, then text), and one only where rows repeat."""
+    smallest id (then fingerprint, then text), and one only where rows repeat.
+    All columns come back unchanged, whatever their names."""
+    docs, names = masked(docs)
+    id_col, text_col = names[id_col], names[text_col]
     rows = materialize(fingerprints(docs, id_col, text_col, words).withColumnRenamed(id_col, "id"), "simhash-rows")
     fps = materialize(rows.groupBy("fp").agg(F.min("id").alias("least")), "simhash-fingerprints")
     linked = components(links(fps.select("fp"), radius, tile), "simhash-edges")
@@ -222,4 +225,4 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     same = F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__fp") == F.col("__wfp"))
     one = Window.partitionBy("__fp", id_col).orderBy(F.xxhash64(F.col(f"`{text_col}`")), F.col(f"`{text_col}`"))
     left = marked.join(winners, same).withColumn("__rn", F.row_number().over(one)).where("__rn = 1")
-    return left.select(*[F.col(f"`{c}`") for c in docs.columns])
+    return left.select(*unmasked(names))

@@ -13,6 +13,10 @@ checksum, WARC header, length or digest) the reader looks for the next place
 where a member, or in plain files a version line, begins and decodes,
 continues there and logs the bytes between as a quarantined gap.
 
+Records carry the fields WARC 1.1 asks for: date, type, length, content type and
+an id of their own; the page's id is a field beside them. A whole archive file is
+read at once (``FILE_BYTES``, or one longer record).
+
 A null payload is empty, a null url is an empty target. Rows with a null id
 are written and come back with a null id, and name no revisit unless no other
 row has the payload. Repeated rows are written each. An empty table gives no
@@ -28,10 +32,12 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..session import scratch_path
 from ..sources.arrow_ipc import filesystem
@@ -179,13 +185,14 @@ def write_archives(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
     rows = with_digest(df, id_col, url_col, payload_col)
     repeated = materialize(
         rows.where(F.col("payload_bytes") >= least_bytes).groupBy(F.col("payload_digest").alias("digest_"), F.col("payload_bytes").alias("bytes_"))
-        .agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "warc-repeated")
+        .agg(F.min("id").alias("first"), F.min_by("url", "id").alias("first_url"), F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"), "warc-repeated")
     # A payload that repeats is joined by its digest; both sides are exchanges, so skew can be split.
     planned = rows.join(repeated, (F.col("payload_digest") == F.col("digest_")) & (F.col("payload_bytes") == F.col("bytes_")), "left")
     # Rows that repeat with the first id are all responses: equal records.
     revisit = F.col("first").isNotNull() & ~F.col("id").eqNullSafe(F.col("first"))
     planned = planned.withColumn("refers", F.when(revisit, F.col("first").cast("string")))
-    planned = planned.select(F.col("id").cast("string").alias("id"), "url", "payload", "payload_bytes", "payload_digest", "refers")
+    planned = planned.select(F.col("id").cast("string").alias("id"), "url", "payload", "payload_bytes", "payload_digest", "refers", "first_url")
+    written = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         out_fs, out_base = filesystem(folder)
@@ -200,15 +207,18 @@ def write_archives(df: DataFrame, id_col: str = "page_id", url_col: str = "url",
                     kind = "response" if row["refers"] is None else "revisit"
                     block = row["payload"] if kind == "response" else b""
                     target = re.sub(r"[\r\n]", " ", row["url"] or "")
-                    headers = {"WARC-Type": kind, "WARC-Target-URI": target,
+                    # A row's place in a file that no other attempt writes makes its record id unique.
+                    headers = {"WARC-Type": kind, "WARC-Record-ID": f"<urn:uuid:{uuid.uuid5(uuid.UUID(name[:32]), str(records))}>",
+                               "WARC-Date": written, "WARC-Target-URI": target, "Content-Type": "text/html; charset=utf-8",
                                "WARC-Payload-Digest": f"sha1:{row['payload_digest']}", "WARC-Block-Digest": f"sha1:{sha1_base32(block)}",
                                "X-Payload-Length": str(row["payload_bytes"])}
                     if row["id"] is not None:
                         headers["X-Page-Id"] = row["id"]
-                        headers["WARC-Record-ID"] = f"<urn:page:{row['id']}>"
                     if kind == "revisit":
                         headers["WARC-Profile"] = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-                        headers["WARC-Refers-To"] = f"<urn:page:{row['refers']}>"
+                        headers["WARC-Refers-To-Target-URI"] = re.sub(r"[\r\n]", " ", row["first_url"] or "")
+                        headers["WARC-Refers-To-Date"] = written
+                        headers["X-Refers-To-Page-Id"] = row["refers"]
                     raw = encode_record(headers, block)
                     stream.write(raw)
                     done, records = done + len(raw), records + 1
@@ -248,10 +258,9 @@ def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
                 rows = []
                 for r in got.records:
                     h = r.headers
-                    refers = re.fullmatch(r"<urn:page:(.*)>", h.get("warc-refers-to", ""))
                     full = h.get("x-payload-length", "")
                     rows.append({"file": file, "kind": "record", "start": r.start, "end": r.end, "id": h.get("x-page-id"),
-                                 "url": h.get("warc-target-uri"), "type": h.get("warc-type"), "refers_to": refers and refers[1],
+                                 "url": h.get("warc-target-uri"), "type": h.get("warc-type"), "refers_to": h.get("x-refers-to-page-id"),
                                  "payload_bytes": int(full) if full.isdigit() else len(r.payload),
                                  "payload_digest": h.get("warc-payload-digest", "").removeprefix("sha1:") or sha1_base32(r.payload),
                                  "reason": None} | ({"payload": r.payload} if with_payload else {}))
@@ -263,11 +272,32 @@ def read_archives(manifest: DataFrame, with_payload: bool = False) -> DataFrame:
     return files.repartition(max(1, files.count()), "file").mapInArrow(read, schema)
 
 
+def losses(manifest: DataFrame, back: DataFrame) -> DataFrame:
+    """(file, records, found, gap_bytes) of the archives that did not give back
+    as many records as were written, or hold quarantined bytes."""
+    seen = back.groupBy(F.col("file").alias("file_")).agg(
+        F.sum(F.when(F.col("kind") == "record", 1).otherwise(0)).alias("found"),
+        F.sum(F.when(F.col("kind") == "gap", F.col("end") - F.col("start")).otherwise(0)).alias("gap_bytes"))
+    both = manifest.join(seen, F.col("file") == F.col("file_"), "left").select(
+        "file", "records", F.coalesce("found", F.lit(0)).alias("found"), F.coalesce("gap_bytes", F.lit(0)).alias("gap_bytes"))
+    return both.where((F.col("records") != F.col("found")) | (F.col("gap_bytes") > 0))
+
+
 def round_trip(df: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html",
                least_bytes: int = 0) -> DataFrame:
     """Write ``df`` and read it back: (id, payload_bytes, payload_digest,
-    record_type, refers_to), one row per row of ``df``."""
+    record_type, refers_to), one row per row of ``df``. The records and gaps read
+    are written beside the manifest; archives that lack records are an error."""
     kind = df.schema[id_col].dataType
-    back = read_archives(write_archives(df, id_col, url_col, payload_col, least_bytes)).where("kind = 'record'")
-    return back.select(F.col("id").cast(kind).alias(id_col), "payload_bytes", "payload_digest",
-                       F.col("type").alias("record_type"), F.col("refers_to").cast(kind).alias("refers_to"))
+    manifest = write_archives(df, id_col, url_col, payload_col, least_bytes)
+    return records_of(manifest, id_col, kind)
+
+
+def records_of(manifest: DataFrame, id_col: str, kind: T.DataType) -> DataFrame:
+    back = materialize(read_archives(manifest), "warc-read")
+    lost = losses(manifest, back).limit(5).collect()
+    if lost:
+        raise ValueError("archives lack records: " + "; ".join(f"{r['file']}: {r['found']} of {r['records']}, {r['gap_bytes']} bytes quarantined" for r in lost))
+    return back.where("kind = 'record'").select(
+        F.col("id").cast(kind).alias(id_col), "payload_bytes", "payload_digest", F.col("type").alias("record_type"),
+        F.col("refers_to").cast(kind).alias("refers_to"))
