@@ -40,9 +40,7 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = language_id.train(docs)
     if not model.languages:
         return language_id.with_letters(docs)
-    found = language_id.identify(docs, model)
-    kept = found.where((F.col("lang_pred") != "und") & (F.col("score") >= MIN_SHARE))
-    return _columns(kept.withColumn("lang", F.coalesce("lang", "lang_pred")), docs)
+    return language_id.filled(docs, model, MIN_SHARE)
 
 
 def dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -56,7 +54,7 @@ def secret_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return _columns(mixing.mix(docs), docs)
+    return mixing.mixed_rows(docs)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
