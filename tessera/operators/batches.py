@@ -3,16 +3,11 @@
 A Spark table has no row order, so every positional operator takes one or
 more ordering keys. The total order is (keys ascending, nulls last; then a hash
 of the whole row). Global row numbers are built without a one-partition
-window:
-
-1. split points are rows of a bounded random sample, kept as exact tuples of
-   the order in the keys' own types and written once, so every later job and
-   every retry sees the same ones;
-2. a row's part is the number of split points not above it (compared as
-   tuples); parts are counted by a partial aggregate;
-3. the counts become start offsets (a window over at most one row per part,
-   broadcast: bounded by the part count, not the data);
-4. ``row_number`` runs inside each part and the part's offset is added.
+window: ``repartitionByRange`` deals the rows out in that order, each part is
+sorted and written once with its row's place in it (so every later job and every
+retry sees the same ones), the parts' sizes become start offsets (a window over
+one row per part, broadcast: bounded by the part count, not the data), and a
+row's number is its place plus its part's offset.
 
 Nulls, NaN and a hot key need no case of their own: the row hash cuts a key
 that many rows share. Only rows equal in every column stay together.
@@ -25,10 +20,8 @@ from pyspark.sql import functions as F
 
 from . import exact_sums
 
-#: Rows a numbering part is meant to hold; more rows give more parts.
-ROWS_PER_PART = 1_000_000
-#: Sampled rows per part for the split points.
-SAMPLE_PER_PART = 50
+#: Bits of a row's place within its part in ``monotonically_increasing_id``.
+PLACE_BITS = 33
 
 
 def row_hash(df: DataFrame) -> Column:
@@ -36,63 +29,19 @@ def row_hash(df: DataFrame) -> Column:
     return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
 
 
-def _order_tuple(keys: list[str], tie: str | None) -> Column:
-    """A struct that compares as (keys ascending, nulls last; tie)."""
-    parts = []
-    for i, k in enumerate(keys):
-        parts += [F.col(f"`{k}`").isNull().alias(f"n{i}"), F.col(f"`{k}`").alias(f"k{i}")]
-    return F.struct(*parts, *([F.col(tie).alias("tie")] if tie else []))
-
-
-def _split_points(tagged: DataFrame, keys: list[str], total: int, n: int) -> tuple[DataFrame, int, bool]:
-    """(one row with the sorted array ``s`` of split tuples, their number,
-    whether the tie-break is part of them). Cut from about
-    ``SAMPLE_PER_PART * n`` sampled rows and written to the scratch folder."""
+def _laid_out(df: DataFrame, keys: list[str], n: int | None) -> DataFrame:
+    """The rows in order, written once: columns ``c0``, ``c1``, ... and ``at``, the
+    part (above) and the place in it (the low bits)."""
     from ..session import scratch_path
-    spark = tagged.sparkSession
-    want = SAMPLE_PER_PART * n
-    picked = tagged if total <= want else tagged.sample(min(1.0, want / total), seed=17)
-    ordered = Window.orderBy("o")   # over the bounded sample
-    cuts = (picked.select(_order_tuple(keys, "__tie").alias("o"))
-            .withColumn("i", F.row_number().over(ordered))
-            .withColumn("m", F.count(F.lit(1)).over(Window.partitionBy(F.lit(0))))
-            .where(F.floor(F.col("i") * n / F.col("m")) > F.floor((F.col("i") - 1) * n / F.col("m")))
-            .where(F.col("i") < F.col("m")))
-    path = scratch_path(spark, "split-points")
-    cuts.agg(F.array_sort(F.collect_set("o")).alias("s")).write.parquet(path)
-    stored = spark.read.parquet(path)
-    key_only = F.transform("s", lambda o: F.struct(*[o[f].alias(f) for i in range(len(keys))
-                                                     for f in (f"n{i}", f"k{i}")]))
-    size, distinct = stored.select(F.size("s"), F.size(F.array_distinct(key_only))).first()
-    if distinct == size:    # no key is split: parts follow from the keys alone
-        return stored.select(key_only.alias("s")), size, False
-    return stored, size, True
-
-
-def _parts(df: DataFrame, keys: list[str], n: int | None, name: str) -> tuple[DataFrame, int]:
-    """``df`` with ``__tie`` and ``name``, the part of each row in order."""
     spark = df.sparkSession
-    tagged = df.withColumn("__tie", row_hash(df))
-    total = df.count()
-    if n is None:
-        n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-total // ROWS_PER_PART), 1)
-    n = min(n, max(total, 1))
-    if n == 1:
-        return tagged.withColumn(name, F.lit(0)), 1
-    stored, size, with_tie = _split_points(tagged, keys, total, n)
-    if not size:
-        return tagged.withColumn(name, F.lit(0)), 1
-    here = _order_tuple(keys, "__tie" if with_tie else None)
-    # Two levels of about sqrt(size) comparisons a row; both tables together hold the split points.
-    step = max(1, int(size ** 0.5))
-    coarse = stored.select(F.filter("s", lambda x, i: (i + 1) % step == 0).alias("__coarse"))
-    blocks = F.transform(F.sequence(F.lit(0), F.lit(size // step)), lambda b: F.slice("s", b * step + 1, F.lit(step)))
-    fine = stored.select(F.posexplode(blocks).alias("__at", "__fine"))
-    placed = (tagged.crossJoin(F.broadcast(coarse))    # one row
-              .withColumn("__block", F.size(F.filter("__coarse", lambda c: c <= here))).drop("__coarse")
-              .join(F.broadcast(fine), F.col("__block") == F.col("__at")))
-    part = F.col("__block") * step + F.size(F.filter("__fine", lambda c: c <= here))
-    return placed.withColumn(name, part.cast("int")).drop("__block", "__at", "__fine"), size + 1
+    n = n or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plain = df.toDF(*[f"c{i}" for i in range(len(df.columns))])
+    order = [F.col(f"c{df.columns.index(k)}").asc_nulls_last() for k in keys] + [F.col("tie")]
+    laid = (plain.withColumn("tie", row_hash(plain)).repartitionByRange(n, *order).sortWithinPartitions(*order)
+            .drop("tie").withColumn("at", F.monotonically_increasing_id()))
+    path = scratch_path(spark, "numbered")
+    laid.write.parquet(path)
+    return spark.read.schema(laid.schema).parquet(path)
 
 
 def row_numbers(df: DataFrame, order_by: str | list[str], name: str = "rn",
@@ -100,27 +49,24 @@ def row_numbers(df: DataFrame, order_by: str | list[str], name: str = "rn",
     """Add ``name``: 0-based position of each row in ``order_by`` order.
 
     Keys may be of any orderable type. Ties are broken by a hash of the whole
-    row. ``buckets`` parts are used (from the shuffle partitions and the
-    number of rows by default); the answer does not depend on them.
-    ``keep_part`` names a column that keeps each row's part.
+    row. ``buckets`` parts are used (the shuffle partitions by default); the
+    answer does not depend on them. ``keep_part`` names a column that keeps each
+    row's part. The rows are written to the scratch folder when this is called.
     """
     keys = [order_by] if isinstance(order_by, str) else list(order_by)
-    tagged, _ = _parts(df, keys, buckets, "__part")
-    counts = tagged.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    # At most one row per part: bounded by the part count, not by the data.
-    offsets = counts.select(
-        "__part",
-        F.coalesce(F.sum("__n").over(Window.orderBy("__part")
-                                     .rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("__off"))
-    order = [F.col(f"`{k}`").asc_nulls_last() for k in keys]
-    w = Window.partitionBy("__part").orderBy(*order, F.col("__tie"))
-    numbered = tagged.withColumn("__local", F.row_number().over(w) - 1)
-    out = (numbered.join(F.broadcast(offsets), "__part")
-           .withColumn(name, (F.col("__off") + F.col("__local")).cast("bigint")))
+    laid = _laid_out(df, keys, buckets)
+    part = F.shiftright("at", PLACE_BITS)
+    place = F.col("at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    sizes = laid.groupBy(part.alias("part_")).agg((F.max(place) + 1).alias("size"))
+    # One row per part: bounded by the part count, not by the data.
+    before = Window.orderBy("part_").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("part_", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    numbered = laid.join(F.broadcast(offsets), part == F.col("part_"))
+    added = [(F.col("offset") + place).cast("bigint").alias(name)]
     if keep_part:
-        out = out.withColumn(keep_part, F.col("__part"))
-    return out.drop("__part", "__off", "__local", "__tie")
+        added.append(F.col("part_").cast("int").alias(keep_part))
+    taken = {name, keep_part}
+    return numbered.select(*[F.col(f"c{i}").alias(c) for i, c in enumerate(df.columns) if c not in taken], *added)
 
 
 def fixed_size_batches(df: DataFrame, order_by: str, n: int, name: str = "batch") -> DataFrame:

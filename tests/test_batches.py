@@ -176,7 +176,7 @@ def test_hot_key_is_spread_over_parts(spark):
     order = sorted(out, key=lambda r: r["rn"])
     assert all(a["k"] <= b["k"] for a, b in zip(order, order[1:]))
     # The parts the hot key fell into.
-    parts, _ = batches._parts(df, ["k"], 12, "p")
+    parts = batches.row_numbers(df, "k", buckets=12, keep_part="p")
     counts = parts.where("k = 500").groupBy("p").count().collect()
     assert len(counts) >= 3 and max(r["count"] for r in counts) < n_rows / 3
 
@@ -215,7 +215,7 @@ def test_numbering_of_wall_clock_times_under_dst(spark):
 
 def test_no_part_holds_the_null_keys(spark):
     df = spark.createDataFrame([(None if i % 2 else i, i) for i in range(4000)], "k bigint, i int")
-    parts, _ = batches._parts(df, ["k"], 8, "p")
+    parts = batches.row_numbers(df, "k", buckets=8, keep_part="p")
     assert max(r["count"] for r in parts.groupBy("p").count().collect()) < 1200
 
 

@@ -31,13 +31,12 @@ def test_arrow_filters_pushed_and_columns_option_projects(spark, tmp_dir):
     assert "ReadSchema: struct<id:bigint,Wage:double>" in plan(narrow)
 
 
-def test_numbering_counts_scan_only_the_key_and_broadcasts_offsets(spark):
+def test_numbering_reads_what_it_needs_and_broadcasts_offsets(spark):
     text = plan(batches.batch_lengths(batches.fixed_size_batches(people(spark, SF), "id", 100)))
-    assert "ReadSchema: struct<o_orderkey:bigint>" in text          # the counting pass
-    assert "BroadcastExchange" in text and "Window" in text
-    # No window over the whole table in one partition for the data itself:
-    # the row_number window is partitioned by part.
-    assert "hashpartitioning(__part" in text
+    assert "ReadSchema: struct<at:bigint>" in text          # neither pass reads the columns
+    assert "BroadcastExchange" in text
+    # The window runs over one row per part; the data is not sorted or dealt out again.
+    assert "hashpartitioning(c0" not in text and "rangepartitioning" not in text
 
 
 def test_column_equality_is_a_hash_aggregate_without_join(spark):
