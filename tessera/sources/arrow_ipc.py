@@ -711,17 +711,14 @@ class _WriterBase:
     def _move_into_place(self, messages, clear_prefix: str | None):
         from concurrent.futures import ThreadPoolExecutor
         fs, base = filesystem(self.path)
-        # New names never meet old ones of another job, so the old files go last:
-        # a failure on the way leaves them readable. Files of other kinds stay.
+        # New names never meet old ones of another job or attempt, so the old files
+        # (of an overwritten table, or of an earlier run of a stream's micro-batch)
+        # go last: a failure on the way leaves them readable. Other files stay.
         files = [f for m in messages if m is not None for f in m.files]
         new = {f"{base}/{final}" for _, final in files}
         old = [] if clear_prefix is None else [
             p for p, _ in list_data_files(self.path)
             if p not in new and p.endswith((FILE_EXT, STREAM_EXT)) and p.rsplit("/", 1)[-1].startswith(clear_prefix)]
-        if clear_prefix and old:    # a stream's re-run of the same micro-batch
-            for p in old:
-                fs.delete_file(p)
-            old = []
         if not files and clear_prefix != "" and list_data_files(self.path):
             self._cleanup()     # nothing to add
             return
