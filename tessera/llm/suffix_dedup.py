@@ -53,7 +53,7 @@ LEAST = 50
 GRAM = 16
 PACK = 12 << 20
 SHARD = 128 << 10
-HOT = 2048
+HOT = 16384
 #: Bytes of text that fill a bucket of the first step (a key in about 20 bytes).
 BUCKET = 64 << 20
 BROADCAST = 32 << 20
