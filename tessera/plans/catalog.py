@@ -402,6 +402,35 @@ def arrow_append(spark, sf_dir):
     return spark.read.format(ARROW).load(path)
 
 
+@query("arrow_versions",
+       "SELECT 1 AS version, id, Wage FROM people WHERE id % 3 = 0 "
+       "UNION ALL SELECT 2 AS version, id, Wage FROM people WHERE id % 3 <> 2 "
+       "UNION ALL SELECT 3 AS version, id, Wage FROM people WHERE id % 2 = 0 "
+       "UNION ALL SELECT 4 AS version, id, Wage FROM people")
+def arrow_versions(spark, sf_dir):
+    """K1/K3: two appends, an overwrite and an append, read back version by version."""
+    p = people(spark, sf_dir).select("id", "Wage")
+    path = scratch_path(spark, "arrow-versions")
+    for rows, mode in [("id % 3 = 0", "append"), ("id % 3 = 1", "append"), ("id % 2 = 0", "overwrite"), ("id % 2 = 1", "append")]:
+        p.where(rows).write.format(ARROW).mode(mode).save(path)
+    found = [spark.read.format(ARROW).option("version", str(v)).load(path).select(F.lit(v).alias("version"), "id", "Wage")
+             for v in range(1, 5)]
+    return found[0].unionAll(found[1]).unionAll(found[2]).unionAll(found[3])
+
+
+@query("arrow_stored_page",
+       "SELECT id, Fname, Wage FROM (SELECT *, row_number() OVER (ORDER BY id) - 1 AS p, count(*) OVER () AS n FROM people) "
+       "WHERE p >= n // 2 AND p < n // 2 + 1500")
+def arrow_stored_page(spark, sf_dir):
+    """A page from the middle of a dataset stored in order, by the row counts
+    in its log; only the record batches that hold the page are decoded."""
+    path = scratch_path(spark, "arrow-stored-page")
+    (people(spark, sf_dir).orderBy("id").write.format(ARROW).mode("append")
+     .options(flavor="file", batch=str(BATCH_ROWS)).save(path))
+    first = arrow_ipc.stored_rows(path) // 2
+    return spark.read.format(ARROW).options(columns="id,Fname,Wage", firstRow=str(first), rowCount="1500").load(path)
+
+
 @query("arrow_encode_payloads",
        f"SELECT batch, count(*) AS n FROM (SELECT {BATCH_OF} AS batch FROM people) GROUP BY batch")
 def arrow_encode_payloads(spark, sf_dir):

@@ -1,7 +1,8 @@
 """Arrow IPC as a Spark data source: ``spark.read.format("arrow_ipc")``.
 
 Layout on storage: a dataset is a folder of IPC files (one or more per write
-task), so appends add files and readers see every batch of every file.
+task) and a commit log (``versions``). A read takes the files of one version, in
+the order they were written; a folder without a log is all of its visible files.
 
 Read options
   ``columns``    comma-separated projection (Python sources are not pruned
@@ -21,6 +22,10 @@ Read options
                  "batches": one row per record batch (file, batch, rows)
   ``batchesPerSplit``  file-flavour files larger than ``splitBytes`` are read
                  by several tasks, this many record batches each
+  ``version``    read this version of the log instead of the newest
+  ``firstRow``, ``rowCount``  rows by stored position (from 0): only the files
+                 that hold them are opened, and of a random-access file only
+                 their record batches are decoded; needs a log
   ``pushFilters`` "true" (default) applies simple filters in the reader;
                  "false" for sessions with Python filter pushdown turned off
 
@@ -38,8 +43,9 @@ Write options
   ``metadata``     table-level metadata stored in the IPC schema, as a JSON
                    object (``metadata.<key>`` also works, keys lower-cased)
 
-Files are written under ``_temporary`` and moved into place by the driver's
-commit, so a retried or speculative task never leaves a doubled file.
+Tasks write their files under final names that no other attempt uses; the driver's
+commit publishes them as one version. Files of failed or repeated attempts are in
+no version, and ``versions.expire`` deletes them.
 """
 
 from __future__ import annotations
@@ -47,6 +53,7 @@ from __future__ import annotations
 import json
 import time
 import uuid
+from itertools import islice
 from contextlib import contextmanager
 from collections.abc import Iterator
 
@@ -75,6 +82,7 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql import types as T
 
+from . import versions
 from .arrow_types import (
     cast_batch,
     relaxed,
@@ -85,6 +93,8 @@ from .arrow_types import (
 FORMAT = "arrow_ipc"
 STREAM_EXT = ".arrows"
 FILE_EXT = ".arrow"
+#: Files of this name count only if a version lists them.
+LOGGED = "rows-"
 _MAGIC = b"ARROW1"
 BATCHES_SCHEMA = T.StructType([
     T.StructField("file", T.StringType(), False),
@@ -127,19 +137,51 @@ def _visible(name: str) -> bool:
     return not (base.startswith("_") or base.startswith("."))
 
 
-def list_data_files(path: str) -> list[tuple[str, int]]:
-    """(path-in-fs, size) of every visible file under ``path``, sorted."""
+def current_version(path: str) -> int | None:
+    """The newest version of a dataset; None if it has no log."""
+    fs, base = filesystem(path)
+    known = versions.numbers(fs, base)
+    return known[-1] if known else None
+
+
+def stored_files(path: str, version: int | None) -> list[dict]:
+    """The log's entries of a version, in stored order."""
+    fs, base = filesystem(path)
+    found = versions.snapshot(fs, base, version)
+    if found is None:
+        raise ValueError(f"{path} has no commit log, so its rows have no stored positions")
+    return found[1]
+
+
+def stored_rows(path: str, version: int | None = None) -> int:
+    """Rows of a dataset, from its log alone."""
+    return sum(_entry_rows(f) for f in stored_files(path, version))
+
+
+def _entry_rows(entry: dict) -> int:
+    if entry["rows"] is None:
+        raise ValueError(f"{entry['file']} was there before the log, which has no row count of it")
+    return entry["rows"]
+
+
+def list_data_files(path: str, version: int | None = None) -> list[tuple[str, int]]:
+    """(path-in-fs, size) of the files of a version in stored order; without a log,
+    of every visible file under ``path``, sorted, but for files that wait for a log."""
     fs, base = filesystem(path)
     info = fs.get_file_info(base)
     if info.type == pafs.FileType.NotFound:
         return []
     if info.type == pafs.FileType.File:
         return [(base, info.size)]
+    found = versions.snapshot(fs, base, version)
+    if found is not None:
+        return [(f"{base}/{f['file']}", f["bytes"]) for f in found[1]]
     sel = pafs.FileSelector(base, recursive=True)
     out = []
     for fi in fs.get_file_info(sel):
         rel = fi.path[len(base):]
-        if fi.type == pafs.FileType.File and all(_visible(p) for p in rel.split("/") if p):
+        if fi.type == pafs.FileType.File and all(_visible(p) for p in rel.split("/") if p) \
+                and not fi.base_name.startswith(LOGGED):
             out.append((fi.path, fi.size))
     return sorted(out)
 
@@ -310,7 +352,14 @@ class ArrowIpcDataSource(DataSource):
             return METADATA_SCHEMA
         if content == "batches":
             return BATCHES_SCHEMA
-        files = list_data_files(self._path())
+        return self._schema_at(self._version())
+
+    def _version(self) -> int | None:
+        given = _opt(self.options, "version")
+        return current_version(self._path()) if given is None else int(given)
+
+    def _schema_at(self, version: int | None) -> T.StructType:
+        files = list_data_files(self._path(), version)
         if not files:
             raise FileNotFoundError(f"no Arrow IPC files under {self._path()}")
         fs, _ = filesystem(self._path())
@@ -347,9 +396,12 @@ class ArrowIpcDataSource(DataSource):
         # it on); ``pushFilters=false`` gives a reader without it.
         kind = ArrowIpcReader if _truthy(_opt(self.options, "pushFilters", "true")) else ArrowIpcPlainReader
         reader = kind(dict(self.options), schema, self._path())
+        # Planned against one version, whatever is committed meanwhile.
+        reader.version = version = self._version()
         # A whole-table read must not leave out columns that other files hold.
         reader.strict = (reader.content == "rows" and not reader.merge and not _opt(self.options, "columns")
-                         and bool(list_data_files(self._path())) and self.schema().names == schema.names)
+                         and bool(list_data_files(self._path(), version))
+                         and self._schema_at(version).names == schema.names)
         return reader
 
     def writer(self, schema: T.StructType, overwrite: bool):
@@ -360,9 +412,12 @@ class ArrowIpcDataSource(DataSource):
 
 
 class _Split(InputPartition):
-    def __init__(self, path: str, first: int | None, last: int | None):
-        super().__init__((path, first, last))
-        self.path, self.first, self.last = path, first, last
+    """Record batches ``first`` to ``last`` of a file; of their rows, ``take`` after
+    the first ``skip`` (all, if None)."""
+
+    def __init__(self, path: str, first: int | None, last: int | None, skip: int = 0, take: int | None = None):
+        super().__init__((path, first, last, skip, take))
+        self.path, self.first, self.last, self.skip, self.take = path, first, last, skip, take
 
 
 # Column types whose comparisons mean the same in Arrow and in Spark SQL
@@ -426,6 +481,11 @@ class ArrowIpcReader(DataSourceReader):
         self.merge = _truthy(_opt(options, "mergeSchema", "false"))
         self.batch_of = _batch_of(options)
         self.strict = False
+        self.version: int | None = None
+        first, count = _opt(options, "firstRow"), _opt(options, "rowCount")
+        self.rows = None if first is None and count is None else (int(first or 0), None if count is None else int(count))
+        if self.rows and (min(self.rows[0], self.rows[1] or 0) < 0 or self.content != "rows"):
+            raise ValueError("firstRow and rowCount are row positions of at least 0")
         self.split_bytes = int(_opt(options, "splitBytes", 256 * 1024 * 1024))
         self.batches_per_split = int(_opt(options, "batchesPerSplit", 8))
 
@@ -446,7 +506,9 @@ class ArrowIpcReader(DataSourceReader):
         range. Only their footers are read here, never data, and in
         parallel: planning many large files on object storage stays fast."""
         fs, _ = filesystem(self.root)
-        files = list_data_files(self.root)
+        if self.rows:
+            return self._position_splits() or [_Split("", None, None)]
+        files = list_data_files(self.root, self.version)
         large = [p for p, size in files if self.content == "rows" and size > self.split_bytes]
 
         def batch_count(p: str) -> int | None:
@@ -472,6 +534,33 @@ class ArrowIpcReader(DataSourceReader):
                     out.append(_Split(p, lo, min(n, lo + step)))
         return out or [_Split("", None, None)]
 
+    def _position_splits(self) -> list[_Split]:
+        """The files that hold the asked rows, and the place of the rows in them, from
+        the row counts in the log; no data file is opened."""
+        _, base = filesystem(self.root)
+        first, count = self.rows
+        out, start = [], 0
+        for entry in stored_files(self.root, self.version):
+            rows = _entry_rows(entry)
+            lo = max(first - start, 0)
+            hi = rows if count is None else min(rows, first + count - start)
+            start += rows
+            if lo >= hi:
+                continue
+            # Batches from the one that holds row ``lo`` to the one that holds ``hi - 1``.
+            batch = seen = 0
+            begin = skip = end = None
+            for size, times in entry["batches"]:
+                if begin is None and seen + size * times > lo:
+                    begin = batch + (lo - seen) // size
+                    skip = (lo - seen) % size
+                if seen + size * times >= hi:
+                    end = batch + -(-(hi - seen) // size)
+                    break
+                seen, batch = seen + size * times, batch + times
+            out.append(_Split(f"{base}/{entry['file']}", begin, end, skip, hi - lo))
+        return out
+
     def read(self, partition: _Split):
         yield from _read_split(self, partition)
 
@@ -512,14 +601,16 @@ def _read_split(reader, partition: _Split):
             yield (partition.path, i, n)
         return
     yield from read_file(fs, partition.path, reader.schema, first=partition.first or 0, last=partition.last,
-                         filters=reader.filters, batch_of=reader.batch_of, merge=reader.merge, strict=reader.strict)
+                         filters=reader.filters, batch_of=reader.batch_of, merge=reader.merge, strict=reader.strict,
+                         skip=partition.skip, take=partition.take)
 
 
 def read_file(fs: pafs.FileSystem, p: str, schema: T.StructType, first: int = 0, last: int | None = None,
               filters: list | None = None, batch_of: list[str] | None = None, merge: bool = False,
-              strict: bool = False) -> Iterator[pa.RecordBatch]:
+              strict: bool = False, skip: int = 0, take: int | None = None) -> Iterator[pa.RecordBatch]:
     """The record batches ``first`` to ``last`` of a file in the columns and
-    types of ``schema``, one at a time."""
+    types of ``schema``, one at a time; of their rows, before any filter, ``take``
+    after the first ``skip``."""
     target = relaxed(to_arrow_schema(schema))
     place = batch_of or []
     names = [f.name for f in schema.fields if f.name not in place]
@@ -536,8 +627,13 @@ def read_file(fs: pafs.FileSystem, p: str, schema: T.StructType, first: int = 0,
         if kind == "file":
             batches = (r.get_batch(i) for i in range(first, r.num_record_batches if last is None else last))
         else:
-            batches = iter(r)
+            batches = islice(r, first, last)
         for number, b in enumerate(batches, first):
+            if skip or take is not None:
+                b, skip = b.slice(skip, take), max(0, skip - b.num_rows)
+                take = None if take is None else take - b.num_rows
+                if b.num_rows == 0:
+                    continue
             n = b.num_rows
             b = b.select([c for c in names if c not in missing])
             for c in missing:
@@ -561,7 +657,9 @@ def read_file(fs: pafs.FileSystem, p: str, schema: T.StructType, first: int = 0,
 
 
 class _Commit(WriterCommitMessage):
-    def __init__(self, files: list[tuple[str, str]], rows: int, batches: int):
+    """The log entries of a task's files."""
+
+    def __init__(self, files: list[dict], rows: int, batches: int):
         self.files, self.rows, self.batches = files, rows, batches
 
 
@@ -604,32 +702,29 @@ class _WriterBase:
         self.ext = FILE_EXT if self.flavor == "file" else STREAM_EXT
 
     # -- executor side ------------------------------------------------------
-    def _write_task(self, iterator, prefix: str) -> _Commit:
+    def _write_task(self, iterator) -> _Commit:
         from pyspark import TaskContext
         ctx = TaskContext.get()
         pid = ctx.partitionId() if ctx else 0
-        attempt = ctx.taskAttemptId() if ctx else 0   # unique over stage retries, too
+        attempt = f"{ctx.taskAttemptId() if ctx else 0}{uuid.uuid4().hex[:8]}"   # no name is used twice
         fs, base = filesystem(self.path)
-        tmp_dir = f"{base}/_temporary/{self.job}"
-        fs.create_dir(tmp_dir, recursive=True)
+        fs.create_dir(base, recursive=True)
         opts = pa.ipc.IpcWriteOptions(compression=self.compression)
         new = pa.ipc.new_file if self.flavor == "file" else pa.ipc.new_stream
-        files, state = [], {"w": None, "sink": None, "rows_in_file": 0}
+        files, state = [], {"w": None, "sink": None}
         total_rows = total_batches = 0
 
         def open_next():
             close()
-            seq = len(files)
-            tmp = f"{tmp_dir}/{prefix}{pid:05d}-{seq:04d}-a{attempt}{self.ext}"
-            final = f"{prefix}{pid:05d}-{seq:04d}{self.ext}"
-            state["sink"] = fs.open_output_stream(tmp)
+            name = f"{LOGGED}{self.job}-{pid:06d}-{len(files):04d}-a{attempt}{self.ext}"
+            files.append({"file": name, "bytes": 0, "rows": 0, "batches": []})
+            state["sink"] = fs.open_output_stream(f"{base}/{name}")
             state["w"] = new(state["sink"], self.arrow_schema, options=opts)
-            state["rows_in_file"] = 0
-            files.append((tmp, final))
 
         def close():
             if state["w"] is not None:
                 state["w"].close()
+                files[-1]["bytes"] = state["sink"].tell()
                 state["sink"].close()
                 state["w"] = state["sink"] = None
 
@@ -638,10 +733,15 @@ class _WriterBase:
             if batch.num_rows == 0:
                 return
             if state["w"] is None or state["sink"].tell() >= self.max_bytes or (
-                    self.max_rows_per_file and state["rows_in_file"] >= self.max_rows_per_file):
+                    self.max_rows_per_file and files[-1]["rows"] >= self.max_rows_per_file):
                 open_next()
             state["w"].write_batch(batch)
-            state["rows_in_file"] += batch.num_rows
+            files[-1]["rows"] += batch.num_rows
+            runs = files[-1]["batches"]
+            if runs and runs[-1][0] == batch.num_rows:
+                runs[-1][1] += 1
+            else:
+                runs.append([batch.num_rows, 1])
             total_rows += batch.num_rows
             total_batches += 1
 
@@ -708,38 +808,32 @@ class _WriterBase:
         return _Commit(files, total_rows, total_batches)
 
     # -- driver side --------------------------------------------------------
-    def _move_into_place(self, messages, clear_prefix: str | None):
-        from concurrent.futures import ThreadPoolExecutor
+    def _publish(self, messages, kind: str, stream: str | None = None, batch: int | None = None) -> None:
         fs, base = filesystem(self.path)
-        # New names never meet old ones of another job or attempt, so the old files
-        # (of an overwritten table, or of an earlier run of a stream's micro-batch)
-        # go last: a failure on the way leaves them readable. Other files stay.
-        files = [f for m in messages if m is not None for f in m.files]
-        new = {f"{base}/{final}" for _, final in files}
-        old = [] if clear_prefix is None else [
-            p for p, _ in list_data_files(self.path)
-            if p not in new and p.endswith((FILE_EXT, STREAM_EXT)) and p.rsplit("/", 1)[-1].startswith(clear_prefix)]
-        if not files and clear_prefix != "" and list_data_files(self.path):
-            self._cleanup()     # nothing to add
-            return
-        if not files and not clear_prefix:      # an empty table keeps its schema
+        # Names sort by task, then by file within it: the order of the rows.
+        files = sorted((f for m in messages if m is not None for f in m.files), key=lambda f: f["file"])
+        present = []
+        if not versions.numbers(fs, base):
+            present = [{"file": p[len(base) + 1:], "bytes": size, "rows": None, "batches": None}
+                       for p, size in list_data_files(self.path) if p.endswith((FILE_EXT, STREAM_EXT))]
+        if not files and kind != "overwrite" and (present or versions.numbers(fs, base)):
+            return      # nothing to add
+        if not files:   # an empty table keeps its schema
+            name = f"{LOGGED}{self.job}-empty{self.ext}"
             new = pa.ipc.new_file if self.flavor == "file" else pa.ipc.new_stream
             fs.create_dir(base, recursive=True)
-            with fs.open_output_stream(f"{base}/part-{self.job}-empty{self.ext}") as sink:
+            with fs.open_output_stream(f"{base}/{name}") as sink:
                 new(sink, self.arrow_schema).close()
-        with ThreadPoolExecutor(16) as pool:
-            list(pool.map(lambda f: fs.move(f[0], f"{base}/{f[1]}"), files))
-            list(pool.map(fs.delete_file, old))
-        self._cleanup()
+                files = [{"file": name, "bytes": sink.tell(), "rows": 0, "batches": []}]
+        if versions.commit(fs, base, files, kind, present, stream, batch) is None:
+            self._discard(files)
 
-    def _cleanup(self):
+    def _discard(self, files: list[dict]) -> None:
+        """Delete files that no version names."""
+        from concurrent.futures import ThreadPoolExecutor
         fs, base = filesystem(self.path)
-        try:
-            fs.delete_dir(f"{base}/_temporary/{self.job}")
-            if not fs.get_file_info(pafs.FileSelector(f"{base}/_temporary")):
-                fs.delete_dir(f"{base}/_temporary")
-        except (FileNotFoundError, OSError):
-            pass
+        with ThreadPoolExecutor(16) as pool:
+            list(pool.map(lambda f: fs.delete_file(f"{base}/{f['file']}"), files))
 
 
 def _runs(keys: pa.Array) -> list[tuple[int, int, object]]:
@@ -757,35 +851,42 @@ def _runs(keys: pa.Array) -> list[tuple[int, int, object]]:
 
 class ArrowIpcWriter(_WriterBase, DataSourceArrowWriter):
     def write(self, iterator):
-        return self._write_task(iterator, f"part-{self.job}-")
+        return self._write_task(iterator)
 
     def commit(self, messages):
-        # Overwrite removes the old files only once every task has succeeded.
-        self._move_into_place(messages, "" if self.overwrite else None)
+        self._publish(messages, "overwrite" if self.overwrite else "append")
 
     def abort(self, messages):
-        self._cleanup()
+        self._discard([f for m in messages if m is not None for f in m.files])
 
 
 class ArrowIpcStreamWriter(_WriterBase, DataSourceStreamArrowWriter):
-    """Streaming sink: one set of files per micro-batch, named by batch id,
-    so a re-run of the same batch replaces its own files."""
+    """Streaming sink: one version per micro-batch. The log keeps the last batch of
+    each stream, so a re-run of a committed batch adds nothing."""
+
+    def __init__(self, options: dict, schema: T.StructType, overwrite: bool, path: str):
+        super().__init__(options, schema, overwrite, path)
+        self.checkpoint = _opt(options, "checkpointLocation")
 
     def write(self, iterator):
-        return self._write_task(iterator, "pending-")
+        return self._write_task(iterator)
+
+    def _stream(self) -> str:
+        """The query's id in its checkpoint: the same after a restart, another one
+        for a new query, also in the same place."""
+        if not self.checkpoint:
+            return "stream"
+        fs, place = filesystem(self.checkpoint)
+        if fs.get_file_info(f"{place}/metadata").type != pafs.FileType.File:
+            return self.checkpoint
+        with fs.open_input_stream(f"{place}/metadata") as f:
+            return json.loads(f.read())["id"]
 
     def commit(self, messages, batchId: int):
-        prefix = f"part-b{batchId:012d}-"
-        renamed = []
-        for m in messages:
-            if m is None:
-                continue
-            renamed.append(_Commit([(t, prefix + f[len("pending-"):]) for t, f in m.files],
-                                   m.rows, m.batches))
-        self._move_into_place(renamed, prefix)
+        self._publish(messages, "stream", self._stream(), batchId)
 
     def abort(self, messages, batchId: int):
-        self._cleanup()
+        self._discard([f for m in messages if m is not None for f in m.files])
 
 
 def read(spark, path: str, **options):

@@ -75,6 +75,10 @@ def arrow_stream(spark: SparkSession, path: str, schema: T.StructType | None = N
     files per micro-batch (by default one per core). Without ``schema`` the
     folder's first file gives it; a file with other columns fails the stream.
 
+    Of a dataset with a commit log the stream reads what versions add, and a file
+    only once it is committed; a version of more than 1,000 files counts groups of
+    them as one. Any other folder is read file by file.
+
     Spark's checkpoint remembers every file read, so files may appear in any
     order. ``max_age`` lets it forget files that are that much older than the
     newest one; files that appear later than that are then not read."""
@@ -85,15 +89,31 @@ def arrow_stream(spark: SparkSession, path: str, schema: T.StructType | None = N
         strict = True
     else:
         strict = False
-    files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
-             .option("maxFilesPerTrigger", max_files).option("maxFileAge", max_age)
-             .option("recursiveFileLookup", "true").load(path).select("path"))
+    from ..sources import versions
+    from ..sources.arrow_ipc import filesystem as place_of
+    fs, base = place_of(path)
+    logged = bool(versions.numbers(fs, base))
+    if logged:
+        versions.complete_feed(fs, base)
+        added = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files).option("maxFileAge", max_age)
+                 .load(f"{path.rstrip('/')}/{versions.LOG}/feed"))
+        # A line names a data file: spread the names, not the data.
+        files = added.select(F.get_json_object("value", "$.file").alias("file")).repartition(
+            max(max_files, int(spark.sparkContext.defaultParallelism)), "file")
+    else:
+        files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
+                 .option("maxFilesPerTrigger", max_files).option("maxFileAge", max_age)
+                 .option("recursiveFileLookup", "true").load(path).select("path"))
 
     def rows(batches):
-        from tessera.sources.arrow_ipc import filesystem, read_file
+        from tessera.sources import versions
+        from tessera.sources.arrow_ipc import LOGGED, filesystem, read_file
+        fs, base = filesystem(path)
         for b in batches:
             for file in b.column(0).to_pylist():
-                fs, place = filesystem(file)
+                if not logged and (file.rsplit("/", 1)[-1].startswith(LOGGED) or versions.numbers(fs, base)):
+                    raise RuntimeError(f"{path} has a commit log now: start the stream anew, with a new checkpoint")
+                place = f"{base}/{file}" if logged else filesystem(file)[1]
                 yield from read_file(fs, place, schema, strict=strict)
 
     return files.mapInArrow(rows, schema)
@@ -148,8 +168,8 @@ def drain_to_parquet(rows: DataFrame, out_path: str, checkpoint: str) -> DataFra
 
 
 def drain_to_arrow(rows: DataFrame, out_path: str, checkpoint: str, **options) -> DataFrame:
-    """Append a stream of rows as Arrow IPC files (one set per micro-batch,
-    named by batch id so a re-run batch replaces its own files)."""
+    """Append a stream of rows as Arrow IPC files, one version of the dataset per
+    micro-batch; a batch that runs again after its commit adds nothing."""
     writer = (rows.writeStream.format("arrow_ipc").outputMode("append")
               .option("checkpointLocation", checkpoint).options(**options))
     run_until_drained(writer, out_path)

@@ -13,7 +13,7 @@ from tessera.fixtures import people
 from tessera.functions import payloads
 from tessera.operators import batches
 from tessera.schemas import PERSON, PERSON_COLUMNS, TYPE_NAME_KEY, register_type
-from tessera.sources import arrow_ipc
+from tessera.sources import arrow_ipc, versions
 from tessera.sources.arrow_types import to_arrow_schema, to_spark_schema
 
 SF = "/root/testdata/sf0.001"
@@ -93,8 +93,14 @@ def test_append_adds_files_and_overwrite_replaces(spark, tmp_dir):
     assert len(_files(tmp_dir, "*.arrows")) == 2
     assert spark.read.format("arrow_ipc").load(tmp_dir).count() == 3000
     p.coalesce(1).write.format("arrow_ipc").mode("overwrite").save(tmp_dir)
+    assert spark.read.format("arrow_ipc").load(tmp_dir).count() == 1500
+    # The replaced files serve the older versions until these expire.
+    assert spark.read.format("arrow_ipc").option("version", "2").load(tmp_dir).count() == 3000
+    assert versions.expire(tmp_dir) == 0 and versions.expire(tmp_dir, min_age_hours=0) == 2
     assert len(_files(tmp_dir, "*.arrows")) == 1
     assert spark.read.format("arrow_ipc").load(tmp_dir).count() == 1500
+    with pytest.raises(Exception, match="no version 2"):
+        spark.read.format("arrow_ipc").option("version", "2").load(tmp_dir).count()
 
 
 def test_named_struct_and_raw_struct(spark, tmp_dir):

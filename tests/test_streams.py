@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import glob
+import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tessera.fixtures import people
 from tessera.schemas import PERSON
-from tessera.sources import delimited
+from tessera.sources import delimited, versions
 from tessera.streaming import streams
 
 SF = "/root/testdata/sf0.001"
@@ -66,32 +68,45 @@ def test_arrow_stream_in_a_folder_with_spaces(spark, tmp_dir):
     assert streams.drain_to_parquet(streams.arrow_stream(spark, src), f"{tmp_dir}/o", f"{tmp_dir}/c").count() == 1500
 
 
-def test_stream_to_arrow_files_named_by_batch(spark, tmp_dir):
+def test_stream_to_arrow_one_version_per_batch(spark, tmp_dir):
     p = people(spark, SF)
     src = delimited.write_delimited(p, f"{tmp_dir}/src", files=3)
-    rows = streams.csv_stream(spark, src, PERSON, max_files=1)
-    back = streams.drain_to_arrow(rows, f"{tmp_dir}/out", f"{tmp_dir}/ckpt", batch="200")
-    assert _same(back, p)
-    names = sorted(f.rsplit("/", 1)[-1] for f in glob.glob(f"{tmp_dir}/out/*.arrows"))
-    assert {n.split("-")[1] for n in names} == {"b000000000000", "b000000000001", "b000000000002"}
-    assert not glob.glob(f"{tmp_dir}/out/_temporary/*/*")
+    out, ckpt = f"{tmp_dir}/out", f"{tmp_dir}/ckpt"
 
+    def rows():
+        return streams.csv_stream(spark, src, PERSON, max_files=1)
 
-def test_stream_writer_commit_replaces_same_batch(spark, tmp_dir):
-    """A re-run micro-batch replaces its own files instead of doubling them."""
+    back = streams.drain_to_arrow(rows(), out, ckpt, batch="200")
+    assert _same(back, p)
+    log = versions.history(out)
+    with open(f"{ckpt}/metadata") as f:
+        query = json.load(f)["id"]
+    assert [h["streams"] for h in log] == [{query: 0}, {query: 1}, {query: 2}]
+    assert not os.path.exists(f"{out}/_temporary")
+    # The last batch runs again: its commit is known to the log, not to Spark.
+    os.remove(f"{ckpt}/commits/2")
+    if os.path.exists(f"{ckpt}/commits/.2.crc"):
+        os.remove(f"{ckpt}/commits/.2.crc")
+    assert _same(streams.drain_to_arrow(rows(), out, ckpt, batch="200"), p)
+    assert len(versions.history(out)) == 3 and len(glob.glob(f"{out}/*.arrows")) == 3
+    # Another query, with a checkpoint of its own, starts at batch 0 and adds its rows.
+    assert streams.drain_to_arrow(rows(), out, f"{tmp_dir}/other", batch="200").count() == 3000
+
+
+def test_stream_writer_commits_a_batch_once(spark, tmp_dir):
+    """A re-run micro-batch adds nothing, and its files go."""
     from tessera.sources.arrow_ipc import ArrowIpcStreamWriter
     import pyarrow as pa
     w = ArrowIpcStreamWriter({"path": tmp_dir}, PERSON, False, tmp_dir)
     batch = pa.RecordBatch.from_pylist([], schema=w.arrow_schema)
-    msg1 = w._write_task(iter([batch]), "pending-")
-    assert msg1.rows == 0
+    assert w.write(iter([batch])).rows == 0
     p = people(spark, SF).limit(10).toArrow().to_batches()
-    m1 = w._write_task(iter(p), "pending-")
-    w.commit([m1], 7)
-    m2 = w._write_task(iter(p), "pending-")
-    w.commit([m2], 7)
-    files = glob.glob(f"{tmp_dir}/part-b000000000007-*")
-    assert len(files) == 1
+    w.commit([w.write(iter(p))], 7)
+    w.commit([w.write(iter(p))], 7)
+    assert len(glob.glob(f"{tmp_dir}/*.arrows")) == 1
+    assert spark.read.format("arrow_ipc").load(tmp_dir).count() == 10
+    w.commit([w.write(iter(p))], 8)
+    assert spark.read.format("arrow_ipc").load(tmp_dir).count() == 20
 
 
 def test_arrow_source_stream_picks_up_new_files(spark, tmp_dir):
