@@ -5,6 +5,7 @@
 | whole delimited file, names given, types inferred | ``csv_file(spark, path, header=names)`` |
 | the same, types given                             | ``csv_file(..., types=schema)``        |
 | delimited file in N typed chunks                  | ``csv_chunks`` -> rows tagged ``chunk`` |
+| one large file (gzip, quoted line ends), many tasks | ``csv_ranges`` over a stored index    |
 | delimited rows, only some columns typed           | ``csv_rows``                           |
 | write Arrow IPC (file or stream flavour)          | ``arrow_write(df, path, ...)``         |
 | ... with N rows per record batch                  | ``arrow_write(df, path, batch_rows=N, order_by=key)`` |
@@ -31,7 +32,7 @@ from pyspark.sql import types as T
 
 from .operators import batches, means
 from .schemas import lookup_type
-from .sources import arrow_ipc, delimited, json_tables
+from .sources import arrow_ipc, delimited, json_tables, text_ranges
 
 FORMAT = arrow_ipc.FORMAT
 
@@ -52,6 +53,14 @@ def csv_chunks(spark: SparkSession, path: str, header: list[str] | None = None,
     return delimited.chunks(csv_file(spark, path, header, types, **options), ntasks)
 
 
+def csv_ranges(spark: SparkSession, path: str, types: T.StructType, index: str, *, step: int = text_ranges.STEP,
+               quote: str | None = None, escape: str = '"', **options) -> DataFrame:
+    """Typed rows, one task a range. The index is written to ``index`` first; read it
+    again with ``text_ranges.read_indexed``."""
+    return text_ranges.read_indexed(spark, text_ranges.index_text(spark, path, index, step=step, quote=quote, escape=escape),
+                                    types, **options)
+
+
 def csv_rows(spark: SparkSession, path: str, header: list[str],
              types: dict[str, T.DataType | str] | None = None, **options) -> DataFrame:
     """Row scan without inference; only ``types`` columns are parsed."""

@@ -23,7 +23,7 @@ from ..functions import folds, payloads, scalar
 from ..operators import batches, exact_sums, means, tables
 from ..schemas import PERSON, PERSON_COLUMNS, TYPE_NAME_KEY, register_type, required_field_check
 from ..session import scratch_path
-from ..sources import arrow_ipc, delimited, json_tables
+from ..sources import arrow_ipc, delimited, json_tables, text_ranges
 from ..streaming import streams
 
 # Rows per batch for every batch-shaped query (the reference cuts 18M rows
@@ -177,6 +177,29 @@ def csv_read_gzip(spark, sf_dir):
                                     partitions=int(spark.sparkContext.defaultParallelism))
 
 
+# Text bytes a range of the two queries below: several ranges on small tables.
+GZIP_RANGE, QUOTED_RANGE = 1 << 18, 1 << 20
+
+
+@query("csv_gzip_ranges", SELECT_ALL)
+def csv_gzip_ranges(spark, sf_dir):
+    """Gzip files read by several tasks each, through an index of access points."""
+    path = _people_csv(spark, sf_dir, "csv-gzip-ranges", compression="gzip")
+    index = text_ranges.index_text(spark, path, scratch_path(spark, "csv-gzip-index"), step=GZIP_RANGE)
+    return text_ranges.read_indexed(spark, index, PERSON)
+
+
+@query("csv_quoted_ranges", "SELECT doc_id, text, lang, source, n_chars FROM documents")
+def csv_quoted_ranges(spark, sf_dir):
+    """Long free text in quoted fields, cut into ranges that begin inside them."""
+    docs = table(spark, sf_dir, "documents")
+    path = scratch_path(spark, "csv-quoted-ranges")
+    quoting = dict(quote='"', escape='"')
+    delimited.write_delimited(docs, path, compression=None, header=True, **quoting)
+    index = text_ranges.index_text(spark, path, scratch_path(spark, "csv-quoted-index"), step=QUOTED_RANGE, **quoting)
+    return text_ranges.read_indexed(spark, index, docs.schema, header=True)
+
+
 _DELIM = dict(sep="|", quote="'", escape="\\", null_value="NA", date_format="yyyy/MM/dd",
               timestamp_format="yyyy/MM/dd HH:mm:ss")
 
