@@ -14,9 +14,9 @@ import zipfile
 
 from pyspark.sql import SparkSession
 
-from .session import build_session, checkpoint_root, ensure_session_defaults, scratch_path
+from .session import build_session, checkpoint_root, clear_scratch, ensure_session_defaults, scratch_path
 
-__all__ = ["attach", "build_session", "scratch_path", "checkpoint_root"]
+__all__ = ["attach", "build_session", "scratch_path", "clear_scratch", "checkpoint_root"]
 
 _SHIPPED: set[int] = set()
 

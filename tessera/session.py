@@ -9,6 +9,7 @@ cluster names in ``spark.checkpoint.dir``. Only when a session has none
 from __future__ import annotations
 
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import SparkSession
@@ -74,5 +75,31 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{root}/tessera-scratch/{label}-{uuid.uuid4().hex[:12]}"
 
 
+def clear_scratch(spark: SparkSession, hours: float = 72.0) -> list[str]:
+    """Removes the scratch folders in which nothing was written for ``hours``, and
+    returns their names. Only call it with an age that no running job or DataFrame
+    still in use reaches: tables that were read from such a folder lose their files."""
+    import pyarrow.fs as pafs
+
+    from .sources.arrow_ipc import filesystem
+    if hours < 0:
+        raise ValueError("hours must not be negative")
+    fs, base = filesystem(f"{checkpoint_root(spark).rstrip('/')}/tessera-scratch")
+    if fs.get_file_info(base).type != pafs.FileType.Directory:
+        return []
+    limit = time.time_ns() - int(hours * 3600 * 1e9)
+    removed = []
+    for folder in fs.get_file_info(pafs.FileSelector(base)):
+        if folder.type != pafs.FileType.Directory:
+            continue
+        inside = fs.get_file_info(pafs.FileSelector(folder.path, recursive=True, allow_not_found=True))
+        # A folder without a known time of writing stays.
+        times = [i.mtime_ns for i in [folder, *inside] if i.mtime_ns]
+        if times and max(times) <= limit:
+            fs.delete_dir(folder.path)
+            removed.append(folder.base_name)
+    return removed
+
+
 __all__ = ["build_session", "ensure_session_defaults", "checkpoint_root",
-           "scratch_path", "SESSION_DEFAULTS"]
+           "scratch_path", "clear_scratch", "SESSION_DEFAULTS"]
