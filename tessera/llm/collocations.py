@@ -8,7 +8,7 @@ its last ``longest - 1`` words; equal edges are summed. What a node's out-edges
 not carry ends there: each piece adds its last words (fewer than ``longest``) as
 a correction. So the count of a node is the sum of its out-edges and corrections,
 and that of every shorter phrase follows from the phrases one word longer:
-``f(p) = sum of f(p w) + pieces that end in p``.
+``f(p) = sum of f(p w) + places where p ends``.
 
 Compaction. A node whose whole flow comes in by one edge and leaves by one edge
 is unary. Edges joined by unary nodes become one path: its words, once, and one
@@ -21,10 +21,14 @@ dropped when a longer candidate holds it with ``100 * f >= share * a``. Counts f
 as phrases grow, so a phrase one word longer then does so, too: paths answer this
 for the nodes they hold, the flows of one word more for shorter phrases.
 
-Scale. A phrase that occurs ``least`` times has only words that do. Words are
-counted first, and a Bloom filter of the frequent ones (16 bits a word, ``MOST_BITS``
-bits at most, the only thing broadcast) cuts pieces at words that are surely rare;
-a false positive only costs a row. Edges and ends are summed within the task, then
+Scale. A phrase that occurs ``least`` times has only words, and only shorter phrases
+in it, that do. Words are counted first, and hashes of all phrases of 2 to
+``longest`` words: each task sends a hash once, packed in 2 to 3 bytes, to buckets of
+a fixed size, so this grows as the text does. Two Bloom filters of the frequent ones
+(16 bits each, ``MOST_BITS`` bits at most, the only things broadcast) cut pieces at
+words, and phrases at the longest beginning, that are surely rare; a false positive
+only costs a row. So an edge that is rare itself counts as the longest beginning that
+may be frequent, which ends there. Edges and ends are summed within the task, then
 dealt out by ranges of phrases, once for all lengths: a range holds a node's
 out-edges side by side, whatever their number, and a node that several ranges share
 is summed from their parts. So a hot language, word or phrase stays small. What is
@@ -40,23 +44,29 @@ long text is cut and flushed as it goes; the longest path is no longer than a pi
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_parts
+from .common import from_planes, materialize, planes, shuffle_parts
 
 LONGEST = 5
 LEAST = 100
 TOP = 2000
 #: Distinct phrases a task holds before it passes them on.
 HELD = 400_000
-#: Bits of the Bloom filter: 32 MB at most.
+#: Words whose phrases a task looks at together.
+WORDS = 1 << 21
+#: Bytes of text that fill a bucket of phrase hashes (2 to 3 bytes each).
+BUCKET = 32 << 20
+#: Bits of a Bloom filter: 32 MB at most.
 MOST_BITS = 1 << 28
 PROBES = 3
 SALTS = 8
@@ -131,16 +141,15 @@ def _hash(lang: Column, word: Column) -> Column:
     return F.xxhash64(F.concat(lang, F.lit("\0"), word))
 
 
-def frequent_filter(words: DataFrame) -> tuple[bytes, int]:
-    """(bits, their number) of a Bloom filter over (lang, phrase)."""
-    known = words.where("phrase is not null")
+def _bloom(hashes: DataFrame) -> tuple[bytes, int]:
+    """(bits, their number) of a Bloom filter over the column h."""
     bits = 1 << 16
-    while bits < min(16 * known.count(), MOST_BITS):
+    while bits < min(16 * hashes.count(), MOST_BITS):
         bits <<= 1
-    h = _hash(F.col("lang"), F.col("phrase"))
+    h = F.col("h")
     half = F.lit((1 << 32) - 1)
     at = [(h.bitwiseAND(half) + i * F.shiftrightunsigned(h, 32)) % bits for i in range(PROBES)]
-    place = known.select(F.explode(F.array(*at)).alias("p"))
+    place = hashes.select(F.explode(F.array(*at)).alias("p"))
     rows = (place.groupBy((F.col("p") / GROUP_BITS).cast("long").alias("g"))
             .agg(F.bitmap_construct_agg((F.col("p") % GROUP_BITS)).alias("b")).collect())    # MOST_BITS / 8 bytes at most
     out = np.zeros((bits // GROUP_BITS, GROUP_BITS // 8), dtype=np.uint8)
@@ -149,6 +158,11 @@ def frequent_filter(words: DataFrame) -> tuple[bytes, int]:
     return out.tobytes(), bits
 
 
+def frequent_filter(words: DataFrame) -> tuple[bytes, int]:
+    """(bits, their number) of a Bloom filter over (lang, phrase)."""
+    return _bloom(words.where("phrase is not null").select(_hash(F.col("lang"), F.col("phrase")).alias("h")))
+
+
 def may_hold(bitmap: bytes, bits: int, lang: bytes, word: bytes) -> bool:
     h = xxhash.xxh64_intdigest(lang + b"\0" + word, 42)
     low, high = h & 0xFFFFFFFF, h >> 32
@@ -159,66 +173,175 @@ def may_hold(bitmap: bytes, bits: int, lang: bytes, word: bytes) -> bool:
     return True
 
 
+# ---- phrases that may be frequent -------------------------------------------
+
+class _Words(dict):
+    """Numbers of a language's words from 1, in a task only; 0 for ``STOP`` and for
+    words that ``known`` (all, if None) does not hold."""
+
+    def __init__(self, lang: str, known: Callable[[bytes, bytes], bool] | None = None):
+        self.lang = lang.encode("utf-8", "surrogatepass")
+        self.known = known
+        self.names, self.hashes = [STOP], [0]
+
+    def __missing__(self, word: bytes) -> int:
+        n = 0
+        if word != STOP and (self.known is None or self.known(self.lang, word)):
+            n = len(self.names)
+            self.names.append(word)
+            self.hashes.append(xxhash.xxh64_intdigest(self.lang + b"\0" + word, 42))
+        self[word] = n
+        return n
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        """The numbers of ``words``, and 0 after them."""
+        return np.fromiter(chain(map(self.__getitem__, words), (0,)), dtype=np.int64, count=len(words) + 1)
+
+
+def _numbered(batches: Iterator[pa.RecordBatch], known: Callable[[bytes, bytes], bool] | None = None) -> Iterator[tuple[str, _Words, np.ndarray]]:
+    """(lang, its words, numbers of words in order) of about ``WORDS`` words at a
+    time; pieces are whole, with a 0 at least between them."""
+    seen: dict[str, _Words] = {}
+    held: dict[str, list[np.ndarray]] = {}
+    size = 0
+    for b in batches:
+        for lang, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+            if lang not in seen:
+                seen[lang] = _Words(lang, known)
+            for words in tokens(text.as_py()):
+                held.setdefault(lang, []).append(seen[lang].of(words))
+                size += len(words)
+                if size > WORDS:
+                    yield from ((x, seen[x], np.concatenate(parts)) for x, parts in held.items())
+                    held, size = {}, 0
+                    if sum(map(len, seen.values())) > 5 * HELD:
+                        seen = {lang: _Words(lang, known)}
+    yield from ((x, seen[x], np.concatenate(parts)) for x, parts in held.items())
+
+
+def _phrase_hashes(words: _Words, ids: np.ndarray, longest: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(k, hash of the ``k`` words from each place, whether all of them count), k from 2."""
+    first = np.array(words.hashes, dtype=np.uint64)[ids]
+    h, ok = first, ids != 0
+    for k in range(2, longest + 1):
+        ok = ok[:-1] & (ids[k - 1:] != 0)
+        h = h[:-1] * np.uint64(0x9E3779B97F4A7C15)
+        h ^= h >> np.uint64(29)
+        h += first[k - 1:]
+        h *= np.uint64(0xBF58476D1CE4E5B9)
+        h ^= h >> np.uint64(32)
+        yield k, h, ok
+
+
+def _folded(h: np.ndarray, bits: int) -> np.ndarray:
+    """What is counted of a hash, its first 32 + ``bits`` bits, spread over 64."""
+    x = (h >> np.uint64(32 - bits)) * np.uint64(0x9E3779B97F4A7C15)
+    x ^= x >> np.uint64(32)
+    x *= np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def phrase_filter(texts: DataFrame, longest: int, least: int) -> tuple[bytes, int, int]:
+    """(bits, their number, bits of a bucket) of a Bloom filter that holds every
+    phrase of 2 to ``longest`` words that occurs ``least`` times.
+
+    A task counts hashes of its phrases and sends them once, in order and packed, to
+    buckets of the hash, where the counts are added. Equal hashes of different phrases
+    only add to a count, so no phrase that is frequent is missing."""
+    total = texts.agg(F.sum(F.length("text"))).first()[0] or 0
+    bits = min(max(max(shuffle_parts(texts.sparkSession), -(-total // BUCKET)) - 1, 1).bit_length(), 24)
+
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        deflate = zstandard.ZstdCompressor(level=1).compress
+        for _, words, ids in _numbered(batches):
+            for k, h, ok in _phrase_hashes(words, ids, longest):
+                held, count = np.unique(h[ok], return_counts=True)
+                if not len(held):
+                    continue
+                bucket = (held >> np.uint64(64 - bits)).astype(np.int64)
+                short = (held >> np.uint64(32 - bits)).astype(np.uint32)
+                count = np.minimum(count, least).astype(np.uint32)
+                cuts = np.flatnonzero(np.append(True, np.diff(bucket) != 0)).tolist() + [len(bucket)]
+                spans = list(zip(cuts[:-1], cuts[1:], strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(bucket[cuts[:-1]], pa.int32()), pa.array([k] * len(spans), pa.int32()),
+                     pa.array([deflate(planes(np.diff(short[a:b], prepend=np.uint32(0)))) for a, b in spans], pa.binary()),
+                     pa.array([deflate(planes(count[a:b])) for a, b in spans], pa.binary())], names=["bucket", "k", "keys", "counts"])
+
+    def judge(table: pa.Table) -> pa.Table:
+        inflate = zstandard.ZstdDecompressor().decompress
+        sums = [np.cumsum(from_planes(inflate(x.as_py())), dtype=np.uint64) << np.uint64(32) for x in table["keys"]]
+        rows = np.concatenate(sums) | np.concatenate([from_planes(inflate(x.as_py())) for x in table["counts"]]).astype(np.uint64)
+        rows.sort()
+        key = rows >> np.uint64(32)
+        start = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        often = key[start][np.add.reduceat(rows & np.uint64(0xFFFFFFFF), start) >= least]
+        h = (np.uint64(table["bucket"][0].as_py()) << np.uint64(64 - bits)) | (often << np.uint64(32 - bits))
+        return pa.table([pa.array(_folded(h, bits).view(np.int64))], names=["h"])
+
+    sent = texts.mapInArrow(send, "bucket int, k int, keys binary, counts binary")
+    often = materialize(sent.groupBy("bucket", "k").applyInArrow(judge, "h long"), "colloc-phrases")     # a bucket has a fixed size
+    return (*_bloom(often), bits)
+
+
 # ---- graph ------------------------------------------------------------------
 
-def _ends(tails: Counter) -> Counter:
-    """The last words of pieces, and all that start inside them: with the edges
-    one phrase for every place of a word."""
-    out: Counter = Counter()
-    for phrase, c in tails.items():
-        out[phrase] += c
-        at = phrase.find(b" ")
-        while at >= 0:
-            out[phrase[at + 1:]] += c
-            at = phrase.find(b" ", at + 1)
+def _reach(words: _Words, ids: np.ndarray, longest: int, may: Callable[[np.ndarray], np.ndarray] | None) -> np.ndarray:
+    """How many words from each place on (``longest`` at most) make a phrase that
+    counts: of words that do, with all phrases in it among those ``may`` lets pass."""
+    out = (ids != 0).astype(np.int64)
+    passed = ids != 0
+    for k, h, ok in _phrase_hashes(words, ids, longest):
+        ok = np.flatnonzero(ok & passed[:-1] & passed[1:])
+        if may is not None:
+            ok = ok[may(h[ok])]
+        out[ok] = k
+        passed = np.zeros(len(h), dtype=bool)
+        passed[ok] = True
     return out
 
 
-def edges(spark: SparkSession, texts: DataFrame, words: DataFrame, longest: int) -> DataFrame:
-    """(lang, phrase, c): edges (``longest`` words) and, shorter, what ends at the
-    end of a piece or before a rare word; summed within a task only."""
-    bitmap, bits = frequent_filter(words)
-    shared = spark.sparkContext.broadcast(bitmap)
+def _phrases(lang: str, words: _Words, ids: np.ndarray, reach: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, c): each place's phrase of ``reach`` words, equal ones summed."""
+    group = ids
+    for k in range(1, int(reach.max(initial=0)) + 1):
+        at = np.flatnonzero(reach >= k)
+        # A phrase's number, from that of its first k - 1 words and its last word.
+        _, some, number = np.unique(ids[at] if k == 1 else group[at] * len(words.names) + ids[at + k - 1], return_index=True, return_inverse=True)
+        group = np.zeros(len(ids), dtype=np.int64)
+        group[at] = number
+        count = np.bincount(number[reach[at] == k], minlength=len(some))
+        ends = np.flatnonzero(count)
+        start = at[some[ends]]
+        text = [b" ".join([words.names[w] for w in row]) for row in ids[start[:, None] + np.arange(k)].tolist()]
+        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(ends), pa.string()), pa.array(text, pa.binary()), pa.array(count[ends], pa.int64())],
+                                         names=["lang", "phrase", "c"])
 
-    class Known(dict):
-        def __init__(self, lang: str):
-            self.lang = lang.encode("utf-8", "surrogatepass")
 
-        def __missing__(self, word: bytes) -> int:
-            ok = self[word] = int(word != STOP and may_hold(shared.value, bits, self.lang, word))
-            return ok
+def edges(spark: SparkSession, texts: DataFrame, words: DataFrame, longest: int, phrases: tuple[bytes, int, int] | None = None) -> DataFrame:
+    """(lang, phrase, c): edges (``longest`` words) and, shorter, what ends at the
+    end of a piece, before a rare word or where the phrase one word longer is surely
+    rare (by the filter ``phrases``); summed within a task only."""
+    bitmap, bits = frequent_filter(words)
+    shared = spark.sparkContext.broadcast((bitmap, phrases))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, tuple[Counter, Counter]] = {}
-        known: dict[str, Known] = {}
-
-        def passed_on(lang: str) -> Iterator[pa.RecordBatch]:
-            full, tails = held.pop(lang)
-            yield from _counted({lang: full})
-            yield from _counted({lang: _ends(tails)})
-
-        for b in batches:
-            for lang, text in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                seen = known.setdefault(lang, Known(lang))
-                for words in tokens(text.as_py()):
-                    # Runs of words that may be frequent, and the last words of each.
-                    ok = np.frombuffer(bytes(map(seen.__getitem__, words)), dtype=np.uint8)
-                    edge = np.flatnonzero(np.diff(ok, prepend=0, append=0))
-                    start, end = edge[::2], edge[1::2]
-                    full = np.maximum(end - start - longest + 1, 0)
-                    first = np.repeat(start - np.cumsum(full) + full, full) + np.arange(full.sum())
-                    counts, tails = held.setdefault(lang, (Counter(), Counter()))
-                    counts.update([b" ".join(words[i:i + longest]) for i in first.tolist()])
-                    tails.update([b" ".join(words[i:j]) for i, j in zip(np.maximum(start, end - longest + 1).tolist(), end.tolist(), strict=True)])
-                    if len(counts) + len(tails) > HELD:
-                        yield from passed_on(lang)
-                if len(seen) > 5 * HELD:
-                    seen.clear()
-            if sum(len(x) for pair in held.values() for x in pair) > HELD:
-                for lang in list(held):
-                    yield from passed_on(lang)
-        for lang in list(held):
-            yield from passed_on(lang)
+        bitmap, phrases = shared.value
+        may = None
+        if phrases is not None:
+            table, size, fold = np.frombuffer(phrases[0], dtype=np.uint8), np.uint64(phrases[1] - 1), phrases[2]
+
+            def may(h: np.ndarray) -> np.ndarray:
+                x = _folded(h, fold)
+                low, high = x & np.uint64(0xFFFFFFFF), x >> np.uint64(32)
+                ok = np.ones(len(x), dtype=bool)
+                for i in range(PROBES):
+                    p = (low + np.uint64(i) * high) & size
+                    ok &= (table[p >> np.uint64(3)] >> (p & np.uint64(7)).astype(np.uint8) & 1).astype(bool)
+                return ok
+
+        for lang, known, ids in _numbered(batches, lambda lang, word: may_hold(bitmap, bits, lang, word)):
+            yield from _phrases(lang, known, ids, _reach(known, ids, longest, may))
 
     found = texts.mapInArrow(run, "lang string, phrase binary, c long")
     return materialize(found.withColumn("phrase", F.col("phrase").cast("string")), "colloc-edges")
@@ -237,8 +360,10 @@ def flows(graph: DataFrame, longest: int, least: int) -> DataFrame:
             if b.num_rows:
                 yield _block_flows(b, longest, least)
 
+    # By words: a word may hold bytes below the space, which must not part a node's rows.
+    order = [F.split("phrase", " "), F.col("lang")]
     ordered = graph.select("phrase", "lang", "c")
-    ordered = ordered.repartitionByRange(max(shuffle_parts(graph.sparkSession), 1), "phrase", "lang").sortWithinPartitions("phrase", "lang")
+    ordered = ordered.repartitionByRange(max(shuffle_parts(graph.sparkSession), 1), *order).sortWithinPartitions(*order)
     nodes = ordered.mapInArrow(run, "lang string, k int, phrase string, f long")
     return materialize(nodes.groupBy("lang", "k", "phrase").agg(F.sum("f").alias("f")).where(F.col("f") >= least), "colloc-heavy")
 
@@ -336,7 +461,7 @@ def collocations(docs: DataFrame, text_col: str = "text", lang_col: str = "lang"
     spark = docs.sparkSession
     texts = _texts(docs, text_col, lang_col)
     words = word_counts(texts, least)
-    heavy = flows(edges(spark, texts, words, longest), longest, least)
+    heavy = flows(edges(spark, texts, words, longest, phrase_filter(texts, longest, least)), longest, least)
     candidate = heavy.where("k > 1").select("lang", "k", "phrase", F.col("f").alias("a"))
     kept = (candidate.join(absorbed(heavy, longest), ["lang", "phrase"], "left")
             .where(F.col("most").isNull() | (F.col("most").cast("decimal(30,0)") * 100 < F.col("a").cast("decimal(30,0)") * share)))

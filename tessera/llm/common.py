@@ -42,6 +42,15 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def planes(x: np.ndarray) -> bytes:
+    """All lowest bytes, then all second ones and so on: small numbers compress well."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def from_planes(raw: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(raw, dtype=np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def vectors(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """(rows, matrix) of the vectors of a list column that take part: not null,
     not zero, every component finite. All must have one length."""

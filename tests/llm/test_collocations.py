@@ -105,6 +105,34 @@ def test_paths_hold_every_edge_once(spark, docs):
     assert found == want and longest >= 10      # the shared line is one path
 
 
+def test_rare_edges_are_not_passed_on(spark, docs):
+    """All words are frequent and almost no run of five is: what a task passes on are
+    the phrases that may be frequent, not a row for every place of a word."""
+    rng = random.Random(8)
+    rows = [(i, ". ".join(" ".join(["of", "the", *rng.choices([f"w{k}" for k in range(60)], k=8)]) for _ in range(20)), "en") for i in range(150)]
+    texts = C._texts(docs(rows), "text", "lang")
+    words = C.word_counts(texts, 100)
+    found = C.edges(spark, texts, words, 5, C.phrase_filter(texts, 5, 100))
+    assert found.agg(F.sum("c")).first()[0] == 30_000 and found.count() < 3000 < C.edges(spark, texts, words, 5).count()
+    assert got(C.collocations(docs(rows))) == brute(rows, 5, 100)
+
+
+@pytest.mark.parametrize("setting", [{"WORDS": 3}, {"BUCKET": 100}, {"MOST_BITS": 1 << 16}])
+def test_blocks_and_buckets_change_nothing(spark, docs, monkeypatch, setting):
+    rows = corpus(9)
+    for name, value in setting.items():
+        monkeypatch.setattr(C, name, value)
+    assert got(C.collocations(docs(rows), least=6)) == brute(rows, 5, 6)
+
+
+def test_bytes_below_the_space_in_words(spark, docs):
+    """``b\\x01`` sorts between ``b`` and ``b c``, whose rows are still one node's."""
+    parts = ["aa b", "aa b\x01 x", "aa b\x01y x", "aa b c", "aa b\x1f", "zz top"]
+    rows = [(i, ". ".join([p] * n), "en") for i, n in enumerate([3, 5, 2, 4, 2, 9, 3]) for p in parts]
+    assert got(C.collocations(docs(rows).coalesce(1), least=50)) == brute(rows, 5, 50)
+    assert any(r[2] == "aa b" for r in brute(rows, 5, 50))
+
+
 def test_empty_tables(spark, docs):
     assert C.collocations(docs([])).count() == 0
     assert C.collocations(docs([(1, None), (2, ""), (3, "one two three")])).count() == 0
