@@ -47,7 +47,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, shuffle_parts
+from .common import from_planes, materialize, planes, shuffle_parts
 
 LEAST = 50
 GRAM = 16
@@ -307,6 +307,7 @@ def _flags(packs: DataFrame, least: int, gram: int) -> DataFrame:
     bits = max(max(shuffle_parts(packs.sparkSession), -(-total // BUCKET)) - 1, 1).bit_length()
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        deflate = zstandard.ZstdCompressor(level=1).compress
         for row in _rows(batches):
             pack = _Pack(row, least, gram)
             if not len(pack.keys):
@@ -318,12 +319,14 @@ def _flags(packs: DataFrame, least: int, gram: int) -> DataFrame:
             cuts = np.flatnonzero(np.append(True, np.diff(bucket) != 0)).tolist() + [len(bucket)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bucket[cuts[:-1]], pa.int32()), pa.array([row["pack"].as_py()] * (len(cuts) - 1), pa.int64()),
-                 pa.array([short[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
+                 # In order, so their differences are small.
+                 pa.array([deflate(planes(np.diff(short[a:b], prepend=np.uint32(0)))) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
                  pa.array([info[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary())],
                 names=["bucket", "pack", "keys", "info"])
 
     def judge(table: pa.Table) -> pa.Table:
-        keys = [np.frombuffer(x.as_py(), dtype=np.uint32) for x in table["keys"]]
+        inflate = zstandard.ZstdDecompressor().decompress
+        keys = [np.cumsum(from_planes(inflate(x.as_py())), dtype=np.uint32) for x in table["keys"]]
         info = np.concatenate([np.frombuffer(x.as_py(), dtype=np.uint8) for x in table["info"]])
         all_keys, at, held = np.unique(np.concatenate(keys), return_inverse=True, return_counts=True)
         segs = np.bincount(at, weights=info >> 1)
@@ -518,11 +521,12 @@ def repeated_bytes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         raise ValueError("ids must be integers")
     packs = _packs(docs, id_col, text_col)
     calm, found = _candidates(packs, _flags(packs, least, gram), least, gram)
-    answers = _calm(calm, least, shuffle_parts(docs.sparkSession)).union(_hot(found))
+    answers = materialize(_calm(calm, least, shuffle_parts(docs.sparkSession)).union(_hot(found)), "suffix-answers")
     notes = (found.where("places is not null").select("pack", F.col("places").alias("places"), F.col("seg").alias("low"), F.lit(None).cast("binary").alias("answers"))
              .union(answers.select("pack", F.lit(None).cast("binary"), F.lit(None).cast("binary"), "answers")))
-    notes = materialize(notes.groupBy(F.col("pack").alias("pack_"))
-                        .agg(F.max("places").alias("places"), F.max("low").alias("low"), F.collect_list("answers").alias("answers")), "suffix-answers")
+    # Grouped and joined by the same column: what a pack learns is shuffled once.
+    notes = (notes.groupBy(F.col("pack").alias("pack_"))
+             .agg(F.max("places").alias("places"), F.max("low").alias("low"), F.collect_list("answers").alias("answers")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inflate = zstandard.ZstdDecompressor().decompress

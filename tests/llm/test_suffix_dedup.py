@@ -57,6 +57,20 @@ def test_equals_all_windows(spark, docs, seed, least, gram):
     assert got(found) == brute(rows, least)
 
 
+def test_places_are_written_once(spark, docs, monkeypatch):
+    """What a pack knows of its segments is not written again with the answers."""
+    rows, written = corpus(4), {}
+
+    def spy(df, label, real=S.materialize):
+        written[label] = df.columns
+        return real(df, label)
+
+    monkeypatch.setattr(S, "materialize", spy)
+    assert got(S.repeated_bytes(docs(rows).repartition(4))) == brute(rows, 50)
+    assert [label for label, columns in written.items() if "places" in columns] == ["suffix-places"]
+    assert written["suffix-answers"] == ["pack", "answers"]
+
+
 @pytest.mark.parametrize("setting", [{"HOT": 2}, {"PACK": 300}, {"SHARD": 1}, {"BROADCAST": -1, "BUCKET": 100}, {"_CHUNK_BITS": 8}])
 def test_settings_change_nothing(spark, docs, monkeypatch, setting):
     rows = corpus(4)
