@@ -77,7 +77,7 @@ def rounded(state: list[dict], count: int | None = None) -> float | None:
             for i in range(3):
                 total += ((s[f"h{i}"] << 16) + s[f"l{i}"]) << (_BASE + BIN * (s["bin"] - i))
     try:
-        return total / ((1 if count is None else count) << _BASE)     # of integers: rounded once
+        return total / ((1 if count is None else count) << _BASE) + 0.0     # of integers: rounded once; never -0.0
     except OverflowError:
         return float("inf") if total > 0 else float("-inf")
 

@@ -702,7 +702,7 @@ class _WriterBase:
         self.ext = FILE_EXT if self.flavor == "file" else STREAM_EXT
 
     # -- executor side ------------------------------------------------------
-    def _write_task(self, iterator) -> _Commit:
+    def _write_task(self, iterator, prefix: str = LOGGED) -> _Commit:
         from pyspark import TaskContext
         ctx = TaskContext.get()
         pid = ctx.partitionId() if ctx else 0
@@ -716,7 +716,7 @@ class _WriterBase:
 
         def open_next():
             close()
-            name = f"{LOGGED}{self.job}-{pid:06d}-{len(files):04d}-a{attempt}{self.ext}"
+            name = f"{prefix}{self.job}-{pid:06d}-{len(files):04d}-a{attempt}{self.ext}"
             files.append({"file": name, "bytes": 0, "rows": 0, "batches": []})
             state["sink"] = fs.open_output_stream(f"{base}/{name}")
             state["w"] = new(state["sink"], self.arrow_schema, options=opts)
