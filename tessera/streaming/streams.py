@@ -32,10 +32,19 @@ BINARY_FILE_SCHEMA = T.StructType([
 ])
 
 
+#: Bytes of Arrow files per core and micro-batch: one file as large as the writer makes them.
+TRIGGER_BYTES = 256 << 20
+#: State partitions of an aggregate without many groups; every one costs each micro-batch.
+STATE_PARTS = 4
+
+
 def run_until_drained(writer, path: str | None = None, timeout_s: int | None = None):
     """Start a stream writer with ``availableNow`` and wait for it to finish,
     without limit unless ``timeout_s`` is given."""
-    q = writer.trigger(availableNow=True).start(path) if path else writer.trigger(availableNow=True).start()
+    return _drained(writer.trigger(availableNow=True).start(path) if path else writer.trigger(availableNow=True).start(), timeout_s)
+
+
+def _drained(q, timeout_s: int | None = None):
     try:
         if timeout_s is None:
             q.awaitTermination()
@@ -72,8 +81,11 @@ def csv_stream(spark: SparkSession, path: str, schema: T.StructType, max_files:
 def arrow_stream(spark: SparkSession, path: str, schema: T.StructType | None = None,
                  max_files: int | None = None, max_age: str = "36500d") -> DataFrame:
     """New Arrow IPC files of a dataset folder as a stream of rows, ``max_files``
-    files per micro-batch (by default one per core). Without ``schema`` the
-    folder's first file gives it; a file with other columns fails the stream.
+    files per micro-batch. By default as many as make ``TRIGGER_BYTES`` a core, by
+    the mean size of the files there at the start, and one per core at least: tasks
+    hold one record batch, so small files cost no memory, while each micro-batch
+    has a cost of its own. Without ``schema`` the folder's first file gives it; a
+    file with other columns fails the stream.
 
     Of a dataset with a commit log the stream reads what versions add, and a file
     only once it is committed; a version of more than 1,000 files counts groups of
@@ -82,7 +94,7 @@ def arrow_stream(spark: SparkSession, path: str, schema: T.StructType | None = N
     Spark's checkpoint remembers every file read, so files may appear in any
     order. ``max_age`` lets it forget files that are that much older than the
     newest one; files that appear later than that are then not read."""
-    max_files = max_files or int(spark.sparkContext.defaultParallelism)
+    cores = int(spark.sparkContext.defaultParallelism)
     if schema is None:
         from ..sources.arrow_ipc import read
         schema = read(spark, path).schema
@@ -95,12 +107,17 @@ def arrow_stream(spark: SparkSession, path: str, schema: T.StructType | None = N
     logged = bool(versions.numbers(fs, base))
     if logged:
         versions.complete_feed(fs, base)
+        spread = max(max_files or 0, cores)
+        max_files = max_files or _files_a_trigger(cores, [f["bytes"] for f in versions.snapshot(fs, base)[1]], versions.feed_files(fs, base))
         added = (spark.readStream.format("text").option("maxFilesPerTrigger", max_files).option("maxFileAge", max_age)
                  .load(f"{path.rstrip('/')}/{versions.LOG}/feed"))
         # A line names a data file: spread the names, not the data.
-        files = added.select(F.get_json_object("value", "$.file").alias("file")).repartition(
-            max(max_files, int(spark.sparkContext.defaultParallelism)), "file")
+        files = added.select(F.get_json_object("value", "$.file").alias("file")).repartition(spread, "file")
     else:
+        if not max_files:
+            from ..sources.arrow_ipc import list_data_files
+            sizes = [size for _, size in list_data_files(path)]
+            max_files = _files_a_trigger(cores, sizes, len(sizes))
         files = (spark.readStream.format("binaryFile").schema(BINARY_FILE_SCHEMA)
                  .option("maxFilesPerTrigger", max_files).option("maxFileAge", max_age)
                  .option("recursiveFileLookup", "true").load(path).select("path"))
@@ -119,11 +136,17 @@ def arrow_stream(spark: SparkSession, path: str, schema: T.StructType | None = N
     return files.mapInArrow(rows, schema)
 
 
+def _files_a_trigger(cores: int, sizes: list[int], files: int) -> int:
+    """How many of ``files`` files, which hold or name data of ``sizes``, a micro-batch takes."""
+    mean = max(sum(sizes) // max(files, 1), 1)
+    return min(max(cores, cores * TRIGGER_BYTES // mean), (1 << 31) - 1)
+
+
 def drain_sums(rows: DataFrame, value: str, out_path: str, checkpoint: str) -> DataFrame:
     """(sum, rows, mean) of a stream of rows, run to completion. The state is a
     few integer sums per magnitude (``exact_sums``), so triggers and files do not
     change the value."""
-    states = drain_state(exact_sums.parts(rows, value), out_path, checkpoint)
+    states = drain_state(exact_sums.parts(rows, value), out_path, checkpoint, STATE_PARTS)
     return exact_sums.finish(exact_sums.merge(states)).select("sum", "rows", F.col("mean_all_rows").alias("mean"))
 
 
@@ -135,12 +158,13 @@ def rows_running_mean(rows: DataFrame, value: str) -> DataFrame:
 
 def drain_aggregate(agg: DataFrame, out_path: str, checkpoint: str) -> DataFrame:
     """``drain_state`` of a (sum, rows) aggregate, with its mean."""
-    return drain_state(agg, out_path, checkpoint).withColumn(
+    return drain_state(agg, out_path, checkpoint, STATE_PARTS).withColumn(
         "mean", F.try_divide(F.col("sum"), F.col("rows").cast("double")))
 
 
-def drain_state(agg: DataFrame, out_path: str, checkpoint: str) -> DataFrame:
-    """Run a streaming aggregate to completion and return its final result.
+def drain_state(agg: DataFrame, out_path: str, checkpoint: str, partitions: int | None = None) -> DataFrame:
+    """Run a streaming aggregate to completion and return its final result; its state
+    has ``partitions`` partitions at most (a checkpoint keeps the number it began with).
 
     Complete mode: each micro-batch writes the current totals into a folder of
     its own, so a re-run batch replaces only what it wrote itself and a reader
@@ -152,8 +176,15 @@ def drain_state(agg: DataFrame, out_path: str, checkpoint: str) -> DataFrame:
     writer = (agg.writeStream.outputMode("complete")
               .option("checkpointLocation", checkpoint)
               .foreachBatch(store))
-    run_until_drained(writer)
     spark = agg.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    try:    # a query keeps the settings it starts with
+        spark.conf.set(key, str(min(int(before), partitions or int(before))))
+        query = writer.trigger(availableNow=True).start()
+    finally:
+        spark.conf.set(key, before)
+    _drained(query)
     stored = spark.read.parquet(out_path)
     last = stored.agg(F.max("__trigger")).first()[0]
     return stored.where(F.col("__trigger") == last).drop("__trigger")

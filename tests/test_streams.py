@@ -47,6 +47,32 @@ def test_arrow_stream_is_bounded_per_trigger(spark, tmp_dir):
     assert len(glob.glob(f"{tmp_dir}/ckpt/commits/[0-9]*")) == 8
 
 
+@pytest.mark.parametrize("logged", [True, False])
+def test_small_files_share_a_micro_batch(spark, tmp_dir, logged):
+    """By default a micro-batch takes files by their size, and sums keep few state partitions."""
+    p, src = people(spark, SF), f"{tmp_dir}/small"
+    p.repartition(4).write.format("arrow_ipc").mode("overwrite").option("batch", "10").option("maxRowsPerFile", "10").save(src)
+    if not logged:
+        os.mkdir(f"{tmp_dir}/plain")
+        for i, f in enumerate(sorted(glob.glob(f"{src}/*.arrows"))):
+            os.link(f, f"{tmp_dir}/plain/{i}.arrows")
+        src = f"{tmp_dir}/plain"
+    assert len(glob.glob(f"{src}/*.arrows")) >= 150
+    got = streams.drain_sums(streams.arrow_stream(spark, src), "Wage", f"{tmp_dir}/o", f"{tmp_dir}/c").first()
+    assert got["rows"] == 1500 and got["sum"] == pytest.approx(p.agg(F.sum("Wage")).first()[0], rel=1e-12)
+    # The last commit may be one without files, for which a stream only cleans up.
+    assert len(glob.glob(f"{tmp_dir}/c/commits/[0-9]*")) <= 2
+    assert len(glob.glob(f"{tmp_dir}/c/state/0/[0-9]*")) == streams.STATE_PARTS
+    assert spark.conf.get("spark.sql.shuffle.partitions") == "8"
+
+
+def test_files_a_trigger():
+    full = streams.TRIGGER_BYTES
+    assert streams._files_a_trigger(12, [full] * 5, 5) == streams._files_a_trigger(12, [4 * full], 1) == 12
+    assert streams._files_a_trigger(12, [full // 100] * 3000, 1000) == 400      # a feed file names three
+    assert streams._files_a_trigger(12, [], 0) == (1 << 31) - 1
+
+
 def test_arrow_stream_reads_late_commits(spark, tmp_dir):
     """A writer that starts first and commits last loses nothing."""
     from tessera.sources.arrow_ipc import ArrowIpcWriter
